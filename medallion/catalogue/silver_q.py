@@ -1,3 +1,144 @@
-"""Registered queries."""
+"""Silver flattening queries (C5: P1-P16, S1) and JSON parsing.
+
+Bronze-shaped nested records are rebuilt from the fixtures, serialised to
+JSON text and parsed back with the declared Bronze schema (``from_json``, the
+same parser ``read_documents`` uses), then flattened by the Silver pipelines.
+The oracles compute the same Silver columns directly from the flat fixtures.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..plans.silver import silver_matches, silver_players, silver_teams
+from ..schemas import BRONZE_MATCH, BRONZE_SCORER, BRONZE_TEAM
+from ..sources import fixtures as fx
+from ..sources.tables import read_table
+from . import register
+
+
+def json_roundtrip(records: DataFrame, schema) -> DataFrame:
+    """Records -> JSON text -> records parsed with the declared schema."""
+    text = records.select(F.to_json(F.struct(*records.columns)).alias("json"))
+    return text.select(F.from_json("json", schema).alias("r")).select("r.*")
+
+
+MATCH_COLS = ["match_id", "match_date", "match_timestamp", "status", "is_finished", "matchday",
+              "stage", "group_name", "competition_id", "competition_name", "competition_code",
+              "season_id", "home_team_id", "home_team_name", "home_team_short", "away_team_id",
+              "away_team_name", "away_team_short", "home_score_ft", "away_score_ft",
+              "home_score_ht", "away_score_ht", "winner", "home_result", "total_goals",
+              "goal_difference", "referee_name", "source_blob"]
+
+
+@register("silver_matches_nested", f"""
+with {fx.fixture_ctes('matches')}
+select cast(match_id as integer) as match_id, match_date,
+       cast(match_date as timestamp) + to_hours(cast(match_id % 24 as integer)) + interval 45 minute
+         as match_timestamp,
+       status, coalesce(status = 'FINISHED', false) as is_finished,
+       cast(match_id % 8 + 1 as integer) as matchday, 'LEAGUE_STAGE' as stage,
+       case when match_id % 3 = 0 then 'NA' when match_id % 3 = 1 then 'NA'
+            else 'GROUP_' || cast(match_id % 8 as varchar) end as group_name,
+       2001 as competition_id, 'UEFA Champions League' as competition_name,
+       'CL' as competition_code, cast(year(match_date) as integer) as season_id,
+       cast(home_team_id as integer) as home_team_id, home_team_name, home_team_short,
+       cast(away_team_id as integer) as away_team_id, away_team_name, away_team_short,
+       home_score_ft, away_score_ft,
+       cast(floor(home_score_ft / 2) as integer) as home_score_ht,
+       cast(floor(away_score_ft / 2) as integer) as away_score_ht,
+       winner,
+       case when winner = 'HOME_TEAM' then 'W' when winner = 'AWAY_TEAM' then 'L'
+            when winner = 'DRAW' then 'D' end as home_result,
+       cast(case when status = 'FINISHED' then home_score_ft + away_score_ft end as integer) as total_goals,
+       cast(case when status = 'FINISHED' then home_score_ft - away_score_ft end as integer) as goal_difference,
+       case when match_id % 4 = 0 then null else 'Referee ' || cast(match_id % 50 as varchar) end
+         as referee_name,
+       'bronze/matches' as source_blob
+from matches""")
+def q_silver_matches_nested(spark, sf):
+    recs = json_roundtrip(fx.bronze_match_records(fx.matches(spark, sf)), BRONZE_MATCH)
+    return silver_matches(recs, source="bronze/matches").select(*MATCH_COLS)
+
+
+TEAM_COLS = ["team_id", "team_name", "team_short_name", "team_tla", "team_display_name",
+             "founded_year", "club_colours", "venue_name", "website", "area_id", "area_name",
+             "area_code", "competition_id", "competition_name", "competition_code",
+             "is_ucl_participant", "source_blob"]
+
+
+@register("silver_teams_nested", f"""
+with {fx.fixture_ctes('teams')},
+t as (select *,
+        case when team_id % 7 = 0 then null
+             when team_id % 3 = 0 then 'CL' when team_id % 3 = 1 then 'CL' else 'PD' end as comp_code
+      from teams)
+select cast(team_id as integer) as team_id, team_name,
+       case when team_id % 5 = 0 then '' else team_short_name end as team_short_name,
+       case when team_id % 4 = 0 then null else upper(substr(area_name, 1, 3)) end as team_tla,
+       case when team_id % 5 = 0 then team_name else team_short_name end as team_display_name,
+       cast(1880 + team_id % 100 as integer) as founded_year, 'Red / White' as club_colours,
+       venue_name, 'club' || cast(team_id as varchar) || '.example' as website,
+       cast(team_id % 25 as integer) as area_id, area_name,
+       upper(substr(area_name, 1, 3)) as area_code,
+       cast(case comp_code when 'CL' then 2001 when 'PD' then 2014 end as integer) as competition_id,
+       case comp_code when 'CL' then 'UEFA Champions League' when 'PD' then 'Primera Division' end
+         as competition_name,
+       comp_code as competition_code, coalesce(comp_code = 'CL', false) as is_ucl_participant,
+       'bronze/teams' as source_blob
+from t""")
+def q_silver_teams_nested(spark, sf):
+    recs = json_roundtrip(fx.bronze_team_records(fx.teams(spark, sf)), BRONZE_TEAM)
+    return silver_teams(recs, source="bronze/teams").select(*TEAM_COLS)
+
+
+PLAYER_COLS = ["scorer_rank", "player_id", "player_name", "player_first_name",
+               "player_last_name", "player_dob", "nationality", "position", "shirt_number",
+               "team_id", "team_name", "team_short_name", "team_tla", "goals", "assists",
+               "penalties", "non_penalty_goals", "source_blob"]
+
+_FIRST = ", ".join(f"'{n}'" for n in fx.FIRST_NAMES)
+
+
+@register("silver_players_nested", f"""
+with {fx.fixture_ctes('teams', 'players')},
+p as (
+  select *, [{_FIRST}][cast(player_id % 10 + 1 as integer)] as first_name,
+         case when player_id % 5 = 0 then 0 when player_id % 5 = 1 then null
+              else cast(player_id % 99 + 1 as integer) end as shirt_raw
+  from players),
+s as (
+  select cast(player_id as integer) as player_id, player_name, first_name as player_first_name,
+         player_name as player_last_name,
+         cast(date '1990-01-01' + cast(player_id % 3650 as integer) as date) as player_dob,
+         nationality,
+         upper(case when player_id % 6 = 0 then (case when player_id % 12 = 0 then 'Unknown' else 'Offence' end)
+                    else position end) as position,
+         coalesce(nullif(shirt_raw, 0),
+                  case first_name when 'Harry' then 9 when 'Robert' then 9 when 'Lautaro' then 10
+                                  when 'Erling' then 9 when 'Vinicius' then 7 when 'Ousmane' then 10
+                                  when 'Kylian' then 9 when 'Jonathan' then 10 end) as shirt_number,
+         cast(team_id as integer) as team_id, team_name, 'T' || cast(team_id as varchar) as team_short_name,
+         'FBC' as team_tla,
+         coalesce(goals, 0) as goals, coalesce(assists, 0) as assists,
+         coalesce(penalties, 0) as penalties,
+         coalesce(goals, 0) - coalesce(penalties, 0) as non_penalty_goals,
+         'bronze/players' as source_blob
+  from p)
+select cast(row_number() over (order by goals desc, assists desc, player_id asc nulls last) as integer)
+         as scorer_rank, *
+from s""")
+def q_silver_players_nested(spark, sf):
+    recs = json_roundtrip(fx.bronze_scorer_records(fx.players(spark, sf)), BRONZE_SCORER)
+    return silver_players(recs, source="bronze/players").select(*PLAYER_COLS)
+
+
+@register("json_props", """
+select event_id, cast(json_extract(props, '$.k') as integer) as k,
+       case when json_extract(props, '$.k') is null then true else false end as k_missing
+from events""")
+def q_json_props(spark, sf):
+    ev = read_table(spark, sf, "events")
+    parsed = F.from_json("props", "k int")
+    return ev.select("event_id", parsed["k"].alias("k"), parsed["k"].isNull().alias("k_missing"))

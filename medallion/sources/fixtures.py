@@ -168,3 +168,98 @@ left join st on st.o_custkey = c.c_custkey
 def fixture_ctes(*names: str) -> str:
     """CTE list binding the named fixtures, for ``with <ctes>, ... select``."""
     return ",\n".join(f"{n} as ({FIXTURE_SQL[n]})" for n in names)
+
+
+# --------------------------------------------------------------------------
+# Bronze-shaped records rebuilt from the fixtures (nested structs + arrays),
+# used to exercise the Silver flattening.  Variations keyed on the id cover
+# the edge rows: padded strings, blank / null group, empty referee list,
+# blank short name, missing CL entry, zero / null shirt numbers.
+# --------------------------------------------------------------------------
+# First names cycled over players (the first eight are the
+# ones the Silver shirt-number lookup knows).
+FIRST_NAMES = ("Harry", "Robert", "Lautaro", "Erling", "Vinicius", "Ousmane", "Kylian",
+               "Jonathan", "Luka", "Mohamed")
+CL = ("2001", "UEFA Champions League", "CL")
+PL = ("2021", "Premier League", "PL")
+PD = ("2014", "Primera Division", "PD")
+
+
+def _comp(entry):
+    i, n, c = entry
+    return F.struct(F.lit(int(i)).cast("long").alias("id"), F.lit(n).alias("name"),
+                    F.lit(c).alias("code"))
+
+
+def bronze_match_records(m: DataFrame) -> DataFrame:
+    mid = F.col("match_id")
+    hour = F.lpad((mid % 24).cast("string"), 2, "0")
+    half = lambda c: F.floor(F.col(c) / 2).cast("int")
+    return m.select(
+        mid.alias("id"),
+        F.concat(F.date_format("match_date", "yyyy-MM-dd"), F.lit("T"), hour, F.lit(":45:00Z"))
+         .alias("utcDate"),
+        F.when(mid % 7 == 0, F.concat(F.lit(" "), F.col("status"), F.lit(" ")))
+         .otherwise(F.col("status")).alias("status"),
+        (mid % 8 + 1).cast("int").alias("matchday"),
+        F.lit("LEAGUE_STAGE").alias("stage"),
+        F.when(mid % 3 == 0, F.lit(None).cast("string")).when(mid % 3 == 1, F.lit(""))
+         .otherwise(F.concat(F.lit("GROUP_"), (mid % 8).cast("string"))).alias("group"),
+        _comp(CL).alias("competition"),
+        F.struct(F.year("match_date").cast("long").alias("id")).alias("season"),
+        F.struct(F.col("home_team_id").alias("id"), F.col("home_team_name").alias("name"),
+                 F.col("home_team_short").alias("shortName")).alias("homeTeam"),
+        F.struct(F.col("away_team_id").alias("id"), F.col("away_team_name").alias("name"),
+                 F.col("away_team_short").alias("shortName")).alias("awayTeam"),
+        F.struct(F.col("winner").alias("winner"),
+                 F.struct(F.col("home_score_ft").alias("home"), F.col("away_score_ft").alias("away"))
+                  .alias("fullTime"),
+                 F.struct(half("home_score_ft").alias("home"), half("away_score_ft").alias("away"))
+                  .alias("halfTime")).alias("score"),
+        F.when(mid % 4 == 0, F.array().cast("array<struct<name:string>>"))
+         .otherwise(F.array(F.struct(F.concat(F.lit(" Referee "), (mid % 50).cast("string"),
+                                              F.lit(" ")).alias("name")))).alias("referees"))
+
+
+def bronze_team_records(t: DataFrame) -> DataFrame:
+    tid = F.col("team_id")
+    comps = (F.when(tid % 7 == 0, F.array().cast("array<struct<id:bigint,name:string,code:string>>"))
+             .when(tid % 3 == 0, F.array(_comp(CL)))
+             .when(tid % 3 == 1, F.array(_comp(PL), _comp(CL)))
+             .otherwise(F.array(_comp(PD))))
+    return t.select(
+        tid.alias("id"), F.col("team_name").alias("name"),
+        F.when(tid % 5 == 0, F.lit("")).otherwise(F.col("team_short_name")).alias("shortName"),
+        F.when(tid % 4 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit(" "), F.lower(F.substring("area_name", 1, 3)), F.lit(" ")))
+         .alias("tla"),
+        (F.lit(1880) + tid % 100).cast("int").alias("founded"),
+        F.lit("Red / White").alias("clubColors"),
+        F.col("venue_name").alias("venue"),
+        F.concat(F.lit("club"), tid.cast("string"), F.lit(".example")).alias("website"),
+        F.struct((tid % 25).alias("id"), F.concat(F.lit(" "), F.col("area_name"), F.lit(" ")).alias("name"),
+                 F.lower(F.substring("area_name", 1, 3)).alias("code")).alias("area"),
+        comps.alias("runningCompetitions"))
+
+
+def bronze_scorer_records(p: DataFrame) -> DataFrame:
+    pid = F.col("player_id")
+    first = F.element_at(F.array(*[F.lit(n) for n in FIRST_NAMES]),
+                         (pid % len(FIRST_NAMES) + 1).cast("int"))
+    return p.select(
+        F.struct(
+            pid.alias("id"), F.concat(F.lit(" "), F.col("player_name")).alias("name"),
+            first.alias("firstName"), F.col("player_name").alias("lastName"),
+            F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (pid % 3650).cast("int")),
+                          "yyyy-MM-dd").alias("dateOfBirth"),
+            F.col("nationality").alias("nationality"),
+            F.when(pid % 6 == 0, F.lit(None).cast("string")).otherwise(F.col("position"))
+             .alias("position"),
+            F.when(pid % 12 == 0, F.lit(None).cast("string")).otherwise(F.lit("Offence"))
+             .alias("section"),
+            F.when(pid % 5 == 0, F.lit(0)).when(pid % 5 == 1, F.lit(None).cast("int"))
+             .otherwise((pid % 99 + 1).cast("int")).alias("shirtNumber")).alias("player"),
+        F.struct(F.col("team_id").alias("id"), F.col("team_name").alias("name"),
+                 F.concat(F.lit("T"), F.col("team_id").cast("string")).alias("shortName"),
+                 F.lit(" fbc ").alias("tla")).alias("team"),
+        "goals", "assists", "penalties")
