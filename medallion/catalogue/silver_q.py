@@ -142,3 +142,47 @@ def q_json_props(spark, sf):
     ev = read_table(spark, sf, "events")
     parsed = F.from_json("props", "k int")
     return ev.select("event_id", parsed["k"].alias("k"), parsed["k"].isNull().alias("k_missing"))
+
+
+@register("standardise_strings", """
+select c_custkey, trim(c_name) as name, upper(trim(c_mktsegment)) as segment,
+       cast(length(trim(c_name)) as integer) as name_length,
+       try_cast(substr(c_name, 10) as integer) as name_number,
+       length(upper(trim(c_mktsegment))) <> 8 as segment_not_8
+from customer""")
+def q_standardise_strings(spark, sf):
+    from ..functions.columns import clean, clean_upper, try_int
+    c = read_table(spark, sf, "customer")
+    seg = clean_upper("c_mktsegment")
+    return c.select("c_custkey", clean("c_name").alias("name"), seg.alias("segment"),
+                    F.length(clean("c_name")).alias("name_length"),
+                    try_int(F.substring("c_name", 10, 1 << 20)).alias("name_number"),
+                    (F.length(seg) != 8).alias("segment_not_8"))
+
+
+# Number looked up by market segment when the raw number is
+# missing or zero (the first-truthy-then-lookup pattern of P15/P16).
+SEGMENT_NUMBER = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
+
+
+@register("first_truthy", """
+select c_custkey,
+       coalesce(nullif(case when c_custkey % 3 = 0 then '' else c_mktsegment end, ''),
+                nullif(case when c_custkey % 5 = 0 then null else c_name end, ''),
+                'Unknown') as display,
+       coalesce(nullif(case when c_custkey % 4 = 0 then 0 else cast(c_custkey % 10 as integer) end, 0),
+                case c_mktsegment when 'AUTOMOBILE' then 1 when 'BUILDING' then 2
+                     when 'FURNITURE' then 3 when 'HOUSEHOLD' then 4 when 'MACHINERY' then 5 end)
+         as number
+from customer""")
+def q_first_truthy(spark, sf):
+    from ..functions.columns import first_nonblank, first_nonzero
+    from ..plans.silver import shirt_lookup
+    c = read_table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    seg = F.when(k % 3 == 0, F.lit("")).otherwise(F.col("c_mktsegment"))
+    name = F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name"))
+    raw = F.when(k % 4 == 0, F.lit(0)).otherwise((k % 10).cast("int"))
+    return c.select("c_custkey", first_nonblank(seg, name, default="Unknown").alias("display"),
+                    first_nonzero(raw, shirt_lookup(F.col("c_mktsegment"), SEGMENT_NUMBER))
+                    .alias("number"))

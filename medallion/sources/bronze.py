@@ -114,15 +114,20 @@ def filter_competition(index: DataFrame, competition_id: int) -> DataFrame:
     return index.filter(F.col("competition_id") == F.lit(competition_id))
 
 
-def read_season_matches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per-season match lists (array ``matches`` of opaque records) read
-    in one multi-path scan; the season id comes from the file name and every
-    record is kept as raw JSON text."""
-    doc = T.StructType([T.StructField("matches", T.ArrayType(T.StringType())),
-                        T.StructField("_ingestion_metadata", INGESTION_METADATA)])
-    docs = read_documents(spark, list(paths), doc)
-    keyed = with_snapshot_keys(docs)
-    return keyed.select("season", "source_blob", F.explode("matches").alias("match_json"))
+def read_season_matches(spark: SparkSession, paths: Sequence[str],
+                        season_pattern: str = SEASON_IN_NAME) -> DataFrame:
+    """Per-season match lists (array ``matches`` of opaque records, or a
+    bare array) read in one multi-path scan; the season id comes from the
+    file name and every record is kept as raw JSON text."""
+    arr = T.ArrayType(T.StringType())
+    wrapped = T.StructType([T.StructField("matches", arr)])
+    txt = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.json")
+           .option("recursiveFileLookup", True).text(list(paths)))
+    season = F.regexp_extract(F.col("_metadata.file_name"), season_pattern, 1)
+    entries = F.coalesce(F.from_json("value", wrapped)["matches"], F.from_json("value", arr))
+    return txt.select(F.nullif(season, F.lit("")).try_cast("int").alias("season"),
+                      F.col("_metadata.file_path").alias("source_blob"),
+                      F.explode(entries).alias("match_json"))
 
 
 def to_record_layout(records_df: DataFrame, out_path: str,
