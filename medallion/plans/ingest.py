@@ -30,18 +30,19 @@ from pyspark.errors import AnalysisException
 from ..schemas import INGESTION_METADATA
 from ..sources import bronze
 
-SNAPSHOT_KEYS = ("snapshot_date", "season")
+SNAPSHOT_KEYS = ("snapshot_date", "snapshot_season")
 
 
 def annotate(records: DataFrame, snapshot_date: str, season: int | None, source: str,
              layer: str = "bronze", extra: Mapping[str, object] | None = None) -> DataFrame:
-    """K1: snapshot keys + ingestion metadata struct (declared schema)."""
+    """K1: snapshot keys (``snapshot_date``, ``snapshot_season``; records
+    may carry their own ``season`` field) + ingestion metadata struct."""
     values = {"ingested_at": _dt.datetime.now().isoformat(), "season": season,
               "source": source, "layer": layer, **(extra or {})}
     meta = F.struct(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name)
                       for f in INGESTION_METADATA.fields])
     return records.select("*", F.lit(snapshot_date).cast("date").alias("snapshot_date"),
-                          F.lit(season).cast("int").alias("season"),
+                          F.lit(season).cast("int").alias("snapshot_season"),
                           meta.alias("_ingestion_metadata"))
 
 
@@ -74,7 +75,7 @@ def bronze_ingest(spark: SparkSession, records: DataFrame, target: str, snapshot
      .option("compression", "snappy").save(target))
     stored = spark.read.format(fmt).load(target)
     mine = stored.filter((F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
-                         & F.col("season").eqNullSafe(F.lit(season).cast("int")))
+                         & F.col("snapshot_season").eqNullSafe(F.lit(season).cast("int")))
     return mine.agg(F.lit(f"{snapshot_date}/{season}").alias("item"),
                     F.count(F.lit(1)).alias("rows"),
                     (F.count(F.lit(1)) > 0).alias("ok"))

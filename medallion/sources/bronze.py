@@ -103,7 +103,7 @@ def read_competition_index(spark: SparkSession, path: str) -> DataFrame:
     both shapes declared; whichever matches is exploded."""
     arr = T.ArrayType(COMPETITION_SEASON)
     wrapped = T.StructType([T.StructField("all_competitions", arr)])
-    txt = spark.read.option("wholetext", True).text(path)
+    txt = spark.read.text(path, wholetext=True)
     entries = F.coalesce(F.from_json("value", wrapped)["all_competitions"],
                          F.from_json("value", arr))
     return txt.select(F.inline(entries))
@@ -121,8 +121,8 @@ def read_season_matches(spark: SparkSession, paths: Sequence[str],
     file name and every record is kept as raw JSON text."""
     arr = T.ArrayType(T.StringType())
     wrapped = T.StructType([T.StructField("matches", arr)])
-    txt = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.json")
-           .option("recursiveFileLookup", True).text(list(paths)))
+    txt = (spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+           .text(list(paths), wholetext=True))
     season = F.regexp_extract(F.col("_metadata.file_name"), season_pattern, 1)
     entries = F.coalesce(F.from_json("value", wrapped)["matches"], F.from_json("value", arr))
     return txt.select(F.nullif(season, F.lit("")).try_cast("int").alias("season"),
