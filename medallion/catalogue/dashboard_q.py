@@ -80,3 +80,12 @@ select p.player_id, p.team_id, p.goals, tg.team_goals,
 from players_r p join tg on p.team_id is not distinct from tg.team_id""")
 def q_player_goal_share(spark, sf):
     return d.player_goal_share(players_silver(spark, sf))
+
+
+@register("teams_first10_by_name", f"""
+with {fx.fixture_ctes('teams')}
+select team_id, team_display_name, area_name, venue_name from teams
+order by team_display_name asc nulls last, team_id asc nulls last limit 10""")
+def q_teams_first10(spark, sf):
+    t = fx.teams(spark, sf).select("team_id", "team_display_name", "area_name", "venue_name")
+    return d.first_by_name(t, "team_display_name", "team_id", 10)

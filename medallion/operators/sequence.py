@@ -154,3 +154,10 @@ def running_stats_window(df: DataFrame, group: Sequence[str], order: Sequence[Co
           for v, c in values.items()],
         *[F.sum(c).over(w.rowsBetween(-(n - 1), 0)).alias(f"{last_prefix}{v}")
           for v, c in values.items()])
+
+
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """R9 (opt-in): keep one row per key, the first in ``order`` (e.g. the
+    newest snapshot first).  Planned as a top-1 WindowGroupLimit, partial
+    before the shuffle, so duplicates of a hot key are dropped map-side."""
+    return last_n_per_group(df, keys, order, 1, "_dedup_rn").drop("_dedup_rn")

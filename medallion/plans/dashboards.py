@@ -54,3 +54,14 @@ def player_goal_share(scorers: DataFrame) -> DataFrame:
         F.when(F.col("team_goals") == 0, F.lit(0.0))
          .otherwise(exact_round_ratio(nz("goals"), "team_goals", 1, scale=100))
          .alias("goal_share_pct"))
+
+
+def sample_where(df: DataFrame, column: str, value, n: int = 5) -> DataFrame:
+    """F2 + O6: up to ``n`` rows with ``column == value``, in no particular
+    order (an inspection sample; the filter is pushed to the scan)."""
+    return df.filter(F.col(column) == F.lit(value)).limit(n)
+
+
+def first_by_name(df: DataFrame, name_col: str, key_col: str, k: int = 10) -> DataFrame:
+    """The first ``k`` rows by name (key breaks ties)."""
+    return df.orderBy(F.col(name_col).asc_nulls_last(), F.col(key_col).asc_nulls_last()).limit(k)

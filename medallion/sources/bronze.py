@@ -136,3 +136,20 @@ def to_record_layout(records_df: DataFrame, out_path: str,
     (dynamic partition overwrite: only the partitions present are replaced)."""
     (records_df.write.mode("overwrite").partitionBy(*partition_cols)
      .option("compression", "snappy").parquet(out_path))
+
+
+def leading_records(docs: DataFrame, array_field: str, k: int = 3) -> DataFrame:
+    """The first ``k`` records of each document in source order, with
+    their position (``posexplode`` keeps array order; no sort, no shuffle)."""
+    return (docs.select("source_blob", F.posexplode(array_field).alias("pos", "rec"))
+            .filter(F.col("pos") < k).select("source_blob", "pos", "rec.*"))
+
+
+def leading_scorers(docs: DataFrame, k: int = 3) -> DataFrame:
+    """B3 for scorer documents: name and team default to 'Unknown', goals to 0."""
+    lead = leading_records(docs, "scorers", k)
+    return lead.select(
+        "source_blob", (F.col("pos") + 1).alias("place"),
+        F.coalesce(F.col("player.name"), F.lit("Unknown")).alias("name"),
+        F.coalesce(F.col("team.name"), F.lit("Unknown")).alias("team"),
+        F.coalesce(F.col("goals"), F.lit(0)).alias("goals"))
