@@ -161,3 +161,25 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     newest snapshot first).  Planned as a top-1 WindowGroupLimit, partial
     before the shuffle, so duplicates of a hot key are dropped map-side."""
     return last_n_per_group(df, keys, order, 1, "_dedup_rn").drop("_dedup_rn")
+
+
+# A group of at most this many rows is sorted by one task without trouble.
+MAX_GROUP_ROWS = 1_000_000
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows in the largest group: a partial aggregate (hot keys combine
+    map-side) returning one number to the driver."""
+    top = df.groupBy(*group).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
+def running_stats_auto(df: DataFrame, group: Sequence[str], order: Sequence[Column],
+                       values: Mapping[str, Column], n: int,
+                       max_group_rows: int = MAX_GROUP_ROWS, **kw) -> DataFrame:
+    """Plain per-group window (one shuffle) when the largest group is
+    provably small enough for one task, else the skew-safe ``running_stats``."""
+    if largest_group(df, group) <= max_group_rows:
+        return running_stats_window(df, group, order, values, n, **{
+            k: v for k, v in kw.items() if k != "num_partitions"})
+    return running_stats(df, group, order, values, n, **kw)

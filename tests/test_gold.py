@@ -84,8 +84,10 @@ def test_team_form_edges(spark, matches):
 
 
 def test_rolling_form_distributed_equals_window(spark, matches):
-    a = gold.rolling_form(matches).collect()
+    a = gold.rolling_form(matches, strategy="distributed").collect()
     b = gold.rolling_form(matches, strategy="window").collect()
+    c = gold.rolling_form(matches, strategy="auto", max_group_rows=2).collect()   # hot path
+    assert sorted(map(tuple, c), key=str) == sorted(map(tuple, b), key=str)
     key = lambda r: (r["team_id"] is None, r["team_id"] or 0, r["match_id"])
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
     assert sorted(a, key=key)[0]["match_number"] == 1
