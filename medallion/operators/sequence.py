@@ -116,8 +116,8 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
           for v in names],
         *[F.col(f"_sq_lr_{v}") for v in names])
 
-    # Tails: last n rows of every continued block, from the range-partitioned
-    # rows directly (the shuffle is reused).  At most n * (parts - 1) rows.
+    # Tails: last n rows of every continued block, read from the checkpointed
+    # range-partitioned rows.  At most n * (parts - 1) rows.
     nonlast = edges.filter(F.col(_OFFN) + F.col(_BN) < F.col(_TOTN))
     nonlast = renamed(nonlast, [_OFFN, _BN, _B0, *[f"_sq_off_{v}" for v in names],
                                 *[f"_sq_bs_{v}" for v in names]], "t")

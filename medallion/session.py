@@ -36,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove checkpoint files of ranks / sequences once their DataFrames are gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
@@ -62,7 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the setting is unset (tests, local runs) is a scratch folder
     created and registered, so that ``DataFrame.checkpoint()`` works.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a local context)
+        return spark.conf.get("spark.checkpoint.dir", None)
     existing = sc.getCheckpointDir()
     if existing:
         return existing

@@ -139,3 +139,15 @@ def test_team_form_plan_has_one_window_exchange(spark, sf_small):
     assert "WindowGroupLimit" in plan
     # no self-join on the match number: the only join is last-n with totals
     assert "match_number" not in plan
+
+
+def test_standings_scans_matches_once(spark, sf_small, tmp_path):
+    # C1 plan check: the two-sided expansion reads the fact table once
+    # (the reference's UNION ALL reads it twice).
+    path = str(tmp_path / "matches")
+    fx.matches(spark, sf_small).write.parquet(path)
+    rows = gold.standings_records(spark.read.parquet(path))
+    agg = rows.groupBy("team_id").agg(F.sum("points_earned"))
+    plan = agg._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Generate inline" in plan
+    assert "PushedFilters: [IsNotNull(is_finished), EqualTo(is_finished,true)]" in plan
