@@ -8,8 +8,9 @@ row into one task.  ``rank_by`` instead:
    group is split across partitions like any other key range), sorts each
    partition, and numbers rows inside it (``monotonically_increasing_id``
    minus the partition's base, i.e. the position within the partition);
-2. counts rows per partition: at most ``num_partitions`` rows, so the
-   offsets table has a proven size bound and is broadcast;
+2. counts rows per partition: at most one row per partition (bounded by
+   the shuffle partition count), so the offsets table has a proven size
+   bound and is broadcast;
 3. adds the running count of all earlier partitions to each position.
 
 The range-partitioned, sorted rows are materialised once with an eager
@@ -47,6 +48,16 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def range_sorted(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """Range-partition on ``order`` and sort each partition.  Without an
+    explicit count the exchange uses the session's shuffle partitions and AQE
+    may coalesce neighbouring ranges (order is kept); the result is then
+    checkpointed, so the final layout is fixed either way."""
+    ranged = (df.repartitionByRange(int(num_partitions), *order) if num_partitions
+              else df.repartitionByRange(*order))
+    return materialize(ranged.sortWithinPartitions(*order))
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str,
                       num_partitions: int | None = None) -> DataFrame:
     """Append ``name`` = 1-based position of each row in ``order``.
@@ -54,14 +65,13 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str,
     ``order`` must be a total order (end it with a unique key); with ties the
     numbering among tied rows is arbitrary, as in SQL.
     """
-    n = _partitions(df, num_partitions)
-    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    ranged = range_sorted(df, order, num_partitions)
     ranged = (ranged.withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.col(_PID).cast("long"), 33)))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    # At most num_partitions rows: safe to broadcast at any data size.
+    # One row per partition: safe to broadcast at any data size.
     offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     return (ranged.join(F.broadcast(offsets), _PID)
             .withColumn(name, (F.col(_OFF) + F.col(_POS) + 1).cast("int"))

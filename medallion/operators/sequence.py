@@ -33,7 +33,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import _partitions, materialize
+from .ranking import range_sorted
 
 
 def last_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
@@ -62,19 +62,17 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     ``order`` must make rows unique within a group (end it with a key)."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    parts = _partitions(df, num_partitions)
     names = list(values)
     cols = df.columns
     base = df.select("*", *[values[v].alias(_v(v)) for v in names])
     sort_spec = [F.col(g).asc_nulls_last() for g in group] + list(order)
-    ranged = materialize(base.repartitionByRange(parts, *sort_spec)
-                         .sortWithinPartitions(*sort_spec))
+    ranged = range_sorted(base, sort_spec, num_partitions)
     ranged = (ranged.withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.col(_PID).cast("long"), 33)))
 
-    # Block summary: one row per (partition, group); per group at most
-    # `parts` rows, so the window over it never concentrates data.
+    # Block summary: one row per (partition, group); per group at most one
+    # row per partition, so the window over it never concentrates data.
     blocks = ranged.groupBy(_PID, *group).agg(
         F.count(F.lit(1)).alias(_BN), F.min(_POS).alias(_B0),
         *[F.sum(_v(v)).alias(f"_sq_bs_{v}") for v in names])
@@ -86,8 +84,8 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
         *[F.coalesce(F.sum(f"_sq_bs_{v}").over(before), F.lit(0)).alias(f"_sq_off_{v}")
           for v in names],
         F.sum(_BN).over(Window.partitionBy(*group)).alias(_TOTN))
-    # Each partition boundary splits at most one group, so at most
-    # 2 * (parts - 1) blocks continue or are continued: a proven bound.
+    # Each partition boundary splits at most one group, so at most two
+    # blocks per partition continue or are continued: a proven bound.
     edges = blocks.filter((F.col(_OFFN) > 0) | (F.col(_OFFN) + F.col(_BN) < F.col(_TOTN)))
 
     def renamed(frame: DataFrame, keep: Sequence[str], tag: str) -> DataFrame:
@@ -117,7 +115,7 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
         *[F.col(f"_sq_lr_{v}") for v in names])
 
     # Tails: last n rows of every continued block, read from the checkpointed
-    # range-partitioned rows.  At most n * (parts - 1) rows.
+    # range-partitioned rows.  At most n rows per partition.
     nonlast = edges.filter(F.col(_OFFN) + F.col(_BN) < F.col(_TOTN))
     nonlast = renamed(nonlast, [_OFFN, _BN, _B0, *[f"_sq_off_{v}" for v in names],
                                 *[f"_sq_bs_{v}" for v in names]], "t")
