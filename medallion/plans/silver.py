@@ -154,9 +154,10 @@ def silver_players(records: DataFrame, source: Column | str | None = None,
         try_int("goals").alias("goals"),
         try_int("assists").alias("assists"),
         try_int("penalties").alias("penalties"),
+        _source(source).alias("source_blob"),
     )
     out = players_derived(flat, rank_method).select(
-        "*", _processed_at().alias("silver_processed_at"), _source(source).alias("source_blob"))
+        "*", _processed_at().alias("silver_processed_at"))
     return out.select(*SILVER_PLAYERS.fieldNames())
 
 
