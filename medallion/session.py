@@ -41,10 +41,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        # A local session has no shared storage; give it a scratch folder.
-        builder = builder.config("spark.checkpoint.dir",
-                                 tempfile.mkdtemp(prefix="medallion-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_defaults(spark)
