@@ -37,3 +37,13 @@ def test_silver_job_blocks_bad_snapshot(spark, bronze_root, tmp_path):  # noqa:
     else:
         raise AssertionError("the 2023 snapshot has a null date and must be blocked")
     assert not os.path.exists(silver_root)
+
+
+def test_command_line(spark, bronze_root, tmp_path, capsys):  # noqa: F811
+    from medallion.__main__ import main
+    silver, gold = str(tmp_path / "s"), str(tmp_path / "g")
+    for entity in ("matches", "teams", "players"):
+        assert main(["silver", "--entity", entity, "--bronze", bronze_root, "--silver", silver,
+                     "--date", "2024-09-08"]) == 0
+    assert main(["gold", "--silver", silver, "--gold", gold, "--date", "2024-09-08"]) == 0
+    assert '"item": "standings"' in capsys.readouterr().out
