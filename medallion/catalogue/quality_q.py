@@ -16,12 +16,17 @@ stg_teams as (select *, cast(null as varchar) as team_tla from teams),
 stg_players as (select * from players_r)"""
 
 
-def staging(spark, sf):
-    return {
-        "stg_matches": conform(fx.matches(spark, sf), SILVER_MATCHES, cast=False),
-        "stg_teams": conform(fx.teams(spark, sf), SILVER_TEAMS, cast=False),
-        "stg_players": players_silver(spark, sf),
-    }
+STAGING = {
+    "stg_matches": lambda spark, sf: conform(fx.matches(spark, sf), SILVER_MATCHES, cast=False),
+    "stg_teams": lambda spark, sf: conform(fx.teams(spark, sf), SILVER_TEAMS, cast=False),
+    "stg_players": lambda spark, sf: players_silver(spark, sf),
+}
+
+
+def staging(spark, sf, *names):
+    """The named staging models (all when none are named); each is built
+    only when asked for, since the players model runs its global rank."""
+    return {n: STAGING[n](spark, sf) for n in (names or STAGING)}
 
 
 def _check_sql(view: str, label: str, checks) -> str:
@@ -67,17 +72,19 @@ def _check_sql(view: str, label: str, checks) -> str:
 
 @register("dq_matches", f"with {STAGING_SQL}\n{_check_sql('stg_matches', 'matches', q.MATCH_CHECKS)}")
 def q_dq_matches(spark, sf):
-    return q.check_results(staging(spark, sf)["stg_matches"], "matches", q.MATCH_CHECKS)
+    return q.check_results(staging(spark, sf, "stg_matches")["stg_matches"], "matches",
+                           q.MATCH_CHECKS)
 
 
 @register("dq_teams", f"with {STAGING_SQL}\n{_check_sql('stg_teams', 'teams', q.TEAM_CHECKS)}")
 def q_dq_teams(spark, sf):
-    return q.check_results(staging(spark, sf)["stg_teams"], "teams", q.TEAM_CHECKS)
+    return q.check_results(staging(spark, sf, "stg_teams")["stg_teams"], "teams", q.TEAM_CHECKS)
 
 
 @register("dq_players", f"with {STAGING_SQL}\n{_check_sql('stg_players', 'players', q.PLAYER_CHECKS)}")
 def q_dq_players(spark, sf):
-    return q.check_results(staging(spark, sf)["stg_players"], "players", q.PLAYER_CHECKS)
+    return q.check_results(staging(spark, sf, "stg_players")["stg_players"], "players",
+                           q.PLAYER_CHECKS)
 
 
 def _test_sql(kind: str) -> str:
@@ -105,7 +112,9 @@ def _test_sql(kind: str) -> str:
 
 def _tests(kind):
     def run(spark, sf):
-        return q.run_tests(staging(spark, sf), [t for t in q.STAGING_TESTS if t.test == kind])
+        spec = [t for t in q.STAGING_TESTS if t.test == kind]
+        names = sorted({t.model for t in spec} | {t.to for t in spec if t.to})
+        return q.run_tests(staging(spark, sf, *names), spec)
     run.__name__ = f"q_test_{kind}"
     return run
 

@@ -3,107 +3,59 @@
 The driver ships no match data, so matches, teams and players are defined
 over the TPC-H-style tables: an order with at least two distinct suppliers is
 a match, a supplier is a team, a customer is a player.  The Spark versions are
-DataFrame plans (every scan pruned to the columns used, filters pushed to the
-Parquet reader); ``FIXTURE_SQL`` holds the same definitions as SQL text for
-the DuckDB oracle.  Both must stay equivalent.
+defined once, as SQL text (``FIXTURE_SQL``) that Spark and the DuckDB oracle
+both run; in Spark every scan is pruned to the columns used and filters are
+pushed to the Parquet reader.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import read_table
 
-# Parameters of the fixture definitions (fixed values, shared with the SQL).
-TEAM_PARITY_MOD = 2          # even order keys take the lower supplier at home
-HOME_GOALS_MOD = 5
-AWAY_GOALS_MOD = 4
-PLAYER_TEAM_SLACK = 3        # team ids beyond the supplier range -> join misses
+_TABLES = ("lineitem", "orders", "supplier", "customer", "nation")
+
+
+def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One derived table, from the shared SQL text below.
+
+    The driver tables are passed to ``spark.sql`` as DataFrame parameters
+    (read with declared schemas), so Spark runs exactly the statement the
+    oracle runs; Catalyst plans it like the equivalent DataFrame chain, and
+    one parse and analysis replaces dozens of incremental ones.
+    """
+    text = FIXTURE_SQL[name]
+    used = [t for t in _TABLES if re.search(rf"\b{t}\b", text)]
+    text = re.sub(r"\b(" + "|".join(used) + r")\b", r"{\1}", text)
+    return spark.sql(text, **{t: read_table(spark, sf_dir, t) for t in used})
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver-shaped match facts (subset of the Silver columns).
+    """Silver-shaped match facts (a subset of the Silver columns).
 
     Plan: lineitem is aggregated per order (partial + final hash aggregate,
-    one shuffle on the order key), joined to orders on the same key (the
-    aggregate side is already hash partitioned on it), then supplier names are
-    looked up for both sides.  Supplier grows with the data, so those joins
-    are left to the planner: broadcast below the size threshold (checked by
-    AQE at runtime), sort-merge above it.
+    one shuffle on the order key) and joined to orders on the same key (the
+    aggregate side is already partitioned on it); finished-only marts push
+    ``o_orderstatus = 'F'`` into the orders scan.  Supplier names are looked
+    up for both sides; supplier grows with the data, so those joins are left
+    to the planner: broadcast below the size threshold (re-checked by AQE at
+    runtime), sort-merge above it.
     """
-    li = (read_table(spark, sf_dir, "lineitem")
-          .groupBy("l_orderkey")
-          .agg(F.min("l_suppkey").alias("s_lo"), F.max("l_suppkey").alias("s_hi"),
-               F.sum("l_quantity").cast("bigint").alias("q"))
-          .filter(F.col("s_lo") < F.col("s_hi")))
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", "o_orderstatus", "o_custkey")
-    even = (F.col("o_orderkey") % TEAM_PARITY_MOD) == 0
-    finished = F.col("o_orderstatus") == "F"
-    m = (o.join(li, o.o_orderkey == li.l_orderkey)
-         .select(
-             F.col("o_orderkey").alias("match_id"),
-             F.col("o_orderdate").cast("date").alias("match_date"),
-             F.when(finished, "FINISHED").when(F.col("o_orderstatus") == "O", "SCHEDULED")
-              .otherwise("POSTPONED").alias("status"),
-             finished.alias("is_finished"),
-             F.when(even, F.col("s_lo")).otherwise(F.col("s_hi")).alias("home_team_id"),
-             F.when(even, F.col("s_hi")).otherwise(F.col("s_lo")).alias("away_team_id"),
-             F.when(finished, (F.col("q") % HOME_GOALS_MOD).cast("int")).alias("home_score_ft"),
-             F.when(finished, ((F.col("q") + F.col("o_custkey")) % AWAY_GOALS_MOD).cast("int"))
-              .alias("away_score_ft")))
-    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    h = sup.select(F.col("s_suppkey").alias("_h_id"), F.col("s_name").alias("home_team_name"))
-    a = sup.select(F.col("s_suppkey").alias("_a_id"), F.col("s_name").alias("away_team_name"))
-    hs, as_ = F.col("home_score_ft"), F.col("away_score_ft")
-    return (m.join(h, m.home_team_id == h._h_id)
-            .join(a, m.away_team_id == a._a_id)
-            .select(
-                "match_id", "match_date", "status", "is_finished",
-                "home_team_id", "home_team_name",
-                F.concat(F.lit("S"), F.col("home_team_id").cast("string")).alias("home_team_short"),
-                "away_team_id", "away_team_name",
-                F.concat(F.lit("S"), F.col("away_team_id").cast("string")).alias("away_team_short"),
-                "home_score_ft", "away_score_ft",
-                F.when(hs > as_, "HOME_TEAM").when(hs < as_, "AWAY_TEAM")
-                 .when(hs == as_, "DRAW").alias("winner"),
-                F.when(hs > as_, "W").when(hs < as_, "L").when(hs == as_, "D")
-                 .alias("home_result")))
+    return fixture(spark, sf_dir, "matches")
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (s.join(n, s.s_nationkey == n.n_nationkey)
-            .select(F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("team_name"),
-                    F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("team_short_name"),
-                    F.concat(F.lit("Club "), F.col("s_suppkey").cast("string")).alias("team_display_name"),
-                    F.col("n_name").alias("area_name"),
-                    F.concat(F.lit("Venue "), F.col("n_name")).alias("venue_name")))
+    return fixture(spark, sf_dir, "teams")
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    fin = F.col("o_orderstatus") == "F"
-    st = (o.groupBy("o_custkey")
-          .agg(F.sum(F.when(fin, 1).otherwise(0)).cast("int").alias("goals"),
-               F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).cast("int").alias("assists"),
-               F.sum(F.when(fin & (F.col("o_orderpriority") == "1-URGENT"), 1).otherwise(0))
-                .cast("int").alias("penalties")))
-    sup = read_table(spark, sf_dir, "supplier")
-    # Scalar subquery: planned as its own one-row job, not a join.
-    n_teams = sup.select(F.count(F.lit(1))).scalar()
-    c = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-            .join(st, c.c_custkey == st.o_custkey, "left")
-            .select(F.col("c_custkey").alias("player_id"), F.col("c_name").alias("player_name"),
-                    F.col("n_name").alias("nationality"), F.col("c_mktsegment").alias("position"),
-                    (F.col("c_custkey") % (n_teams + F.lit(PLAYER_TEAM_SLACK))).alias("team_id"),
-                    F.concat(F.lit("Fallback "), F.col("c_custkey").cast("string")).alias("team_name"),
-                    "goals", "assists", "penalties"))
+    """Players with season counts from orders; the team id uses the supplier
+    count as a scalar subquery (its own one-row job, not a join)."""
+    return fixture(spark, sf_dir, "players")
 
 
 # The same three definitions as SQL text (Spark SQL and DuckDB both run it).
