@@ -13,11 +13,13 @@ row into one task.  ``rank_by`` instead:
    bound and is broadcast;
 3. adds the running count of all earlier partitions to each position.
 
-The range-partitioned, sorted rows are materialised once with an eager
-``checkpoint()`` into the cluster's shared checkpoint folder.  Both branches
-then read the same files, so partition ids and positions agree, the input is
-computed once, and a lost executor re-reads the files instead of re-sampling
-range bounds (a re-sample could move rows between partitions).
+The range-partitioned, sorted rows are written once, with their partition
+id and position as columns, as a Parquet table under the cluster's shared
+``spark.checkpoint.dir`` (lineage cut by a written table, never a local
+checkpoint).  Every branch reads those files, so ids and positions agree, the
+input is computed once, branches read only the columns they need, and a lost
+executor re-reads files instead of re-sampling range bounds (a re-sample
+could move rows between partitions).
 
 ``dense_rank`` ranks the distinct order-key tuples (a partial aggregation
 collapses hot tuples map-side) and joins the rank back on the key.
@@ -25,6 +27,7 @@ collapses hot tuples map-side) and joins the rank back on the key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,11 +38,10 @@ from ..session import checkpoint_dir
 _PID, _POS, _N, _OFF = "_rk_pid", "_rk_pos", "_rk_n", "_rk_off"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eager, reliable checkpoint into ``spark.checkpoint.dir`` (never a
-    local checkpoint): cuts lineage and fixes partition contents and order."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_table_path(spark) -> str:
+    """A fresh folder for a written intermediate table inside the shared
+    folder named by ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -48,14 +50,27 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_sorted(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
-    """Range-partition on ``order`` and sort each partition.  Without an
-    explicit count the exchange uses the session's shuffle partitions and AQE
-    may coalesce neighbouring ranges (order is kept); the result is then
-    checkpointed, so the final layout is fixed either way."""
+def range_positions(df: DataFrame, order: Sequence[Column], num_partitions: int | None,
+                    pid: str, pos: str) -> DataFrame:
+    """Range-partition on ``order``, sort each partition, record each row's
+    partition id (``pid``) and 0-based position in it (``pos``), write the
+    rows once as a Parquet table and return the table.
+
+    Without an explicit count the exchange uses the session's shuffle
+    partitions and AQE may coalesce neighbouring ranges (order is kept); ids
+    and positions are taken in the writing tasks, so they describe exactly
+    the stored layout.  A retried write task recomputes the same partition
+    (same range bounds, same total order) and so the same positions."""
     ranged = (df.repartitionByRange(int(num_partitions), *order) if num_partitions
               else df.repartitionByRange(*order))
-    return materialize(ranged.sortWithinPartitions(*order))
+    ranged = (ranged.sortWithinPartitions(*order)
+              .withColumn(pid, F.spark_partition_id())
+              .withColumn(pos, F.monotonically_increasing_id()
+                          - F.shiftleft(F.col(pid).cast("long"), 33)))
+    spark = df.sparkSession
+    path = scratch_table_path(spark)
+    ranged.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str,
@@ -65,10 +80,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str,
     ``order`` must be a total order (end it with a unique key); with ties the
     numbering among tied rows is arbitrary, as in SQL.
     """
-    ranged = range_sorted(df, order, num_partitions)
-    ranged = (ranged.withColumn(_PID, F.spark_partition_id())
-              .withColumn(_POS, F.monotonically_increasing_id()
-                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
+    ranged = range_positions(df, order, num_partitions, _PID, _POS)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: safe to broadcast at any data size.

@@ -21,8 +21,9 @@ of partitions (not by the data):
   with their group-wide running sums, used by the first rows of the next
   block to finish their last-``n`` sums.
 
-Both are broadcast.  The range-partitioned rows are checkpointed once (see
-``ranking.materialize``) so all three branches read identical partitions.
+Both are broadcast.  The range-partitioned rows are written once as a table
+with their partition id and position (see ``ranking.range_positions``), so
+all three branches read identical blocks.
 Values must be non-null (wrap them with ``nz``).
 """
 
@@ -33,7 +34,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import range_sorted
+from .ranking import range_positions
 
 
 def last_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
@@ -66,10 +67,7 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     cols = df.columns
     base = df.select("*", *[values[v].alias(_v(v)) for v in names])
     sort_spec = [F.col(g).asc_nulls_last() for g in group] + list(order)
-    ranged = range_sorted(base, sort_spec, num_partitions)
-    ranged = (ranged.withColumn(_PID, F.spark_partition_id())
-              .withColumn(_POS, F.monotonically_increasing_id()
-                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
+    ranged = range_positions(base, sort_spec, num_partitions, _PID, _POS)
 
     # Block summary: one row per (partition, group); per group at most one
     # row per partition, so the window over it never concentrates data.
@@ -114,7 +112,7 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
           for v in names],
         *[F.col(f"_sq_lr_{v}") for v in names])
 
-    # Tails: last n rows of every continued block, read from the checkpointed
+    # Tails: last n rows of every continued block, read from the written
     # range-partitioned rows.  At most n rows per partition.
     nonlast = edges.filter(F.col(_OFFN) + F.col(_BN) < F.col(_TOTN))
     nonlast = renamed(nonlast, [_OFFN, _BN, _B0, *[f"_sq_off_{v}" for v in names],

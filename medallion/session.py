@@ -36,8 +36,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # remove checkpoint files of ranks / sequences once their DataFrames are gone
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # no per-call Python call-site capture while building plans (several
         # extra JVM round trips per function call); errors still carry the
         # plan context
