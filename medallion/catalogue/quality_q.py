@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..plans import quality as q
 from ..plans.silver import conform
-from ..schemas import SILVER_MATCHES, SILVER_PLAYERS, SILVER_TEAMS
+from ..schemas import SILVER_MATCHES, SILVER_TEAMS
 from ..sources import fixtures as fx
 from . import register
 from .gold_q import MTP, PLAYERS_SILVER_SQL, players_silver

@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from medallion.plans import ingest
 from medallion.plans import quality as q
