@@ -15,8 +15,10 @@ team_season_totals as (
   from all_team_match_records group by team_id, team_name, team_short)"""
 
 
-def standings(spark, sf):
-    return gold.standings(fx.matches(spark, sf))
+def totals(spark, sf):
+    """Season totals per team; the dashboards below need no position, so
+    the global rank is not computed for them."""
+    return gold.standings_totals(fx.matches(spark, sf))
 
 
 @register("season_goals", f"""
@@ -24,7 +26,7 @@ with {M}, {TOTALS_SQL}
 select cast(coalesce(sum(goals_for), 0) as bigint) as total_goals, count(*) as teams
 from team_season_totals""")
 def q_season_goals(spark, sf):
-    return d.season_goals(standings(spark, sf))
+    return d.season_goals(totals(spark, sf))
 
 
 @register("top10_team_goals", f"""
@@ -32,7 +34,7 @@ with {M}, {TOTALS_SQL}
 select team_id, team_name, goals_for, goals_against, points from team_season_totals
 order by goals_for desc, team_id asc nulls last, team_name asc nulls last limit 10""")
 def q_top10_team_goals(spark, sf):
-    return d.top_teams_by_goals(standings(spark, sf), 10)
+    return d.top_teams_by_goals(totals(spark, sf), 10)
 
 
 @register("form_label_counts", f"""

@@ -65,11 +65,10 @@ def _latest(col: str):
     return F.max_by(col, F.struct(F.col("match_date").isNull(), "match_date", "match_id"))
 
 
-def standings(matches: DataFrame, by_id: bool = False, rank_method: str = "row_number",
-              sort: bool = False) -> DataFrame:
-    """C1 league table.  ``by_id=True`` groups by team id only and reports the
-    latest name (R12); the default groups by id, name and short name as the
-    reference does."""
+def standings_totals(matches: DataFrame, by_id: bool = False) -> DataFrame:
+    """A1: season totals per team (no position).  ``by_id=True`` groups by
+    team id only and reports the latest name (R12); the default groups by id,
+    name and short name as the reference does."""
     rows = standings_records(matches)
     sums = [F.sum(c).cast("long").alias(c) for c in ("played", "won", "drawn", "lost",
                                                      "goals_for", "goals_against")]
@@ -81,6 +80,13 @@ def standings(matches: DataFrame, by_id: bool = False, rank_method: str = "row_n
             *sums, *extra)
     else:
         totals = rows.groupBy("team_id", "team_name", "team_short").agg(*sums, *extra)
+    return totals
+
+
+def standings(matches: DataFrame, by_id: bool = False, rank_method: str = "row_number",
+              sort: bool = False) -> DataFrame:
+    """C1 league table: season totals, ratios and the global position."""
+    totals = standings_totals(matches, by_id)
     order = [F.col("points").desc(), F.col("goal_difference").desc(), F.col("goals_for").desc(),
              F.col("team_id").asc_nulls_last(), F.col("team_name").asc_nulls_last(),
              F.col("team_short").asc_nulls_last()]
