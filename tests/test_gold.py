@@ -91,6 +91,9 @@ def test_rolling_form_distributed_equals_window(spark, matches):
     key = lambda r: (r["team_id"] is None, r["team_id"] or 0, r["match_id"])
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
     assert sorted(a, key=key)[0]["match_number"] == 1
+    # Team 2 plays matches 5 and 6 on the same day; the lower id comes first
+    t2 = {r["match_id"]: r["match_number"] for r in a if r["team_id"] == 2}
+    assert t2[5] + 1 == t2[6]
 
 
 def test_top_scorers_edges(spark):
