@@ -65,7 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (sessions without a local context)
-        return spark.conf.get("spark.checkpoint.dir", None)
+        return (spark.conf.get("spark.checkpoint.dir", None)
+                or tempfile.mkdtemp(prefix="medallion-ckpt-"))
     existing = sc.getCheckpointDir()
     if existing:
         return existing
