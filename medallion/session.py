@@ -13,15 +13,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session used with this library should carry.
-# UTC keeps to_date() of a "...Z" timestamp string equal to its literal date.
+# Settings every session used with this library should carry (applied to a
+# caller's session too, so only what results depend on, plus AQE).  UTC keeps
+# to_date() of a "...Z" timestamp string equal to its literal date.  Writes
+# set their own overwrite mode and compression per write.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.compression.codec": "snappy",
 }
 
 

@@ -134,8 +134,8 @@ def to_record_layout(records_df: DataFrame, out_path: str,
                      partition_cols: Sequence[str] = ("snapshot_date", "season")) -> None:
     """Rewrite exploded records as Parquet partitioned by snapshot and season
     (dynamic partition overwrite: only the partitions present are replaced)."""
-    (records_df.write.mode("overwrite").partitionBy(*partition_cols)
-     .option("compression", "snappy").parquet(out_path))
+    (records_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).option("compression", "snappy").parquet(out_path))
 
 
 def leading_records(docs: DataFrame, array_field: str, k: int = 3) -> DataFrame:
