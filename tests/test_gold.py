@@ -154,3 +154,16 @@ def test_standings_scans_matches_once(spark, sf_small, tmp_path):
     plan = agg._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and "Generate inline" in plan
     assert "PushedFilters: [IsNotNull(is_finished), EqualTo(is_finished,true)]" in plan
+
+
+def test_team_form_exchanges(spark, sf_small, tmp_path):
+    # C2 plan check on a Parquet match table: two hash exchanges on team_id
+    # (partially limited window, partial aggregate) and nothing else.
+    path = str(tmp_path / "m")
+    fx.matches(spark, sf_small).write.parquet(path)
+    df = gold.team_form(spark.read.parquet(path))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    exchanges = [ln.strip() for ln in plan.split("\n") if "Exchange hashpartitioning" in ln]
+    assert len(exchanges) == 2 and all("team_id" in e for e in exchanges), exchanges
+    assert plan.count("FileScan parquet") == 2        # one scan per branch, column-pruned
