@@ -88,13 +88,15 @@ def record_counts(docs: DataFrame, array_field: str) -> DataFrame:
 
 def profile(docs: DataFrame, array_field: str) -> DataFrame:
     """Snapshot profile per document: ingested_at / source with default
-    'unknown', and the record count."""
+    'unknown', the record count, and the first record as JSON (the field
+    types are the declared schema, ``docs.schema``)."""
     meta = metadata(docs)
     return docs.select(
         "source_blob",
         F.coalesce(meta["ingested_at"], F.lit("unknown")).alias("ingested_at"),
         F.coalesce(meta["source"], F.lit("unknown")).alias("source"),
-        F.greatest(F.coalesce(F.size(array_field), F.lit(0)), F.lit(0)).alias("record_count"))
+        F.greatest(F.coalesce(F.size(array_field), F.lit(0)), F.lit(0)).alias("record_count"),
+        F.to_json(F.get(F.col(array_field), 0)).alias("first_record"))
 
 
 def read_competition_index(spark: SparkSession, path: str) -> DataFrame:

@@ -93,6 +93,7 @@ def test_newest_snapshot_only(spark, bronze_root):
     assert counts["2024-09-08_ucl_matches_season_2024.json"] == 4
     prof = bronze.profile(newest, "matches").collect()[0]
     assert prof["ingested_at"] == "2024-09-08T10:00:00" and prof["record_count"] == 4
+    assert '"id":1' in prof["first_record"]
 
 
 def test_silver_matches_edges(spark, bronze_root):
