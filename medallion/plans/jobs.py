@@ -84,6 +84,6 @@ def gold_job(spark: SparkSession, silver_root: str, gold_root: str, snapshot_dat
     if not tests:
         return log
     failed = spark.createDataFrame(
-        [(f"test {t['model']}.{t['column']} {t['test']}", None, int(t["failures"]), None, False)
-         for t in tests], log.schema)
+        [(f"test {t['model']}.{t['column']} {t['test']}", None, int(t["failures"]), None, False,
+          None, None) for t in tests], log.schema)
     return log.unionByName(failed)

@@ -57,6 +57,7 @@ def test_publish_gold_and_run_log(spark, sf_small, tmp_path):
     rows = {r["item"]: r for r in log.collect()}
     assert rows["standings"]["rows"] == spark.read.parquet(rows["standings"]["path"]).count() > 0
     assert all(r["ok"] for r in rows.values())
+    assert all(r["bytes"] > 0 and r["written_at"] for r in rows.values())
     s = ingest.run_log_summary(log).collect()[0]
     assert (s["items"], s["succeeded"], s["failed"], s["overall"]) == (2, 2, 0, True)
     empty = ingest.run_log_summary(log.filter("false")).collect()[0]
