@@ -41,7 +41,7 @@ select cast(match_id as integer) as match_id, match_date,
        cast(match_id % 8 + 1 as integer) as matchday, 'LEAGUE_STAGE' as stage,
        case when match_id % 3 = 0 then 'NA' when match_id % 3 = 1 then 'NA'
             else 'GROUP_' || cast(match_id % 8 as varchar) end as group_name,
-       2001 as competition_id, 'UEFA Champions League' as competition_name,
+       2001 as competition_id, 'Continental Cup' as competition_name,
        'CL' as competition_code, cast(year(match_date) as integer) as season_id,
        cast(home_team_id as integer) as home_team_id, home_team_name, home_team_short,
        cast(away_team_id as integer) as away_team_id, away_team_name, away_team_short,
@@ -83,7 +83,7 @@ select cast(team_id as integer) as team_id, team_name,
        cast(team_id % 25 as integer) as area_id, area_name,
        upper(substr(area_name, 1, 3)) as area_code,
        cast(case comp_code when 'CL' then 2001 when 'PD' then 2014 end as integer) as competition_id,
-       case comp_code when 'CL' then 'UEFA Champions League' when 'PD' then 'Primera Division' end
+       case comp_code when 'CL' then 'Continental Cup' when 'PD' then 'National League A' end
          as competition_name,
        comp_code as competition_code, coalesce(comp_code = 'CL', false) as is_ucl_participant,
        'bronze/teams' as source_blob

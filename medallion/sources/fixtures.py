@@ -132,9 +132,9 @@ def fixture_ctes(*names: str) -> str:
 # ones the Silver shirt-number lookup knows).
 FIRST_NAMES = ("Harry", "Robert", "Lautaro", "Erling", "Vinicius", "Ousmane", "Kylian",
                "Jonathan", "Luka", "Mohamed")
-CL = ("2001", "UEFA Champions League", "CL")
-PL = ("2021", "Premier League", "PL")
-PD = ("2014", "Primera Division", "PD")
+CL = ("2001", "Continental Cup", "CL")
+PL = ("2021", "National League B", "PL")
+PD = ("2014", "National League A", "PD")
 
 
 def _comp(entry):

@@ -67,11 +67,11 @@ def test_fixture_documents_to_gold_match_direct_marts(spark, sf_small, tmp_path)
     from medallion.sources import fixtures as fx
     bronze, silver, goldp = str(tmp_path / "b"), str(tmp_path / "s"), str(tmp_path / "g")
     m = fx.matches(spark, sf_small)
-    _write_docs(os.path.join(bronze, "matches"), "2024-09-08_ucl_matches_season_{}.json", "matches",
+    _write_docs(os.path.join(bronze, "matches"), "2024-09-08_matches_season_{}.json", "matches",
                 fx.bronze_match_records(m), lambda r: r["season"]["id"])
-    _write_docs(os.path.join(bronze, "teams"), "2024-09-08_ucl_teams_season_{}.json", "teams",
+    _write_docs(os.path.join(bronze, "teams"), "2024-09-08_teams_season_{}.json", "teams",
                 fx.bronze_team_records(fx.teams(spark, sf_small)), lambda r: 2024)
-    _write_docs(os.path.join(bronze, "players"), "2024-09-08_ucl_scorers_season_{}.json", "scorers",
+    _write_docs(os.path.join(bronze, "players"), "2024-09-08_scorers_season_{}.json", "scorers",
                 fx.bronze_scorer_records(fx.players(spark, sf_small)), lambda r: 2024)
     jobs.silver_job(spark, "matches", bronze, silver, "2024-09-08", per_season=True)
     jobs.silver_job(spark, "teams", bronze, silver, "2024-09-08")

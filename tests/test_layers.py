@@ -35,9 +35,9 @@ def test_staging_views_and_mart(spark, sf_small):
     layers.register_staging(spark, {"stg_matches": fx.matches(spark, sf_small)})
     n = spark.sql("select count(*) from stg_matches where is_finished").collect()[0][0]
     assert n == fx.matches(spark, sf_small).filter("is_finished").count()
-    layers.materialize_mart(standings(spark.table("stg_matches")), "ucl_standings_test")
-    assert layers.read_table(spark, "ucl_standings_test").count() > 0
-    spark.sql("drop table ucl_standings_test")
+    layers.materialize_mart(standings(spark.table("stg_matches")), "standings_test")
+    assert layers.read_table(spark, "standings_test").count() > 0
+    spark.sql("drop table standings_test")
 
 
 def test_leading_scorers(spark, tmp_path):

@@ -28,7 +28,7 @@ def team(i, name, short=None):
 def match(i, status="FINISHED", winner="HOME_TEAM", home=2, away=1, **extra):
     m = {"id": i, "utcDate": "2024-09-17T23:45:00Z", "status": status, "matchday": 1,
          "stage": " LEAGUE_STAGE ", "group": "GROUP_A",
-         "competition": {"id": 2001, "name": " UEFA Champions League ", "code": "CL"},
+         "competition": {"id": 2001, "name": " Continental Cup ", "code": "CL"},
          "season": {"id": 2024}, "homeTeam": team(10, " Real Madrid CF "),
          "awayTeam": team(20, "Arsenal FC"),
          "score": {"winner": winner, "fullTime": {"home": home, "away": away},
@@ -43,30 +43,30 @@ def bronze_root(tmp_path):
     root = str(tmp_path / "bronze")
     md = os.path.join(root, "matches")
     meta = {"ingested_at": "2024-09-08T10:00:00", "source": "api", "season": 2024}
-    write_doc(md, "2024-09-01_ucl_matches_season_2024.json",
+    write_doc(md, "2024-09-01_matches_season_2024.json",
               {"matches": [match(1, home=0, away=0, winner="DRAW")], "_ingestion_metadata": meta})
-    write_doc(md, "2024-09-08_ucl_matches_season_2024.json", {"matches": [
+    write_doc(md, "2024-09-08_matches_season_2024.json", {"matches": [
         match(1),
         match(2, status="SCHEDULED", score=None, referees=[], group=""),        # E1 E2 E3
         match(3, status=None, group=None, referees=None),                       # E3 E4
         match(4, winner=None, home=1, away=1),                                  # E5
     ], "_ingestion_metadata": meta})
-    write_doc(md, "2024-09-05_ucl_matches_season_2023.json",
+    write_doc(md, "2024-09-05_matches_season_2023.json",
               {"matches": [match(7, utcDate=None)], "_ingestion_metadata": meta})  # E22
     write_doc(md, "notes.txt", {"matches": []})                                 # S9: ignored
     td = os.path.join(root, "teams")
-    write_doc(td, "2024-09-08_ucl_teams_season_2024.json", {"teams": [
+    write_doc(td, "2024-09-08_teams_season_2024.json", {"teams": [
         {"id": 10, "name": " Real Madrid CF ", "shortName": "Real Madrid", "tla": " rma ",
          "founded": 1902, "area": {"id": 2224, "name": "Spain", "code": "esp"},
-         "runningCompetitions": [{"id": 2014, "name": "Primera Division", "code": "PD"},
-                                 {"id": 2001, "name": "UEFA Champions League", "code": "CL"}]},
+         "runningCompetitions": [{"id": 2014, "name": "National League A", "code": "PD"},
+                                 {"id": 2001, "name": "Continental Cup", "code": "CL"}]},
         {"id": 20, "name": "Arsenal FC", "shortName": "", "tla": "ARS",                # E7
          "area": {"id": 2072, "name": "England", "code": "ENG"},
-         "runningCompetitions": [{"id": 2021, "name": "Premier League", "code": "PL"}]},  # E6
+         "runningCompetitions": [{"id": 2021, "name": "National League B", "code": "PL"}]},  # E6
         {"id": 30, "name": "Club C", "tla": "CLUBC", "runningCompetitions": []},        # E6
     ], "_ingestion_metadata": meta})
     pd_ = os.path.join(root, "players")
-    write_doc(pd_, "2024-09-08_ucl_top_scorers_season_2024.json", {"scorers": [
+    write_doc(pd_, "2024-09-08_top_scorers_season_2024.json", {"scorers": [
         {"player": {"id": 1, "name": " Harry K ", "firstName": "Harry", "dateOfBirth": "1993-07-28",
                     "position": None, "section": None, "shirtNumber": 0},            # E9 E11
          "team": {"id": 10, "name": "Real Madrid CF", "tla": " rma "},
@@ -85,12 +85,12 @@ def test_newest_snapshot_only(spark, bronze_root):
     docs = bronze.read_documents(spark, os.path.join(bronze_root, "matches"), BRONZE_MATCHES_DOC)
     assert docs.count() == 3                                       # notes.txt skipped (S9)
     newest = bronze.latest_documents(docs)
-    assert [r["file_name"] for r in newest.collect()] == ["2024-09-08_ucl_matches_season_2024.json"]
+    assert [r["file_name"] for r in newest.collect()] == ["2024-09-08_matches_season_2024.json"]
     per_season = bronze.latest_documents(docs, per_season=True)
     assert sorted(r["season"] for r in per_season.collect()) == [2023, 2024]  # R3
     counts = {r["source_blob"].rsplit("/", 1)[-1]: r["record_count"]
               for r in bronze.record_counts(docs, "matches").collect()}
-    assert counts["2024-09-08_ucl_matches_season_2024.json"] == 4
+    assert counts["2024-09-08_matches_season_2024.json"] == 4
     prof = bronze.profile(newest, "matches").collect()[0]
     assert prof["ingested_at"] == "2024-09-08T10:00:00" and prof["record_count"] == 4
     assert '"id":1' in prof["first_record"]
@@ -108,7 +108,7 @@ def test_silver_matches_edges(spark, bronze_root):
     assert m1["home_team_name"] == "Real Madrid CF" and m1["stage"] == "LEAGUE_STAGE"
     assert m1["home_result"] == "W" and m1["total_goals"] == 3 and m1["goal_difference"] == 1
     assert m1["referee_name"] == "Ref A" and m1["group_name"] == "GROUP_A"
-    assert m1["source_blob"].endswith("2024-09-08_ucl_matches_season_2024.json")
+    assert m1["source_blob"].endswith("2024-09-08_matches_season_2024.json")
     m2 = got[2]
     assert m2["home_score_ft"] is None and m2["home_result"] is None      # E1
     assert m2["referee_name"] is None and m2["group_name"] == "NA"        # E2 E3
@@ -122,7 +122,7 @@ def test_silver_matches_edges(spark, bronze_root):
 
 
 def test_quality_gate_blocks_null_date(spark, bronze_root, tmp_path):
-    path = os.path.join(bronze_root, "matches", "2024-09-05_ucl_matches_season_2023.json")
+    path = os.path.join(bronze_root, "matches", "2024-09-05_matches_season_2023.json")
     docs = bronze.read_documents(spark, path, BRONZE_MATCHES_DOC)
     s = silver_matches(bronze.records(docs, "matches"))
     out = str(tmp_path / "silver_matches")
@@ -187,5 +187,5 @@ def test_competition_index_both_shapes(spark, tmp_path):
     write_doc(str(tmp_path / "b"), "competitions.json", entries)
     for sub in ("a", "b"):
         idx = bronze.read_competition_index(spark, str(tmp_path / sub / "competitions.json"))
-        ucl = bronze.filter_competition(idx, 16)                                     # B1
-        assert sorted(r["season_id"] for r in ucl.collect()) == [1, 4]
+        comp = bronze.filter_competition(idx, 16)                                     # B1
+        assert sorted(r["season_id"] for r in comp.collect()) == [1, 4]

@@ -27,8 +27,8 @@ def put(folder, name, payload):
 def test_incremental_load(spark, tmp_path):
     src, out, ck = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ck")
     os.makedirs(src)
-    put(src, "2024-09-01_ucl_matches_season_2024.json", doc([1, 2]))
-    put(src, "2024-09-08_ucl_matches_season_2024.json", doc([1, 2, 3]))
+    put(src, "2024-09-01_matches_season_2024.json", doc([1, 2]))
+    put(src, "2024-09-08_matches_season_2024.json", doc([1, 2, 3]))
     args = (spark, src, out, "matches", BRONZE_MATCHES_DOC, "matches", silver_matches,
             q.MATCH_CHECKS[:6])
     run_bronze_to_silver(*args, checkpoint_location=ck)
@@ -38,10 +38,10 @@ def test_incremental_load(spark, tmp_path):
         [("2024-09-01", 2), ("2024-09-08", 3)]
     run_bronze_to_silver(*args, checkpoint_location=ck)          # nothing new: no change
     assert spark.read.parquet(out).count() == 5
-    put(src, "2024-09-15_ucl_matches_season_2024.json", doc([4]))
+    put(src, "2024-09-15_matches_season_2024.json", doc([4]))
     run_bronze_to_silver(*args, checkpoint_location=ck)
     assert spark.read.parquet(out).count() == 6
-    put(src, "2024-09-22_ucl_matches_season_2024.json", doc([5, 5]))   # duplicate ids
+    put(src, "2024-09-22_matches_season_2024.json", doc([5, 5]))   # duplicate ids
     with pytest.raises(Exception, match="match_id_unique"):
         run_bronze_to_silver(*args, checkpoint_location=ck)
     assert spark.read.parquet(out).count() == 6
