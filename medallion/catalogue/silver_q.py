@@ -186,3 +186,51 @@ def q_first_truthy(spark, sf):
     return c.select("c_custkey", first_nonblank(seg, name, default="Unknown").alias("display"),
                     first_nonzero(raw, shirt_lookup(F.col("c_mktsegment"), SEGMENT_NUMBER))
                     .alias("number"))
+
+
+# Records per Bronze document when documents are cut from a table (an API
+# page of results); keeps every document bounded whatever the table size.
+RECORDS_PER_DOCUMENT = 1000
+
+
+def write_documents(records: DataFrame, array_field: str, path: str) -> None:
+    """Cut a record table into Bronze documents of at most
+    ``RECORDS_PER_DOCUMENT`` consecutive records and write them as JSON lines
+    (one document per line).  Grouping is by position within each input
+    partition, so no document grows with the data and no key is hot."""
+    block = F.floor(F.monotonically_increasing_id() / F.lit(RECORDS_PER_DOCUMENT))
+    docs = (records.withColumn("_doc", block)
+            .groupBy("_doc").agg(F.collect_list(F.struct(*records.columns)).alias(array_field)))
+    docs.select(F.to_json(F.struct(array_field)).alias("value")).write.text(path)
+
+
+@register("silver_matches_streamed", f"""
+with {fx.fixture_ctes('matches')}
+select cast(match_id as integer) as match_id, match_date, status,
+       coalesce(status = 'FINISHED', false) as is_finished,
+       cast(home_team_id as integer) as home_team_id, home_team_name,
+       cast(away_team_id as integer) as away_team_id, away_team_name,
+       home_score_ft, away_score_ft,
+       case when winner = 'HOME_TEAM' then 'W' when winner = 'AWAY_TEAM' then 'L'
+            when winner = 'DRAW' then 'D' end as home_result,
+       cast(case when status = 'FINISHED' then home_score_ft + away_score_ft end as integer) as total_goals,
+       case when match_id % 4 = 0 then null else 'Referee ' || cast(match_id % 50 as varchar) end
+         as referee_name
+from matches""")
+def q_silver_matches_streamed(spark, sf):
+    """C5 through the incremental path: fixture-derived Bronze documents are
+    loaded by the Structured Streaming job (availableNow, one file per
+    micro-batch, gate per batch) and the Silver table it wrote is returned."""
+    from ..plans import quality as q
+    from ..schemas import BRONZE_MATCHES_DOC
+    from ..operators.ranking import scratch_table_path
+    from ..streaming.bronze_stream import run_bronze_to_silver
+    root = scratch_table_path(spark)
+    write_documents(fx.bronze_match_records(fx.matches(spark, sf)), "matches", f"{root}/bronze")
+    run_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", "matches", BRONZE_MATCHES_DOC,
+                         "matches", silver_matches, q.MATCH_CHECKS[:6],
+                         checkpoint_location=f"{root}/stream", multi_line=False, glob="*.txt")
+    return spark.read.parquet(f"{root}/silver").select(
+        "match_id", "match_date", "status", "is_finished", "home_team_id", "home_team_name",
+        "away_team_id", "away_team_name", "home_score_ft", "away_score_ft", "home_result",
+        "total_goals", "referee_name")

@@ -30,10 +30,13 @@ from ..sources import bronze
 
 
 def bronze_document_stream(spark: SparkSession, bronze_dir: str, doc_schema: T.StructType,
-                           max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of Bronze documents (declared schema, one row per file)."""
-    reader = (spark.readStream.schema(doc_schema).option("multiLine", True)
-              .option("pathGlobFilter", "*.json"))
+                           max_files_per_trigger: int | None = None, multi_line: bool = True,
+                           glob: str = "*.json") -> DataFrame:
+    """Streaming read of Bronze documents (declared schema).  Pretty-printed
+    documents (``multi_line``) are one per file; otherwise each line of a
+    file is one document."""
+    reader = (spark.readStream.schema(doc_schema).option("multiLine", multi_line)
+              .option("pathGlobFilter", glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.json(bronze_dir)
@@ -62,14 +65,15 @@ def run_bronze_to_silver(spark: SparkSession, bronze_dir: str, silver_dir: str,
                          flatten: Callable[..., DataFrame], checks: Sequence[q.Check],
                          checkpoint_location: str | None = None,
                          available_now: bool = True,
-                         files_per_batch: int = 1) -> StreamingQuery:
+                         files_per_batch: int = 1, multi_line: bool = True,
+                         glob: str = "*.json") -> StreamingQuery:
     """Start (and with ``available_now``, finish) the incremental load.
 
     A Bronze document is a whole snapshot, so by default each micro-batch
     takes one document and the gate (key uniqueness, ...) applies to that
     snapshot alone."""
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{table}"
-    docs = bronze_document_stream(spark, bronze_dir, doc_schema, files_per_batch)
+    docs = bronze_document_stream(spark, bronze_dir, doc_schema, files_per_batch, multi_line, glob)
     writer = (docs.writeStream.foreachBatch(
         silver_batch_writer(array_field, flatten, checks, table, silver_dir))
         .option("checkpointLocation", location).queryName(f"bronze_to_silver_{table}"))
