@@ -7,9 +7,10 @@ a run with ``availableNow`` processes whatever arrived since the last run and
 stops.  Each micro-batch goes through the same Silver pipeline and quality
 gate as the batch path; a failing FAIL check stops the stream before that
 batch is written, and the batch is retried on the next run.  Batches write
-with dynamic partition overwrite on ``snapshot_date``, so a replayed batch
-(after a failure between write and commit) rewrites the same partitions
-instead of duplicating rows.
+with dynamic partition overwrite on ``(snapshot_date, batch_id)``, so a
+replayed batch (after a failure between write and commit) rewrites its own
+partition instead of duplicating rows, and documents of the same day (other
+seasons, or pages of one snapshot) are all kept.
 
 The checkpoint lives under the cluster's ``spark.checkpoint.dir`` unless a
 location is given.
@@ -55,8 +56,13 @@ def silver_batch_writer(array_field: str, flatten: Callable[..., DataFrame],
         if silver.isEmpty():
             return
         q.quality_gate(silver, table, checks)
-        (silver.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("snapshot_date").option("compression", "snappy").parquet(silver_dir))
+        # Partitioned by snapshot and micro-batch: a replayed batch (same id
+        # after a failure before commit) rewrites only its own partition, and
+        # two documents of the same day never overwrite each other.
+        (silver.withColumn("batch_id", F.lit(epoch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("snapshot_date", "batch_id").option("compression", "snappy")
+         .parquet(silver_dir))
     return write
 
 

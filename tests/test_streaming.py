@@ -45,3 +45,13 @@ def test_incremental_load(spark, tmp_path):
     with pytest.raises(Exception, match="match_id_unique"):
         run_bronze_to_silver(*args, checkpoint_location=ck)
     assert spark.read.parquet(out).count() == 6
+
+
+def test_same_day_documents_are_all_kept(spark, tmp_path):
+    src, out, ck = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ck")
+    os.makedirs(src)
+    put(src, "2024-09-08_matches_season_2023.json", doc([1, 2]))
+    put(src, "2024-09-08_matches_season_2024.json", doc([3]))
+    run_bronze_to_silver(spark, src, out, "matches", BRONZE_MATCHES_DOC, "matches",
+                         silver_matches, q.MATCH_CHECKS[:6], checkpoint_location=ck)
+    assert sorted(r["match_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
