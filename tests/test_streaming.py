@@ -55,3 +55,18 @@ def test_same_day_documents_are_all_kept(spark, tmp_path):
     run_bronze_to_silver(spark, src, out, "matches", BRONZE_MATCHES_DOC, "matches",
                          silver_matches, q.MATCH_CHECKS[:6], checkpoint_location=ck)
     assert sorted(r["match_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_stream_output_reads_as_silver(spark, tmp_path):
+    from medallion.schemas import SILVER_MATCHES
+    from medallion.sources.layers import read_silver
+    src, root, ck = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ck")
+    os.makedirs(src)
+    put(src, "2024-09-01_matches_season_2024.json", doc([1, 2]))
+    put(src, "2024-09-08_matches_season_2024.json", doc([1, 2, 3]))
+    run_bronze_to_silver(spark, src, os.path.join(root, "matches"), "matches", BRONZE_MATCHES_DOC,
+                         "matches", silver_matches, q.MATCH_CHECKS[:6], checkpoint_location=ck)
+    newest = read_silver(spark, root, "matches", SILVER_MATCHES)
+    assert newest.columns == SILVER_MATCHES.fieldNames()
+    assert sorted(r["match_id"] for r in newest.collect()) == [1, 2, 3]
+    assert read_silver(spark, root, "matches", SILVER_MATCHES, all_snapshots=True).count() == 5
