@@ -219,8 +219,9 @@ select cast(match_id as integer) as match_id, match_date, status,
 from matches""")
 def q_silver_matches_streamed(spark, sf):
     """C5 through the incremental path: fixture-derived Bronze documents are
-    loaded by the Structured Streaming job (availableNow, one file per
-    micro-batch, gate per batch) and the Silver table it wrote is returned."""
+    loaded by the Structured Streaming job (availableNow; the documents are
+    pages of one snapshot, so up to eight files per micro-batch; gate per
+    batch) and the Silver table it wrote is returned."""
     from ..plans import quality as q
     from ..schemas import BRONZE_MATCHES_DOC
     from ..operators.ranking import scratch_table_path
@@ -229,7 +230,8 @@ def q_silver_matches_streamed(spark, sf):
     write_documents(fx.bronze_match_records(fx.matches(spark, sf)), "matches", f"{root}/bronze")
     run_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", "matches", BRONZE_MATCHES_DOC,
                          "matches", silver_matches, q.MATCH_CHECKS[:6],
-                         checkpoint_location=f"{root}/stream", multi_line=False, glob="*.txt")
+                         checkpoint_location=f"{root}/stream", multi_line=False, glob="*.txt",
+                         files_per_batch=8)
     return spark.read.parquet(f"{root}/silver").select(
         "match_id", "match_date", "status", "is_finished", "home_team_id", "home_team_name",
         "away_team_id", "away_team_name", "home_score_ft", "away_score_ft", "home_result",
