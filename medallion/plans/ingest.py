@@ -116,20 +116,15 @@ def publish_gold(tables: Mapping[str, DataFrame], root: str, snapshot_date: str)
     """C10 + K5 + K6: write each table as dated Parquet, verify by reading
     back (rows, column list, bytes on storage from ``_metadata.file_size``)
     and return the run log; one small aggregate per table reaches the driver."""
+    from ..sources.layers import verify_written
     spark = next(iter(tables.values())).sparkSession
     log = []
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}/snapshot_date={snapshot_date}"
         df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-        back = spark.read.parquet(path)
-        files = back.select(F.col("_metadata.file_path").alias("f"),
-                            F.col("_metadata.file_size").alias("size"))
-        stats = files.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")) \
-                     .agg(F.sum("n").alias("rows"), F.sum("size").alias("bytes")).first()
-        rows = int(stats["rows"] or 0)
-        ok = back.columns == df.columns
-        log.append((name, path, rows, len(back.columns), bool(ok), int(stats["bytes"] or 0),
-                    _dt.datetime.now().isoformat()))
+        v = verify_written(spark, path, df.columns)
+        log.append((name, path, v["rows"], v["columns"], bool(v["columns_ok"]), v["bytes"],
+                    v["written_at"]))
     return spark.createDataFrame(log, RUN_LOG)
 
 

@@ -46,17 +46,23 @@ ENTITIES = {
 
 
 def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root: str,
-               snapshot_date: str, per_season: bool = False) -> list:
+               snapshot_date: str, per_season: bool = False, verify: dict | None = None) -> list:
     """Newest Bronze document of ``entity`` -> Silver snapshot ``snapshot_date``.
 
     Raises ``QualityGateError`` (nothing written) when a FAIL check fails;
-    returns the check rows otherwise."""
+    returns the check rows otherwise.  Pass a dict as ``verify`` to receive
+    the K6 read-back of the written snapshot (rows, columns, bytes, time)."""
     e = ENTITIES[entity]
     docs = bronze.read_documents(spark, os.path.join(bronze_root, e.folder), e.doc_schema)
     newest = bronze.latest_documents(docs, per_season=per_season)
     q.require_rows(newest, f"bronze {entity}")
     silver = e.flatten(bronze.records(newest, e.array_field), source=F.col("source_blob"))
-    return layers.write_silver(silver, silver_root, entity, snapshot_date, e.checks)
+    rows = layers.write_silver(silver, silver_root, entity, snapshot_date, e.checks)
+    if verify is not None:
+        verify.update(layers.verify_written(
+            spark, layers.snapshot_path(silver_root, entity, snapshot_date),
+            e.silver_schema.fieldNames()))
+    return rows
 
 
 def staging(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:

@@ -10,6 +10,7 @@ partitions they carry (dynamic partition overwrite), never a path being read.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,22 @@ from pyspark.sql import types as T
 from ..plans import quality as q
 
 
+def verify_written(spark: SparkSession, path: str, expected_columns: Sequence[str] | None = None) -> dict:
+    """K6: read a written table back and report rows, columns, bytes on
+    storage (from ``_metadata.file_size``) and the check time.  One small
+    aggregate reaches the driver."""
+    back = spark.read.parquet(path)
+    files = back.select(F.col("_metadata.file_path").alias("f"),
+                        F.col("_metadata.file_size").alias("size"))
+    stats = (files.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+             .agg(F.sum("n").alias("rows"), F.sum("size").alias("bytes")).first())
+    cols = [c for c in back.columns if expected_columns is None or c in set(expected_columns)]
+    return {"path": path, "rows": int(stats["rows"] or 0), "columns": len(cols),
+            "bytes": int(stats["bytes"] or 0),
+            "columns_ok": expected_columns is None or list(expected_columns) == cols,
+            "written_at": _dt.datetime.now().isoformat()}
+
+
 def silver_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
@@ -43,7 +60,8 @@ def write_silver(df: DataFrame, root: str, table: str, snapshot_date: str,
                  checks: Sequence[q.Check]) -> list:
     """K3: gate, then write one dated snapshot (snappy Parquet, dynamic
     partition overwrite).  Returns the check rows; raises before writing
-    when a FAIL check fails."""
+    when a FAIL check fails.  ``verify_written`` on
+    ``snapshot_path(...)`` gives the K6 read-back."""
     rows = q.quality_gate(df, table, checks)
     (df.withColumn("snapshot_date", F.lit(snapshot_date).cast("date"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -52,6 +70,10 @@ def write_silver(df: DataFrame, root: str, table: str, snapshot_date: str,
     return rows
 
 
+def snapshot_path(root: str, table: str, snapshot_date: str) -> str:
+    return f"{silver_path(root, table)}/snapshot_date={snapshot_date}"
+
+
 def register_staging(spark: SparkSession, models: Mapping[str, DataFrame]) -> None:
     """S8 + K4: staging models as temp views (the ``ref()`` targets)."""
     for name, df in models.items():

@@ -13,8 +13,10 @@ from .test_silver_bronze import bronze_root  # noqa: F401  (fixture)
 def test_bronze_to_gold(spark, bronze_root, tmp_path):  # noqa: F811
     silver_root, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
     for entity in ("matches", "teams", "players"):
-        rows = jobs.silver_job(spark, entity, bronze_root, silver_root, "2024-09-08")
+        verify = {}
+        rows = jobs.silver_job(spark, entity, bronze_root, silver_root, "2024-09-08", verify=verify)
         assert all(r["passed"] or r["severity"] != q.FAIL for r in rows)
+        assert verify["rows"] > 0 and verify["bytes"] > 0 and verify["columns_ok"]   # K6
     log = {r["item"]: r for r in jobs.gold_job(spark, silver_root, gold_root, "2024-09-08").collect()}
     assert log["standings"]["rows"] == 2 and log["team_form"]["rows"] == 2
     assert log["top_scorers"]["rows"] == 3
