@@ -58,8 +58,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
     from .plans import ingest, jobs
     if a.cmd == "silver":
-        rows = jobs.silver_job(spark, a.entity, a.bronze, a.silver, a.date, a.per_season)
-        out = [r.asDict() for r in rows]
+        verify: dict = {}
+        rows = jobs.silver_job(spark, a.entity, a.bronze, a.silver, a.date, a.per_season, verify)
+        out = {"checks": [r.asDict() for r in rows], "written": verify}
     elif a.cmd == "gold":
         out = [r.asDict() for r in jobs.gold_job(spark, a.silver, a.gold, a.date,
                                                  a.fail_on_tests).collect()]
