@@ -56,7 +56,10 @@ def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root:
     docs = bronze.read_documents(spark, os.path.join(bronze_root, e.folder), e.doc_schema)
     newest = bronze.latest_documents(docs, per_season=per_season)
     q.require_rows(newest, f"bronze {entity}")
-    silver = e.flatten(bronze.records(newest, e.array_field), source=F.col("source_blob"))
+    recs = bronze.records(newest, e.array_field, keep=("source_blob", "file_name"))
+    # source_blob as the store-relative name "<entity folder>/<file>", as the
+    # Bronze snapshot is addressed within its container.
+    silver = e.flatten(recs, source=F.concat(F.lit(f"{e.folder}/"), F.col("file_name")))
     rows = layers.write_silver(silver, silver_root, entity, snapshot_date, e.checks)
     if verify is not None:
         verify.update(layers.verify_written(

@@ -26,6 +26,8 @@ def test_bronze_to_gold(spark, bronze_root, tmp_path):  # noqa: F811
     st = spark.read.parquet(os.path.join(gold_root, "standings", "snapshot_date=2024-09-08"))
     top = st.orderBy("position").first()
     assert top["team_name"] == "Real Madrid CF" and top["points"] == 3 and top["played"] == 2
+    sm = spark.read.parquet(os.path.join(silver_root, "matches"))
+    assert {r["source_blob"] for r in sm.collect()} == {"matches/2024-09-08_matches_season_2024.json"}
     sc = spark.read.parquet(os.path.join(gold_root, "top_scorers", "snapshot_date=2024-09-08"))
     assert sc.filter(F.col("player_id") == 1).first()["team_country"] == "Spain"
 
