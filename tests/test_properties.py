@@ -55,16 +55,16 @@ match_row = st.tuples(st.integers(0, 6), st.integers(0, 6),            # home, a
 def test_standings_invariants_property(spark, data):
     import datetime as dt
     from medallion.plans import gold
-    rows = []
+    mrows = []
     for i, (h, a, hs, as_, fin, day) in enumerate(data):
         if h == a:
             continue
         res = None if hs is None else ("W" if hs > as_ else "L" if hs < as_ else "D")
-        rows.append((i, dt.date(2024, 9, day) if day else None, fin, h, f"T{h}", f"S{h}",
+        mrows.append((i, dt.date(2024, 9, day) if day else None, fin, h, f"T{h}", f"S{h}",
                      a, f"T{a}", f"S{a}", hs, as_ if hs is not None else None, res))
-    if not rows:
+    if not mrows:
         return
-    m = spark.createDataFrame(rows, "match_id long, match_date date, is_finished boolean, "
+    m = spark.createDataFrame(mrows, "match_id long, match_date date, is_finished boolean, "
                               "home_team_id long, home_team_name string, home_team_short string, "
                               "away_team_id long, away_team_name string, away_team_short string, "
                               "home_score_ft int, away_score_ft int, home_result string")
@@ -72,7 +72,7 @@ def test_standings_invariants_property(spark, data):
     assert sum(r["goals_for"] for r in st_rows) == sum(r["goals_against"] for r in st_rows)
     assert sum(r["won"] for r in st_rows) == sum(r["lost"] for r in st_rows)
     assert sum(r["drawn"] for r in st_rows) % 2 == 0
-    with_result = sum(1 for r in rows if r[2] and r[11] is not None)
+    with_result = sum(1 for r in mrows if r[2] and r[11] is not None)
     assert sum(r["won"] + r["drawn"] + r["lost"] for r in st_rows) == 2 * with_result
     ordered = sorted(st_rows, key=lambda r: r["position"])
     assert [r["position"] for r in ordered] == list(range(1, len(st_rows) + 1))
