@@ -44,12 +44,6 @@ def scratch_table_path(spark) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_positions(df: DataFrame, order: Sequence[Column], num_partitions: int | None,
                     pid: str, pos: str) -> DataFrame:
     """Range-partition on ``order``, sort each partition, record each row's

@@ -31,6 +31,3 @@ def two_sided(df: DataFrame, sides: Sequence[Mapping[str, Column]]) -> DataFrame
     structs = [F.struct(*[s[n].alias(n) for n in names]) for s in sides]
     return df.select(F.inline(F.array(*structs)))
 
-
-def home_away(df: DataFrame, home: Mapping[str, Column], away: Mapping[str, Column]) -> DataFrame:
-    return two_sided(df, [home, away])
