@@ -18,9 +18,9 @@ def two_sided(df: DataFrame, sides: Sequence[Mapping[str, Column]]) -> DataFrame
     """Expand each row into ``len(sides)`` rows.
 
     ``sides`` is a list of mappings ``output name -> Column``; every mapping
-    must have the same keys in the same order.  Types are unified by casting
-    each field to the type of the first side's expression (resolved lazily by
-    Spark, so callers pass columns of equal type or cast them).
+    must have the same keys in the same order.  Field types may differ where
+    Spark can widen them to a common type (``array`` coerces its struct
+    elements, e.g. int and bigint to bigint); otherwise cast them first.
     """
     if not sides:
         raise ValueError("two_sided needs at least one side")
