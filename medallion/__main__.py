@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--silver", required=True)
     s.add_argument("--date", required=True)
     s.add_argument("--per-season", action="store_true")
+    s.add_argument("--layout", default="documents", choices=["documents", "records"])
     g = sub.add_parser("gold")
     g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None) -> int:
     from .plans import ingest, jobs
     if a.cmd == "silver":
         verify: dict = {}
-        rows = jobs.silver_job(spark, a.entity, a.bronze, a.silver, a.date, a.per_season, verify)
+        rows = jobs.silver_job(spark, a.entity, a.bronze, a.silver, a.date, a.per_season, verify,
+                               a.layout)
         out = {"checks": [r.asDict() for r in rows], "written": verify}
     elif a.cmd == "gold":
         out = [r.asDict() for r in jobs.gold_job(spark, a.silver, a.gold, a.date,

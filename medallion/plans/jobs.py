@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import (BRONZE_MATCHES_DOC, BRONZE_PLAYERS_DOC, BRONZE_TEAMS_DOC, SILVER_MATCHES,
                        SILVER_PLAYERS, SILVER_TEAMS)
@@ -45,21 +46,47 @@ ENTITIES = {
 }
 
 
+def newest_records(spark: SparkSession, entity: str, bronze_root: str, per_season: bool = False,
+                   layout: str = "documents") -> DataFrame:
+    """Records of the newest Bronze snapshot of ``entity`` with a
+    ``source_blob`` column naming the snapshot within the store.
+
+    ``layout="documents"``: JSON documents ``<entity>/<date>_..._season_<n>.json``
+    (the reference's layout).  ``layout="records"``: the record-per-row
+    Parquet written by ``ingest.bronze_ingest``, partitioned by
+    ``snapshot_date`` / ``snapshot_season``; the newest partition is chosen by
+    a pruned scalar subquery (per season with ``per_season``)."""
+    e = ENTITIES[entity]
+    path = os.path.join(bronze_root, e.folder)
+    if layout == "documents":
+        docs = bronze.read_documents(spark, path, e.doc_schema)
+        newest = bronze.latest_documents(docs, per_season=per_season)
+        q.require_rows(newest, f"bronze {entity}")
+        recs = bronze.records(newest, e.array_field, keep=("file_name",))
+        return recs.withColumn("source_blob", F.concat(F.lit(f"{e.folder}/"), F.col("file_name")))
+    if layout != "records":
+        raise ValueError(f"unknown Bronze layout {layout!r}")
+    record = e.doc_schema[e.array_field].dataType.elementType
+    schema = T.StructType(list(record.fields) + [
+        T.StructField("snapshot_date", T.DateType()), T.StructField("snapshot_season", T.IntegerType())])
+    stored = spark.read.schema(schema).parquet(path)
+    newest = bronze.latest_snapshot(stored, "snapshot_date", ["snapshot_season"] if per_season else ())
+    q.require_rows(newest, f"bronze {entity}")
+    return newest.withColumn("source_blob", F.concat(
+        F.lit(f"{e.folder}/snapshot_date="), F.col("snapshot_date").cast("string")))
+
+
 def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root: str,
-               snapshot_date: str, per_season: bool = False, verify: dict | None = None) -> list:
-    """Newest Bronze document of ``entity`` -> Silver snapshot ``snapshot_date``.
+               snapshot_date: str, per_season: bool = False, verify: dict | None = None,
+               layout: str = "documents") -> list:
+    """Newest Bronze snapshot of ``entity`` -> Silver snapshot ``snapshot_date``.
 
     Raises ``QualityGateError`` (nothing written) when a FAIL check fails;
     returns the check rows otherwise.  Pass a dict as ``verify`` to receive
     the K6 read-back of the written snapshot (rows, columns, bytes, time)."""
     e = ENTITIES[entity]
-    docs = bronze.read_documents(spark, os.path.join(bronze_root, e.folder), e.doc_schema)
-    newest = bronze.latest_documents(docs, per_season=per_season)
-    q.require_rows(newest, f"bronze {entity}")
-    recs = bronze.records(newest, e.array_field, keep=("source_blob", "file_name"))
-    # source_blob as the store-relative name "<entity folder>/<file>", as the
-    # Bronze snapshot is addressed within its container.
-    silver = e.flatten(recs, source=F.concat(F.lit(f"{e.folder}/"), F.col("file_name")))
+    recs = newest_records(spark, entity, bronze_root, per_season, layout)
+    silver = e.flatten(recs, source=F.col("source_blob"))
     rows = layers.write_silver(silver, silver_root, entity, snapshot_date, e.checks)
     if verify is not None:
         verify.update(layers.verify_written(
