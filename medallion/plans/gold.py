@@ -134,7 +134,8 @@ def latest_first():
 
 def team_form(matches: DataFrame, n: int = 5, good: int = 10, average: int = 5,
               sort: bool = False) -> DataFrame:
-    """One row per team: latest match, season totals, last-n sums, label."""
+    """One row per team: latest match, season totals, last-n sums, label.
+    The output keeps the contractual ``*_last_5`` column names for any ``n``."""
     rows = form_records(matches).filter(F.col("team_id").isNotNull())
     recent = last_n_per_group(rows, ["team_id"], latest_first(), n, "_rd")
     last = recent.groupBy("team_id").agg(
@@ -164,7 +165,8 @@ def rolling_form(matches: DataFrame, n: int = 5, strategy: str = "auto",
     ``strategy``: ``"auto"`` probes the largest team's row count and uses one
     plain per-team window when it is at most ``max_group_rows``, else the
     skew-safe segmented scan; ``"distributed"`` always uses the segmented
-    scan; ``"window"`` always the plain window."""
+    scan; ``"window"`` always the plain window.  The output keeps the
+    contractual ``*_last_5`` column names for any ``n``."""
     rows = form_records(matches)
     values = {"points": F.col("points_earned"), "scored": F.col("goals_scored"),
               "conceded": F.col("goals_conceded"),
