@@ -120,3 +120,20 @@ def test_hot_group_is_split_across_partitions(spark):
     assert parts >= 2
     per_part = [r["count"] for r in stored.groupBy("_pid").count().collect()]
     assert max(per_part) < 1000          # group 0 alone has 1000 rows
+
+
+def test_empty_inputs(spark):
+    from medallion.plans import gold
+    empty = skewed(spark, n=10).filter("false")
+    assert global_row_number(empty, [F.col("id")], "rk").count() == 0
+    assert global_dense_rank(empty, ["v"], [F.col("v")], "dr").count() == 0
+    order = [F.col("d"), F.col("id")]
+    assert running_stats(empty, ["g"], order, {"v": F.col("v")}, 5).count() == 0
+    none_finished = spark.createDataFrame(
+        [(1, None, False, 1, "A", "SA", 2, "B", "SB", None, None, None)],
+        "match_id long, match_date date, is_finished boolean, home_team_id long, "
+        "home_team_name string, home_team_short string, away_team_id long, away_team_name string, "
+        "away_team_short string, home_score_ft int, away_score_ft int, home_result string")
+    assert gold.standings(none_finished).count() == 0
+    assert gold.team_form(none_finished).count() == 0
+    assert gold.rolling_form(none_finished).count() == 0
