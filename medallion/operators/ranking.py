@@ -96,13 +96,24 @@ def global_dense_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     return out.select(*[df[c] for c in df.columns], ranked[name])
 
 
+# Rows one task ranks comfortably with a single-partition window.
+SMALL_RANK_ROWS = 200_000
+
+
 def rank_by(df: DataFrame, order: Sequence[Column], name: str, method: str = "row_number",
             keys: Sequence[str] | None = None, num_partitions: int | None = None,
             strategy: str = "distributed") -> DataFrame:
     """Global rank column.  ``method``: ``row_number`` (the reference's coded
-    behaviour) or ``dense_rank`` (its documented one).  ``strategy="window"``
-    uses the plain single-partition window, meant only for inputs known to
-    be small (and as a test oracle)."""
+    behaviour) or ``dense_rank`` (its documented one).
+
+    ``strategy``: ``"distributed"`` (default) as described above;
+    ``"window"`` the plain single-partition window, for inputs known to be
+    small (and as a test oracle); ``"auto"`` counts the rows first and uses
+    the window only up to ``SMALL_RANK_ROWS`` rows, a proven bound for one
+    task (cheap on a materialised table, where the count reads Parquet
+    metadata; on a derived input it re-runs the input's plan)."""
+    if strategy == "auto":
+        strategy = "window" if df.count() <= SMALL_RANK_ROWS else "distributed"
     if strategy == "window":
         w = Window.orderBy(*order)
         fn = F.row_number() if method == "row_number" else F.dense_rank()

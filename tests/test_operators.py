@@ -137,3 +137,11 @@ def test_empty_inputs(spark):
     assert gold.standings(none_finished).count() == 0
     assert gold.team_form(none_finished).count() == 0
     assert gold.rolling_form(none_finished).count() == 0
+
+
+def test_rank_auto_strategy(spark):
+    df = skewed(spark, n=500)
+    order = [F.col("v").desc(), F.col("id")]
+    want = df.withColumn("rk", F.row_number().over(Window.orderBy(*order)).cast("int"))
+    got = rank_by(df, order, "rk", strategy="auto")
+    assert rows(got, "id", "rk") == rows(want, "id", "rk")
