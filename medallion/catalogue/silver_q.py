@@ -1,8 +1,9 @@
-"""Silver flattening queries (C5: P1-P16, S1) and JSON parsing.
+"""Silver queries: nested-record flattening (C5: P1-P16, S1), the streamed
+Silver load (7.6), string standardising (P4, P15, P16) and JSON parsing.
 
 Bronze-shaped nested records are rebuilt from the fixtures, serialised to
 JSON text and parsed back with the declared Bronze schema (``from_json``, the
-same parser ``read_documents`` uses), then flattened by the Silver pipelines.
+same parser ``read_documents`` uses), then flattened by the Silver functions.
 The oracles compute the same Silver columns directly from the flat fixtures.
 """
 

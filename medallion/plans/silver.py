@@ -1,4 +1,4 @@
-"""Silver pipelines (C5): nested Bronze records -> flat, typed, cleaned tables.
+"""Silver flattening (C5): nested Bronze records -> flat, typed, cleaned tables.
 
 Each ``silver_*`` function takes a DataFrame whose columns are the fields of
 one Bronze record (``sources.bronze.read_records`` produces it) and returns
