@@ -22,6 +22,6 @@ from .plans.quality import (MATCH_CHECKS, PLAYER_CHECKS, STAGING_TESTS,  # noqa:
                             TEAM_CHECKS, Check, ColumnTest, QualityGateError, check_results,
                             quality_gate, run_tests)
 from .plans.silver import silver_matches, silver_players, silver_teams  # noqa: E402,F401
-from .session import build_session, checkpoint_dir  # noqa: E402,F401
+from .session import build_session, checkpoint_dir, drop_scratch_tables  # noqa: E402,F401
 from .sources.bronze import latest_documents, read_documents, records  # noqa: E402,F401
 from .sources.layers import read_silver, write_silver  # noqa: E402,F401

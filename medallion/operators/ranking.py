@@ -33,15 +33,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_tables_dir
 
 _PID, _POS, _N, _OFF = "_rk_pid", "_rk_pos", "_rk_n", "_rk_off"
 
 
 def scratch_table_path(spark) -> str:
     """A fresh folder for a written intermediate table inside the shared
-    folder named by ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    folder named by ``spark.checkpoint.dir`` (``session.drop_scratch_tables``
+    removes them after a run)."""
+    return f"{scratch_tables_dir(spark)}/{uuid.uuid4().hex}"
 
 
 def range_positions(df: DataFrame, order: Sequence[Column], num_partitions: int | None,

@@ -74,3 +74,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = configured or tempfile.mkdtemp(prefix="medallion-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def scratch_tables_dir(spark: SparkSession) -> str:
+    """Folder holding the intermediate tables written by ranks and sequences."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables"
+
+
+def drop_scratch_tables(spark: SparkSession) -> bool:
+    """Delete the intermediate tables under ``<spark.checkpoint.dir>/tables``.
+
+    Call it after a run, once no DataFrame built by the library in this
+    session is still to be read (they read those tables lazily).  Uses the
+    Hadoop FileSystem of the folder, so it works on any store Spark writes to."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_tables_dir(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path) and fs.delete(path, True))

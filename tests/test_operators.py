@@ -145,3 +145,15 @@ def test_rank_auto_strategy(spark):
     want = df.withColumn("rk", F.row_number().over(Window.orderBy(*order)).cast("int"))
     got = rank_by(df, order, "rk", strategy="auto")
     assert rows(got, "id", "rk") == rows(want, "id", "rk")
+
+
+def test_drop_scratch_tables(spark):
+    import os
+    from medallion.session import drop_scratch_tables, scratch_tables_dir
+    out = global_row_number(skewed(spark, n=50), [F.col("id")], "rk").collect()
+    assert len(out) == 50
+    local = scratch_tables_dir(spark).replace("file:", "")
+    assert os.path.isdir(local) and os.listdir(local)
+    assert drop_scratch_tables(spark) is True
+    assert not os.path.exists(local)
+    assert drop_scratch_tables(spark) is False
