@@ -27,22 +27,44 @@ collapses hot tuples map-side) and joins the rank back on the key.
 
 from __future__ import annotations
 
+import threading
 import uuid
+from contextlib import contextmanager
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_tables_dir
+from ..session import delete_paths, scratch_tables_dir
 
 _PID, _POS, _N, _OFF = "_rk_pid", "_rk_pos", "_rk_n", "_rk_off"
 
 
+_SCOPE = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark):
+    """Delete, on leaving the block, the intermediate tables written inside it
+    by this thread.  For jobs that write their results before the block ends;
+    DataFrames that still read those tables must not outlive it."""
+    outer = getattr(_SCOPE, "paths", None)
+    _SCOPE.paths = []
+    try:
+        yield
+    finally:
+        mine, _SCOPE.paths = _SCOPE.paths, outer
+        delete_paths(spark, mine)
+
+
 def scratch_table_path(spark) -> str:
     """A fresh folder for a written intermediate table inside the shared
     folder named by ``spark.checkpoint.dir`` (``session.drop_scratch_tables``
     removes them after a run)."""
-    return f"{scratch_tables_dir(spark)}/{uuid.uuid4().hex}"
+    path = f"{scratch_tables_dir(spark)}/{uuid.uuid4().hex}"
+    if getattr(_SCOPE, "paths", None) is not None:
+        _SCOPE.paths.append(path)
+    return path
 
 
 def range_positions(df: DataFrame, order: Sequence[Column], num_partitions: int | None,

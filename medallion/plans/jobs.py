@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..schemas import (BRONZE_MATCHES_DOC, BRONZE_PLAYERS_DOC, BRONZE_TEAMS_DOC, SILVER_MATCHES,
                        SILVER_PLAYERS, SILVER_TEAMS)
+from ..operators.ranking import scratch_scope
 from ..sources import bronze, layers
 from . import gold, ingest
 from . import quality as q
@@ -85,9 +86,10 @@ def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root:
     returns the check rows otherwise.  Pass a dict as ``verify`` to receive
     the K6 read-back of the written snapshot (rows, columns, bytes, time)."""
     e = ENTITIES[entity]
-    recs = newest_records(spark, entity, bronze_root, per_season, layout)
-    silver = e.flatten(recs, source=F.col("source_blob"))
-    rows = layers.write_silver(silver, silver_root, entity, snapshot_date, e.checks)
+    with scratch_scope(spark):          # the players rank's table is dropped after the write
+        recs = newest_records(spark, entity, bronze_root, per_season, layout)
+        silver = e.flatten(recs, source=F.col("source_blob"))
+        rows = layers.write_silver(silver, silver_root, entity, snapshot_date, e.checks)
     if verify is not None:
         verify.update(layers.verify_written(
             spark, layers.snapshot_path(silver_root, entity, snapshot_date),
@@ -111,12 +113,13 @@ def gold_job(spark: SparkSession, silver_root: str, gold_root: str, snapshot_dat
     tests = q.run_tests(models, q.STAGING_TESTS).filter(F.col("failures") > 0).collect()
     if tests and fail_on_tests:
         raise q.QualityGateError(f"declarative tests failed: {[tuple(t) for t in tests]}")
-    marts = {
-        "standings": gold.standings(models["stg_matches"], sort=True),
-        "team_form": gold.team_form(models["stg_matches"], sort=True),
-        "top_scorers": gold.top_scorers(models["stg_players"], models["stg_teams"], sort=True),
-    }
-    log = ingest.publish_gold(marts, gold_root, snapshot_date)
+    with scratch_scope(spark):          # rank tables are dropped once the marts are written
+        marts = {
+            "standings": gold.standings(models["stg_matches"], sort=True),
+            "team_form": gold.team_form(models["stg_matches"], sort=True),
+            "top_scorers": gold.top_scorers(models["stg_players"], models["stg_teams"], sort=True),
+        }
+        log = ingest.publish_gold(marts, gold_root, snapshot_date)
     if not tests:
         return log
     failed = spark.createDataFrame(

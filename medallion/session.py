@@ -91,3 +91,16 @@ def drop_scratch_tables(spark: SparkSession) -> bool:
     path = jvm.org.apache.hadoop.fs.Path(scratch_tables_dir(spark))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(path) and fs.delete(path, True))
+
+
+def delete_paths(spark: SparkSession, paths) -> int:
+    """Delete the given folders (Hadoop FileSystem of each path)."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    n = 0
+    for p in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path) and fs.delete(path, True):
+            n += 1
+    return n

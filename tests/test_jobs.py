@@ -111,3 +111,15 @@ def test_ingested_records_to_silver(spark, sf_small, tmp_path):
         sorted(tuple(r) for r in want.select(*cols).collect())
     assert {r["source_blob"] for r in got.select("source_blob").distinct().collect()} == \
         {"matches/snapshot_date=2024-09-08"}
+
+
+def test_jobs_drop_their_scratch_tables(spark, bronze_root, tmp_path):  # noqa: F811
+    from medallion.session import scratch_tables_dir
+    base = scratch_tables_dir(spark).replace("file:", "")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    silver, gold = str(tmp_path / "s"), str(tmp_path / "g")
+    for entity in ("matches", "teams", "players"):     # players ranks through a scratch table
+        jobs.silver_job(spark, entity, bronze_root, silver, "2024-09-08")
+    jobs.gold_job(spark, silver, gold, "2024-09-08")    # standings ranks through one too
+    after = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert after <= before
