@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.ranking import scratch_scope
 from ..plans import quality as q
 from ..session import checkpoint_dir
 from ..sources import bronze
@@ -49,6 +50,10 @@ def silver_batch_writer(array_field: str, flatten: Callable[..., DataFrame],
                         checks: Sequence[q.Check], table: str, silver_dir: str):
     """``foreachBatch`` function: explode, flatten, gate, write by snapshot."""
     def write(batch: DataFrame, epoch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):     # drop any rank table once written
+            _write(batch, epoch_id)
+
+    def _write(batch: DataFrame, epoch_id: int) -> None:
         recs = bronze.records(batch, array_field)
         silver = flatten(recs, source=F.col("source_blob"))
         day = F.regexp_extract("source_blob", r"/(\d{4}-\d{2}-\d{2})[^/]*$", 1)
