@@ -123,3 +123,20 @@ def test_jobs_drop_their_scratch_tables(spark, bronze_root, tmp_path):  # noqa:
     jobs.gold_job(spark, silver, gold, "2024-09-08")    # standings ranks through one too
     after = set(os.listdir(base)) if os.path.isdir(base) else set()
     assert after <= before
+
+
+def test_command_line_stream_and_seasons(spark, bronze_root, tmp_path, capsys):  # noqa: F811
+    import json as _json
+    from medallion.__main__ import main
+    assert main(["stream", "--entity", "teams", "--bronze", os.path.join(bronze_root, "teams"),
+                 "--silver", str(tmp_path / "st"), "--checkpoint", str(tmp_path / "ck")]) == 0
+    assert spark.read.parquet(str(tmp_path / "st")).count() == 3
+    idx = tmp_path / "competitions.json"
+    idx.write_text(_json.dumps([{"competition_id": 16, "season_id": 4, "season_name": "s4"}]))
+    os.makedirs(tmp_path / "m" / "16")
+    (tmp_path / "m" / "16" / "4.json").write_text(_json.dumps([{"a": 1}, {"a": 2}]))
+    capsys.readouterr()
+    assert main(["seasons", "--index", str(idx), "--matches", str(tmp_path / "m"),
+                 "--competition", "16", "--target", str(tmp_path / "t")]) == 0
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == [{"item": "s4", "rows": 2, "ok": True}]
