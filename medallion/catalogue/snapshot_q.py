@@ -105,3 +105,21 @@ def q_latest_matches_top10(spark, sf):
     return (m.orderBy(F.col("match_date").desc(), F.col("match_id").desc()).limit(10)
             .select("match_date", "match_id", "home_team_name", "home_score_ft", "away_score_ft",
                     "away_team_name", "home_result"))
+
+
+@register("dedup_latest_per_key", """
+select o_orderkey, o_custkey, cast(o_orderdate as date) as order_date, o_orderstatus
+from (select *, row_number() over (partition by o_custkey
+                                   order by o_orderdate desc, o_orderkey desc) as rn
+      from orders)
+where rn = 1""")
+def q_dedup_latest(spark, sf):
+    """One row per key, the newest (top-1 WindowGroupLimit, partial
+    before the shuffle, so a customer with many orders costs one row per
+    map task)."""
+    from ..operators.sequence import dedup_latest
+    o = read_table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"),
+        "o_orderdate", "o_orderstatus")
+    out = dedup_latest(o, ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
+    return out.select("o_orderkey", "o_custkey", "order_date", "o_orderstatus")
