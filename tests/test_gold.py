@@ -167,3 +167,25 @@ def test_team_form_exchanges(spark, sf_small, tmp_path):
     exchanges = [ln.strip() for ln in plan.split("\n") if "Exchange hashpartitioning" in ln]
     assert len(exchanges) == 2 and all("team_id" in e for e in exchanges), exchanges
     assert plan.count("FileScan parquet") == 2        # one scan per branch, column-pruned
+
+
+def test_hot_team_on_fixture(spark, sf_small):
+    # One team forced into a third of all matches (home side of every third
+    # match): the auto strategy finds a group above its bound and takes the
+    # segmented scan; results equal the plain per-team window.
+    m = fx.matches(spark, sf_small)
+    hot = (m.withColumn("home_team_id", F.when(F.col("match_id") % 3 == 0, F.lit(-1))
+                        .otherwise(F.col("home_team_id")))
+            .withColumn("home_team_name", F.when(F.col("match_id") % 3 == 0, F.lit("Hot"))
+                        .otherwise(F.col("home_team_name"))))
+    cols = ["team_id", "match_id", "match_number", "points_last_5", "goals_scored_last_5",
+            "goals_conceded_last_5", "cumulative_points", "cumulative_played"]
+    auto = gold.rolling_form(hot, strategy="auto", max_group_rows=20)
+    plain = gold.rolling_form(hot, strategy="window")
+    a = sorted(tuple(r) for r in auto.select(*cols).collect())
+    b = sorted(tuple(r) for r in plain.select(*cols).collect())
+    assert a == b and any(r[0] == -1 for r in a)
+    form = {r["team_id"]: r for r in gold.team_form(hot).collect()}
+    hot_rows = sorted((r for r in b if r[0] == -1), key=lambda r: r[2])
+    assert form[-1]["points_last_5"] == hot_rows[-1][3]
+    assert form[-1]["matches_played"] == hot_rows[-1][7]
