@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import indicator
+from ..schemas import TEST_RESULT
 from .silver import KNOWN_STATUSES
 
 FAIL, WARN, INFO = "FAIL", "WARN", "INFO"
@@ -221,6 +222,9 @@ def run_tests(models: Mapping[str, DataFrame], spec: Iterable[ColumnTest]) -> Da
                     *_one(model, "relationships", t.column, F.sum("count"))))
             elif t.test != "not_null":
                 raise ValueError(f"unknown test {t.test!r}")
+    if not parts:
+        spark = next(iter(models.values())).sparkSession
+        return spark.createDataFrame([], TEST_RESULT)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -107,3 +107,9 @@ def test_declarative_tests(spark):
                    ("p", "not_null", "name"): 1}
     orphan = q.orphans(child, "team", parent, "team").collect()
     assert [(r["_fk"], r["count"]) for r in orphan] == [(99, 1)]
+
+
+def test_run_tests_empty_spec(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    out = q.run_tests({"c": df}, [])
+    assert out.count() == 0 and out.columns == ["model", "test", "column", "failures"]
