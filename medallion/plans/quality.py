@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import indicator
-from ..schemas import TEST_RESULT
+from ..schemas import CHECK_RESULT, TEST_RESULT
 from .silver import KNOWN_STATUSES
 
 FAIL, WARN, INFO = "FAIL", "WARN", "INFO"
@@ -97,6 +97,8 @@ def _check_exprs(check: Check) -> tuple[Column, Column]:
 
 def check_results(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """All checks of one table in one aggregate pass -> one row per check."""
+    if not checks:
+        return df.sparkSession.createDataFrame([], CHECK_RESULT)
     exprs = []
     for i, ch in enumerate(checks):
         passed, value = _check_exprs(ch)

@@ -113,3 +113,9 @@ def test_run_tests_empty_spec(spark):
     df = spark.createDataFrame([(1,)], "id int")
     out = q.run_tests({"c": df}, [])
     assert out.count() == 0 and out.columns == ["model", "test", "column", "failures"]
+
+
+def test_check_results_no_checks(spark):
+    out = q.check_results(spark.createDataFrame([(1,)], "id int"), "t", [])
+    assert out.count() == 0 and out.columns == ["table", "check", "severity", "passed", "value"]
+    assert q.enforce(out) == []
