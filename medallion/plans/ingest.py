@@ -117,6 +117,8 @@ def publish_gold(tables: Mapping[str, DataFrame], root: str, snapshot_date: str)
     back (rows, column list, bytes on storage from ``_metadata.file_size``)
     and return the run log; one small aggregate per table reaches the driver."""
     from ..sources.layers import verify_written
+    if not tables:
+        raise ValueError("publish_gold needs at least one table")
     spark = next(iter(tables.values())).sparkSession
     log = []
     for name, df in tables.items():
