@@ -16,7 +16,7 @@ key is collapsed map-side before any shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -137,6 +137,15 @@ def require_rows(df: DataFrame, what: str, allow_empty: bool = False) -> bool:
     return not empty
 
 
+def with_severity(checks: Sequence[Check], **severities: str) -> tuple[Check, ...]:
+    """The same checks with some severities changed, e.g.
+    ``with_severity(MATCH_CHECKS, status_values_known=FAIL)``."""
+    unknown = set(severities) - {c.name for c in checks}
+    if unknown:
+        raise ValueError(f"no such checks: {sorted(unknown)}")
+    return tuple(replace(c, severity=severities.get(c.name, c.severity)) for c in checks)
+
+
 # The reference's runtime gates, as data.
 MATCH_CHECKS = (
     Check("row_count_gt_zero", "row_count_min", FAIL, param=1),

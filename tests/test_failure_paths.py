@@ -94,3 +94,12 @@ def test_check_blocks_or_warns(spark, tmp_path, table, check):
         rows = {r["check"]: r for r in layers.write_silver(bad, root, table, "2024-09-17", checks)}
         assert rows[check]["passed"] is False and rows[check]["severity"] == q.WARN
         assert spark.read.parquet(os.path.join(root, table)).count() == bad.count()
+
+
+def test_with_severity_turns_a_warning_into_a_block(spark, tmp_path):
+    bad = spark.createDataFrame(set_(1, status="WEIRD")(match_rows()), MATCH_SCHEMA)
+    strict = q.with_severity(q.MATCH_CHECKS, status_values_known=q.FAIL)
+    with pytest.raises(q.QualityGateError, match="status_values_known"):
+        layers.write_silver(bad, str(tmp_path / "s"), "matches", "2024-09-17", strict)
+    with pytest.raises(ValueError):
+        q.with_severity(q.MATCH_CHECKS, no_such_check=q.FAIL)
