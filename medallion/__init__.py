@@ -18,7 +18,7 @@ from .plans.gold import (rolling_form, standings, standings_totals, team_form,
 from .plans.ingest import (bronze_ingest, new_snapshots, publish_gold,  # noqa: E402,F401
                            run_log_summary, season_index_ingest)
 from .plans.jobs import gold_job, silver_job  # noqa: E402,F401
-from .plans.quality import (MATCH_CHECKS, PLAYER_CHECKS, STAGING_TESTS,  # noqa: E402,F401
+from .plans.quality import (MATCH_CHECKS, PLAYER_CHECKS, STAGING_TESTS, with_severity,  # noqa: E402,F401
                             TEAM_CHECKS, Check, ColumnTest, QualityGateError, check_results,
                             quality_gate, run_tests)
 from .plans.silver import silver_matches, silver_players, silver_teams  # noqa: E402,F401
