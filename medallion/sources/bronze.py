@@ -38,6 +38,19 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], doc_schema:
                        F.col("_metadata.file_name").alias("file_name"))
 
 
+def list_snapshots(spark: SparkSession, prefix: str, glob: str = "*.json") -> DataFrame:
+    """Snapshot files under ``prefix`` (path, file name, parsed date and
+    season, size, modification time) without reading their contents: only the
+    ``binaryFile`` source's metadata columns are selected, so the content
+    column is pruned."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", True).load(prefix)
+             .select(F.col("path").alias("source_blob"),
+                     F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                     F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")))
+    return with_snapshot_keys(files)
+
+
 def metadata(docs: DataFrame) -> Column:
     """Ingestion metadata under either key spelling."""
     fields = set(docs.columns)

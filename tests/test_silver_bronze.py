@@ -189,3 +189,15 @@ def test_competition_index_both_shapes(spark, tmp_path):
         idx = bronze.read_competition_index(spark, str(tmp_path / sub / "competitions.json"))
         comp = bronze.filter_competition(idx, 16)                                     # B1
         assert sorted(r["season_id"] for r in comp.collect()) == [1, 4]
+
+
+def test_list_snapshots_without_reading(spark, bronze_root):
+    snaps = bronze.list_snapshots(spark, os.path.join(bronze_root, "matches"))
+    got = sorted((r["file_name"], str(r["snapshot_date"]), r["season"]) for r in snaps.collect())
+    assert got == [("2024-09-01_matches_season_2024.json", "2024-09-01", 2024),
+                   ("2024-09-05_matches_season_2023.json", "2024-09-05", 2023),
+                   ("2024-09-08_matches_season_2024.json", "2024-09-08", 2024)]
+    newest = bronze.latest_snapshot(snaps, "file_name")
+    assert [r["file_name"] for r in newest.collect()] == ["2024-09-08_matches_season_2024.json"]
+    plan = snaps._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1][:200]
