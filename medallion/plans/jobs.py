@@ -60,8 +60,11 @@ def newest_records(spark: SparkSession, entity: str, bronze_root: str, per_seaso
     e = ENTITIES[entity]
     path = os.path.join(bronze_root, e.folder)
     if layout == "documents":
-        docs = bronze.read_documents(spark, path, e.doc_schema)
-        newest = bronze.latest_documents(docs, per_season=per_season)
+        # List first (no contents read), then parse only the newest document(s).
+        paths = bronze.newest_document_paths(spark, path, per_season)
+        if not paths:
+            raise q.QualityGateError(f"bronze {entity}: no snapshot under {path}")
+        newest = bronze.read_documents(spark, paths, e.doc_schema)
         q.require_rows(newest, f"bronze {entity}")
         recs = bronze.records(newest, e.array_field, keep=("file_name",))
         return recs.withColumn("source_blob", F.concat(F.lit(f"{e.folder}/"), F.col("file_name")))

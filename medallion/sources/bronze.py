@@ -80,6 +80,15 @@ def latest_snapshot(df: DataFrame, snapshot_col: str, by: Sequence[str] = ()) ->
     return df.join(newest, cond, "left_semi")
 
 
+def newest_document_paths(spark: SparkSession, prefix: str, per_season: bool = False,
+                          glob: str = "*.json") -> list[str]:
+    """Paths of the newest snapshot file (overall, or per season) found by
+    listing only; at most one path per season reaches the driver."""
+    snaps = latest_snapshot(list_snapshots(spark, prefix, glob), "file_name",
+                            ["season"] if per_season else ())
+    return sorted(r["source_blob"] for r in snaps.select("source_blob").collect())
+
+
 def latest_documents(docs: DataFrame, per_season: bool = False) -> DataFrame:
     """Newest document by file name (ISO-dated names sort by date), overall
     or per season parsed from the name."""
