@@ -37,7 +37,8 @@ def main():
         bad += not ok
         print(f"{'OK   ' if ok else 'FAIL '} {name}: {msg} spark={t1-t0:.2f}s")
     print(f"{bad} problem(s)")
+    return 1 if bad else 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())
