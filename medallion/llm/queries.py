@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, packing, simhash_bytes
+from . import exact_dedup, langid, license_rules, packing, secret_forest, simhash_bytes
 from .common import fold_of, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -26,6 +26,12 @@ def op1_packing(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_license_scan(spark, sf_dir):
+    found = license_rules.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", " ").alias("sentence_ids"),
+                        F.array_join("licenses", ",").alias("licenses"))
+
+
 def op6_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = langid.fit_languages(docs, learn=fold_of("doc_id", 5) != 0)
@@ -38,6 +44,12 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark, sf_dir):
+    found = secret_forest.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "position", "part", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
+                        "score", "is_secret")
+
+
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash_bytes.simhash_near_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", _unsigned_hex("fp").alias("fingerprint"), "component_id")
@@ -53,13 +65,33 @@ SELECT t.doc_id, k.keep_id, g.group_size, t.doc_id = k.keep_id AS kept, t.h AS t
 FROM t JOIN g ON t.h = g.h JOIN k ON t.h = k.h
 """
 
+
+
+def _license_sql() -> str:
+    known = ", ".join(f"('{s}', '{i}')" for s, i in license_rules.known_sentences())
+    rules = ", ".join(f"CASE WHEN regexp_matches(' ' || ids || ' ', ' {' ([^ ]+ )*?'.join(seq)} ') THEN '{name}' END"
+                      for name, seq in license_rules.RULES)
+    return f"""
+WITH d AS (SELECT doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '[.!?]+([\\x20\\x09-\\x0D]|$)',
+                                                      chr(10) || '\\1', 'g'), chr(10)) AS a FROM documents),
+s AS (SELECT doc_id, unnest(a) AS x, generate_subscripts(a, 1) AS i FROM d),
+k AS (SELECT * FROM (VALUES {known}) AS v(sentence, id)),
+h AS (SELECT s.doc_id, string_agg(k.id, ' ' ORDER BY s.i) AS ids
+      FROM s JOIN k ON trim(regexp_replace(s.x, '[^a-z0-9]+', ' ', 'g')) = k.sentence GROUP BY s.doc_id)
+SELECT d.doc_id, coalesce(h.ids, '') AS sentence_ids, CASE WHEN ids IS NULL THEN '' ELSE concat_ws(',', {rules}) END AS licenses
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id
+"""
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op5_license_scan": op5_license_scan,
     "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_secret_scan": op9_secret_scan,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
-ORACLES = {"op7_exact_dedup": EXACT_SQL}
+ORACLES = {"op5_license_scan": _license_sql(), "op7_exact_dedup": EXACT_SQL}
 
 
 def queries():
