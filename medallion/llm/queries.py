@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, license_rules, packing, secret_forest, simhash_bytes
+from . import (embedding_itq, exact_dedup, langid, license_rules, packing, quality_net, secret_forest,
+               simhash_bytes)
 from .common import fold_of, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -26,6 +27,17 @@ def op1_packing(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_embedding_near_dedup(spark, sf_dir):
+    return embedding_itq.embedding_near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op4_quality_classifier(spark, sf_dir):
+    held = F.coalesce(fold_of("doc_id", 3) == 1, F.lit(False))
+    return quality_net.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                      learn=fold_of("doc_id", 3) != 1, extra={"held_out": held}).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def op5_license_scan(spark, sf_dir):
     found = license_rules.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.array_join("sentence_ids", " ").alias("sentence_ids"),
@@ -55,6 +67,17 @@ def op10_simhash_near_dedup(spark, sf_dir):
         "doc_id", _unsigned_hex("fp").alias("fingerprint"), "component_id")
 
 
+EMBEDDING_SQL = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(vec_id, reach) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON v.vec_id = c.vec_id LEFT JOIN n ON v.vec_id = n.a
+"""
+
 EXACT_SQL = r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   sha256(translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS h
@@ -85,13 +108,15 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_license_scan": op5_license_scan,
     "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
-ORACLES = {"op5_license_scan": _license_sql(), "op7_exact_dedup": EXACT_SQL}
+ORACLES = {"op3_embedding_near_dedup": EMBEDDING_SQL, "op5_license_scan": _license_sql(), "op7_exact_dedup": EXACT_SQL}
 
 
 def queries():
