@@ -6,11 +6,12 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import (embedding_itq, exact_dedup, langid, license_rules, packing, quality_net, secret_forest,
-               simhash_bytes)
+from . import (embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, quality_net, secret_forest,
+               sentencepiece_scan, simhash_bytes)
 from .common import fold_of, table
 
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer_file(name: str) -> str:
@@ -27,6 +28,14 @@ def op1_packing(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_sentencepiece(spark, sf_dir):
+    model = tokenizer_file(PIECE_BPE)
+    encoded = sentencepiece_scan.encode(table(spark, sf_dir, "documents"), model)
+    return sentencepiece_scan.decode(encoded, model).select(
+        "doc_id", "chunk", "n_chars", (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
 def op3_embedding_near_dedup(spark, sf_dir):
     return embedding_itq.embedding_near_dedup(table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +65,12 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark, sf_dir):
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+                        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
 def op9_secret_scan(spark, sf_dir):
     found = secret_forest.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "position", "part", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
@@ -108,11 +123,13 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_license_scan": op5_license_scan,
     "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
