@@ -40,12 +40,13 @@ def _word_pool(path: str) -> WordPool:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-        parts: dict[str, list] = {}
+        parts: dict[str, list] = {"": []}
 
         def encode_many(words):
             # a word's letters and the marks after it are separate units of the vocabulary
             if len(parts) > 400_000:
                 parts.clear()
+                parts[""] = []
             split = []
             for w in words:
                 stem = w.rstrip(".,!")

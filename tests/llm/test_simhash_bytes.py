@@ -1,0 +1,101 @@
+import random
+
+import numpy as np
+import xxhash
+
+from medallion.llm import simhash_bytes as sb
+
+from .common import documents, edge_rows, empty, simple, smallest_reachable, words
+
+
+def slow_fingerprint(text, k=3):
+    t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w, cur = [], ""
+    for c in t + " ":
+        if c in " \t\n\x0b\x0c\r":
+            w += [cur] if cur else []
+            cur = ""
+        else:
+            cur += c
+    if not w:
+        return 0
+    sh = [" ".join(w[i:i + k]) for i in range(len(w) - k + 1)] or [" ".join(w)]
+    hs = [xxhash.xxh64_intdigest(s.encode("utf-8"), 42) for s in sh]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
+
+
+def brute(rows, bits=2):
+    fps = [slow_fingerprint(r[1]) for r in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= bits]
+    comp = smallest_reachable(range(len(rows)), links)
+    low = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            low[comp[i]] = min(low.get(comp[i], r[0]), r[0])
+    return sorted(((r[0] is None, r[0] or 0, fps[i], low.get(comp[i])) for i, r in enumerate(rows)), key=str)
+
+
+def test_edge_rows_against_brute_force(spark):
+    got = sb.simhash_near_dedup(documents(spark)).collect()
+    assert sorted(((r.doc_id is None, r.doc_id or 0, r.fp % (1 << 64), r.component_id) for r in got), key=str) == brute(edge_rows())
+
+
+def test_empty_table(spark):
+    assert sb.simhash_near_dedup(empty(spark)).count() == 0
+    assert sb.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def test_near_copies_against_brute_force(spark):
+    rng = random.Random(9)
+    texts = []
+    for _ in range(12):
+        base = words(rng, 300).split()
+        for _ in range(6):
+            t = list(base)
+            for _ in range(rng.randrange(4)):
+                t[rng.randrange(len(t))] = "q%d" % rng.randrange(99)
+            texts.append(" ".join(t))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = sb.simhash_near_dedup(simple(spark, texts)).collect()
+    assert sorted(((False, r.doc_id, r.fp % (1 << 64), r.component_id) for r in got), key=str) == brute(rows)
+    assert len({r.component_id for r in got}) < len(texts)
+
+
+def test_random_fingerprints_lose_no_link(spark):
+    rng = np.random.default_rng(2)
+    fps = {int(x) for x in rng.integers(0, 1 << 63, 40)}
+    for x in list(fps):
+        for _ in range(6):
+            y = x
+            for b in rng.choice(64, rng.integers(1, 4), replace=False):
+                y ^= 1 << int(b)
+            fps.add(y)
+    fps = sorted(fps)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    groups = {r.node: r.component for r in sb.components(sb.links(df, 2)).collect()}
+    links = [(signed[i], signed[j]) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    want = smallest_reachable(signed, links)
+    assert {x: groups.get(x, x) for x in signed} == want
+
+
+def test_a_large_group_emits_a_spanning_forest_only():
+    base = 0x123456789ABCDEF0
+    members = np.array([base ^ (i << 16) for i in range(3000)], dtype=np.uint64).view(np.int64)
+    assert len(sb._links(members, 2)) < len(members)
+
+
+def test_filter_keeps_the_smallest_id_of_each_group(spark):
+    docs = documents(spark)
+    kept = sb.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    want = {r[3] for r in brute(edge_rows())}
+    assert {r.doc_id for r in kept.collect()} == want and kept.count() == len(want)
+
+
+def test_components_of_a_long_chain(spark):
+    from medallion.llm.components import components
+    n = 300
+    df = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(5, 5), (1000, 1001), (1001, 1000)], "src long, dst long")
+    got = {r.node: r.component for r in components(df).collect()}
+    assert got == {**{i: 0 for i in range(n + 1)}, 1000: 1000, 1001: 1000}
