@@ -216,7 +216,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, text_col:
              .groupBy("doc_id").agg(F.max("y").alias("y")))
     train = (pooled.select("doc_id", "pooled").dropDuplicates(["doc_id"]).join(marks, "doc_id")
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select("pooled", "y").collect())
-    x = np.array([r["pooled"] for r in train], dtype=float).reshape(len(train), -1)
+    x = np.array([r["pooled"] for r in train], dtype=float).reshape(len(train), 2 * DIMS + 2)
     net = fit_network(x, np.array([r["y"] for r in train], dtype=float))
     known = bool(len(train))
     shared = spark.sparkContext.broadcast(net)

@@ -1,7 +1,7 @@
 """Secret scans: a random forest decides which candidate strings are secrets.
 
 Only DataFrame functions and the JVM forest of ``pyspark.ml`` run here.  A
-candidate is a run of at least twelve key characters with a digit.  Its features
+candidate is a run of at least twelve key characters with a digit, or sixteen capitals.  Its features
 are its length and character mix, how its letter pairs compare with those of the
 corpus, how much of it the corpus dictionary covers, path marks, and its
 neighbouring words.  The forest learns from labelled findings: those that the
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import materialise, text_of
 
 # the value in a word: after the word's start or an opening mark
-VALUE = r"""(?:^|[=:"'(\[<{,;])(?=[A-Za-z_+/\-]*[0-9])([A-Za-z0-9_+/\-]{12,}={0,2})"""
+VALUE = r"""(?:^|[=:"'(\[<{,;])(?=[A-Za-z_+/\-]*[0-9]|[A-Z]{16})([A-Za-z0-9_+/\-]{12,}={0,2})"""
 NAMES = r"(?i)(passw|token|secret|api.?key|access.?key|auth|credential|private)"
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abp]-[0-9A-Za-z-]{20,})$"
 MIN_WORD_COUNT = 5      # a dictionary word occurs at least this often in the corpus
@@ -38,7 +38,7 @@ FEATURES = ["len", "digits", "upper", "runs", "entropy", "transition", "dictiona
 def find_candidates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, thash, position, part, value, word, before, before2, after`` of all candidates."""
     base = (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("t"))
-            .where(F.col("t").rlike("[0-9]")).select("doc_id", F.xxhash64("t").alias("thash"),
+            .where(F.col("t").rlike("[0-9]|[A-Z]{16}")).select("doc_id", F.xxhash64("t").alias("thash"),
                                                      F.split("t", r"[\x20\x09-\x0D]+").alias("ws")))
     pattern = VALUE.replace("\\", "\\\\").replace("'", "\\'")
     hits = base.select("doc_id", "thash", F.expr(
@@ -106,6 +106,7 @@ def seed_labels(found: DataFrame) -> DataFrame:
     """``label`` 1 or 0 where a finding's format settles it, else null."""
     yes = (F.col("provider") == 1) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digits") < 1) & (F.col("entropy") >= 2.5))
     no = (F.col("digits") == 1) | (F.col("path") == 1) | (F.col("dictionary") > 0.7) | (F.col("entropy") < 2)
+    no = no | ((F.col("digits") == 0) & (F.col("provider") == 0) & (F.col("named") == 0))
     return found.withColumn("label", F.when(yes & ~no, 1.0).when(no & ~yes, 0.0))
 
 
