@@ -8,8 +8,7 @@ the driver except small, bounded check results.
 __version__ = "0.1.0"
 
 from .operators.ranking import rank_by, top_k  # noqa: E402,F401
-from .operators.sequence import (dedup_latest, last_n_per_group, running_stats,  # noqa: E402,F401
-                                 running_stats_auto)
+from .operators.sequence import (dedup_latest, last_n_per_group, running_stats)  # noqa: E402,F401
 from .operators.two_sided import two_sided  # noqa: E402,F401
 from .plans.dashboards import (form_summary, player_goal_share, season_goals,  # noqa: E402,F401
                                top_teams_by_goals)

@@ -30,7 +30,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load():
     # Importing the modules registers their queries.
-    from . import gold_q, silver_q, quality_q, snapshot_q, dashboard_q  # noqa: F401
+    from . import gold_q, silver_q, quality_q, snapshot_q, dashboard_q, file_q  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -6,13 +6,7 @@ from ..plans import dashboards as d
 from ..plans import gold
 from ..sources import fixtures as fx
 from . import register
-from .gold_q import (FORM_RECORDS_SQL, MTP, PLAYERS_SILVER_SQL, STANDINGS_RECORDS_SQL,
-                     TOTALS_COLS, M, players_silver)
-
-TOTALS_SQL = f"""{STANDINGS_RECORDS_SQL},
-team_season_totals as (
-  select team_id, team_name, team_short, {TOTALS_COLS}
-  from all_team_match_records group by team_id, team_name, team_short)"""
+from .gold_q import (FORM_LABEL, M, MTP, PLAYERS_SQL, RECENT_SQL, SEASON_SQL, players_silver)
 
 
 def totals(spark, sf):
@@ -22,66 +16,61 @@ def totals(spark, sf):
 
 
 @register("season_goals", f"""
-with {M}, {TOTALS_SQL}
+with {M}, {SEASON_SQL}
 select cast(coalesce(sum(goals_for), 0) as bigint) as total_goals, count(*) as teams
-from team_season_totals""")
+from season""")
 def q_season_goals(spark, sf):
     return d.season_goals(totals(spark, sf))
 
 
 @register("top10_team_goals", f"""
-with {M}, {TOTALS_SQL}
-select team_id, team_name, goals_for, goals_against, points from team_season_totals
+with {M}, {SEASON_SQL}
+select team_id, team_name, goals_for, goals_against, points from season
 order by goals_for desc, team_id asc nulls last, team_name asc nulls last limit 10""")
 def q_top10_team_goals(spark, sf):
     return d.top_teams_by_goals(totals(spark, sf), 10)
 
 
 @register("form_label_counts", f"""
-with {M}, {FORM_RECORDS_SQL},
-latest as (select team_id, max(match_number) as mn from with_rolling_stats group by team_id)
-select case when rs.points_last_5 >= 10 then 'Good' when rs.points_last_5 >= 5 then 'Average'
-            else 'Poor' end as form_label, count(*) as teams
-from with_rolling_stats rs join latest l on rs.team_id = l.team_id and rs.match_number = l.mn
-group by 1""")
+with {M}, {RECENT_SQL}
+select {FORM_LABEL} as form_label, count(*) as teams from recent group by 1""")
 def q_form_label_counts(spark, sf):
     return d.form_summary(gold.team_form(fx.matches(spark, sf)))
 
 
-TOP_SCORERS_SQL = f"""{MTP}, {PLAYERS_SILVER_SQL},
-ts as (select p.scorer_rank, p.player_id, p.player_name,
-              coalesce(t.team_display_name, p.team_name) as team_name, p.goals, p.assists
-       from players_r p left join teams t on p.team_id = t.team_id)"""
+LEADERS_SQL = f"""
+with {MTP}, {PLAYERS_SQL}
+select r.scorer_rank, r.player_id, r.player_name, coalesce(t.team_display_name, r.team_name) as team_name,
+       r.goals, r.assists
+from ranked r left join teams t on t.team_id = r.team_id"""
 
 
-def top_scorers(spark, sf):
-    return gold.top_scorers(players_silver(spark, sf), fx.teams(spark, sf))
+def unranked(spark, sf):
+    return players_silver(spark, sf, None)
 
 
-@register("top_k_scorers", f"""
-with {TOP_SCORERS_SQL}
-select * from ts order by goals desc, scorer_rank asc limit 10""")
+@register("top_k_scorers", f"""{LEADERS_SQL}
+order by r.goals desc, r.scorer_rank limit 10""")
 def q_top_k_scorers(spark, sf):
-    return d.top_k(top_scorers(spark, sf), "goals", 10)
+    return d.top_k(unranked(spark, sf), fx.teams(spark, sf), "goals", 10)
 
 
-@register("top_k_assists", f"""
-with {TOP_SCORERS_SQL}
-select * from ts order by assists desc, scorer_rank asc limit 10""")
+@register("top_k_assists", f"""{LEADERS_SQL}
+order by r.assists desc, r.scorer_rank limit 10""")
 def q_top_k_assists(spark, sf):
-    return d.top_k(top_scorers(spark, sf), "assists", 10)
+    return d.top_k(unranked(spark, sf), fx.teams(spark, sf), "assists", 10)
 
 
 @register("player_goal_share", f"""
-with {MTP}, {PLAYERS_SILVER_SQL},
-tg as (select team_id, cast(sum(goals) as bigint) as team_goals from players_r group by team_id)
+with {MTP}, {PLAYERS_SQL},
+tg as (select team_id, cast(sum(goals) as bigint) as team_goals from ranked group by team_id)
 select p.player_id, p.team_id, p.goals, tg.team_goals,
        case when tg.team_goals = 0 then cast(0.0 as double)
             else cast((2000 * cast(p.goals as bigint) + tg.team_goals) // (2 * tg.team_goals) as double) / 10
        end as goal_share_pct
-from players_r p join tg on p.team_id is not distinct from tg.team_id""")
+from ranked p join tg on p.team_id is not distinct from tg.team_id""")
 def q_player_goal_share(spark, sf):
-    return d.player_goal_share(players_silver(spark, sf))
+    return d.player_goal_share(unranked(spark, sf))
 
 
 @register("teams_first10_by_name", f"""

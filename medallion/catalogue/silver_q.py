@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.silver import silver_matches, silver_players, silver_teams
-from ..schemas import BRONZE_MATCH, BRONZE_SCORER, BRONZE_TEAM
+from ..plans.silver import SHIRT_NUMBER_BY_FIRST_NAME, silver_matches, silver_players, silver_teams
+from ..schemas import BRONZE_MATCH, BRONZE_SCORER, BRONZE_TEAM, SILVER_MATCHES, SILVER_PLAYERS, SILVER_TEAMS
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from . import register
@@ -25,15 +25,12 @@ def json_roundtrip(records: DataFrame, schema) -> DataFrame:
     return text.select(F.from_json("json", schema).alias("r")).select("r.*")
 
 
-MATCH_COLS = ["match_id", "match_date", "match_timestamp", "status", "is_finished", "matchday",
-              "stage", "group_name", "competition_id", "competition_name", "competition_code",
-              "season_id", "home_team_id", "home_team_name", "home_team_short", "away_team_id",
-              "away_team_name", "away_team_short", "home_score_ft", "away_score_ft",
-              "home_score_ht", "away_score_ht", "winner", "home_result", "total_goals",
-              "goal_difference", "referee_name", "source_blob"]
+SHIRT_CASE = "case first_name" + "".join(f" when '{k}' then {v}" for k, v in SHIRT_NUMBER_BY_FIRST_NAME.items()) + " end"
 
+MATCH_COLS = [c for c in SILVER_MATCHES.fieldNames() if c != "silver_processed_at"]
 
-@register("silver_matches_nested", f"""
+
+MATCHES_SILVER_SQL = f"""
 with {fx.fixture_ctes('matches')}
 select cast(match_id as integer) as match_id, match_date,
        cast(match_date as timestamp) + to_hours(cast(match_id % 24 as integer)) + interval 45 minute
@@ -57,16 +54,16 @@ select cast(match_id as integer) as match_id, match_date,
        case when match_id % 4 = 0 then null else 'Referee ' || cast(match_id % 50 as varchar) end
          as referee_name,
        'bronze/matches' as source_blob
-from matches""")
+from matches"""
+
+
+@register("silver_matches_nested", MATCHES_SILVER_SQL)
 def q_silver_matches_nested(spark, sf):
     recs = json_roundtrip(fx.bronze_match_records(fx.matches(spark, sf)), BRONZE_MATCH)
     return silver_matches(recs, source="bronze/matches").select(*MATCH_COLS)
 
 
-TEAM_COLS = ["team_id", "team_name", "team_short_name", "team_tla", "team_display_name",
-             "founded_year", "club_colours", "venue_name", "website", "area_id", "area_name",
-             "area_code", "competition_id", "competition_name", "competition_code",
-             "is_ucl_participant", "source_blob"]
+TEAM_COLS = [c for c in SILVER_TEAMS.fieldNames() if c != "silver_processed_at"]
 
 
 @register("silver_teams_nested", f"""
@@ -94,10 +91,7 @@ def q_silver_teams_nested(spark, sf):
     return silver_teams(recs, source="bronze/teams").select(*TEAM_COLS)
 
 
-PLAYER_COLS = ["scorer_rank", "player_id", "player_name", "player_first_name",
-               "player_last_name", "player_dob", "nationality", "position", "shirt_number",
-               "team_id", "team_name", "team_short_name", "team_tla", "goals", "assists",
-               "penalties", "non_penalty_goals", "source_blob"]
+PLAYER_COLS = [c for c in SILVER_PLAYERS.fieldNames() if c != "silver_processed_at"]
 
 _FIRST = ", ".join(f"'{n}'" for n in fx.FIRST_NAMES)
 
@@ -117,9 +111,7 @@ s as (
          upper(case when player_id % 6 = 0 then (case when player_id % 12 = 0 then 'Unknown' else 'Offence' end)
                     else position end) as position,
          coalesce(nullif(shirt_raw, 0),
-                  case first_name when 'Harry' then 9 when 'Robert' then 9 when 'Lautaro' then 10
-                                  when 'Erling' then 9 when 'Vinicius' then 7 when 'Ousmane' then 10
-                                  when 'Kylian' then 9 when 'Jonathan' then 10 end) as shirt_number,
+                  {SHIRT_CASE}) as shirt_number,
          cast(team_id as integer) as team_id, team_name, 'T' || cast(team_id as varchar) as team_short_name,
          'FBC' as team_tla,
          coalesce(goals, 0) as goals, coalesce(assists, 0) as assists,
@@ -127,7 +119,7 @@ s as (
          coalesce(goals, 0) - coalesce(penalties, 0) as non_penalty_goals,
          'bronze/players' as source_blob
   from p)
-select cast(row_number() over (order by goals desc, assists desc, player_id asc nulls last) as integer)
+select cast(row_number() over (order by goals desc, assists desc, player_id asc nulls last) as bigint)
          as scorer_rank, *
 from s""")
 def q_silver_players_nested(spark, sf):
@@ -157,7 +149,7 @@ def q_standardise_strings(spark, sf):
     seg = clean_upper("c_mktsegment")
     return c.select("c_custkey", clean("c_name").alias("name"), seg.alias("segment"),
                     F.length(clean("c_name")).alias("name_length"),
-                    try_int(F.substring("c_name", 10, 1 << 20)).alias("name_number"),
+                    try_int(F.substr("c_name", F.lit(10))).alias("name_number"),
                     (F.length(seg) != 8).alias("segment_not_8"))
 
 
@@ -230,7 +222,7 @@ def q_silver_matches_streamed(spark, sf):
     root = scratch_table_path(spark)
     write_documents(fx.bronze_match_records(fx.matches(spark, sf)), "matches", f"{root}/bronze")
     run_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", "matches", BRONZE_MATCHES_DOC,
-                         "matches", silver_matches, q.MATCH_CHECKS[:6],
+                         "matches", silver_matches, q.MATCH_CHECKS,
                          checkpoint_location=f"{root}/stream", multi_line=False, glob="*.txt",
                          files_per_batch=8)
     return spark.read.parquet(f"{root}/silver").select(

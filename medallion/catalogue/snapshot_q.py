@@ -18,8 +18,9 @@ def orders_snapshots(spark, sf):
     """Orders with a snapshot key (month of the order date) and a season key
     (order status): stands in for dated snapshot files of several seasons."""
     o = read_table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
     return o.select("o_orderkey", F.col("o_orderstatus").alias("season"),
-                    F.trunc(F.col("o_orderdate").cast("date"), "month").alias("snapshot_date"))
+                    F.trunc(day, "month").alias("snapshot_date"), day.alias("d"))
 
 
 @register("snapshot_latest", """
@@ -28,7 +29,7 @@ with s as (select o_orderkey, o_orderstatus as season,
 select * from s
 where snapshot_date = (select max(i.snapshot_date) from s i where i.season = s.season)""")
 def q_snapshot_latest(spark, sf):
-    return bronze.latest_snapshot(orders_snapshots(spark, sf), "snapshot_date", ["season"])
+    return bronze.latest_snapshot(orders_snapshots(spark, sf).drop("d"), "snapshot_date", ["season"])
 
 
 @register("snapshot_latest_overall", """
@@ -36,7 +37,7 @@ with s as (select o_orderkey, o_orderstatus as season,
                   cast(date_trunc('month', o_orderdate) as date) as snapshot_date from orders)
 select * from s where snapshot_date = (select max(snapshot_date) from s)""")
 def q_snapshot_latest_overall(spark, sf):
-    return bronze.latest_snapshot(orders_snapshots(spark, sf), "snapshot_date")
+    return bronze.latest_snapshot(orders_snapshots(spark, sf).drop("d"), "snapshot_date")
 
 
 # Fixed parameters of the overlap: stored snapshots end before the second
@@ -54,8 +55,7 @@ select * from incoming i
 where not exists (select 1 from stored x
                   where x.season = i.season and x.snapshot_date = i.snapshot_date)""")
 def q_idempotent_append(spark, sf):
-    o = read_table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
-    s = orders_snapshots(spark, sf).join(o, "o_orderkey")
+    s = orders_snapshots(spark, sf)
     incoming = s.filter(F.col("d") >= F.lit(INCOMING_FROM).cast("date")).select(
         "o_orderkey", "season", "snapshot_date")
     stored = s.filter(F.col("d") < F.lit(STORED_BEFORE).cast("date")).select("season", "snapshot_date")
@@ -107,6 +107,20 @@ def q_latest_matches_top10(spark, sf):
                     "away_team_name", "home_result"))
 
 
+@register("first_matches_top10", f"""
+with {M}
+select match_date, cast(match_id % 8 + 1 as integer) as matchday, match_id, home_team_name, home_score_ft,
+       away_score_ft, away_team_name, home_result
+from matches where is_finished order by match_date, match_id % 8, match_id limit 10""")
+def q_first_matches_top10(spark, sf):
+    """O4 in the reference's order: finished matches by date, then matchday."""
+    from ..plans.silver import silver_matches
+    flat = silver_matches(fx.bronze_match_records(fx.matches(spark, sf)))
+    return (gold.finished(flat).orderBy("match_date", "matchday", "match_id").limit(10)
+            .select("match_date", "matchday", "match_id", "home_team_name", "home_score_ft", "away_score_ft",
+                    "away_team_name", "home_result"))
+
+
 @register("dedup_latest_per_key", """
 select o_orderkey, o_custkey, cast(o_orderdate as date) as order_date, o_orderstatus
 from (select *, row_number() over (partition by o_custkey

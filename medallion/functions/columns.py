@@ -4,6 +4,7 @@ stay inside whole-stage codegen; none is a Python UDF."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -91,11 +92,6 @@ def form_label(points: ColumnOrName, good: int = 10, average: int = 5) -> Column
             .otherwise(F.lit("Poor")))
 
 
-def first_element(arr: ColumnOrName) -> Column:
-    """First array element or null; null-safe for null and empty arrays."""
-    return F.get(_c(arr), 0)
-
-
 def first_matching(arr: ColumnOrName, pred: Callable[[Column], Column]) -> Column:
     """First element satisfying ``pred``, else the first element, else null."""
     a = _c(arr)
@@ -107,6 +103,15 @@ def try_int(c: ColumnOrName) -> Column:
     return _c(c).try_cast("int")
 
 
+# Helper column of the Silver frames: values of a row that a cast rejected.
+REJECTED = "_rejected_values"
+
+
+def rejected(*pairs: tuple[ColumnOrName, ColumnOrName]) -> Column:
+    """How many (raw, cast) pairs hold a raw value whose cast is null."""
+    return reduce(lambda a, b: a + b, [indicator(_c(r).isNotNull() & _c(v).isNull()) for r, v in pairs])
+
+
 def clean(c: ColumnOrName) -> Column:
     """Trim spaces (both ends)."""
     return F.trim(_c(c))

@@ -16,7 +16,7 @@ row into one task.  ``rank_by`` instead:
 The range-partitioned, sorted rows are written once, with their partition
 id and position as columns, as a Parquet table under the cluster's shared
 ``spark.checkpoint.dir`` (lineage cut by a written table, never a local
-checkpoint).  Every branch reads those files, so ids and positions agree, the
+checkpoint); building a rank therefore runs that job at once.  Every branch reads those files, so ids and positions agree, the
 input is computed once, branches read only the columns they need, and a lost
 executor re-reads files instead of re-sampling range bounds (a re-sample
 could move rows between partitions).
@@ -103,7 +103,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str,
     # One row per partition: safe to broadcast at any data size.
     offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     return (ranged.join(F.broadcast(offsets), _PID)
-            .withColumn(name, (F.col(_OFF) + F.col(_POS) + 1).cast("int"))
+            .withColumn(name, (F.col(_OFF) + F.col(_POS) + 1).cast("long"))
             .drop(_PID, _POS, _OFF))
 
 
@@ -119,28 +119,11 @@ def global_dense_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     return out.select(*[df[c] for c in df.columns], ranked[name])
 
 
-# Rows one task ranks comfortably with a single-partition window.
-SMALL_RANK_ROWS = 200_000
-
-
 def rank_by(df: DataFrame, order: Sequence[Column], name: str, method: str = "row_number",
-            keys: Sequence[str] | None = None, num_partitions: int | None = None,
-            strategy: str = "distributed") -> DataFrame:
-    """Global rank column.  ``method``: ``row_number`` (the reference's coded
-    behaviour) or ``dense_rank`` (its documented one).
-
-    ``strategy``: ``"distributed"`` (default) as described above;
-    ``"window"`` the plain single-partition window, for inputs known to be
-    small (and as a test oracle); ``"auto"`` counts the rows first and uses
-    the window only up to ``SMALL_RANK_ROWS`` rows, a proven bound for one
-    task (cheap on a materialised table, where the count reads Parquet
-    metadata; on a derived input it re-runs the input's plan)."""
-    if strategy == "auto":
-        strategy = "window" if df.count() <= SMALL_RANK_ROWS else "distributed"
-    if strategy == "window":
-        w = Window.orderBy(*order)
-        fn = F.row_number() if method == "row_number" else F.dense_rank()
-        return df.withColumn(name, fn.over(w).cast("int"))
+            keys: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Global rank column (bigint), one plan for all sizes.  ``method``:
+    ``row_number`` (the reference's coded behaviour) or ``dense_rank`` (its
+    documented one)."""
     if method == "row_number":
         return global_row_number(df, order, name, num_partitions)
     if method == "dense_rank":
@@ -158,5 +141,5 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int, rank_name: str | None
     out = df.orderBy(*order).limit(k)
     if rank_name:
         # k rows only: numbering them in one partition is bounded work.
-        out = out.withColumn(rank_name, F.row_number().over(Window.orderBy(*order)).cast("int"))
+        out = out.withColumn(rank_name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     return out

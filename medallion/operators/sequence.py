@@ -21,7 +21,8 @@ of partitions (not by the data):
   with their group-wide running sums, used by the first rows of the next
   block to finish their last-``n`` sums.
 
-Both are broadcast.  The range-partitioned rows are written once as a table
+``edges`` is broadcast (at most two rows per partition); ``tails`` holds up
+to ``n`` rows per partition, so the planner chooses its join by size.  The range-partitioned rows are written once as a table
 with their partition id and position (see ``ranking.range_positions``), so
 all three branches read identical blocks.
 Values must be non-null (wrap them with ``nz``).
@@ -128,7 +129,7 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
            - F.coalesce(F.sum(_v(v)).over(after), F.lit(0))).alias(f"_u_cum_{v}") for v in names])
     cond = ([F.col(g).eqNullSafe(F.col(f"_u_g{i}")) for i, g in enumerate(group)]
             + [(F.col(rn_name) - n) == F.col("_u_rn")])
-    out = joined.join(F.broadcast(tails), cond, "left")
+    out = joined.join(tails, cond, "left")
     local_ok = (F.col(_LRN) >= n) | (F.col(_OFFN) == 0)
     return out.select(
         *cols, rn_name, *[f"{cum_prefix}{v}" for v in names],
@@ -138,44 +139,9 @@ def running_stats(df: DataFrame, group: Sequence[str], order: Sequence[Column],
           for v in names])
 
 
-def running_stats_window(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-                         values: Mapping[str, Column], n: int, rn_name: str = "seq_no",
-                         cum_prefix: str = "cum_", last_prefix: str = "last_n_") -> DataFrame:
-    """The same result with one plain per-group window: fine when groups are
-    known to be small (a team's matches in a season), and the test oracle."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.select(
-        "*", F.row_number().over(w).alias(rn_name),
-        *[F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{cum_prefix}{v}")
-          for v, c in values.items()],
-        *[F.sum(c).over(w.rowsBetween(-(n - 1), 0)).alias(f"{last_prefix}{v}")
-          for v, c in values.items()])
-
-
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """R9 (opt-in): keep one row per key, the first in ``order`` (e.g. the
     newest snapshot first).  Planned as a top-1 WindowGroupLimit, partial
     before the shuffle, so duplicates of a hot key are dropped map-side."""
     return last_n_per_group(df, keys, order, 1, "_dedup_rn").drop("_dedup_rn")
 
-
-# A group of at most this many rows is sorted by one task without trouble.
-MAX_GROUP_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows in the largest group: a partial aggregate (hot keys combine
-    map-side) returning one number to the driver."""
-    top = df.groupBy(*group).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
-
-
-def running_stats_auto(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-                       values: Mapping[str, Column], n: int,
-                       max_group_rows: int = MAX_GROUP_ROWS, **kw) -> DataFrame:
-    """Plain per-group window (one shuffle) when the largest group is
-    provably small enough for one task, else the skew-safe ``running_stats``."""
-    if largest_group(df, group) <= max_group_rows:
-        return running_stats_window(df, group, order, values, n, **{
-            k: v for k, v in kw.items() if k != "num_partitions"})
-    return running_stats(df, group, order, values, n, **kw)

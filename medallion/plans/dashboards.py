@@ -32,11 +32,30 @@ def form_summary(form: DataFrame) -> DataFrame:
     return form.groupBy("form_label").agg(F.count(F.lit(1)).alias("teams"))
 
 
-def top_k(scorers: DataFrame, by: str, k: int = 10) -> DataFrame:
-    """Leaderboard by goals or assists (ties broken by scorer rank)."""
-    return (scorers.orderBy(F.col(by).desc(), F.col("scorer_rank").asc_nulls_last())
-            .limit(k).select("scorer_rank", "player_id", "player_name", "team_name", "goals",
-                             "assists"))
+def top_k(players: DataFrame, teams: DataFrame, by: str, k: int = 10) -> DataFrame:
+    """Leaderboard by goals or assists (ties broken by scorer rank).
+
+    ``players`` is unranked: the k rows are taken first, then only they are
+    joined to their teams and given their rank, which is one plus the players
+    ahead of them (k conditional counts in one aggregate pass)."""
+    order = [F.col("goals").desc(), F.col("assists").desc(), F.col("player_id").asc_nulls_last()]
+    lead = order if by == "goals" else [F.col(by).desc(), *order]
+    best = players.orderBy(*lead).limit(k).select("player_id", "player_name", "team_id", "team_name", "goals", "assists").collect()
+    spark, kinds = players.sparkSession, players.schema
+
+    def ahead(r):
+        g, a, p = F.col("goals"), F.col("assists"), F.col("player_id")
+        first = p.isNotNull() if r["player_id"] is None else p < r["player_id"]
+        return (g > r["goals"]) | ((g == r["goals"]) & ((a > r["assists"]) | ((a == r["assists"]) & F.coalesce(first, F.lit(False)))))
+
+    counts = players.agg(*[F.count_if(ahead(r)).alias(f"n{i}") for i, r in enumerate(best)]).first() if best else ()
+    fields = ["player_id", "player_name", "team_id", "team_name", "goals", "assists"]
+    schema = ", ".join(["scorer_rank long", *[f"{c} {kinds[c].dataType.simpleString()}" for c in fields]])
+    few = spark.createDataFrame([(n + 1, *r) for n, r in zip(counts, best)], schema)
+    t = teams.select(F.col("team_id").alias("_t"), "team_display_name")
+    return (few.join(t, F.col("team_id") == F.col("_t"), "left")
+            .select("scorer_rank", "player_id", "player_name",
+                    F.coalesce("team_display_name", "team_name").alias("team_name"), "goals", "assists"))
 
 
 def player_goal_share(scorers: DataFrame) -> DataFrame:

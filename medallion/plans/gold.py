@@ -1,7 +1,9 @@
 """Gold marts (C1-C4) over Silver-shaped inputs.
 
 Each function takes DataFrames with the Silver column names (only the columns
-it reads need to exist) and returns a lazy DataFrame.  Plans:
+it reads need to exist) and returns a DataFrame.  The
+marts with a global rank or a running sum write one intermediate table while
+they are built (see ``operators.ranking``); the others are lazy.  Plans:
 
 * ``standings``: one scan, two-sided expansion in the scan's codegen stage,
   one partial+final hash aggregate (hot teams are combined map-side), then the
@@ -10,9 +12,8 @@ it reads need to exist) and returns a lazy DataFrame.  Plans:
   n rows per team leave each map task) plus a partial aggregate for season
   totals; both sides are hash partitioned on ``team_id``, so they join
   without another exchange.  The reference's self-join is not needed.
-* ``rolling_form``: per-match history with running and last-n sums: one
-  plain per-team window when a probe shows every team fits in one task,
-  else the skew-safe segmented scan ``running_stats``.
+* ``rolling_form``: per-match history with running and last-n sums by
+  the skew-safe segmented scan ``running_stats``.
 * ``top_scorers``: left join of the player facts to the team dimension.  The
   dimension is not assumed small: the planner broadcasts it when its size is
   under the threshold (AQE re-checks with runtime sizes) and otherwise uses
@@ -27,8 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (exact_round_ratio, flip_result, form_label, indicator, nz,
                                  points_for)
 from ..operators.ranking import rank_by
-from ..operators.sequence import (last_n_per_group, running_stats, running_stats_auto,
-                                  running_stats_window)
+from ..operators.sequence import last_n_per_group, running_stats
 from ..operators.two_sided import two_sided
 
 
@@ -158,26 +158,15 @@ def team_form(matches: DataFrame, n: int = 5, good: int = 10, average: int = 5,
     return out
 
 
-def rolling_form(matches: DataFrame, n: int = 5, strategy: str = "auto",
-                 max_group_rows: int | None = None) -> DataFrame:
-    """Every team-match row with its match number, last-n and running sums.
-
-    ``strategy``: ``"auto"`` probes the largest team's row count and uses one
-    plain per-team window when it is at most ``max_group_rows``, else the
-    skew-safe segmented scan; ``"distributed"`` always uses the segmented
-    scan; ``"window"`` always the plain window.  The output keeps the
-    contractual ``*_last_5`` column names for any ``n``."""
+def rolling_form(matches: DataFrame, n: int = 5) -> DataFrame:
+    """Every team-match row with its match number, last-n and running sums,
+    by the segmented scan at every size (building it writes the ranged rows).
+    The output keeps the contractual ``*_last_5`` column names for any ``n``."""
     rows = form_records(matches)
     values = {"points": F.col("points_earned"), "scored": F.col("goals_scored"),
               "conceded": F.col("goals_conceded"),
               "played": indicator(F.col("match_id").isNotNull())}
-    if strategy == "auto":
-        kw = {"max_group_rows": max_group_rows} if max_group_rows is not None else {}
-        seq = running_stats_auto(rows, ["team_id"], chrono(), values, n,
-                                 rn_name="match_number", **kw)
-    else:
-        fn = running_stats if strategy == "distributed" else running_stats_window
-        seq = fn(rows, ["team_id"], chrono(), values, n, rn_name="match_number")
+    seq = running_stats(rows, ["team_id"], chrono(), values, n, rn_name="match_number")
     return seq.select(
         "team_id", "team_name", "match_date", "match_id",
         F.col("match_number").cast("long").alias("match_number"), "result",

@@ -6,10 +6,11 @@
   aggregate reduces the stored side to one row per key first).
 * ``bronze_ingest`` (C8): annotate, skip what exists, append partitioned by
   snapshot date and season; a rerun appends nothing.
-* ``season_index_ingest`` (C9): filter the competition index, read every
-  season's match list in one multi-path scan, write partitioned by season.
-* ``publish_gold`` (C10, K5-K6): write each mart under a dated partition,
-  read it back and record rows and columns in a run log.
+* ``season_index_ingest`` (C9): filter the competition index, list the season
+  files, read the wanted ones in one scan, write by competition and season.
+* ``publish_gold`` (C10, K5-K7): write each mart under a dated partition,
+  read it back and record rows and columns in a run log; a table that fails
+  is logged with ``ok=false`` and the others go on.
 * ``run_log_summary`` (K7): items, failures and the overall flag (an empty
   log is a failure, as in the reference).
 
@@ -25,10 +26,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 
 from ..schemas import INGESTION_METADATA
 from ..sources import bronze
+from .quality import require_rows
 
 SNAPSHOT_KEYS = ("snapshot_date", "snapshot_season")
 
@@ -46,12 +48,27 @@ def annotate(records: DataFrame, snapshot_date: str, season: int | None, source:
                           meta.alias("_ingestion_metadata"))
 
 
-def stored_keys(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame | None:
-    """Distinct snapshot keys already written under ``path`` (None if nothing is)."""
+def read_stored(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame | None:
+    """The store under ``path`` with its declared schema, None where there is
+    none yet; any other problem is raised."""
     try:
-        return spark.read.format(fmt).load(path).select(*keys).distinct()
-    except AnalysisException:
+        return spark.read.format(fmt).schema(schema).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def stored_keys(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
+                fmt: str = "parquet") -> DataFrame | None:
+    """Distinct keys already written under ``path`` (None if nothing is).  A
+    store whose files lack a key column is an error, not an empty store."""
+    if read_stored(spark, path, schema, fmt) is None:
         return None
+    missing = set(keys) - set(spark.read.format(fmt).load(path).columns)
+    if missing:
+        raise ValueError(f"{path} lacks the key columns {sorted(missing)}")
+    return read_stored(spark, path, schema, fmt).select(*keys).distinct()
 
 
 def new_snapshots(incoming: DataFrame, existing_keys: DataFrame | None,
@@ -65,44 +82,64 @@ def new_snapshots(incoming: DataFrame, existing_keys: DataFrame | None,
 
 
 def bronze_ingest(spark: SparkSession, records: DataFrame, target: str, snapshot_date: str,
-                  season: int | None, source: str, fmt: str = "parquet") -> DataFrame:
+                  season: int | None, source: str, fmt: str = "parquet", entity: str | None = None,
+                  ingested_by: str | None = None, endpoint: str | None = None,
+                  allow_empty: bool = True) -> DataFrame:
     """Idempotent, partitioned append of one snapshot's records.
 
-    Returns the run-log row for this snapshot (rows now stored under its key)."""
-    incoming = annotate(records, snapshot_date, season, source)
-    todo = new_snapshots(incoming, stored_keys(spark, target, SNAPSHOT_KEYS, fmt))
-    (todo.write.mode("append").partitionBy(*SNAPSHOT_KEYS).format(fmt)
-     .option("compression", "snappy").save(target))
-    stored = spark.read.format(fmt).load(target)
-    mine = stored.filter((F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
-                         & F.col("snapshot_season").eqNullSafe(F.lit(season).cast("int")))
-    return mine.agg(F.lit(f"{snapshot_date}/{season}").alias("item"),
-                    F.count(F.lit(1)).alias("rows"),
-                    (F.count(F.lit(1)) > 0).alias("ok"))
+    The stored side is probed for this snapshot's literal key (partition
+    pruning, one row at most).  Returns the run-log row for this snapshot (rows
+    now stored under its key); an empty snapshot logs ``ok=false``, or raises
+    unless ``allow_empty`` (Q13).  ``entity`` ("match", "team" or "scorer")
+    names the metadata count that the number of records fills (B2)."""
+    extra = {"ingested_by": ingested_by, "endpoint": endpoint}
+    if entity:
+        extra[f"{entity}_count"] = records.count()
+    incoming = annotate(records, snapshot_date, season, source, extra=extra)
+    mine = ((F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
+            & F.col("snapshot_season").eqNullSafe(F.lit(season).cast("int")))
+    stored = read_stored(spark, target, incoming.schema, fmt)
+    if stored is None or stored.filter(mine).limit(1).isEmpty():
+        if require_rows(incoming, f"{source} {snapshot_date}", allow_empty):
+            (incoming.write.mode("append").partitionBy(*SNAPSHOT_KEYS).format(fmt)
+             .option("compression", "snappy").save(target))
+        stored = read_stored(spark, target, incoming.schema, fmt)
+    item = F.lit(f"{snapshot_date}/{season}").alias("item")
+    if stored is None:
+        return spark.range(1).select(item, F.lit(0).cast("long").alias("rows"), F.lit(False).alias("ok"))
+    n = F.count(F.lit(1))
+    return stored.filter(mine).agg(item, n.alias("rows"), (n > 0).alias("ok"))
+
+
+SEASON_KEYS = ("competition_id", "season_id")
+SEASON_STORE = T.StructType([T.StructField("source_blob", T.StringType()), T.StructField("match_json", T.StringType()),
+                             T.StructField("competition_id", T.IntegerType()), T.StructField("season_id", T.IntegerType())])
 
 
 def season_index_ingest(spark: SparkSession, index_path: str, matches_root: str,
                         competition_id: int, target: str) -> DataFrame:
     """Competition index -> per-season match lists -> season partitions.
 
-    Season files are read in one scan of ``matches_root``; the season id is
-    parsed from each file name and semi-joined with the filtered index, so
-    the driver never builds a path list.  Returns the per-season run log."""
+    Files are listed first; only those whose competition and season are wanted
+    and not yet stored are read (one path per season reaches the driver).
+    Returns the per-season run log."""
     index = bronze.filter_competition(bronze.read_competition_index(spark, index_path),
                                       competition_id)
     if index.isEmpty():
         raise ValueError(f"no seasons for competition {competition_id}")
-    seasons = index.select(F.col("season_id").alias("season"), "season_name").distinct()
-    matches = bronze.read_season_matches(spark, [matches_root], season_pattern=r"(\d+)\.json$")
-    wanted = matches.join(seasons, "season", "inner")
-    have = stored_keys(spark, target, ["season"])
-    todo = new_snapshots(wanted, have, ["season"])
-    todo.write.mode("append").partitionBy("season").option("compression", "snappy").parquet(target)
-    stored = spark.read.parquet(target)
-    counts = stored.groupBy("season").agg(F.count(F.lit(1)).alias("rows"))
-    return (seasons.join(counts, "season", "left")
-            .select(F.col("season_name").alias("item"), F.coalesce("rows", F.lit(0)).alias("rows"),
-                    (F.coalesce("rows", F.lit(0)) > 0).alias("ok")))
+    seasons = index.select(*SEASON_KEYS, "season_name").distinct()
+    files = bronze.list_season_files(spark, matches_root).join(seasons, list(SEASON_KEYS), "left_semi")
+    todo = new_snapshots(files, stored_keys(spark, target, SEASON_STORE, SEASON_KEYS), SEASON_KEYS)
+    paths = [r["source_blob"] for r in todo.select("source_blob").collect()]
+    if paths:
+        (bronze.read_season_matches(spark, paths).write.mode("append").partitionBy(*SEASON_KEYS)
+         .option("compression", "snappy").parquet(target))
+    stored = read_stored(spark, target, SEASON_STORE)
+    rows = F.coalesce("rows", F.lit(0))
+    counts = (spark.createDataFrame([], "competition_id int, season_id int, rows long") if stored is None
+              else stored.groupBy(*SEASON_KEYS).agg(F.count(F.lit(1)).alias("rows")))
+    return seasons.join(counts, list(SEASON_KEYS), "left").select(
+        F.col("season_name").alias("item"), rows.alias("rows"), (rows > 0).alias("ok"))
 
 
 RUN_LOG = T.StructType([
@@ -123,8 +160,12 @@ def publish_gold(tables: Mapping[str, DataFrame], root: str, snapshot_date: str)
     log = []
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}/snapshot_date={snapshot_date}"
-        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-        v = verify_written(spark, path, df.columns)
+        try:
+            df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+            v = verify_written(spark, path, df.columns)
+        except PySparkException:       # this table failed; the others still go out
+            log.append((name, path, None, None, False, None, None))
+            continue
         log.append((name, path, v["rows"], v["columns"], bool(v["columns_ok"]), v["bytes"],
                     v["written_at"]))
     return spark.createDataFrame(log, RUN_LOG)

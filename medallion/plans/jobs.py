@@ -36,11 +36,12 @@ class Entity:
     flatten: object
     checks: tuple
     silver_schema: object
+    by_season: bool = True      # keys repeat across seasons, so seasons are kept apart
 
 
 ENTITIES = {
     "matches": Entity("matches", BRONZE_MATCHES_DOC, "matches", silver_matches, q.MATCH_CHECKS,
-                      SILVER_MATCHES),
+                      SILVER_MATCHES, by_season=False),
     "teams": Entity("teams", BRONZE_TEAMS_DOC, "teams", silver_teams, q.TEAM_CHECKS, SILVER_TEAMS),
     "players": Entity("players", BRONZE_PLAYERS_DOC, "scorers", silver_players, q.PLAYER_CHECKS,
                       SILVER_PLAYERS),
@@ -56,7 +57,8 @@ def newest_records(spark: SparkSession, entity: str, bronze_root: str, per_seaso
     (the reference's layout).  ``layout="records"``: the record-per-row
     Parquet written by ``ingest.bronze_ingest``, partitioned by
     ``snapshot_date`` / ``snapshot_season``; the newest partition is chosen by
-    a pruned scalar subquery (per season with ``per_season``)."""
+    its folder name (per season with ``per_season``).  ``_season`` is the
+    snapshot's season."""
     e = ENTITIES[entity]
     path = os.path.join(bronze_root, e.folder)
     if layout == "documents":
@@ -67,17 +69,23 @@ def newest_records(spark: SparkSession, entity: str, bronze_root: str, per_seaso
         newest = bronze.read_documents(spark, paths, e.doc_schema)
         q.require_rows(newest, f"bronze {entity}")
         recs = bronze.records(newest, e.array_field, keep=("file_name",))
-        return recs.withColumn("source_blob", F.concat(F.lit(f"{e.folder}/"), F.col("file_name")))
+        season = F.nullif(F.regexp_extract("file_name", bronze.SEASON_IN_NAME, 1), F.lit(""))
+        return recs.withColumns({"source_blob": F.concat(F.lit(f"{e.folder}/"), F.col("file_name")),
+                                 "_season": season.try_cast("int")})
     if layout != "records":
         raise ValueError(f"unknown Bronze layout {layout!r}")
     record = e.doc_schema[e.array_field].dataType.elementType
     schema = T.StructType(list(record.fields) + [
         T.StructField("snapshot_date", T.DateType()), T.StructField("snapshot_season", T.IntegerType())])
     stored = spark.read.schema(schema).parquet(path)
-    newest = bronze.latest_snapshot(stored, "snapshot_date", ["snapshot_season"] if per_season else ())
+    if per_season:
+        newest = bronze.latest_snapshot(stored, "snapshot_date", ["snapshot_season"])
+    else:
+        day = layers.newest_partition(spark, path, "snapshot_date")
+        newest = stored.where(F.col("snapshot_date") == F.lit(day).cast("date"))
     q.require_rows(newest, f"bronze {entity}")
-    return newest.withColumn("source_blob", F.concat(
-        F.lit(f"{e.folder}/snapshot_date="), F.col("snapshot_date").cast("string")))
+    return newest.withColumns({"source_blob": F.concat(
+        F.lit(f"{e.folder}/snapshot_date="), F.col("snapshot_date").cast("string")), "_season": F.col("snapshot_season")})
 
 
 def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root: str,
@@ -85,21 +93,34 @@ def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root:
                layout: str = "documents") -> list:
     """Newest Bronze snapshot of ``entity`` -> Silver snapshot ``snapshot_date``.
 
-    Raises ``QualityGateError`` (nothing written) when a FAIL check fails;
-    returns the check rows otherwise.  Pass a dict as ``verify`` to receive
-    the K6 read-back of the written snapshot (rows, columns, bytes, time)."""
+    With ``per_season`` the newest snapshot of every season is taken.  Matches,
+    whose keys are unique over all seasons, share one table; teams and players
+    are flattened, checked and ranked season by season and written to
+    ``<entity>_season_<n>`` (one round per season).  Raises ``QualityGateError``
+    (nothing published) when a FAIL check fails; returns the check rows otherwise.
+    Pass a dict as ``verify`` to receive the K6 read-back of the written snapshot
+    (rows, columns, bytes, time), by table where there are several."""
     e = ENTITIES[entity]
-    with scratch_scope(spark):          # the players rank's table is dropped after the write
-        recs = newest_records(spark, entity, bronze_root, per_season, layout)
-        silver = e.flatten(recs, source=F.col("source_blob"))
-        rows = layers.write_silver(silver, silver_root, entity, snapshot_date, e.checks)
-    if verify is not None:
-        verify.update(layers.verify_written(
-            spark, layers.snapshot_path(silver_root, entity, snapshot_date),
-            e.silver_schema.fieldNames()))
+    rows = []
+    for table, recs in _by_season(newest_records(spark, entity, bronze_root, per_season, layout), entity, per_season):
+        with scratch_scope(spark):      # the players rank's table is dropped after the write
+            silver = e.flatten(recs, source=F.col("source_blob"), count_rejects=True)
+            rows += layers.write_silver(silver, silver_root, table, snapshot_date, e.checks)
+        if verify is not None:
+            found = layers.verify_written(spark, layers.snapshot_path(silver_root, table, snapshot_date),
+                                          e.silver_schema.fieldNames())
+            verify.update(found if table == entity else {table: found})
     return rows
 
 
+def _by_season(recs: DataFrame, entity: str, per_season: bool) -> list[tuple[str, DataFrame]]:
+    if not (per_season and ENTITIES[entity].by_season):
+        return [(entity, recs)]
+    seasons = sorted((r[0] for r in recs.select("_season").distinct().collect()), key=lambda x: (x is None, x))
+    return [(f"{entity}_season_{'none' if s is None else s}", recs.where(F.col("_season").eqNullSafe(F.lit(s).cast("int"))))
+            for s in seasons]
+
+
 def staging(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
     """S4 + S8: newest Silver snapshot of each entity as staging views."""
     models = {f"stg_{name}": layers.read_silver(spark, silver_root, name, e.silver_schema)
@@ -109,19 +130,25 @@ def staging(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
 
 
 def gold_job(spark: SparkSession, silver_root: str, gold_root: str, snapshot_date: str,
-             fail_on_tests: bool = False) -> DataFrame:
+             fail_on_tests: bool = False, mart_database: str | None = None) -> DataFrame:
     """Staging -> marts -> declarative tests -> dated Gold tables; returns the
-    run log (one row per table plus one per failing declarative test)."""
+    run log (one row per table plus one per failing declarative test).  With
+    ``mart_database`` the marts are rebuilt as managed tables there first (K4)
+    and exported from those tables."""
     models = staging(spark, silver_root)
     tests = q.run_tests(models, q.STAGING_TESTS).filter(F.col("failures") > 0).collect()
     if tests and fail_on_tests:
         raise q.QualityGateError(f"declarative tests failed: {[tuple(t) for t in tests]}")
     with scratch_scope(spark):          # rank tables are dropped once the marts are written
-        marts = {
+        marts = {  # whole tables, rebuilt on each run
             "standings": gold.standings(models["stg_matches"], sort=True),
             "team_form": gold.team_form(models["stg_matches"], sort=True),
             "top_scorers": gold.top_scorers(models["stg_players"], models["stg_teams"], sort=True),
         }
+        if mart_database:
+            for name, df in marts.items():
+                layers.materialize_mart(df, f"{mart_database}.{name}")
+            marts = {name: layers.read_table(spark, f"{mart_database}.{name}") for name in marts}
         log = ingest.publish_gold(marts, gold_root, snapshot_date)
     if not tests:
         return log

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import indicator
+from ..functions.columns import REJECTED, indicator
 from ..schemas import CHECK_RESULT, TEST_RESULT
 from .silver import KNOWN_STATUSES
 
@@ -45,6 +45,8 @@ class Check:
     length_eq(column, param)    non-null strings have length ``param``
     non_negative(column)        non-null values >= 0
     min_eq(column, param)       min(column) == param
+    none_rejected(column)       sum of the rejected-value counts == 0; left out
+                                where the frame does not carry the counts
     date_range(column)          report min..max of non-null values (INFO)
     """
     name: str
@@ -90,6 +92,9 @@ def _check_exprs(check: Check) -> tuple[Column, Column]:
     if k == "min_eq":
         m = F.min(c)
         return F.coalesce(m == F.lit(check.param), F.lit(False)), _s(m)
+    if k == "none_rejected":
+        x = F.coalesce(F.sum(c), F.lit(0))
+        return x == 0, _s(x)
     if k == "date_range":
         return F.lit(True), F.concat(_s(F.min(c)), F.lit(".."), _s(F.max(c)))
     raise ValueError(f"unknown check kind {k!r}")
@@ -97,6 +102,7 @@ def _check_exprs(check: Check) -> tuple[Column, Column]:
 
 def check_results(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """All checks of one table in one aggregate pass -> one row per check."""
+    checks = [c for c in checks if c.kind != "none_rejected" or c.column in df.columns]
     if not checks:
         return df.sparkSession.createDataFrame([], CHECK_RESULT)
     exprs = []
@@ -146,7 +152,10 @@ def with_severity(checks: Sequence[Check], **severities: str) -> tuple[Check, ..
     return tuple(replace(c, severity=severities.get(c.name, c.severity)) for c in checks)
 
 
-# The reference's runtime gates, as data.
+# Values that a cast turned into null (an id beyond 32 bits, an unreadable date).
+NO_REJECTS = Check("no_rejected_values", "none_rejected", FAIL, REJECTED)
+
+# The reference's runtime gates, as data.  Fixed values: the check names.
 MATCH_CHECKS = (
     Check("row_count_gt_zero", "row_count_min", FAIL, param=1),
     Check("no_nulls_match_id", "not_null", FAIL, "match_id"),
@@ -162,6 +171,7 @@ MATCH_CHECKS = (
     Check("finished_has_winner", "required_when", WARN, columns=("home_result",),
           when="is_finished"),
     Check("date_range", "date_range", INFO, "match_date"),
+    NO_REJECTS,
 )
 
 TEAM_CHECKS = (
@@ -171,6 +181,7 @@ TEAM_CHECKS = (
     Check("team_name_not_null", "not_null", FAIL, "team_name"),
     Check("area_name_not_null", "not_null", WARN, "area_name"),
     Check("tla_length_3", "length_eq", WARN, "team_tla", param=3),
+    NO_REJECTS,
 )
 
 PLAYER_CHECKS = (
@@ -179,6 +190,7 @@ PLAYER_CHECKS = (
     Check("player_id_unique", "unique", FAIL, "player_id"),
     Check("goals_non_negative", "non_negative", FAIL, "goals"),
     Check("scorer_rank_starts_at_1", "min_eq", FAIL, "scorer_rank", param=1),
+    NO_REJECTS,
 )
 
 
@@ -209,29 +221,28 @@ def run_tests(models: Mapping[str, DataFrame], spec: Iterable[ColumnTest]) -> Da
         by_model.setdefault(t.model, []).append(t)
     for model, tests in by_model.items():
         df = models[model]
-        # not_null: one aggregate pass for all of the model's columns.
-        nn = [t for t in tests if t.test == "not_null"]
-        if nn:
-            one = df.agg(*[F.count_if(F.col(t.column).isNull()).alias(f"_n{i}")
-                           for i, t in enumerate(nn)])
+        # not_null and accepted_values: one aggregate pass for the model.
+        flat = [t for t in tests if t.test in ("not_null", "accepted_values")]
+        if flat:
+            def failing(t):
+                c = F.col(t.column)
+                if t.test == "not_null":
+                    return F.count_if(c.isNull())
+                return F.count_distinct(F.when(~c.isin(list(t.values)), c))
+            one = df.agg(*[failing(t).alias(f"_n{i}") for i, t in enumerate(flat)])
             parts.append(one.select(F.inline(F.array(*[
-                F.struct(*_one(model, "not_null", t.column, F.col(f"_n{i}")))
-                for i, t in enumerate(nn)]))))
+                F.struct(*_one(model, t.test, t.column, F.col(f"_n{i}")))
+                for i, t in enumerate(flat)]))))
         for t in tests:
             c = F.col(t.column)
             if t.test == "unique":
                 dup = (df.filter(c.isNotNull()).groupBy(c.alias("_k")).count()
                        .filter(F.col("count") > 1))
                 parts.append(dup.agg(*_one(model, "unique", t.column, F.count(F.lit(1)))))
-            elif t.test == "accepted_values":
-                bad = (df.filter(c.isNotNull() & ~c.isin(list(t.values)))
-                       .select(c.alias("_k")).distinct())
-                parts.append(bad.agg(*_one(model, "accepted_values", t.column,
-                                           F.count(F.lit(1)))))
             elif t.test == "relationships":
                 parts.append(orphans(df, t.column, models[t.to], t.parent_key).agg(
                     *_one(model, "relationships", t.column, F.sum("count"))))
-            elif t.test != "not_null":
+            elif t.test not in ("not_null", "accepted_values"):
                 raise ValueError(f"unknown test {t.test!r}")
     if not parts:
         spark = next(iter(models.values())).sparkSession

@@ -15,8 +15,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (clean, clean_upper, eq_flag, first_matching, first_nonblank,
-                                 first_nonzero, nz, result_code, try_int)
+from ..functions.columns import (REJECTED, clean, clean_upper, eq_flag, first_matching, first_nonblank,
+                                 first_nonzero, nz, rejected, result_code, try_int)
 from ..operators.ranking import rank_by
 from ..schemas import SILVER_MATCHES, SILVER_PLAYERS, SILVER_TEAMS
 
@@ -41,7 +41,20 @@ def _source(source: Column | str | None) -> Column:
     return F.lit(source) if isinstance(source, str) else source
 
 
-def silver_matches(records: DataFrame, source: Column | str | None = None) -> DataFrame:
+def _rejects(wanted: bool, *pairs) -> list[Column]:
+    return [rejected(*pairs).alias(REJECTED)] if wanted else []
+
+
+def _columns(schema, count_rejects: bool) -> list[str]:
+    return schema.fieldNames() + ([REJECTED] if count_rejects else [])
+
+
+def _ints(*names: str) -> list[tuple[Column, Column]]:
+    return [(F.col(n), try_int(F.col(n))) for n in names]
+
+
+def silver_matches(records: DataFrame, source: Column | str | None = None,
+                   count_rejects: bool = False) -> DataFrame:
     """Flatten one match record per row."""
     ft, ht = F.col("score.fullTime"), F.col("score.halfTime")
     status = clean("status")
@@ -75,12 +88,16 @@ def silver_matches(records: DataFrame, source: Column | str | None = None) -> Da
         clean(F.get(F.col("referees"), 0)["name"]).alias("referee_name"),
         _processed_at().alias("silver_processed_at"),
         _source(source).alias("source_blob"),
+        *_rejects(count_rejects, *_ints("id", "matchday", "competition.id", "season.id", "homeTeam.id", "awayTeam.id",
+                                        "score.fullTime.home", "score.fullTime.away", "score.halfTime.home",
+                                        "score.halfTime.away"),
+                  (F.col("utcDate"), F.try_to_date(F.col("utcDate")))),
     )
-    return flat.select(*SILVER_MATCHES.fieldNames())
+    return flat.select(*_columns(SILVER_MATCHES, count_rejects))
 
 
 def silver_teams(records: DataFrame, source: Column | str | None = None,
-                 competition_code: str = "CL") -> DataFrame:
+                 competition_code: str = "CL", count_rejects: bool = False) -> DataFrame:
     """Flatten one team record per row; the competition entry is the
     first with the given code, else the first listed, else null (E6)."""
     comp = first_matching("runningCompetitions", lambda c: c["code"] == competition_code)
@@ -103,8 +120,9 @@ def silver_teams(records: DataFrame, source: Column | str | None = None,
         eq_flag(comp["code"], competition_code).alias("is_ucl_participant"),
         _processed_at().alias("silver_processed_at"),
         _source(source).alias("source_blob"),
+        *_rejects(count_rejects, *_ints("id", "founded", "area.id"), (comp["id"], try_int(comp["id"]))),
     )
-    return flat.select(*SILVER_TEAMS.fieldNames())
+    return flat.select(*_columns(SILVER_TEAMS, count_rejects))
 
 
 def shirt_lookup(first_name: Column, table: Mapping[str, int] | None = None) -> Column:
@@ -118,7 +136,7 @@ def shirt_lookup(first_name: Column, table: Mapping[str, int] | None = None) ->
     return F.try_element_at(F.create_map(*pairs), first_name)
 
 
-def players_derived(flat: DataFrame, rank_method: str = "row_number") -> DataFrame:
+def players_derived(flat: DataFrame, rank_method: str | None = "row_number") -> DataFrame:
     """P14, P20, W2 on a flat players table: null counts to 0, non-penalty
     goals, and the global scorer rank (goals desc, assists desc; ties broken
     by player id so the rank is reproducible, E12)."""
@@ -127,6 +145,8 @@ def players_derived(flat: DataFrame, rank_method: str = "row_number") -> DataFra
            .withColumn("penalties", nz("penalties").cast("int"))
            .withColumn("non_penalty_goals", (F.col("goals") - F.col("penalties")).cast("int")))
     order = [F.col("goals").desc(), F.col("assists").desc(), F.col("player_id").asc_nulls_last()]
+    if rank_method is None:          # the caller reads no rank
+        return out
     if rank_method == "dense_rank":
         return rank_by(out, order[:2], "scorer_rank", method="dense_rank", keys=["goals", "assists"])
     return rank_by(out, order, "scorer_rank")
@@ -134,7 +154,7 @@ def players_derived(flat: DataFrame, rank_method: str = "row_number") -> DataFra
 
 def silver_players(records: DataFrame, source: Column | str | None = None,
                    shirt_numbers: Mapping[str, int] | None = None,
-                   rank_method: str = "row_number") -> DataFrame:
+                   rank_method: str = "row_number", count_rejects: bool = False) -> DataFrame:
     """Flatten one scorer record per row, then derive and rank."""
     p, t = F.col("player"), F.col("team")
     flat = records.select(
@@ -155,10 +175,12 @@ def silver_players(records: DataFrame, source: Column | str | None = None,
         try_int("assists").alias("assists"),
         try_int("penalties").alias("penalties"),
         _source(source).alias("source_blob"),
+        *_rejects(count_rejects, *_ints("player.id", "team.id", "goals", "assists", "penalties", "player.shirtNumber"),
+                  (p["dateOfBirth"], F.try_to_date(p["dateOfBirth"]))),
     )
     out = players_derived(flat, rank_method).select(
         "*", _processed_at().alias("silver_processed_at"))
-    return out.select(*SILVER_PLAYERS.fieldNames())
+    return out.select(*_columns(SILVER_PLAYERS, count_rejects))
 
 
 def conform(df: DataFrame, schema, cast: bool = True) -> DataFrame:

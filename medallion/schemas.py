@@ -2,7 +2,8 @@
 
 Bronze: the nested record shapes of one snapshot document (an envelope object
 holding a record array plus an ingestion-metadata block).
-Silver / Gold: the flat, contractual column lists and types.
+Silver: the flat, contractual column lists and types.  Fixed values: the column
+names and their order equal the reference's.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ SILVER_TEAMS = struct(
 )
 
 SILVER_PLAYERS = struct(
-    ("scorer_rank", I), ("player_id", I), ("player_name", S),
+    ("scorer_rank", L), ("player_id", I), ("player_name", S),
     ("player_first_name", S), ("player_last_name", S), ("player_dob", D),
     ("nationality", S), ("position", S), ("shirt_number", I), ("team_id", I),
     ("team_name", S), ("team_short_name", S), ("team_tla", S), ("goals", I),
@@ -100,27 +101,6 @@ SILVER_PLAYERS = struct(
     ("silver_processed_at", S), ("source_blob", S),
 )
 
-# --------------------------------------------------------------------------
-# Gold
-# --------------------------------------------------------------------------
-GOLD_STANDINGS_COLUMNS = [
-    "position", "team_id", "team_name", "team_short", "played", "won", "drawn",
-    "lost", "goals_for", "goals_against", "goal_difference", "points", "win_pct",
-    "points_per_game", "gold_created_at",
-]
-GOLD_TEAM_FORM_COLUMNS = [
-    "team_id", "team_name", "last_match_date", "matches_played", "total_points",
-    "points_last_5", "goals_scored_last_5", "goals_conceded_last_5", "gd_last_5",
-    "form_label", "gold_created_at",
-]
-GOLD_TOP_SCORERS_COLUMNS = [
-    "scorer_rank", "player_id", "player_name", "nationality", "position",
-    "player_dob", "team_id", "team_name", "team_country", "team_stadium",
-    "team_tla", "goals", "assists", "penalties_scored", "non_penalty_goals",
-    "goal_involvement", "penalty_pct_of_goals", "silver_processed_at",
-    "gold_created_at",
-]
-
 # Check results of the quality gate and of the declarative tests.
 CHECK_RESULT = struct(("table", S), ("check", S), ("severity", S),
                       ("passed", B), ("value", S))

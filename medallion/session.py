@@ -51,11 +51,29 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the library's SQL defaults on an existing session (idempotent)."""
+    """Set the library's SQL defaults on an existing session (idempotent).
+
+    This changes the caller's session, its time zone included."""
     for key, value in SESSION_DEFAULTS.items():
         spark.conf.set(key, value)
 
 
+def configured_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` as configured (the same for every application).
+
+    Where it is unset, a session with a local master gets one scratch folder;
+    any other master is an error, since executors would not share the folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    found = tempfile.mkdtemp(prefix="medallion-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -65,13 +83,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (sessions without a local context)
-        return (spark.conf.get("spark.checkpoint.dir", None)
-                or tempfile.mkdtemp(prefix="medallion-ckpt-"))
+        return configured_dir(spark)
     existing = sc.getCheckpointDir()
     if existing:
         return existing
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    path = configured or tempfile.mkdtemp(prefix="medallion-ckpt-")
+    path = configured_dir(spark)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 

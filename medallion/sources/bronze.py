@@ -7,7 +7,7 @@ record.  Pretty-printed documents need ``multiLine`` and so are read one task
 per file; ``to_record_layout`` rewrites them once into record-per-row Parquet
 partitioned by snapshot date and season, which later reads split and prune.
 
-Snapshot selection never lists files on the driver: file names come from the
+Snapshot selection lists snapshot files through Spark; one path per season reaches the driver: file names come from the
 ``_metadata`` column of the scan, and "newest" is an aggregate.
 """
 
@@ -104,7 +104,7 @@ def records(docs: DataFrame, array_field: str, keep: Sequence[str] = ("source_bl
 
 def record_counts(docs: DataFrame, array_field: str) -> DataFrame:
     """B2: records per document (missing array counts 0)."""
-    return docs.select("source_blob", F.coalesce(F.size(array_field), F.lit(0))
+    return docs.select("source_blob", F.greatest(F.coalesce(F.size(array_field), F.lit(0)), F.lit(0))
                        .alias("record_count"))
 
 
@@ -138,20 +138,31 @@ def filter_competition(index: DataFrame, competition_id: int) -> DataFrame:
     return index.filter(F.col("competition_id") == F.lit(competition_id))
 
 
-def read_season_matches(spark: SparkSession, paths: Sequence[str],
-                        season_pattern: str = SEASON_IN_NAME) -> DataFrame:
+SEASON_FILE = r"/(\d+)/(\d+)\.json$"
+
+
+def list_season_files(spark: SparkSession, matches_root: str) -> DataFrame:
+    """S2 for season files ``<competition>/<season>.json``: path and both ids,
+    from the listing alone (contents are not read)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+             .option("recursiveFileLookup", True).load(matches_root).select(F.col("path").alias("source_blob")))
+    return files.select("source_blob", *[
+        F.nullif(F.regexp_extract("source_blob", SEASON_FILE, i), F.lit("")).try_cast("int").alias(n)
+        for i, n in ((1, "competition_id"), (2, "season_id"))])
+
+
+def read_season_matches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Per-season match lists (array ``matches`` of opaque records, or a
-    bare array) read in one multi-path scan; the season id comes from the
-    file name and every record is kept as raw JSON text."""
+    bare array) of the given files in one multi-path scan; competition and
+    season come from the path and every record is kept as raw JSON text."""
     arr = T.ArrayType(T.StringType())
     wrapped = T.StructType([T.StructField("matches", arr)])
-    txt = (spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
-           .text(list(paths), wholetext=True))
-    season = F.regexp_extract(F.col("_metadata.file_name"), season_pattern, 1)
+    txt = spark.read.text(list(paths), wholetext=True)
+    path = F.col("_metadata.file_path")
     entries = F.coalesce(F.from_json("value", wrapped)["matches"], F.from_json("value", arr))
-    return txt.select(F.nullif(season, F.lit("")).try_cast("int").alias("season"),
-                      F.col("_metadata.file_path").alias("source_blob"),
-                      F.explode(entries).alias("match_json"))
+    return txt.select(*[F.nullif(F.regexp_extract(path, SEASON_FILE, i), F.lit("")).try_cast("int").alias(n)
+                        for i, n in ((1, "competition_id"), (2, "season_id"))],
+                      path.alias("source_blob"), F.explode(entries).alias("match_json"))
 
 
 def to_record_layout(records_df: DataFrame, out_path: str,

@@ -2,10 +2,10 @@
 
 Silver tables live under ``<root>/<table>/snapshot_date=YYYY-MM-DD/``.  A
 read takes the newest snapshot by default (the reference's glob reads every
-dated file and so duplicates keys on the second day, R2); the filter on the
-partition column is a scalar subquery, so only that partition's files are
-scanned.  Writes pass the quality gate first and then replace only the
-partitions they carry (dynamic partition overwrite), never a path being read.
+dated file and so duplicates keys on the second day, R2); its date comes from
+the folder names, so only that partition's files are scanned.  Writes are staged,
+the quality gate checks what was staged, and publishing replaces only the
+partitions it carries (dynamic partition overwrite), never a path being read.
 """
 
 from __future__ import annotations
@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import REJECTED
+from ..operators.ranking import scratch_table_path
 from ..plans import quality as q
+from ..session import delete_paths
 
 
 def verify_written(spark: SparkSession, path: str, expected_columns: Sequence[str] | None = None) -> dict:
@@ -29,13 +32,26 @@ def verify_written(spark: SparkSession, path: str, expected_columns: Sequence[st
                         F.col("_metadata.file_size").alias("size"))
     stats = (files.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
              .agg(F.sum("n").alias("rows"), F.sum("size").alias("bytes")).first())
-    cols = [c for c in back.columns if expected_columns is None or c in set(expected_columns)]
-    return {"path": path, "rows": int(stats["rows"] or 0), "columns": len(cols),
+    return {"path": path, "rows": int(stats["rows"] or 0), "columns": len(back.columns),
             "bytes": int(stats["bytes"] or 0),
-            "columns_ok": expected_columns is None or list(expected_columns) == cols,
+            "columns_ok": expected_columns is None or list(expected_columns) == back.columns,
             "written_at": _dt.datetime.now().isoformat()}
 
 
+def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """The largest value of a first-level partition column, from the folder
+    names alone (one name per snapshot reaches the driver; no file is opened)."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    head = f"{column}="
+    names = (s.getPath().getName() for s in fs.listStatus(folder))
+    return max((n[len(head):] for n in names if n.startswith(head) and not n.endswith("__HIVE_DEFAULT_PARTITION__")),
+               default=None)
+
+
 def silver_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
@@ -50,24 +66,40 @@ def read_silver(spark: SparkSession, root: str, table: str, schema: T.StructType
                                             + [T.StructField("snapshot_date", T.DateType())]))
     df = reader.parquet(silver_path(root, table))
     if not all_snapshots:
-        newest = df.select(F.max("snapshot_date")).scalar()
-        df = df.filter(F.col("snapshot_date") == newest)
+        newest = newest_partition(spark, silver_path(root, table), "snapshot_date")
+        df = df.filter(F.col("snapshot_date") == F.lit(newest).cast("date"))
     cols = schema.fieldNames() if schema is not None else [c for c in df.columns if c != "snapshot_date"]
     return df.select(*cols)
 
 
+def staged(df: DataFrame, table: str, write, checks: Sequence[q.Check]) -> list:
+    """Evaluate ``df`` once into a staging table of the shared checkpoint
+    folder, gate what was written, then hand it (without helper columns) to
+    ``write``.  The staging table goes afterwards, published or not."""
+    spark = df.sparkSession
+    path = scratch_table_path(spark)
+    try:
+        df.write.option("compression", "snappy").parquet(path)
+        stage = spark.read.schema(df.schema).parquet(path)
+        rows = q.quality_gate(stage, table, checks)
+        write(stage.drop(REJECTED))
+    finally:
+        delete_paths(spark, [path])
+    return rows
+
+
 def write_silver(df: DataFrame, root: str, table: str, snapshot_date: str,
                  checks: Sequence[q.Check]) -> list:
-    """K3: gate, then write one dated snapshot (snappy Parquet, dynamic
-    partition overwrite).  Returns the check rows; raises before writing
-    when a FAIL check fails.  ``verify_written`` on
+    """K3: stage, gate, then publish one dated snapshot (snappy Parquet,
+    dynamic partition overwrite).  Returns the check rows; raises before
+    publishing when a FAIL check fails.  ``verify_written`` on
     ``snapshot_path(...)`` gives the K6 read-back."""
-    rows = q.quality_gate(df, table, checks)
-    (df.withColumn("snapshot_date", F.lit(snapshot_date).cast("date"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_date").option("compression", "snappy")
-     .parquet(silver_path(root, table)))
-    return rows
+    def publish(stage: DataFrame) -> None:
+        (stage.withColumn("snapshot_date", F.lit(snapshot_date).cast("date"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("snapshot_date").option("compression", "snappy")
+         .parquet(silver_path(root, table)))
+    return staged(df, table, publish, checks)
 
 
 def snapshot_path(root: str, table: str, snapshot_date: str) -> str:

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from medallion.functions.columns import (eq_flag, exact_round_ratio, first_element, first_matching,
+from medallion.functions.columns import (eq_flag, exact_round_ratio, first_matching,
                                          first_nonblank, first_nonzero, flip_result, form_label,
                                          points_for, result_code, try_int)
 
@@ -51,7 +51,6 @@ def test_array_helpers(spark):
     data = [([("PL", 1), ("CL", 2)],), ([("PD", 3)],), ([],), (None,)]
     got = one(spark, first_matching("a", lambda c: c["code"] == "CL")["id"], data, schema)
     assert got == [2, 3, None, None]
-    assert one(spark, first_element("a")["id"], data, schema) == [1, 3, None, None]
 
 
 def test_try_int_never_raises(spark):

@@ -84,10 +84,9 @@ def test_team_form_edges(spark, matches):
 
 
 def test_rolling_form_distributed_equals_window(spark, matches):
-    a = gold.rolling_form(matches, strategy="distributed").collect()
-    b = gold.rolling_form(matches, strategy="window").collect()
-    c = gold.rolling_form(matches, strategy="auto", max_group_rows=2).collect()   # hot path
-    assert sorted(map(tuple, c), key=str) == sorted(map(tuple, b), key=str)
+    from .plain import rolling_form_window
+    a = gold.rolling_form(matches).collect()
+    b = rolling_form_window(matches).collect()
     key = lambda r: (r["team_id"] is None, r["team_id"] or 0, r["match_id"])
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
     assert sorted(a, key=key)[0]["match_number"] == 1
@@ -171,8 +170,7 @@ def test_team_form_exchanges(spark, sf_small, tmp_path):
 
 def test_hot_team_on_fixture(spark, sf_small):
     # One team forced into a third of all matches (home side of every third
-    # match): the auto strategy finds a group above its bound and takes the
-    # segmented scan; results equal the plain per-team window.
+    # match): results equal the plain per-team window.
     m = fx.matches(spark, sf_small)
     hot = (m.withColumn("home_team_id", F.when(F.col("match_id") % 3 == 0, F.lit(-1))
                         .otherwise(F.col("home_team_id")))
@@ -180,8 +178,9 @@ def test_hot_team_on_fixture(spark, sf_small):
                         .otherwise(F.col("home_team_name"))))
     cols = ["team_id", "match_id", "match_number", "points_last_5", "goals_scored_last_5",
             "goals_conceded_last_5", "cumulative_points", "cumulative_played"]
-    auto = gold.rolling_form(hot, strategy="auto", max_group_rows=20)
-    plain = gold.rolling_form(hot, strategy="window")
+    from .plain import rolling_form_window
+    auto = gold.rolling_form(hot)
+    plain = rolling_form_window(hot)
     a = sorted(tuple(r) for r in auto.select(*cols).collect())
     b = sorted(tuple(r) for r in plain.select(*cols).collect())
     assert a == b and any(r[0] == -1 for r in a)

@@ -18,16 +18,16 @@ from medallion.sources import fixtures as fx
 def test_silver_snapshots_newest_by_default(spark, sf_small, tmp_path):
     root = str(tmp_path / "silver")
     m = fx.matches(spark, sf_small)
-    layers.write_silver(m, root, "matches", "2024-09-01", q.MATCH_CHECKS[:6])
-    layers.write_silver(m.limit(10), root, "matches", "2024-09-08", q.MATCH_CHECKS[:6])
+    layers.write_silver(m, root, "matches", "2024-09-01", q.MATCH_CHECKS)
+    layers.write_silver(m.limit(10), root, "matches", "2024-09-08", q.MATCH_CHECKS)
     assert layers.read_silver(spark, root, "matches").count() == 10          # R2
     assert layers.read_silver(spark, root, "matches", all_snapshots=True).count() == m.count() + 10
     # rewriting one snapshot replaces only that partition
-    layers.write_silver(m.limit(3), root, "matches", "2024-09-08", q.MATCH_CHECKS[:6])
+    layers.write_silver(m.limit(3), root, "matches", "2024-09-08", q.MATCH_CHECKS)
     assert layers.read_silver(spark, root, "matches", all_snapshots=True).count() == m.count() + 3
     bad = m.withColumn("match_id", F.lit(1))
     with pytest.raises(q.QualityGateError):
-        layers.write_silver(bad, root, "matches", "2024-09-15", q.MATCH_CHECKS[:6])
+        layers.write_silver(bad, root, "matches", "2024-09-15", q.MATCH_CHECKS)
     assert layers.read_silver(spark, root, "matches").count() == 3
 
 

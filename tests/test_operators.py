@@ -8,10 +8,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medallion.operators.ranking import global_dense_rank, global_row_number, rank_by, top_k
-from medallion.operators.sequence import last_n_per_group, running_stats, running_stats_window
+from medallion.operators.sequence import last_n_per_group, running_stats
 from medallion.operators.two_sided import two_sided
 
 from .conftest import rows
+from .plain import running_stats_window
 
 
 def skewed(spark, n=3000, seed=7):
@@ -139,14 +140,6 @@ def test_empty_inputs(spark):
     assert gold.rolling_form(none_finished).count() == 0
 
 
-def test_rank_auto_strategy(spark):
-    df = skewed(spark, n=500)
-    order = [F.col("v").desc(), F.col("id")]
-    want = df.withColumn("rk", F.row_number().over(Window.orderBy(*order)).cast("int"))
-    got = rank_by(df, order, "rk", strategy="auto")
-    assert rows(got, "id", "rk") == rows(want, "id", "rk")
-
-
 def test_drop_scratch_tables(spark):
     import os
     from medallion.session import drop_scratch_tables, scratch_tables_dir
