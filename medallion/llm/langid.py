@@ -9,12 +9,12 @@ the centroid's own limit.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +25,10 @@ DIM = 4096
 # frequencies are counted over every learning row; only the clustering samples.
 FIT_ROWS = 2400
 CENTROIDS = 3
-# A text is rejected beyond this multiple of the 1st percentile of the cosines
-# of the fitting rows of its centroid.
+# A text is rejected below this multiple of the 1st percentile of the cosines
+# of the fitting rows of its centroid, less for texts of few n-grams.
 REJECT_FACTOR = 0.25
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 _SPACE = np.arange(256, dtype=np.uint8)
 _SPACE[[i for i in range(128) if not chr(i).isalpha()]] = 32
@@ -78,19 +78,23 @@ class LanguageModel:
     centroids: np.ndarray
     owner: np.ndarray
     limit: np.ndarray
+    typical: np.ndarray  # distinct n-grams of the fitting rows, median
 
     def predict(self, texts: pa.Array):
         n = len(texts)
         lang, score, rejected = np.full(n, "und", dtype=object), np.zeros(n), np.ones(n, dtype=bool)
         has = np.array([bool(t) and LETTER.search(t) is not None for t in texts.to_pylist()], dtype=bool)
         if n and has.any() and len(self.centroids):
-            sims = weigh(gram_counts(texts), self.idf) @ self.centroids.T
+            counts = gram_counts(texts)
+            sims = weigh(counts, self.idf) @ self.centroids.T
             best = sims.argmax(axis=1)
             top = sims[np.arange(n), best]
             names = np.array(self.languages, dtype=object)[self.owner[best]]
             lang = np.where(has, names, "und")
             score = np.where(has, np.clip(top, 0.0, 1.0), 0.0).astype(float)
-            rejected = ~has | (top < self.limit[best])
+            # a short text can reach only its own few n-grams' part of a centroid
+            part = np.sqrt(np.minimum(1.0, (counts > 0).sum(axis=1) / self.typical[best]))
+            rejected = ~has | (top < self.limit[best] * part)
         return lang, score, rejected
 
 
@@ -134,7 +138,7 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, lang_col: str =
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return LanguageModel([], idf, np.zeros((0, dim), np.float32), np.zeros(0, int), np.zeros(0))
+        return LanguageModel([], idf, np.zeros((0, dim), np.float32), np.zeros(0, int), np.zeros(0), np.zeros(0))
     quota = max(8, fit_rows // len(sizes))
     pick = F.lit(False)
     for lang, size in sizes.items():
@@ -149,7 +153,7 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, lang_col: str =
     sample = (train.where(pick).select("lang", "h", "text").mapInArrow(run, "lang string, h long, v binary")
               .orderBy("h", "lang", "v").limit(2 * fit_rows).collect())
     languages, rng = sorted(sizes), np.random.default_rng(7)
-    cents, owner, limit = [], [], []
+    cents, owner, limit, typical = [], [], [], []
     for i, lang in enumerate(languages):
         mine = [r["v"] for r in sample if r["lang"] == lang]
         if not mine:
@@ -160,8 +164,9 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, lang_col: str =
             sims = (x[own == j] @ c[j]) if (own == j).any() else np.ones(1)
             cents.append(c[j])
             owner.append(i)
+            typical.append(max(1.0, float(np.median((x[own == j] > 0).sum(axis=1))) if (own == j).any() else 1.0))
             limit.append(reject_factor * float(np.percentile(sims, 1)))
-    return LanguageModel(languages, idf, np.array(cents, np.float32), np.array(owner), np.array(limit))
+    return LanguageModel(languages, idf, np.array(cents, np.float32), np.array(owner), np.array(limit), np.array(typical))
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
