@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, prepare, text_of
@@ -37,8 +37,12 @@ def explode_lines(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                        F.posexplode(F.split(text_of(text_col), "\n")).alias("line_no", "line"))
 
 
-def line_key(line: Column) -> Column:
-    return F.unhex(F.md5(line.cast("binary")))
+# 128-bit key of a line, as two longs from independent seeds
+KEYS = ["a", "b"]
+
+
+def line_keys(line: str = "line") -> list[Column]:
+    return [F.xxhash64(F.col(line)).alias("a"), F.xxhash64(F.lit(7), F.col(line)).alias("b")]
 
 
 def word_set(line: Column) -> Column:
@@ -75,10 +79,11 @@ def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
 
 
 def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> DataFrame:
-    """``tok, h, n, pos, doc_id, line_no``: the rare words that each line is posted under.
+    """``tok, a, b, n, pos``: the rare words that each line is posted under.
 
     Words are ordered by (count, hash): any order shared by all lines keeps the
-    join exact.  A word whose slot counts one is in no other line and is not posted."""
+    join exact.  A word whose slot counts one is in no other line and is not
+    posted.  A line repeated inside a batch is posted once."""
     num, den = similarity
     spark = lines.sparkSession
     shared = spark.sparkContext.broadcast(counts)
@@ -86,6 +91,9 @@ def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> Dat
     def run(batches):
         table = shared.value
         for b in batches:
+            a = b.column("a").to_numpy()
+            _, once = np.unique(a, return_index=True)
+            b = b.take(pa.array(np.sort(once)))
             codes, distinct, offsets = split_words(pc.ascii_lower(as_strings(b.column("line"))))
             if not len(codes):
                 continue
@@ -95,7 +103,8 @@ def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> Dat
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             line = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            key = np.unique(line * len(order) + place[codes])  # per line, its distinct words by rarity
+            key = np.sort(line * len(order) + place[codes])  # per line, its distinct words by rarity
+            key = key[np.concatenate([[True], key[1:] != key[:-1]])]
             line, word = key // len(order), order[key % len(order)]
             size = np.bincount(line, minlength=len(offsets) - 1)
             first = np.cumsum(size) - size
@@ -104,11 +113,11 @@ def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> Dat
             take = (pos < n - -(-num * n // den) + 1) & (rank[word] > 1)
             rows = pa.array(line[take])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[word[take]].view(np.int64)), b.column("h").take(rows), pa.array(n[take].astype(np.int32)),
-                 pa.array(pos[take].astype(np.int32)), b.column("doc_id").take(rows), b.column("line_no").take(rows)],
-                names=["tok", "h", "n", "pos", "doc_id", "line_no"])
+                [pa.array(hashes[word[take]].view(np.int64)), b.column("a").take(rows), b.column("b").take(rows),
+                 pa.array(n[take].astype(np.int32)), pa.array(pos[take].astype(np.int32))],
+                names=["tok", "a", "b", "n", "pos"])
 
-    return lines.mapInArrow(run, "tok long, h binary, n int, pos int, doc_id long, line_no int")
+    return lines.select("a", "b", "line").mapInArrow(run, "tok long, a long, b long, n int, pos int")
 
 
 def _first() -> Column:
@@ -124,36 +133,45 @@ def _may_match(a: str, b: str, similarity) -> Column:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, similarity) -> DataFrame:
+    """The pairs (``m``, ``o``: line keys) whose word sets reach the similarity."""
     num, den = similarity
-    a = sets.select(F.col("h").alias("h"), F.col("words").alias("wa"))
-    b = sets.select(F.col("h").alias("o"), F.col("words").alias("wb"))
+    left = sets.select(F.struct(*KEYS).alias("m"), F.col("words").alias("wa"))
+    right = sets.select(F.struct(*KEYS).alias("o"), F.col("words").alias("wb"))
     both = F.size(F.array_intersect("wa", "wb"))
-    return (pairs.join(a, "h").join(b, "o").where(both * den >= (F.size("wa") + F.size("wb") - both) * num)
-            .select("h", "o"))
+    return (pairs.join(left, "m").join(right, "o").where(both * den >= (F.size("wa") + F.size("wb") - both) * num)
+            .select("m.a", "m.b"))
 
 
-def similar_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
+def similar_lines(docs: DataFrame, firsts: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
                   rarity_slots: int = RARITY_SLOTS) -> DataFrame:
-    """``h`` of the distinct lines that an earlier, different line is similar to."""
+    """``a, b`` of the distinct lines that an earlier, different line is similar to.
+
+    ``firsts`` holds ``a, b, first``: the first occurrence of every line."""
     prepare(docs.sparkSession)
     counts = word_counts(docs.select(text_of(text_col).alias("t")), rarity_slots)
-    lines = explode_lines(docs, text_col, id_col).select("doc_id", "line_no", "line", line_key(F.col("line")).alias("h"))
-    posted = prefixes(lines, counts, similarity)
-    posted = materialise(posted.groupBy("tok", "h").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min(_first()).alias("first")), "postings")
-    heads = posted.groupBy("tok").agg(F.count("*").alias("members"), F.min(F.struct("first", "h", "n", "pos")).alias("e")).where("members > 1")
-    shared = posted.join(heads.select("tok", "e"), "tok")
-    shared = materialise(shared, "shared_postings")
-    involved = shared.select("h").distinct()
-    sets = materialise(lines.join(involved, "h", "left_semi").dropDuplicates(["h"]).select("h", word_set(F.col("line")).alias("words")), "word_sets")
-    head_pairs = (shared.select("tok", F.struct("h", "n", "pos").alias("m"), "e").where(F.col("m.h") != F.col("e.h"))
-                  .where(_may_match("m", "e", similarity)).select(F.col("m.h").alias("h"), F.col("e.h").alias("o")).distinct())
-    settled = materialise(_verify(head_pairs, sets, similarity).select("h").distinct(), "settled_lines")
-    left = shared.join(settled, "h", "left_anti").alias("x")
-    every = shared.alias("y")
-    rest = (left.join(every, (F.col("x.tok") == F.col("y.tok")) & (F.col("y.first") < F.col("x.first")) & (F.col("y.h") != F.col("x.e.h"))
-                      & _may_match("x", "y", similarity))
-            .select(F.col("x.h").alias("h"), F.col("y.h").alias("o")).distinct())
-    return settled.union(_verify(rest, sets, similarity).select("h")).distinct()
+    lines = explode_lines(docs, text_col, id_col).select("line", *line_keys())
+    # one exchange by word serves the dedup of repeated lines and the count of a list's lines
+    posted = (prefixes(lines, counts, similarity).repartition("tok").groupBy("tok", *KEYS)
+              .agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+              .withColumn("members", F.count("*").over(Window.partitionBy("tok"))).where("members > 1").drop("members"))
+    posted = materialise(posted, "postings")
+    involved = posted.select(*KEYS).distinct()
+    place = firsts.join(involved, KEYS, "left_semi")
+    shared = materialise(posted.join(place, KEYS), "shared_postings")
+    sets = materialise(lines.join(involved, KEYS, "left_semi").dropDuplicates(KEYS).select(*KEYS, word_set(F.col("line")).alias("words")), "word_sets")
+    me = F.struct(*KEYS)
+    heads = shared.groupBy("tok").agg(F.min(F.struct("first", *KEYS, "n", "pos")).alias("e"))
+    met = shared.join(heads, "tok")
+    head_pairs = (met.select(F.struct(*KEYS, "n", "pos").alias("x"), "e").where((F.col("x.a") != F.col("e.a")) | (F.col("x.b") != F.col("e.b")))
+                  .where(_may_match("x", "e", similarity))
+                  .select(F.struct("x.a", "x.b").alias("m"), F.struct("e.a", "e.b").alias("o")).distinct())
+    settled = materialise(_verify(head_pairs, sets, similarity).distinct(), "settled_lines")
+    left = met.join(settled, KEYS, "left_anti").withColumn("m", me).alias("x")
+    every = shared.withColumn("o", me).alias("y")
+    rest = (left.join(every, (F.col("x.tok") == F.col("y.tok")) & (F.col("y.first") < F.col("x.first"))
+                      & (F.col("o") != F.struct("x.e.a", "x.e.b")) & _may_match("x", "y", similarity))
+            .select("m", "o").distinct())
+    return settled.union(_verify(rest, sets, similarity)).distinct()
 
 
 def removed_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
@@ -167,12 +185,11 @@ def removed_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text"
     lines occur repeatedly; an empty table gives no rows; other columns are
     ignored."""
     lines = explode_lines(docs, text_col, id_col)
-    keyed = lines.select("doc_id", "line_no", line_key(F.col("line")).alias("h"), F.col("line").rlike(r"[^\x20\x09-\x0D]").alias("has"))
-    keyed = materialise(keyed, "line_keys")
-    later = similar_lines(docs, similarity, text_col, id_col, rarity_slots).withColumn("similar", F.lit(True))
-    firsts = keyed.where("has").groupBy("h").agg(F.min(_first()).alias("first")).join(later, "h", "left").select(
-        F.col("h").alias("h2"), "first", F.coalesce("similar", F.lit(False)).alias("similar"))
-    judged = keyed.join(firsts, F.col("h") == F.col("h2"), "left")
+    keyed = materialise(lines.select("doc_id", "line_no", *line_keys(), F.col("line").rlike(r"[^\x20\x09-\x0D]").alias("has")), "line_keys")
+    firsts = materialise(keyed.where("has").groupBy(*KEYS).agg(F.min(_first()).alias("first")), "first_lines")
+    later = similar_lines(docs, firsts, similarity, text_col, id_col, rarity_slots).withColumn("similar", F.lit(True))
+    known = firsts.join(later, KEYS, "left").select(*KEYS, "first", F.coalesce("similar", F.lit(False)).alias("similar"))
+    judged = keyed.join(known, KEYS, "left")
     gone = F.col("has") & (F.col("similar") | (F.col("first") < _first()))
     return judged.groupBy("doc_id").agg(
         F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed"))
