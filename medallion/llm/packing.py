@@ -12,6 +12,8 @@ but a handful of totals.
 from __future__ import annotations
 
 import math
+import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,15 @@ TOKENS_PER_RANGE = 8_000_000
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 _POOLS: dict[str, WordPool] = {}
+_PLAIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Letters as byte-level vocabularies spell them: a byte that is a visible
+    Latin-1 character stands for itself, the others take code points from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    spelt = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
+    return {c: "".join(spelt[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
 def _word_pool(path: str) -> WordPool:
@@ -40,21 +51,27 @@ def _word_pool(path: str) -> WordPool:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-        parts: dict[str, list] = {"": []}
+        model, table = tok.model, _byte_letters()
 
         def encode_many(words):
             # a word's letters and the marks after it are separate units of the vocabulary
-            if len(parts) > 400_000:
-                parts.clear()
-                parts[""] = []
-            split = []
+            split, new = [], {}
             for w in words:
-                stem = w.rstrip(".,!")
-                split.append((stem, w[len(stem):]) if stem and stem[-1].isalpha() else (w, ""))
-            new = [p for p in dict.fromkeys(x for pair in split for x in pair) if p and p not in parts]
-            for p, e in zip(new, tok.encode_batch(new, add_special_tokens=False)):
-                parts[p] = e.ids
-            return [parts[a] + parts[b] if b else parts[a] for a, b in split]
+                stem = w.rstrip(string.punctuation)
+                pair = (stem, w[len(stem):]) if stem and stem[-1].isalpha() and "<|" not in w else (w, "")
+                split.append(pair)
+                new[pair[0]] = new[pair[1]] = ()
+            new.pop("", None)
+            rest = []
+            for p in new:
+                if _PLAIN.fullmatch(p):  # one unit: no normalising and splitting needed
+                    new[p] = [t.id for t in model.tokenize(p.lower().translate(table))]
+                else:
+                    rest.append(p)
+            for p, e in zip(rest, tok.encode_batch(rest, add_special_tokens=False)):
+                new[p] = e.ids
+            new[""] = []
+            return [new[a] + new[b] if b else new[a] for a, b in split]
 
         _POOLS[path] = WordPool(encode_many)
     return _POOLS[path]
@@ -91,7 +108,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_co
             ids, ends = encode_batch(as_strings(b.column("text")), tokenizer_path)
             begins = np.concatenate([[0], ends[:-1]])
             doc = np.repeat(np.arange(n), ends - begins)
-            h = ((ids * 0x9E3779B1) >> 7) % VECTOR_DIM
+            h = ((ids.astype(np.int64) * 0x9E3779B1) >> 7) % VECTOR_DIM
             vec = np.log1p(np.bincount(doc * VECTOR_DIM + h, minlength=n * VECTOR_DIM).astype(np.float32).reshape(n, -1))
             vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-9)
             xs = vec @ proj

@@ -6,6 +6,8 @@ rebuild the per-document sequences."""
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,32 +50,29 @@ def gather_ragged(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, po
 class WordPool:
     """Per-word id sequences kept across batches of one worker (bounded)."""
 
-    def __init__(self, encode_many, limit: int = 400_000):
+    def __init__(self, encode_many, limit: int = 800_000):
         self.encode_many = encode_many
         self.limit = limit
         self.clear()
 
     def clear(self):
-        self.index, self.chunks, self.starts, self.lengths, self.size = {}, [], [], [], 0
-        self._flat = None
+        self.index = {}
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.int32)
 
     def lookup(self, words: list[str]):
         """``(slots, starts, lengths, pool)``: slot of every word."""
         if len(self.index) > self.limit:
             self.clear()
-        missing = [w for w in words if w not in self.index]
-        if missing:
-            for w, ids in zip(missing, self.encode_many(missing)):
-                self.index[w] = len(self.starts)
-                self.starts.append(self.size)
-                self.lengths.append(len(ids))
-                self.chunks.append(np.asarray(ids, dtype=np.int64))
-                self.size += len(ids)
-            self._flat = None
-        if self._flat is None:
-            flat = np.concatenate(self.chunks) if self.chunks else np.zeros(0, np.int64)
-            self.chunks = [flat]
-            self._flat = (np.asarray(self.starts, np.int64), np.asarray(self.lengths, np.int64), flat)
         index = self.index
-        slots = np.fromiter((index[w] for w in words), np.int64, len(words))
-        return (slots, *self._flat)
+        missing = [w for w in words if w not in index]
+        if missing:
+            found = self.encode_many(missing)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+            index.update(zip(missing, range(len(index), len(index) + len(missing))))
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.pool = np.concatenate([self.pool, ids])
+        slots = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        return slots, self.starts, self.lengths, self.pool
