@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,13 @@ def discard(*frames: DataFrame) -> None:
             delete_paths(df.sparkSession, [path])
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now, not whenever the
+    driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(name: str = "text") -> Column:
     """The text column, null counted as empty."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))

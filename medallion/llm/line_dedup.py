@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, prepare, text_of
+from .common import discard, materialise, prepare, release, text_of
 from .words import as_strings, split_words
 
 SIMILARITY = (4, 5)       # 0.8 as a fraction
@@ -31,9 +31,17 @@ RARITY_SLOTS = 1 << 22    # words are counted in this many hash slots
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# rows without an id are numbered from here by their text's hash, after all ids
+NO_ID = 1 << 62
+
+
+def _unnamed(text_col: str) -> Column:
+    return F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text_of(text_col)), 3)
+
+
 def explode_lines(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``doc_id, line_no, line`` of every line."""
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+    """``doc, line_no, line`` of every line; a row without an id is placed by its text."""
+    return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), _unnamed(text_col)).alias("doc"),
                        F.posexplode(F.split(text_of(text_col), "\n")).alias("line_no", "line"))
 
 
@@ -79,11 +87,11 @@ def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
 
 
 def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> DataFrame:
-    """``tok, a, b, n, pos``: the rare words that each line is posted under.
+    """``tok, doc, line, n, pos``: the rare words that each line is posted under.
 
     Words are ordered by (count, hash): any order shared by all lines keeps the
     join exact.  A word whose slot counts one is in no other line and is not
-    posted.  A line repeated inside a batch is posted once."""
+    posted.  Of a line repeated inside a batch, the earliest is posted."""
     num, den = similarity
     spark = lines.sparkSession
     shared = spark.sparkContext.broadcast(counts)
@@ -91,9 +99,10 @@ def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> Dat
     def run(batches):
         table = shared.value
         for b in batches:
-            a = b.column("a").to_numpy()
-            _, once = np.unique(a, return_index=True)
-            b = b.take(pa.array(np.sort(once)))
+            order = np.lexsort((b.column("line_no").to_numpy(), b.column("doc").to_numpy()))
+            keys = np.column_stack([b.column(c).to_numpy() for c in KEYS])[order]
+            _, once = np.unique(keys, axis=0, return_index=True)
+            b = b.take(pa.array(np.sort(order[once])))
             codes, distinct, offsets = split_words(pc.ascii_lower(as_strings(b.column("line"))))
             if not len(codes):
                 continue
@@ -113,15 +122,14 @@ def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> Dat
             take = (pos < n - -(-num * n // den) + 1) & (rank[word] > 1)
             rows = pa.array(line[take])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[word[take]].view(np.int64)), b.column("a").take(rows), b.column("b").take(rows),
+                [pa.array(hashes[word[take]].view(np.int64)), b.column("doc").take(rows), b.column("line_no").take(rows),
                  pa.array(n[take].astype(np.int32)), pa.array(pos[take].astype(np.int32))],
-                names=["tok", "a", "b", "n", "pos"])
+                names=["tok", "doc", "line", "n", "pos"])
 
-    return lines.select("a", "b", "line").mapInArrow(run, "tok long, a long, b long, n int, pos int")
+    return lines.select("doc", "line_no", *KEYS, "line").mapInArrow(run, "tok long, doc long, line int, n int, pos int")
 
 
-def _first() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no")
+AT = ["doc", "line"]
 
 
 def _may_match(a: str, b: str, similarity) -> Column:
@@ -132,75 +140,89 @@ def _may_match(a: str, b: str, similarity) -> Column:
     return (na * num <= nb * den) & (nb * num <= na * den) & (rest * (num + den) >= (na + nb) * num)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, similarity) -> DataFrame:
-    """The pairs (``m``, ``o``: line keys) whose word sets reach the similarity."""
+def _verify(pairs: DataFrame, texts: DataFrame, similarity, name: str) -> DataFrame:
+    """``doc, line`` of the left places (``m``) of pairs whose word sets reach the
+    similarity, written as a table; what it was made from goes."""
     num, den = similarity
-    left = sets.select(F.struct(*KEYS).alias("m"), F.col("words").alias("wa"))
-    right = sets.select(F.struct(*KEYS).alias("o"), F.col("words").alias("wb"))
+    pairs = materialise(pairs, "line_pairs")
+    release(texts.sparkSession)
+    named = pairs.select("m").union(pairs.select(F.col("o").alias("m"))).distinct()
+    sets = materialise(texts.join(named, "m", "left_semi").dropDuplicates(["m"]).select("m", word_set(F.col("text")).alias("words")), "word_sets")
+    release(texts.sparkSession)
     both = F.size(F.array_intersect("wa", "wb"))
-    return (pairs.join(left, "m").join(right, "o").where(both * den >= (F.size("wa") + F.size("wb") - both) * num)
-            .select("m.a", "m.b"))
+    out = materialise(pairs.join(sets.withColumnRenamed("words", "wa"), "m")
+                      .join(sets.select(F.col("m").alias("o"), F.col("words").alias("wb")), "o")
+                      .where(both * den >= (F.size("wa") + F.size("wb") - both) * num).select("m.*").distinct(), name)
+    discard(pairs, sets)
+    release(texts.sparkSession)
+    return out
 
 
 def similar_lines(docs: DataFrame, firsts: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
                   rarity_slots: int = RARITY_SLOTS) -> DataFrame:
-    """``a, b`` of the distinct lines that an earlier, different line is similar to.
+    """``doc, line`` of the first occurrences that an earlier, different line is similar to.
 
-    ``firsts`` holds ``a, b, first``: the first occurrence of every line."""
+    ``firsts`` holds ``doc, line``: where every distinct line occurs first."""
     prepare(docs.sparkSession)
     counts = word_counts(docs.select(text_of(text_col).alias("t")), rarity_slots)
-    lines = explode_lines(docs, text_col, id_col).select("line", *line_keys())
-    # one exchange by word serves the dedup of repeated lines and the count of a list's lines
-    posted = (prefixes(lines, counts, similarity).repartition("tok").groupBy("tok", *KEYS)
-              .agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-              .withColumn("members", F.count("*").over(Window.partitionBy("tok"))).where("members > 1").drop("members"))
+    lines = explode_lines(docs, text_col, id_col)
+    # one exchange by word gives every posting the earliest line of its list
+    by_word = Window.partitionBy("tok")
+    posted = (prefixes(lines.select("*", *line_keys()), counts, similarity).repartition("tok")
+              .withColumns({"members": F.count("*").over(by_word), "e": F.min(F.struct(*AT, "n", "pos")).over(by_word)})
+              .where("members > 1").drop("members"))
     posted = materialise(posted, "postings")
-    involved = posted.select(*KEYS).distinct()
-    place = firsts.join(involved, KEYS, "left_semi")
-    shared = materialise(posted.join(place, KEYS), "shared_postings")
-    sets = materialise(lines.join(involved, KEYS, "left_semi").dropDuplicates(KEYS).select(*KEYS, word_set(F.col("line")).alias("words")), "word_sets")
-    me = F.struct(*KEYS)
-    heads = shared.groupBy("tok").agg(F.min(F.struct("first", *KEYS, "n", "pos")).alias("e"))
-    met = shared.join(heads, "tok")
-    head_pairs = (met.select(F.struct(*KEYS, "n", "pos").alias("x"), "e").where((F.col("x.a") != F.col("e.a")) | (F.col("x.b") != F.col("e.b")))
-                  .where(_may_match("x", "e", similarity))
-                  .select(F.struct("x.a", "x.b").alias("m"), F.struct("e.a", "e.b").alias("o")).distinct())
-    settled = materialise(_verify(head_pairs, sets, similarity).distinct(), "settled_lines")
-    left = met.join(settled, KEYS, "left_anti").withColumn("m", me).alias("x")
-    every = shared.withColumn("o", me).alias("y")
-    rest = (left.join(every, (F.col("x.tok") == F.col("y.tok")) & (F.col("y.first") < F.col("x.first"))
-                      & (F.col("o") != F.struct("x.e.a", "x.e.b")) & _may_match("x", "y", similarity))
+    texts = lines.select(F.struct("doc", F.col("line_no").alias("line")).alias("m"), F.col("line").alias("text"))
+    place = F.struct(*AT)
+    met = posted.withColumn("x", F.struct("n", "pos")).where((F.col("doc") != F.col("e.doc")) | (F.col("line") != F.col("e.line")))
+    met = met.where(_may_match("x", "e", similarity)).select(place.alias("m"), F.struct("e.doc", "e.line").alias("o")).distinct()
+    known = firsts.select(F.struct(*AT).alias("m"))
+    settled = _verify(met.join(known, "m", "left_semi"), texts, similarity, "settled_lines")
+    unsettled = firsts.join(settled, AT, "left_anti")
+    x = posted.join(unsettled, AT, "left_semi").withColumn("m", place).alias("x")
+    y = posted.drop("e").withColumn("o", place).alias("y")
+    rest = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("o") < F.col("m"))
+                   & (F.col("o") != F.struct("x.e.doc", "x.e.line")) & _may_match("x", "y", similarity))
             .select("m", "o").distinct())
-    return settled.union(_verify(rest, sets, similarity)).distinct()
+    found = settled.union(_verify(rest, texts, similarity, "later_lines"))
+    discard(posted)
+    return found
+
+
+def _removed(docs: DataFrame, similarity, text_col: str, id_col: str, rarity_slots: int) -> DataFrame:
+    lines = explode_lines(docs, text_col, id_col)
+    keyed = materialise(lines.select("doc", "line_no", *line_keys(), F.col("line").rlike(r"[^\x20\x09-\x0D]").alias("has")), "line_keys")
+    firsts = materialise(keyed.where("has").groupBy(*KEYS).agg(F.min(F.struct("doc", F.col("line_no").alias("line"))).alias("first")), "first_lines")
+    later = similar_lines(docs, firsts.select("first.*"), similarity, text_col, id_col, rarity_slots)
+    later = later.select(F.struct(*AT).alias("first"), F.lit(True).alias("similar"))
+    known = firsts.join(later, "first", "left").select(*KEYS, "first", F.coalesce("similar", F.lit(False)).alias("similar"))
+    judged = keyed.join(known, KEYS, "left")
+    gone = F.col("has") & (F.col("similar") | (F.col("first") < F.struct("doc", F.col("line_no").alias("line"))))
+    return judged.groupBy("doc").agg(
+        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed"))
 
 
 def removed_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
                   rarity_slots: int = RARITY_SLOTS) -> DataFrame:
     """``doc_id, n_lines, removed`` (line numbers in order) for every document.
 
-    Order is doc_id (null last), then line number.  A line goes if an earlier line
+    Ids are below 2**62 and name one text; rows without an id come last, one result
+    each, placed by their text.  Order is doc_id, then line number.  A line goes if an earlier line
     is the same, or has Jaccard similarity of at least ``similarity`` with it,
     whether or not that earlier line stays.  Lines without words stay.  Null text
     counts as empty (one empty line); repeated rows count as one document whose
     lines occur repeatedly; an empty table gives no rows; other columns are
     ignored."""
-    lines = explode_lines(docs, text_col, id_col)
-    keyed = materialise(lines.select("doc_id", "line_no", *line_keys(), F.col("line").rlike(r"[^\x20\x09-\x0D]").alias("has")), "line_keys")
-    firsts = materialise(keyed.where("has").groupBy(*KEYS).agg(F.min(_first()).alias("first")), "first_lines")
-    later = similar_lines(docs, firsts, similarity, text_col, id_col, rarity_slots).withColumn("similar", F.lit(True))
-    known = firsts.join(later, KEYS, "left").select(*KEYS, "first", F.coalesce("similar", F.lit(False)).alias("similar"))
-    judged = keyed.join(known, KEYS, "left")
-    gone = F.col("has") & (F.col("similar") | (F.col("first") < _first()))
-    return judged.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed"))
+    return _removed(docs, similarity, text_col, id_col, rarity_slots).select(F.when(F.col("doc") < NO_ID, F.col("doc")).alias("doc_id"), "n_lines", "removed")
 
 
 def dedup_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
                 rarity_slots: int = RARITY_SLOTS) -> DataFrame:
     """``docs`` with the removed lines taken out of ``text_col``; no row goes."""
-    gone = removed_lines(docs, similarity, text_col, id_col, rarity_slots).where(F.size("removed") > 0).select(
-        F.col("doc_id").alias("__id"), F.col("removed").alias("__removed"))
-    joined = docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")), "left")
+    place = F.coalesce(F.col(f"`{id_col}`").cast("long"), _unnamed(text_col))
+    gone = _removed(docs, similarity, text_col, id_col, rarity_slots).where(F.size("removed") > 0).select(
+        F.col("doc").alias("__id"), F.col("removed").alias("__removed"))
+    joined = docs.join(gone, place == F.col("__id"), "left")
     kept = F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (x, i) -> not array_contains(__removed, i)), '\\n')")
     return joined.select(*[(F.when(F.col("__removed").isNotNull(), kept).otherwise(F.col(f"`{c}`")).alias(c) if c == text_col
                             else F.col(f"`{c}`")) for c in docs.columns])

@@ -63,5 +63,11 @@ def test_texts_lose_the_removed_lines_only(spark):
     assert ld.dedup_lines(docs, rarity_slots=1 << 10).columns == docs.columns
 
 
+def test_rows_without_an_id_have_one_result_each(spark):
+    docs = spark.createDataFrame([(None, "a b c d e\nx"), (None, "y\na b c d e"), (5, "a b c d e")], "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.n_lines, tuple(r.removed)) for r in ld.removed_lines(docs, rarity_slots=1 << 10).collect())
+    assert got == [(False, 1, ()), (True, 2, (0,)), (True, 2, (1,))]
+
+
 def test_empty_table(spark):
     assert ld.removed_lines(empty(spark), rarity_slots=1 << 10).count() == 0
