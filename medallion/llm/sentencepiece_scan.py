@@ -52,6 +52,7 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces), default=1)
         if any(MARK in p.lstrip(MARK) for p in self.pieces):
             raise ValueError("a piece of this vocabulary crosses a space mark")
+        self.heads = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}  # beginnings of pieces
         self.surface = [b""] * size
         for i in normal:
             self.surface[i] = names[i].replace(MARK, " ").encode("utf-8")
@@ -70,14 +71,17 @@ class Vocabulary:
         stop = min(len(x), expand + self.longest - 1)
         best, back = [NEG] * (stop + 1), [None] * (stop + 1)
         best[start] = 0
-        pieces, longest = self.pieces, self.longest
+        pieces, heads, longest = self.pieces, self.heads, self.longest
         for p in range(start, min(expand, stop)):
             here = best[p]
             if here == NEG:
                 continue
             single = False
             for e in range(p + 1, min(p + longest, stop) + 1):
-                got = pieces.get(x[p:e])
+                part = x[p:e]
+                if part not in heads:
+                    break
+                got = pieces.get(part)
                 if got is not None:
                     single = single or e == p + 1
                     if here + got[0] > best[e]:
