@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import (embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, quality_net, secret_forest,
+from . import (embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, piece_merges, quality_net, secret_forest,
                sentencepiece_scan, simhash_bytes)
 from .common import fold_of, table
 
@@ -30,7 +30,7 @@ def op1_packing(spark, sf_dir):
 
 def op2_sentencepiece(spark, sf_dir):
     model = tokenizer_file(PIECE_BPE)
-    encoded = sentencepiece_scan.encode(table(spark, sf_dir, "documents"), model)
+    encoded = piece_merges.encode(table(spark, sf_dir, "documents"), model)
     return sentencepiece_scan.decode(encoded, model).select(
         "doc_id", "chunk", "n_chars", (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
         F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
