@@ -1,21 +1,26 @@
 """License scans by sentence recognition.
 
-Each sentence of a text is normalised (lower case, runs of other characters than
-letters and digits become one space) and mapped to the identifier of a known
-licence sentence; the identifiers found, in text order, are then matched against
-ordered licence rules.  Only DataFrame functions run here.
+A text is normalised (lower case, runs of other characters than letters and digits
+become one space) with its sentence ends, blank lines and newlines kept as marks.
+A known sentence counts where it fills a sentence or whole lines; a complete
+sentence of a licence text counts wherever all its words stand in a row, on one
+line or wrapped, behind comment or list marks.  The identifiers found, in text
+order, are then matched against ordered licence rules.  Only DataFrame functions
+run here.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
 
-SPLIT = r"[.!?]+(?=[\x20\x09-\x0D]|$)|\n+"
+TERMINATOR = r"[.!?]+(?=[\x20\x09-\x0D]|$)"
 
 # Known licence sentences: identifier and sentence (fixed values).
 SENTENCES = [
@@ -39,6 +44,34 @@ SENTENCES = [
     ("RIGHTS", "All rights reserved"),
 ]
 
+# Complete sentences of the licence texts: identifiers and wording (fixed values).
+TEXTS = [
+    (("APACHE2_REF", "APACHE2_USE"), "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+     "except in compliance with the License"),
+    (("APACHE2_COPY",), "You may obtain a copy of the License at"),
+    (("MIT_GRANT",), "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+     "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights "
+     "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
+     "whom the Software is furnished to do so, subject to the following conditions"),
+    (("MIT_NOTICE",), "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+     "of the Software"),
+    (("MIT_NOTICE",), "The above copyright notice and this permission notice (including the next paragraph) shall be included in all "
+     "copies or substantial portions of the Software"),
+    (("AS_IS",), "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+     "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"),
+    *[(("GPL_GRANT",), "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+       f"Public License as published by the Free Software Foundation, either version {n} of the License, or (at your option) any "
+       "later version") for n in (2, 3)],
+    (("GPL_WARRANTY",), "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+     "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    (("BSD_GRANT",), "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+     "the following conditions are met"),
+    (("BSD_SOURCE",), "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+     "following disclaimer"),
+    (("BSD_BINARY",), "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+     "following disclaimer in the documentation and/or other materials provided with the distribution"),
+]
+
 # Ordered rules: the licence, and the identifiers that must follow one another
 # (others may stand between them).
 RULES = [
@@ -59,28 +92,47 @@ def normalise(sentence: str) -> str:
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
 
 
-def _quoted(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def known_sentences(sentences=SENTENCES) -> list[tuple[str, str]]:
     """``(normalised, identifier)``, split as texts are, so a full stop inside a
     known sentence cannot hide it."""
     return list(dict((normalise(s), i) for i, s in sentences).items())
 
 
-def scan_licenses(docs: DataFrame, sentences=SENTENCES, rules=RULES, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def marked(text: Column) -> Column:
+    """Normalised text: ``|`` at sentence ends and blank lines, ``/`` at other newlines."""
+    t = F.regexp_replace(F.translate(F.lower(text), "\x01", " "), TERMINATOR, "\x01")
+    t = F.regexp_replace(t, "[^a-z0-9\x01\n]+", " ")
+    t = F.regexp_replace(F.regexp_replace(t, " ?\n ?", "\n"), "\n\n+", "\x01")
+    t = F.regexp_replace(F.regexp_replace(t, "[ \n]?\x01[ \n\x01]*+", " | "), "\n", " / ")
+    return F.concat(F.lit("| "), F.trim(t), F.lit(" |"))
+
+
+def _pattern(sentences: list[str], texts: list[str]) -> str:
+    """Matches in ``marked`` text: complete sentences anywhere, known ones between marks; the longest first."""
+    wrapped = lambda s: s.replace(" ", "(?: /)? ")
+    anywhere = "|".join(wrapped(s) for s in sorted(texts, key=len, reverse=True))
+    filling = "|".join(wrapped(s) for s in sorted(sentences, key=len, reverse=True))
+    both = [f"(?:{anywhere})(?= )"] * bool(texts) + [f"(?<=[|/] )(?:{filling})(?= [|/])"] * bool(sentences)
+    return f"(?<= )(?:{'|'.join(both)})"
+
+
+def scan_licenses(docs: DataFrame, sentences=SENTENCES, rules=RULES, text_col: str = "text", id_col: str = "doc_id",
+                  texts=TEXTS) -> DataFrame:
     """One row per document: ``doc_id, sentence_ids, licenses`` (arrays in text and rule order).
 
     Null and empty texts have neither; whole texts are read; repeated rows repeat
     their answer; an empty table gives no rows; other columns are ignored."""
-    known = known_sentences(sentences)
-    inside = ", ".join(_quoted(n) for n, _ in known)
-    lookup = F.create_map(*[F.lit(x) for x in chain.from_iterable(known)])
-    base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.split(F.lower(text_of(text_col)), SPLIT).alias("__s"))
-    hits = base.select("doc_id", F.expr(
-        f"filter(transform(__s, s -> trim(regexp_replace(s, '[^a-z0-9]+', ' '))), s -> s in ({inside}))").alias("__s"))
-    ids = hits.select("doc_id", F.transform("__s", lambda s: F.element_at(lookup, s)).alias("sentence_ids"))
+    known, whole = known_sentences(sentences), [(normalise(s), ids) for ids, s in texts]
+    ids_of = {s: (i,) for s, i in known} | dict(whole)
+    lookup = F.create_map(*chain.from_iterable((F.lit(s), F.array(*map(F.lit, ids))) for s, ids in ids_of.items()))
+    text = text_of(text_col)
+    # every sentence holds its longest word; other texts need no closer look
+    rare = sorted({max(s.split(), key=len) for s in ids_of})
+    near = reduce(or_, [F.lower(text).contains(w) for w in rare], F.lit(False))
+    found = F.regexp_extract_all(marked(text), F.lit(_pattern([s for s, _ in known], [s for s, _ in whole])), F.lit(0))
+    base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.when(near, found).otherwise(F.array().cast("array<string>")).alias("__s"))
+    ids = base.select("doc_id", F.flatten(F.transform("__s", lambda s: F.element_at(lookup, F.replace(s, F.lit(" /"), F.lit("")))))
+                      .alias("sentence_ids"))
     line = F.concat(F.lit(" "), F.array_join("sentence_ids", " "), F.lit(" "))
     found = [F.when(line.rlike(" " + " (?:[^ ]+ )*?".join(seq) + " "), F.lit(name)) for name, seq in rules]
     return ids.select("doc_id", "sentence_ids", F.array_compact(F.array(*found)).alias("licenses"))
