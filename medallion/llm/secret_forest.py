@@ -1,10 +1,11 @@
 """Secret scans: a random forest decides which candidate strings are secrets.
 
 Only DataFrame functions and the JVM forest of ``pyspark.ml`` run here.  A
-candidate is a run of at least twelve key characters with a digit, or sixteen capitals.  Its features
-are its length and character mix, how its letter pairs compare with those of the
-corpus, how much of it the corpus dictionary covers, path marks, and its
-neighbouring words.  The forest learns from labelled findings: those that the
+candidate is what follows a named assignment, or a run of at least twelve key
+characters (parts joined by full stops included) with a digit or sixteen capitals,
+after any other character.  Its features are its length and character mix, how its
+letter pairs compare with those of the corpus, how much of it the corpus
+dictionary covers, path marks, and its neighbouring words.  The forest learns from labelled findings: those that the
 caller gives, else the findings that ``seed_labels`` can settle by their format;
 all other findings are decided by the forest alone.
 """
@@ -21,10 +22,31 @@ from pyspark.sql import functions as F
 
 from .common import materialise, text_of
 
-# the value in a word: after the word's start or an opening mark
-VALUE = r"""(?:^|[=:"'(\[<{,;])(?=[A-Za-z_+/\-]*[0-9]|[A-Z]{16})([A-Za-z0-9_+/\-]{12,}={0,2})"""
 NAMES = r"(?i)(passw|token|secret|api.?key|access.?key|auth|credential|private)"
-PROVIDER = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abp]-[0-9A-Za-z-]{20,})$"
+KEY = r"[A-Za-z0-9_+/\-]"
+FORMATS = (r"AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abp]-[0-9A-Za-z-]{20,}|SG\.[\w\-]{16,}\.[\w\-]{16,}"
+           r"|eyJ[\w\-]{5,}\.[\w\-]{2,}\.[\w\-]{5,}")
+PROVIDER = f"^({FORMATS})$"
+# a run of key characters, after the word's start or any other character
+RUN = (f"(?<!{KEY})(?={KEY})(?:(?:{FORMATS})(?!{KEY})|" r"(?:(?=[A-Za-z_+/\-]*[0-9]|[A-Z]{16})"
+       f"{KEY}{{12,}}(?:\\.{KEY}{{12,}}){{0,8}}|" r"(?=[A-Za-z_+/\-.]{0,200}[0-9])"
+       f"{KEY}+(?:\\.{KEY}{{12,}}){{1,8}})={{0,2}})")
+# a name, what may stand between, and the sign of assignment; "author" and "secretary" are other names
+ASSIGN = (r"(?:(?i:passw|token|secret(?!ar)|api.?key|access.?key|auth(?!or(?!i))|credential|private))"
+          r"""[A-Za-z0-9_\-]{0,40}\\?["'`\])]{0,3}(?:=>|:=|[=:]{1,2})""")
+# an unquoted value ends before the next name of a list and before a tag
+PLAIN = (r"""(?:(?!["'`](?![A-Za-z0-9])|<(?=/?[A-Za-z])|[&,;](?=["'`]?[A-Za-z_][\w.\-]{0,40}["'`]?[=:]))\S)""")
+ENDS = r"""(?<![.,;:)\]}>\\*|])"""
+
+
+def _assigned(before: str) -> str:
+    """The value after ``before`` (of bounded length), whatever its letters and marks."""
+    quoted = [rf"(?<={before}\\{{0,1}}{q})(?:(?!\\?{q})\S){{6,}}" for q in "\"'`"]
+    return "|".join([*quoted, f"(?<={before})(?![=:>\\\\\"'`]){PLAIN}{{6,}}{ENDS}"])
+
+
+VALUE = f"(?:{_assigned(ASSIGN)}|{RUN})"
+FIRST = f"(?:{_assigned('^')}|{RUN})"     # in the word after a named assignment
 MIN_WORD_COUNT = 5      # a dictionary word occurs at least this often in the corpus
 TRAIN_ROWS = 20_000     # labelled findings used to fit the forest
 TREES, DEPTH = 20, 5
@@ -35,20 +57,28 @@ FEATURES = ["len", "digits", "upper", "runs", "entropy", "transition", "dictiona
             "assigned", "named", "quoted", "provider"]
 
 
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def find_candidates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, thash, position, part, value, word, before, before2, after`` of all candidates."""
     base = (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("t"))
-            .where(F.col("t").rlike("[0-9]|[A-Z]{16}")).select("doc_id", F.xxhash64("t").alias("thash"),
-                                                     F.split("t", r"[\x20\x09-\x0D]+").alias("ws")))
-    pattern = VALUE.replace("\\", "\\\\").replace("'", "\\'")
+            .where(F.col("t").contains("=") | F.col("t").contains(":") | F.col("t").rlike("[0-9]|[A-Z]{16}"))
+            .select("doc_id", F.xxhash64("t").alias("thash"), F.split("t", r"[\x20\x09-\x0D]+").alias("ws")))
     hits = base.select("doc_id", "thash", F.expr(
-        "transform(filter(transform(ws, (w, i) -> struct(w as word, i as position)), "
-        f"s -> length(s.word) >= 12 and s.word rlike '{pattern}'), "
-        "s -> struct(s.position as position, s.word as word, get(ws, s.position - 1) as before, "
-        "get(ws, s.position - 2) as before2, get(ws, s.position + 1) as after))").alias("hits"))
+        "transform(filter(transform(zip_with(ws, concat(array(''), ws), (w, b) -> struct(w as word, b as before)), "
+        "(x, i) -> struct(x.word as word, i as position, x.before as before)), s -> length(s.word) >= 6 and ("
+        f"length(s.word) >= 12 and s.word rlike '[0-9]|[A-Z]{{16}}' and s.word rlike {_sql(RUN)} "
+        f"or (contains(s.word, '=') or contains(s.word, ':')) and s.word rlike {_sql(ASSIGN)} "
+        "or endswith(s.before, '=') or endswith(s.before, ':') or endswith(s.before, '=>'))), "
+        "s -> struct(s.position as position, s.word as word, s.before as before, "
+        "coalesce(get(ws, s.position - 2), '') as before2, coalesce(get(ws, s.position + 1), '') as after))").alias("hits"))
     one = hits.select("doc_id", "thash", F.explode("hits").alias("h")).select("doc_id", "thash", "h.*")
-    return one.select("doc_id", "thash", "position", F.posexplode(F.regexp_extract_all("word", F.lit(VALUE), 1)).alias("part", "value"),
-                      "word", *[F.coalesce(c, F.lit("")).alias(c) for c in ("before", "before2", "after")])
+    left = F.concat(F.when(F.col("before").rlike("^[=:>]+$"), F.col("before2")).otherwise(""), "before")
+    taken = lambda pattern: F.regexp_extract_all("word", F.lit(pattern), F.lit(0))
+    values = F.when(F.col("word").rlike(ASSIGN), taken(VALUE)).when(left.rlike(f"{ASSIGN}$"), taken(FIRST)).otherwise(taken(RUN))
+    return one.select("doc_id", "thash", "position", F.posexplode(values).alias("part", "value"), "word", "before", "before2", "after")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", min_count: int = MIN_WORD_COUNT) -> DataFrame:
@@ -91,7 +121,8 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
                      "c -> length(value) - length(replace(value, c, ''))), 0D, "
                      "(s, k) -> s - (k / length(value)) * log2(k / length(value)))")
     named = F.concat_ws(" ", "before2", "before", F.regexp_extract("word", r"^([^=:]*)[=:]", 1)).rlike(NAMES)
-    assigned = F.col("word").rlike(r"[=:]") | F.col("before").rlike(r"[=:]$")
+    named = named | F.col("word").rlike(ASSIGN)
+    assigned = F.col("word").rlike(r"[=:]") | F.col("before").rlike(r"[=:]>?$")
     flag = lambda c: c.cast("double")
     known = value_features(found.select("value").distinct(), words)
     return found.join(known, "value").withColumns({
@@ -104,7 +135,10 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 def seed_labels(found: DataFrame) -> DataFrame:
     """``label`` 1 or 0 where a finding's format settles it, else null."""
-    yes = (F.col("provider") == 1) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digits") < 1) & (F.col("entropy") >= 2.5))
+    v = F.col("value")
+    mixed = (F.col("digits") > 0) | (v.rlike("^[A-Za-z]+$") & v.rlike("[a-z][A-Z]") & (F.col("dictionary") < 0.5))
+    yes = (F.col("provider") == 1) | ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digits") < 1)
+                                      & (F.col("entropy") >= 2.5) & mixed)
     no = (F.col("digits") == 1) | (F.col("path") == 1) | (F.col("dictionary") > 0.7) | (F.col("entropy") < 2)
     no = no | ((F.col("digits") == 0) & (F.col("provider") == 0) & (F.col("named") == 0))
     return found.withColumn("label", F.when(yes & ~no, 1.0).when(no & ~yes, 0.0))
