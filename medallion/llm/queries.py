@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import (embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, piece_merges, quality_net, secret_forest,
+from . import (conversation_trie, embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, piece_merges, quality_net, secret_forest,
                sentencepiece_scan, simhash_bytes)
 from .common import fold_of, table
 
@@ -82,6 +82,12 @@ def op10_simhash_near_dedup(spark, sf_dir):
         "doc_id", _unsigned_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op11_conversation_trie(spark, sf_dir):
+    """Conversations rebuilt on the first turns of their group of five."""
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"), base=F.expr("conv_id - conv_id % 5"),
+                                         head=F.expr("crc32(cast(conv_id as string)) % 9"))
+
+
 EMBEDDING_SQL = r"""
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -132,6 +138,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 ORACLES = {"op3_embedding_near_dedup": EMBEDDING_SQL, "op5_license_scan": _license_sql(), "op7_exact_dedup": EXACT_SQL}
 
