@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import (conversation_trie, embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, piece_merges, quality_net, secret_forest,
+from . import (conversation_repair, conversation_trie, embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, piece_merges, quality_net, secret_forest,
                sentencepiece_scan, simhash_bytes)
 from .common import fold_of, table
 
@@ -88,6 +88,24 @@ def op11_conversation_trie(spark, sf_dir):
                                          head=F.expr("crc32(cast(conv_id as string)) % 9"))
 
 
+def damaged_conversations(convs):
+    """``conversations`` with the contract's damage; dropped rows stay with ``present`` false."""
+    blank = F.lit(" ")
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    rows = convs.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(place.cast("binary")) % 20).alias("k"))
+    copies = F.when(F.col("k") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("k") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("k") == 1, "").when(F.col("k") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        (F.col("k") != 0).alias("present"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark, sf_dir):
+    rows = damaged_conversations(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_report(rows, present=F.col("present"))
+
+
 EMBEDDING_SQL = r"""
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -139,6 +157,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLES = {"op3_embedding_near_dedup": EMBEDDING_SQL, "op5_license_scan": _license_sql(), "op7_exact_dedup": EXACT_SQL}
 
