@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import (conversation_repair, conversation_trie, embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing, piece_merges, quality_net, secret_forest,
-               sentencepiece_scan, simhash_bytes)
+from . import (conversation_repair, conversation_trie, embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing,
+               piece_merges, quality_net, quality_rules, secret_forest, sentencepiece_scan, simhash_bytes)
 from .common import fold_of, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -106,6 +106,11 @@ def op12_conversation_repair(spark, sf_dir):
     return conversation_repair.repair_report(rows, present=F.col("present"))
 
 
+def op13_quality_rules(spark, sf_dir):
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", *quality_rules.COUNTS[:5], "base_failed", "kept", "rule")
+
+
 EMBEDDING_SQL = r"""
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -158,6 +163,7 @@ QUERIES = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_quality_rules": op13_quality_rules,
 }
 ORACLES = {"op3_embedding_near_dedup": EMBEDDING_SQL, "op5_license_scan": _license_sql(), "op7_exact_dedup": EXACT_SQL}
 
