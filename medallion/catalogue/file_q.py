@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from ..operators.ranking import rank_by, scratch_table_path
 from ..plans import gold, ingest, jobs
 from ..plans import quality as q
-from ..plans.silver import silver_matches
+from ..plans.silver import silver_matches, silver_teams
 from ..schemas import BRONZE_MATCHES_DOC, BRONZE_PLAYERS_DOC, SILVER_MATCHES
+from ..session import delete_paths
 from ..sources import bronze, layers
 from ..sources import fixtures as fx
+from ..sources.commits import SnapshotStore
 from . import register
 from .gold_q import LEAGUE_ORDER, M, RATIO_COLS, SEASON_SQL, TEAM_ORDER
 from .silver_q import MATCH_COLS, MATCHES_SILVER_SQL
@@ -32,20 +34,6 @@ def cut_documents(records: DataFrame, key, array_field: str, path: str, extra: d
     pages.select(F.to_json(doc).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
 
-def name_files(spark, folder: str, names: dict[str, str]) -> None:
-    """Rename the only file of each ``folder/<key>`` to ``folder/<name>``."""
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(sc._jsc.hadoopConfiguration())
-    for key, name in names.items():
-        (part,) = [f.getPath() for f in fs.globStatus(path(f"{folder}/{key}/part-*"))]
-        target = path(f"{folder}/{name}")
-        fs.mkdirs(target.getParent())
-        if not fs.rename(part, target):
-            raise OSError(f"cannot rename to {name}")
-        fs.delete(path(f"{folder}/{key}"), True)
-
-
 @register("silver_from_documents", MATCHES_SILVER_SQL)
 def q_silver_from_documents(spark, sf):
     """Documents (read by a glob, among files that do not match
@@ -69,20 +57,81 @@ with {fx.fixture_ctes('teams')}, y as (select unnest([{', '.join(map(str, SEASON
 select cast(y.season as integer) as season, cast(t.team_id as integer) as team_id
 from teams t, y where t.team_id % 3 <> y.season % 3""")
 def q_teams_newest_documents(spark, sf):
-    """S2, S3 per season: an older and a newer document of each season; only the
-    newer ones (other teams) are read."""
+    """S2, S3 per season: an older and a newer snapshot of each season, in pages of bounded
+    size; all pages of the newer ones (other teams), and no others, are read."""
     root = scratch_table_path(spark)
     recs = fx.bronze_team_records(fx.teams(spark, sf))
-    for y in SEASONS:
-        for day, keep in ((f"{y}-08-01", F.col("id") % 3 == y % 3), (f"{y}-09-01", F.col("id") % 3 != y % 3)):
-            doc = recs.where(keep).agg(F.collect_list(F.struct(*recs.columns)).alias("teams"))
-            doc.select(F.to_json(F.struct("teams")).alias("value")).coalesce(1).write.text(f"{root}/teams/d{day}")
-            name_files(spark, f"{root}/teams", {f"d{day}": f"{day}_teams_season_{y}.json"})
+    days = F.explode(F.array(*[F.struct(F.lit(y).alias("season"), F.lit(m).alias("month")) for y in SEASONS for m in (8, 9)]))
+    dated = recs.select("*", days.alias("_day")).where(
+        ((F.col("id") % 3 == F.col("_day.season") % 3) & (F.col("_day.month") == 8))
+        | ((F.col("id") % 3 != F.col("_day.season") % 3) & (F.col("_day.month") == 9)))
+    pages = dated.groupBy("_day", F.floor(F.col("id") / PAGE).alias("_page")).agg(F.collect_list(F.struct(*recs.columns)).alias("r"))
+    name = F.concat("_day.season", F.lit("-0"), "_day.month", F.lit("-01_teams_season_"), "_day.season")
+    bronze.write_pages(pages, f"{root}/teams", name, F.col("r"), "teams")
     got = jobs.newest_records(spark, "teams", root, per_season=True)
-    from ..plans.silver import silver_teams
     flat = silver_teams(got, source=F.col("source_blob"))
-    return flat.select(F.regexp_extract("source_blob", bronze.SEASON_IN_NAME, 1).cast("int").alias("season"),
-                       "team_id")
+    return flat.select(bronze.snapshot_keys(F.concat(F.lit("/"), F.col("source_blob")))[1].alias("season"), "team_id")
+
+
+@register("damaged_documents", f"""
+with {M}, pages as (select match_id // {PAGE} as page, count(*) as n from matches group by 1)
+select cast(page as integer) as page, cast(case when page % 5 = 2 then 0 else 1 end as bigint) as documents,
+       cast(case when page % 5 in (1, 2) then 0 else n end as bigint) as records,
+       case page % 5 when 1 then 'unreadable' when 2 then 'empty' end as problem,
+       cast(case when page % 5 in (1, 2) then 0 else n end as bigint) as records_read,
+       page % 5 = 1 as marked
+from pages""")
+def q_damaged_documents(spark, sf):
+    """Documents among which some are cut off and some are empty.  The listing held
+    against the parse names each with its reason; a quarantining read marks the cut ones and
+    takes every record of the others."""
+    root = scratch_table_path(spark)
+    recs = fx.bronze_match_records(fx.matches(spark, sf))
+    pages = recs.groupBy(F.floor(F.col("id") / PAGE).alias("page")).agg(F.collect_list(F.struct(*recs.columns)).alias("matches"))
+    text = F.to_json(F.struct("matches"))
+    value = (F.when(F.col("page") % 5 == 1, text.substr(F.lit(1), (F.length(text) / 2).cast("int")))
+             .when(F.col("page") % 5 == 2, "").otherwise(text))
+    (pages.select(value.alias("value"), F.concat(F.lit("2024-09-01_matches_season_"), F.col("page")).alias("snapshot"))
+     .write.partitionBy("snapshot").option("maxRecordsPerFile", 1).text(f"{root}/matches"))
+    log = bronze.document_log(spark, f"{root}/matches", "matches", glob="*.txt")
+    docs = bronze.read_documents(spark, f"{root}/matches", BRONZE_MATCHES_DOC, glob="*.txt", on_damage=bronze.QUARANTINE)
+    read = bronze.record_counts(docs, "matches", keep=(bronze.PROBLEM,)).select(
+        "source_blob", F.col("record_count").cast("long").alias("n"), F.col(bronze.PROBLEM).isNotNull().alias("bad"))
+    return log.join(read, "source_blob", "left").select(
+        F.col("season").alias("page"), "documents", "records", "problem", F.coalesce("n", F.lit(0)).alias("records_read"),
+        F.coalesce("bad", F.lit(False)).alias("marked"))
+
+
+@register("ingest_repair", f"""
+with {M}
+select cast(year(match_date) as integer) as season, count(*) as rows, count(*) as ids, true as ok
+from matches where match_date is not null group by 1""")
+def q_ingest_repair(spark, sf):
+    """Seasons left unfinished by a broken run (a fragment without a mark; a mark whose
+    files were never moved into place; files lost after the commit) are repaired by the rerun."""
+    target = f"{scratch_table_path(spark)}/matches"
+    m = fx.matches(spark, sf)
+    recs = fx.bronze_match_records(m)
+    year = F.year(F.to_date(F.substring("utcDate", 1, 10)))
+    store = SnapshotStore(spark, target)
+    logs = None
+    for y in [r[0] for r in recs.select(year.alias("y")).where("y is not null").distinct().orderBy("y").collect()]:
+        mine, day, key = recs.where(year == y), f"{y}-12-31", store.key(f"{y}-12-31", y)
+        rows = ingest.annotate(mine, day, y, "matches").drop(*ingest.SNAPSHOT_KEYS)
+        if y % 3 == 0:
+            rows.where("id % 3 = 0").write.parquet(f"{target}/{key}")
+        elif y % 3 == 1:
+            attempt, folder = store.staging()
+            rows.write.parquet(folder)
+            store.commit(key, attempt, mine.count())
+        else:
+            ingest.bronze_ingest(spark, mine, target, day, y, "matches")
+            delete_paths(spark, [f"{target}/{key}"])
+        log = ingest.bronze_ingest(spark, mine, target, day, y, "matches")
+        logs = log if logs is None else logs.union(log)
+    ids = spark.read.parquet(target).groupBy("snapshot_season").agg(F.count_distinct("id").alias("ids"))
+    return (logs.withColumn("season", F.substring_index("item", "/", -1).cast("int"))
+            .join(ids, F.col("season") == F.col("snapshot_season")).select("season", "rows", "ids", "ok"))
 
 
 @register("bronze_ingest_rerun", f"""
@@ -111,26 +160,24 @@ def q_bronze_ingest_rerun(spark, sf):
 
 @register("season_index_ingest", f"""
 with {M}
-select 'season ' || cast(match_id // 1000 as varchar) as item, count(*) as rows, true as ok
-from matches where match_id % 2 = 0 group by match_id // 1000""")
+select 'season ' || cast(match_id // 1000 as varchar) || ' of ' || case when match_id % 2 = 0 then '16' else '11' end as item,
+       count(*) as rows, true as ok
+from matches group by match_id // 1000, match_id % 2""")
 def q_season_index_ingest(spark, sf):
-    """Two competitions share their season ids; one is ingested,
-    twice, and only its own matches are stored."""
+    """Two competitions share their season ids; both are ingested into one
+    store, one of them twice, and each logs and stores its own matches."""
     root = scratch_table_path(spark)
-    m = fx.matches(spark, sf).select("match_id", "status", F.when(F.col("match_id") % 2 == 0, 16).otherwise(11).alias("c"),
-                                     F.floor(F.col("match_id") / 1000).cast("int").alias("s"))
-    docs = m.groupBy("c", "s").agg(F.to_json(F.collect_list(F.struct(F.col("match_id").alias("id"), "status"))).alias("value"))
-    docs.repartition("c", "s").write.partitionBy("c", "s").text(f"{root}/raw")
-    keys = [(r["c"], r["s"]) for r in docs.select("c", "s").collect()]   # one per document
-    name_files(spark, f"{root}/raw", {f"c={c}/s={s}": f"m/{c}/{s}.json" for c, s in keys})
-    index = [{"competition_id": c, "season_id": s, "season_name": f"season {s}"} for c, s in keys]
-    entries = spark.createDataFrame([(c["competition_id"], c["season_id"], c["season_name"]) for c in index],
-                                    "competition_id int, season_id int, season_name string")
-    entries.agg(F.collect_list(F.struct(*entries.columns)).alias("all_competitions")).select(
-        F.to_json(F.struct("all_competitions")).alias("value")).coalesce(1).write.text(f"{root}/index")
-    for _ in range(2):
-        log = ingest.season_index_ingest(spark, f"{root}/index", f"{root}/raw/m", 16, f"{root}/store")
-    return log
+    m = fx.matches(spark, sf).select("match_id", "status", F.when(F.col("match_id") % 2 == 0, 16).otherwise(11).alias("competition_id"),
+                                     F.floor(F.col("match_id") / 1000).cast("int").alias("season_id"))
+    docs = m.groupBy("competition_id", "season_id").agg(F.collect_list(F.struct(F.col("match_id").alias("id"), "status")).alias("matches"))
+    docs.write.partitionBy("competition_id", "season_id").json(f"{root}/raw")      # a thousand matches a file at most
+    entry = F.struct("competition_id", "season_id", F.concat(F.lit("season "), F.col("season_id"), F.lit(" of "),
+                                                             F.col("competition_id")).alias("season_name"))
+    (m.select(entry.alias("e")).distinct().groupBy(F.floor(F.col("e.season_id") / PAGE).alias("page"))
+     .agg(F.collect_list("e").alias("all_competitions")).select("all_competitions")
+     .write.option("maxRecordsPerFile", 1).json(f"{root}/index"))
+    logs = [ingest.season_index_ingest(spark, f"{root}/index", f"{root}/raw", c, f"{root}/store") for c in (16, 16, 11)]
+    return logs[1].union(logs[2])
 
 
 @register("publish_gold_readback", f"""

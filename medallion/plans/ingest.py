@@ -4,10 +4,10 @@
 * ``new_snapshots`` (K2): keep incoming rows whose snapshot key is not yet
   stored: a left-anti join against the *distinct* stored keys (a partial
   aggregate reduces the stored side to one row per key first).
-* ``bronze_ingest`` (C8): annotate, skip what exists, append partitioned by
-  snapshot date and season; a rerun appends nothing.
+* ``bronze_ingest`` (C8): annotate, leave committed snapshots alone, replace
+  unfinished ones, partitioned by snapshot date and season.
 * ``season_index_ingest`` (C9): filter the competition index, list the season
-  files, read the wanted ones in one scan, write by competition and season.
+  files, read the wanted ones by a semi-join, write by competition and season.
 * ``publish_gold`` (C10, K5-K7): write each mart under a dated partition,
   read it back and record rows and columns in a run log; a table that fails
   is logged with ``ok=false`` and the others go on.
@@ -23,14 +23,15 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException, PySparkException
 
 from ..schemas import INGESTION_METADATA
 from ..sources import bronze
-from .quality import require_rows
+from ..sources.commits import SnapshotStore
+from .quality import QualityGateError, require_rows
 
 SNAPSHOT_KEYS = ("snapshot_date", "snapshot_season")
 
@@ -85,43 +86,79 @@ def bronze_ingest(spark: SparkSession, records: DataFrame, target: str, snapshot
                   season: int | None, source: str, fmt: str = "parquet", entity: str | None = None,
                   ingested_by: str | None = None, endpoint: str | None = None,
                   allow_empty: bool = True) -> DataFrame:
-    """Idempotent, partitioned append of one snapshot's records.
-
-    The stored side is probed for this snapshot's literal key (partition
-    pruning, one row at most).  Returns the run-log row for this snapshot (rows
-    now stored under its key); an empty snapshot logs ``ok=false``, or raises
-    unless ``allow_empty`` (Q13).  ``entity`` ("match", "team" or "scorer")
-    names the metadata count that the number of records fills (B2)."""
-    extra = {"ingested_by": ingested_by, "endpoint": endpoint}
-    if entity:
-        extra[f"{entity}_count"] = records.count()
-    incoming = annotate(records, snapshot_date, season, source, extra=extra)
+    """Store one snapshot's records, whole and once.
+
+    A committed snapshot (its mark's row count equals the rows stored under its key) is
+    left as it is.  Otherwise the records are staged, committed by an exclusive mark and
+    moved into place (``sources.commits``): a fragment of an earlier run is replaced, a cut-off
+    publication is finished, and of concurrent runs one stores its copy.  A store from before
+    there were marks keeps snapshots whose metadata count (``entity``) equals their rows.
+
+    Returns the run-log row for this snapshot (rows now stored under its key); an empty
+    snapshot logs ``ok=false``, or raises unless ``allow_empty`` (Q13).  ``entity``
+    ("match", "team" or "scorer") names the metadata count that the number of records
+    fills (B2)."""
+    store = SnapshotStore(spark, target)
+    key = store.key(snapshot_date, season)
     mine = ((F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
             & F.col("snapshot_season").eqNullSafe(F.lit(season).cast("int")))
-    stored = read_stored(spark, target, incoming.schema, fmt)
-    if stored is None or stored.filter(mine).limit(1).isEmpty():
-        if require_rows(incoming, f"{source} {snapshot_date}", allow_empty):
-            (incoming.write.mode("append").partitionBy(*SNAPSHOT_KEYS).format(fmt)
-             .option("compression", "snappy").save(target))
-        stored = read_stored(spark, target, incoming.schema, fmt)
-    item = F.lit(f"{snapshot_date}/{season}").alias("item")
-    if stored is None:
-        return spark.range(1).select(item, F.lit(0).cast("long").alias("rows"), F.lit(False).alias("ok"))
-    n = F.count(F.lit(1))
-    return stored.filter(mine).agg(item, n.alias("rows"), (n > 0).alias("ok"))
+    extra = {"ingested_by": ingested_by, "endpoint": endpoint}
+    schema = annotate(records, snapshot_date, season, source).schema
+
+    def rows_stored() -> tuple[int, int | None]:
+        stored = read_stored(spark, target, schema, fmt)
+        if stored is None:
+            return 0, None
+        said = F.max(f"_ingestion_metadata.{entity}_count") if entity else F.lit(None).cast("long")
+        r = stored.filter(mine).agg(F.count(F.lit(1)), said).first()
+        return r[0], r[1]
+
+    mark = store.publish(key)           # finishes a publication that was cut off
+    n, said = rows_stored()
+    if mark is None and n and said == n:
+        store.adopt(key, n)
+        mark = store.mark(key)
+    if mark is None or mark["rows"] != n:
+        if require_rows(records, f"{source} {snapshot_date}", allow_empty):
+            if entity:
+                extra[f"{entity}_count"] = records.count()
+            attempt, folder = store.staging()
+            seen = Observation(f"ingest-{attempt}")
+            (annotate(records, snapshot_date, season, source, extra=extra).drop(*SNAPSHOT_KEYS)
+             .observe(seen, F.count(F.lit(1)).alias("rows"))
+             .write.format(fmt).option("compression", "snappy").save(folder))
+            if not store.commit(key, attempt, int(seen.get["rows"]), after=mark):
+                store.drop(attempt)     # another run committed this snapshot meanwhile
+            mark = store.publish(key)
+            n, _ = rows_stored()
+    ok = n > 0 and mark is not None and mark["rows"] == n
+    return spark.createDataFrame([(f"{snapshot_date}/{season}", n, ok)], "item string, rows long, ok boolean")
 
 
 SEASON_KEYS = ("competition_id", "season_id")
 SEASON_STORE = T.StructType([T.StructField("source_blob", T.StringType()), T.StructField("match_json", T.StringType()),
                              T.StructField("competition_id", T.IntegerType()), T.StructField("season_id", T.IntegerType())])
+SEASON_MARKS = T.StructType([T.StructField("competition_id", T.IntegerType()), T.StructField("season_id", T.IntegerType()),
+                             T.StructField("rows", T.LongType())])
+
+
+def season_marks(spark: SparkSession, target: str) -> DataFrame | None:
+    """Seasons whose load was finished, with their rows (newest load of each)."""
+    return read_stored(spark, f"{target.rstrip('/')}/_loads", SEASON_MARKS)
 
 
 def season_index_ingest(spark: SparkSession, index_path: str, matches_root: str,
-                        competition_id: int, target: str) -> DataFrame:
+                        competition_id: int, target: str, on_damage: str = bronze.RAISE) -> DataFrame:
     """Competition index -> per-season match lists -> season partitions.
 
-    Files are listed first; only those whose competition and season are wanted
-    and not yet stored are read (one path per season reaches the driver).
+    Wanted are the index's seasons of one competition whose load was not finished yet.
+    Files of other competitions are pruned by path, the wanted seasons are kept by a
+    semi-join, and the season partitions they carry are replaced whole (so a fragment of a
+    broken run goes); then the loads are marked as finished.  Nothing but the emptiness of
+    the work list reaches the driver.  One run per competition at a time.
+
+    A season file that cannot be read, or has no content, raises; with ``quarantine`` its
+    season is left out, is tried again next time, and the log names the file and the reason.
     Returns the per-season run log."""
     index = bronze.filter_competition(bronze.read_competition_index(spark, index_path),
                                       competition_id)
@@ -129,17 +166,33 @@ def season_index_ingest(spark: SparkSession, index_path: str, matches_root: str,
         raise ValueError(f"no seasons for competition {competition_id}")
     seasons = index.select(*SEASON_KEYS, "season_name").distinct()
     files = bronze.list_season_files(spark, matches_root).join(seasons, list(SEASON_KEYS), "left_semi")
-    todo = new_snapshots(files, stored_keys(spark, target, SEASON_STORE, SEASON_KEYS), SEASON_KEYS)
-    paths = [r["source_blob"] for r in todo.select("source_blob").collect()]
-    if paths:
-        (bronze.read_season_matches(spark, paths).write.mode("append").partitionBy(*SEASON_KEYS)
-         .option("compression", "snappy").parquet(target))
-    stored = read_stored(spark, target, SEASON_STORE)
+    todo = new_snapshots(files, season_marks(spark, target), SEASON_KEYS)
+    log = None
+    if not todo.isEmpty():
+        found = bronze.read_season_matches(spark, matches_root, competition_id, bronze.QUARANTINE).join(
+            todo.select(*SEASON_KEYS).distinct(), list(SEASON_KEYS), "left_semi")
+        bad = (found.where(F.col(bronze.PROBLEM).isNotNull()).select(*SEASON_KEYS, "source_blob", bronze.PROBLEM)
+               .unionByName(todo.where("bytes = 0").select(*SEASON_KEYS, "source_blob", F.lit("empty").alias(bronze.PROBLEM))))
+        reason = F.concat("source_blob", F.lit(": "), bronze.PROBLEM)
+        first = bad.agg(F.min(reason)).first()[0]
+        if first is not None and on_damage == bronze.RAISE:
+            raise QualityGateError(f"unreadable season file {first}")
+        good = found.where(F.col(bronze.PROBLEM).isNull())
+        if first is not None:
+            good = good.join(bad.select(*SEASON_KEYS).distinct(), list(SEASON_KEYS), "left_anti")
+            log = bad.select(reason.alias("item"), F.lit(0).cast("long").alias("rows"), F.lit(False).alias("ok"))
+        (good.select("source_blob", "match_json", *SEASON_KEYS).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*SEASON_KEYS).option("compression", "snappy").parquet(target))
+        loaded = read_stored(spark, target, SEASON_STORE).join(todo.select(*SEASON_KEYS).distinct(), list(SEASON_KEYS), "left_semi")
+        (loaded.groupBy(*SEASON_KEYS).agg(F.count(F.lit(1)).alias("rows")).write.mode("append")
+         .parquet(f"{target.rstrip('/')}/_loads"))
+    marks = season_marks(spark, target)
     rows = F.coalesce("rows", F.lit(0))
-    counts = (spark.createDataFrame([], "competition_id int, season_id int, rows long") if stored is None
-              else stored.groupBy(*SEASON_KEYS).agg(F.count(F.lit(1)).alias("rows")))
-    return seasons.join(counts, list(SEASON_KEYS), "left").select(
+    counts = (spark.createDataFrame([], SEASON_MARKS) if marks is None
+              else marks.groupBy(*SEASON_KEYS).agg(F.max("rows").alias("rows")))
+    out = seasons.join(counts, list(SEASON_KEYS), "left").select(
         F.col("season_name").alias("item"), rows.alias("rows"), (rows > 0).alias("ok"))
+    return out if log is None else out.unionByName(log)
 
 
 RUN_LOG = T.StructType([

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,7 @@ from ..schemas import (BRONZE_MATCHES_DOC, BRONZE_PLAYERS_DOC, BRONZE_TEAMS_DOC,
                        SILVER_PLAYERS, SILVER_TEAMS)
 from ..operators.ranking import scratch_scope
 from ..sources import bronze, layers
+from ..sources.commits import SnapshotStore
 from . import gold, ingest
 from . import quality as q
 from .silver import silver_matches, silver_players, silver_teams
@@ -49,36 +51,49 @@ ENTITIES = {
 
 
 def newest_records(spark: SparkSession, entity: str, bronze_root: str, per_season: bool = False,
-                   layout: str = "documents") -> DataFrame:
+                   layout: str = "documents", on_damage: str = bronze.RAISE, snapshots: list | None = None) -> DataFrame:
     """Records of the newest Bronze snapshot of ``entity`` with a
     ``source_blob`` column naming the snapshot within the store.
 
     ``layout="documents"``: JSON documents ``<entity>/<date>_..._season_<n>.json``
-    (the reference's layout).  ``layout="records"``: the record-per-row
-    Parquet written by ``ingest.bronze_ingest``, partitioned by
-    ``snapshot_date`` / ``snapshot_season``; the newest partition is chosen by
-    its folder name (per season with ``per_season``).  ``_season`` is the
-    snapshot's season."""
+    (the reference's layout) or pages in folders of such names; all pages of the newest
+    snapshot are read.  ``layout="records"``: the record-per-row Parquet written by
+    ``ingest.bronze_ingest``, partitioned by ``snapshot_date`` / ``snapshot_season``; the
+    newest committed snapshot is chosen by its mark (per season with ``per_season``).
+    ``_season`` is the snapshot's season."""
     e = ENTITIES[entity]
     path = os.path.join(bronze_root, e.folder)
     if layout == "documents":
-        # List first (no contents read), then parse only the newest document(s).
-        paths = bronze.newest_document_paths(spark, path, per_season)
-        if not paths:
+        # List first (no contents read), then parse only the newest snapshot's documents.
+        if snapshots is None:
+            snapshots = bronze.newest_snapshots(spark, path, per_season)
+        if not snapshots:
             raise q.QualityGateError(f"bronze {entity}: no snapshot under {path}")
-        newest = bronze.read_documents(spark, paths, e.doc_schema)
+        newest = bronze.read_snapshots(spark, path, snapshots, e.doc_schema, on_damage=on_damage)
+        if on_damage == bronze.QUARANTINE:
+            newest = newest.where(F.col(bronze.PROBLEM).isNull())
         q.require_rows(newest, f"bronze {entity}")
-        recs = bronze.records(newest, e.array_field, keep=("file_name",))
-        season = F.nullif(F.regexp_extract("file_name", bronze.SEASON_IN_NAME, 1), F.lit(""))
-        return recs.withColumns({"source_blob": F.concat(F.lit(f"{e.folder}/"), F.col("file_name")),
-                                 "_season": season.try_cast("int")})
+        recs = bronze.records(newest, e.array_field, keep=("source_blob",))
+        inside = F.regexp_extract("source_blob", rf"/{e.folder}/((?:[^/]*\d{{4}}-\d{{2}}-\d{{2}}[^/]*/)?[^/]+)$", 1)
+        return recs.withColumns({"source_blob": F.concat(F.lit(f"{e.folder}/"), inside),
+                                 "_season": bronze.snapshot_keys(F.col("source_blob"))[1]})
     if layout != "records":
         raise ValueError(f"unknown Bronze layout {layout!r}")
     record = e.doc_schema[e.array_field].dataType.elementType
     schema = T.StructType(list(record.fields) + [
         T.StructField("snapshot_date", T.DateType()), T.StructField("snapshot_season", T.IntegerType())])
     stored = spark.read.schema(schema).parquet(path)
-    if per_season:
+    committed = SnapshotStore(spark, path).committed()
+    if committed is not None:           # one name per snapshot
+        best = {s: d for d, s in sorted(committed, key=lambda k: k[0])}
+        last = max(best.values(), default=None)
+        wanted = [(d, s) for s, d in best.items() if per_season or d == last]
+        if not per_season:
+            wanted = [(d, s) for d, s in committed if d == last]
+        newest = stored.where(reduce(lambda a, b: a | b, [
+            (F.col("snapshot_date") == F.lit(d).cast("date")) & F.col("snapshot_season").eqNullSafe(F.lit(s).cast("int"))
+            for d, s in wanted], F.lit(False)))
+    elif per_season:
         newest = bronze.latest_snapshot(stored, "snapshot_date", ["snapshot_season"])
     else:
         day = layers.newest_partition(spark, path, "snapshot_date")
@@ -88,9 +103,29 @@ def newest_records(spark: SparkSession, entity: str, bronze_root: str, per_seaso
         F.lit(f"{e.folder}/snapshot_date="), F.col("snapshot_date").cast("string")), "_season": F.col("snapshot_season")})
 
 
+def check_documents(spark: SparkSession, entity: str, bronze_root: str, snapshots: list, on_damage: str,
+                    silver_root: str, snapshot_date: str) -> list:
+    """Q13: hold the listing of the newest snapshot's files against what parses.
+
+    ``raise``: fails, naming the first damaged file.  ``quarantine``: path and reason of
+    every damaged file go to ``<silver_root>/_quarantine/<entity>/snapshot_date=...`` and one
+    check row says how many."""
+    e = ENTITIES[entity]
+    log = bronze.document_log(spark, os.path.join(bronze_root, e.folder), e.array_field, snapshots=snapshots)
+    bad = log.where(F.col(bronze.PROBLEM).isNotNull())
+    n, damaged, first = log.agg(F.count(F.lit(1)), F.count(bronze.PROBLEM), F.min(F.when(
+        F.col(bronze.PROBLEM).isNotNull(), F.concat("source_blob", F.lit(": "), bronze.PROBLEM)))).first()
+    if damaged and on_damage == bronze.RAISE:
+        raise q.QualityGateError(f"bronze {entity}: {damaged} of {n} documents cannot be read, first {first}")
+    if damaged:
+        bad.select("source_blob", "bytes", bronze.PROBLEM).write.mode("overwrite").parquet(
+            f"{silver_root.rstrip('/')}/_quarantine/{entity}/snapshot_date={snapshot_date}")
+    return [Row(table=entity, check="documents_readable", severity=q.WARN, passed=not damaged, value=f"{n - damaged}/{n}")]
+
+
 def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root: str,
                snapshot_date: str, per_season: bool = False, verify: dict | None = None,
-               layout: str = "documents") -> list:
+               layout: str = "documents", on_damage: str = bronze.RAISE) -> list:
     """Newest Bronze snapshot of ``entity`` -> Silver snapshot ``snapshot_date``.
 
     With ``per_season`` the newest snapshot of every season is taken.  Matches,
@@ -98,11 +133,20 @@ def silver_job(spark: SparkSession, entity: str, bronze_root: str, silver_root:
     are flattened, checked and ranked season by season and written to
     ``<entity>_season_<n>`` (one round per season).  Raises ``QualityGateError``
     (nothing published) when a FAIL check fails; returns the check rows otherwise.
+    Documents that cannot be read, or are empty, stop the job; with
+    ``on_damage="quarantine"`` they are listed below ``<silver_root>/_quarantine`` and
+    the job goes on without them (``check_documents``).
     Pass a dict as ``verify`` to receive the K6 read-back of the written snapshot
     (rows, columns, bytes, time), by table where there are several."""
     e = ENTITIES[entity]
-    rows = []
-    for table, recs in _by_season(newest_records(spark, entity, bronze_root, per_season, layout), entity, per_season):
+    rows, snapshots = [], None
+    if layout == "documents":
+        snapshots = bronze.newest_snapshots(spark, os.path.join(bronze_root, e.folder), per_season)
+        if snapshots:
+            found = check_documents(spark, entity, bronze_root, snapshots, on_damage, silver_root, snapshot_date)
+            rows += [r for r in found if not r["passed"]]
+    recs_all = newest_records(spark, entity, bronze_root, per_season, layout, on_damage, snapshots)
+    for table, recs in _by_season(recs_all, entity, per_season):
         with scratch_scope(spark):      # the players rank's table is dropped after the write
             silver = e.flatten(recs, source=F.col("source_blob"), count_rejects=True)
             rows += layers.write_silver(silver, silver_root, table, snapshot_date, e.checks)

@@ -35,17 +35,18 @@ from ..sources import bronze, layers
 
 def bronze_document_stream(spark: SparkSession, bronze_dir: str, doc_schema: T.StructType,
                            max_files_per_trigger: int | None = None, multi_line: bool = True,
-                           glob: str = "*.json") -> DataFrame:
+                           glob: str = "*.json", on_damage: str = bronze.RAISE) -> DataFrame:
     """Streaming read of Bronze documents (declared schema).  Pretty-printed
     documents (``multi_line``) are one per file; otherwise each line of a
-    file is one document."""
-    reader = (spark.readStream.schema(doc_schema).option("multiLine", multi_line)
-              .option("pathGlobFilter", glob))
+    file is one document.  A document that cannot be parsed stops the stream, or is
+    marked (``bronze.mark_damage``) and gives no records."""
+    reader = (spark.readStream.schema(bronze.with_corrupt(doc_schema)).option("multiLine", multi_line)
+              .option("columnNameOfCorruptRecord", bronze.CORRUPT).option("pathGlobFilter", glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.json(bronze_dir)
-    return docs.select("*", F.col("_metadata.file_path").alias("source_blob"),
-                       F.col("_metadata.file_name").alias("file_name"))
+    return bronze.mark_damage(docs.select("*", F.col("_metadata.file_path").alias("source_blob"),
+                                          F.col("_metadata.file_name").alias("file_name")), doc_schema, on_damage)
 
 
 def snapshot_of(blob: str) -> Column:
