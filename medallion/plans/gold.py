@@ -123,6 +123,11 @@ def form_records(matches: DataFrame) -> DataFrame:
     return two_sided(finished(matches), [home, away])
 
 
+# O1-O3: the order of each exported mart (``-``: descending).
+EXPORT_ORDERS = {"standings": ("position",), "team_form": ("-points_last_5", "-gd_last_5", "team_id"),
+                 "top_scorers": ("scorer_rank",)}
+
+
 # Chronological order of a team's matches; DuckDB sorts NULLS LAST ascending.
 def chrono():
     return [F.col("match_date").asc_nulls_last(), F.col("match_id").asc_nulls_last()]

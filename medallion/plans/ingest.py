@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 
 from ..schemas import INGESTION_METADATA
 from ..sources import bronze
@@ -50,14 +50,11 @@ def annotate(records: DataFrame, snapshot_date: str, season: int | None, source:
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame | None:
-    """The store under ``path`` with its declared schema, None where there is
-    none yet; any other problem is raised."""
-    try:
-        return spark.read.format(fmt).schema(schema).load(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """The store under ``path`` with its declared schema, None where there is none yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.format(fmt).schema(schema).load(path)
 
 
 def stored_keys(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
@@ -202,11 +199,22 @@ RUN_LOG = T.StructType([
     T.StructField("written_at", T.StringType())])
 
 
-def publish_gold(tables: Mapping[str, DataFrame], root: str, snapshot_date: str) -> DataFrame:
-    """C10 + K5 + K6: write each table as dated Parquet, verify by reading
-    back (rows, column list, bytes on storage from ``_metadata.file_size``)
-    and return the run log; one small aggregate per table reaches the driver."""
-    from ..sources.layers import verify_written
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
+def publish_gold(tables: Mapping[str, DataFrame], root: str, snapshot_date: str,
+                 orders: Mapping[str, Sequence[str]] | None = None, writer=write_parquet) -> DataFrame:
+    """C10 + K5 + K6: write each table as dated Parquet, verify by reading back, and
+    return the run log; one small aggregate per table reaches the driver.
+
+    Row count and a checksum over all columns are observed in the writing job itself and
+    compared with what is read back, so rows lost or altered on the way are logged
+    ``ok=false``, as are changed columns.  ``orders`` names sort columns (``-`` before a
+    descending number) of tables that are exported in order (O1-O3): their part files,
+    numbered by range, must hold the rows in that order.  ``writer(df, path)`` must run
+    ``df`` once."""
+    from ..sources.layers import content, observed, order_kept, verify_written
     if not tables:
         raise ValueError("publish_gold needs at least one table")
     spark = next(iter(tables.values())).sparkSession
@@ -214,12 +222,13 @@ def publish_gold(tables: Mapping[str, DataFrame], root: str, snapshot_date: str)
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}/snapshot_date={snapshot_date}"
         try:
-            df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-            v = verify_written(spark, path, df.columns)
+            sent = observed(df, content(df.columns, df.schema), lambda x, p=path: writer(x, p))
+            v = verify_written(spark, path, df.columns, sent)
+            in_order = order_kept(spark, path, orders[name]) if orders and name in orders else True
         except PySparkException:       # this table failed; the others still go out
             log.append((name, path, None, None, False, None, None))
             continue
-        log.append((name, path, v["rows"], v["columns"], bool(v["columns_ok"]), v["bytes"],
+        log.append((name, path, v["rows"], v["columns"], bool(v["columns_ok"] and v["content_ok"] and in_order), v["bytes"],
                     v["written_at"]))
     return spark.createDataFrame(log, RUN_LOG)
 

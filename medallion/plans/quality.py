@@ -19,7 +19,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.columns import REJECTED, indicator
@@ -100,16 +100,33 @@ def _check_exprs(check: Check) -> tuple[Column, Column]:
     raise ValueError(f"unknown check kind {k!r}")
 
 
-def check_results(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    """All checks of one table in one aggregate pass -> one row per check."""
-    checks = [c for c in checks if c.kind != "none_rejected" or c.column in df.columns]
-    if not checks:
-        return df.sparkSession.createDataFrame([], CHECK_RESULT)
+def applicable(checks: Sequence[Check], columns: Sequence[str]) -> list[Check]:
+    """The checks without those for helper columns that a frame does not carry."""
+    return [c for c in checks if c.kind != "none_rejected" or c.column in columns]
+
+
+def check_metrics(checks: Sequence[Check]) -> list[Column]:
+    """Verdict and value of every check as aggregates (of kinds other than ``unique`` also
+    fit for ``DataFrame.observe``)."""
     exprs = []
     for i, ch in enumerate(checks):
         passed, value = _check_exprs(ch)
         exprs += [passed.alias(f"_p{i}"), value.alias(f"_v{i}")]
-    one = df.agg(*exprs)
+    return exprs
+
+
+def observed_rows(table: str, checks: Sequence[Check], seen: Mapping) -> list[Row]:
+    """Check rows from the observed ``check_metrics``."""
+    return [Row(table=table, check=ch.name, severity=ch.severity, passed=bool(seen[f"_p{i}"]), value=seen[f"_v{i}"])
+            for i, ch in enumerate(checks)]
+
+
+def check_results(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """All checks of one table in one aggregate pass -> one row per check."""
+    checks = applicable(checks, df.columns)
+    if not checks:
+        return df.sparkSession.createDataFrame([], CHECK_RESULT)
+    one = df.agg(*check_metrics(checks))
     rows = [F.struct(F.lit(table).alias("table"), F.lit(ch.name).alias("check"),
                      F.lit(ch.severity).alias("severity"),
                      F.coalesce(F.col(f"_p{i}"), F.lit(False)).alias("passed"),
@@ -123,7 +140,10 @@ def enforce(results: DataFrame) -> list:
 
     Failed WARN checks are returned, not raised, and are not listed in the
     error (R7)."""
-    rows = results.collect()
+    return enforce_rows(results.collect())
+
+
+def enforce_rows(rows: list) -> list:
     failed = [r["check"] for r in rows if r["severity"] == FAIL and not r["passed"]]
     if failed:
         raise QualityGateError(f"write blocked by failing checks: {failed}")
@@ -213,15 +233,19 @@ def _one(model: str, test: str, column: str, failures: Column) -> list[Column]:
 
 
 def run_tests(models: Mapping[str, DataFrame], spec: Iterable[ColumnTest]) -> DataFrame:
-    """One row per test with the number of failing rows it finds."""
+    """One row per test with the number of failing rows it finds.
+
+    ``not_null`` and ``accepted_values``: one aggregate pass per model.  All ``unique`` and
+    ``relationships`` tests together: one table of key counts (``key_counts``)."""
     spec = list(spec)
     parts: list[DataFrame] = []
     by_model: dict[str, list[ColumnTest]] = {}
     for t in spec:
+        if t.test not in ("not_null", "accepted_values", "unique", "relationships"):
+            raise ValueError(f"unknown test {t.test!r}")
         by_model.setdefault(t.model, []).append(t)
     for model, tests in by_model.items():
         df = models[model]
-        # not_null and accepted_values: one aggregate pass for the model.
         flat = [t for t in tests if t.test in ("not_null", "accepted_values")]
         if flat:
             def failing(t):
@@ -233,23 +257,50 @@ def run_tests(models: Mapping[str, DataFrame], spec: Iterable[ColumnTest]) -> Da
             parts.append(one.select(F.inline(F.array(*[
                 F.struct(*_one(model, t.test, t.column, F.col(f"_n{i}")))
                 for i, t in enumerate(flat)]))))
-        for t in tests:
-            c = F.col(t.column)
-            if t.test == "unique":
-                dup = (df.filter(c.isNotNull()).groupBy(c.alias("_k")).count()
-                       .filter(F.col("count") > 1))
-                parts.append(dup.agg(*_one(model, "unique", t.column, F.count(F.lit(1)))))
-            elif t.test == "relationships":
-                parts.append(orphans(df, t.column, models[t.to], t.parent_key).agg(
-                    *_one(model, "relationships", t.column, F.sum("count"))))
-            elif t.test not in ("not_null", "accepted_values"):
-                raise ValueError(f"unknown test {t.test!r}")
+    keyed = [t for t in spec if t.test in ("unique", "relationships")]
+    if keyed:
+        parts.append(_key_tests(models, keyed))
     if not parts:
         spark = next(iter(models.values())).sparkSession
         return spark.createDataFrame([], TEST_RESULT)
     return reduce(DataFrame.unionByName, parts)
 
 
+def key_counts(models: Mapping[str, DataFrame], spaces: Sequence[Sequence[tuple[str, str]]]) -> DataFrame:
+    """Rows per key value: ``space, key`` and ``n0, n1, ...``, one count for every column listed.
+
+    A space is a set of (model, column) pairs whose values are compared with one another.
+    Every model is scanned once, and keys are counted before the one exchange by (space,
+    key), so a hot key is one row per task.  Null is a key of its own."""
+    numbered = [(s, m, c) for s, pairs in enumerate(spaces) for m, c in pairs]
+    rows = []
+    for model in dict.fromkeys(m for _, m, _ in numbered):
+        cells = [F.struct(F.lit(s).alias("space"), F.col(f"`{c}`").cast("string").alias("key"), F.lit(i).alias("col"))
+                 for i, (s, m, c) in enumerate(numbered) if m == model]
+        rows.append(models[model].select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionAll, rows).groupBy("space", "key").agg(
+        *[F.count_if(F.col("col") == i).alias(f"n{i}") for i in range(len(numbered))])
+
+
+def _key_tests(models: Mapping[str, DataFrame], tests: Sequence[ColumnTest]) -> DataFrame:
+    spaces: list[list[tuple[str, str]]] = []
+    for t in tests:     # columns that a relationship compares share a space
+        pairs = {(t.model, t.column)} | ({(t.to, t.parent_key)} if t.test == "relationships" else set())
+        touching = [s for s in spaces if pairs & set(s)]
+        spaces = [s for s in spaces if s not in touching] + [sorted(pairs.union(*touching))]
+    at = {pair: i for i, pair in enumerate(p for s in spaces for p in s)}
+    known = F.col("key").isNotNull()
+    failures = []
+    for t in tests:
+        mine = F.col(f"n{at[t.model, t.column]}")
+        if t.test == "unique":
+            failures.append(F.count_if(known & (mine > 1)))
+        else:
+            failures.append(F.sum(F.when(known & (F.col(f"n{at[t.to, t.parent_key]}") == 0), mine)))
+    one = key_counts(models, spaces).agg(*[f.alias(f"_n{i}") for i, f in enumerate(failures)])
+    return one.select(F.inline(F.array(*[F.struct(*_one(t.model, t.test, t.column, F.col(f"_n{i}"))) for i, t in enumerate(tests)])))
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child key values (with row counts) that have no parent row.
 

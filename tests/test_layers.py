@@ -37,7 +37,7 @@ def test_staging_views_and_mart(spark, sf_small):
     assert n == fx.matches(spark, sf_small).filter("is_finished").count()
     layers.materialize_mart(standings(spark.table("stg_matches")), "standings_test")
     assert layers.read_table(spark, "standings_test").count() > 0
-    spark.sql("drop table standings_test")
+    layers.drop_mart(spark, "standings_test")
 
 
 def test_leading_scorers(spark, tmp_path):
