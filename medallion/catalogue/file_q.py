@@ -1,5 +1,5 @@
 """File round trips: documents, snapshots, ingestion and publication as queries
-(S1-S7, S9, K1-K7, B1-B3, B5, C8-C10, Q13, O1).
+(S1-S9, K1-K7, B1-B3, B5, C8-C10, F2, Q12, Q13, O1-O3, O6).
 
 Each query cuts documents from the given tables into the shared checkpoint
 folder, runs the library's readers and writers over them, and returns what came
@@ -7,11 +7,13 @@ back."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import rank_by, scratch_table_path
-from ..plans import gold, ingest, jobs
+from ..plans import dashboards, gold, ingest, jobs
 from ..plans import quality as q
 from ..plans.silver import silver_matches, silver_teams
 from ..schemas import BRONZE_MATCHES_DOC, BRONZE_PLAYERS_DOC, SILVER_MATCHES
@@ -20,7 +22,7 @@ from ..sources import bronze, layers
 from ..sources import fixtures as fx
 from ..sources.commits import SnapshotStore
 from . import register
-from .gold_q import LEAGUE_ORDER, M, RATIO_COLS, SEASON_SQL, TEAM_ORDER
+from .gold_q import LEAGUE_ORDER, M, MTP, PLAYERS_SQL, RATIO_COLS, RECENT_SQL, SEASON_SQL, TEAM_ORDER, players_silver
 from .silver_q import MATCH_COLS, MATCHES_SILVER_SQL
 
 PAGE = 500  # records per cut document
@@ -186,8 +188,8 @@ select row_number() over (order by {LEAGUE_ORDER}, {TEAM_ORDER}) as position, *,
        2 as succeeded, 1 as failed, false as overall
 from season""")
 def q_publish_gold_readback(spark, sf):
-    """Marts rebuilt as tables, exported, read back; a table
-    that cannot be computed is logged as failed and the others go out."""
+    """Marts exported and read back; a table that cannot be computed is
+    logged as failed and the others go out."""
     root = scratch_table_path(spark)
     m = fx.matches(spark, sf)
     broken = m.select(F.raise_error(F.lit("not computable")).cast("int").alias("x"))
@@ -257,3 +259,139 @@ def q_dq_rejected_values(spark, sf):
     big = F.when(F.col("match_id") % 97 == 0, F.lit(3_000_000_000)).otherwise(F.col("match_id"))
     recs = o.select(*[(big if f.name == "id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in base.schema])
     return q.check_results(silver_matches(recs, count_rejects=True), "matches", [q.NO_REJECTS])
+
+
+@register("publish_detects_loss", f"""
+with {M}, {RECENT_SQL}, n as (select count(*) as n, count(*) filter (where team_id % 7 <> 0) as kept from recent)
+select 'whole' as item, n as rows, true as ok from n
+union all select 'lost', kept, n = kept from n
+union all select 'altered', n, n = 0 from n""")
+def q_publish_detects_loss(spark, sf):
+    """K6: what is read back is held against what the writing job observed: a publication
+    that loses rows, or changes them, is logged as failed."""
+    root = scratch_table_path(spark)
+    form = gold.team_form(fx.matches(spark, sf))
+
+    def writer(df, path):
+        if "/lost/" in path:
+            df = df.where("team_id % 7 <> 0")
+        if "/altered/" in path:
+            df = df.withColumn("total_points", F.col("total_points") + 1)
+        ingest.write_parquet(df, path)
+
+    log = ingest.publish_gold({"whole": form, "lost": form, "altered": form}, root, "2024-09-01", writer=writer)
+    return log.select("item", "rows", "ok")
+
+
+@register("marts_swapped", f"""
+with {M}, {SEASON_SQL}
+select team_id, team_name, played, points, (select count(*) from matches where is_finished) as staged, true as swapped
+from season""")
+def q_marts_swapped(spark, sf):
+    """A staging view, a mart built from it and read by name, then rebuilt from more
+    rows and read again; its name always answers, first with the old mart, then with the new."""
+    name = "mart_" + uuid.uuid4().hex[:12]
+    layers.register_staging(spark, {f"stg_{name}": fx.matches(spark, sf)})
+    staged = spark.table(f"stg_{name}")
+    first = layers.materialize_mart(gold.standings_totals(staged.where("match_id % 2 = 0")), name)
+    old = layers.read_table(spark, name).agg(F.sum("played").alias("n")).first()["n"]
+    second = layers.materialize_mart(gold.standings_totals(staged), name)
+    mart = layers.read_table(spark, name)
+    new = mart.agg(F.sum("played").alias("n")).first()["n"]
+    kept = layers.read_table(spark, first).agg(F.sum("played").alias("n")).first()["n"]
+    finished = spark.table(f"stg_{name}").where("is_finished").count()
+    swapped = first != second and kept == old and old <= new and new == 2 * finished
+    return mart.select("team_id", "team_name", "played", "points", F.lit(finished).cast("long").alias("staged"), F.lit(swapped).alias("swapped"))
+
+
+def exported_places(spark, mart: str, df) -> DataFrame:
+    """Publish one mart in its order and number its rows as the part files hold them."""
+    root = scratch_table_path(spark)
+    log = ingest.publish_gold({mart: df}, root, "2024-09-01", orders=gold.EXPORT_ORDERS)
+    ok = log.first()["ok"]
+    back = layers.stored_places(spark, f"{root}/{mart}/snapshot_date=2024-09-01")
+    return rank_by(back, [F.col("_file"), F.col("_row")], "place").withColumn("ok", F.lit(ok))
+
+
+@register("team_form_exported", f"""
+with {M}, {RECENT_SQL}
+select team_id, points_last_5, row_number() over (
+         order by points_last_5 desc, goals_scored_last_5 - goals_conceded_last_5 desc, team_id) as place, true as ok
+from recent""")
+def q_team_form_exported(spark, sf):
+    """O2, K5: the form table's rows stand in order in the exported part files."""
+    out = exported_places(spark, "team_form", gold.team_form(fx.matches(spark, sf), sort=True))
+    return out.select("team_id", "points_last_5", "place", "ok")
+
+
+@register("top_scorers_exported", f"""
+with {MTP}, {PLAYERS_SQL}
+select player_id, scorer_rank, scorer_rank as place, true as ok from ranked""")
+def q_top_scorers_exported(spark, sf):
+    """O3, K5: the scorers stand by rank in the exported part files."""
+    out = exported_places(spark, "top_scorers", gold.top_scorers(players_silver(spark, sf), fx.teams(spark, sf), sort=True))
+    return out.select("player_id", "scorer_rank", "place", "ok")
+
+
+@register("gate_blocks_write", f"""
+with {M}, n as (select count(*) as n, count(*) filter (where match_id % 50 = 0) as hit from matches)
+select 'clean' as "table", false as blocked, n as rows from n
+union all select 'odd_status', false, n from n
+union all select 'repeated', n > 0, 0 from n
+union all select 'undated', hit > 0, if(hit > 0, 0, n) from n""")
+def q_gate_blocks_write(spark, sf):
+    """A failing FAIL check leaves no output; a failing WARN check does not stop
+    the write."""
+    root = scratch_table_path(spark)
+    flat = silver_matches(fx.bronze_match_records(fx.matches(spark, sf)), count_rejects=True)
+    some = F.col("match_id") % 50 == 0
+    frames = {"clean": flat, "repeated": flat.unionAll(flat),
+              "undated": flat.withColumn("match_date", F.when(~some, F.col("match_date"))),
+              "odd_status": flat.withColumn("status", F.when(some, "ABANDONED").otherwise(F.col("status")))}
+    out = []
+    for table, df in frames.items():
+        try:
+            layers.write_silver(df, root, table, "2024-09-01", q.MATCH_CHECKS)
+            blocked = False
+        except q.QualityGateError:
+            blocked = True
+        stored = ingest.read_stored(spark, f"{root}/{table}", SILVER_MATCHES)
+        out.append((table, blocked, 0 if stored is None else stored.count()))
+    return spark.createDataFrame(out, "table string, blocked boolean, rows long")
+
+
+@register("filtered_sample", f"""
+with {M}, t as (select min(home_team_name) as name from matches)
+select name as value, least(count(m.match_id), 5) as n_rows, true as all_hold from t left join matches m on m.home_team_name = t.name
+group by name
+union all select 'no such team', 0, true""")
+def q_filtered_sample(spark, sf):
+    """A sample of rows with a name, in no order: as many as there are, five at most,
+    and all hold the name."""
+    m = fx.matches(spark, sf)
+    name = m.agg(F.min("home_team_name")).first()[0]
+    parts = [dashboards.sample_where(m, "home_team_name", v, 5).agg(
+        F.lit(v).alias("value"), F.count(F.lit(1)).alias("n_rows"),
+        (F.count_if(~F.col("home_team_name").eqNullSafe(v)) == 0).alias("all_hold")) for v in (name, "no such team")]
+    return parts[0].unionAll(parts[1])
+
+
+_FIELDS = [("id", "BIGINT", "team_id"), ("name", "STRING", "team_name"), ("founded", "BIGINT", "1880 + team_id % 100"),
+           ("shortName", "STRING", "if(team_id % 5 = 0, '', team_short_name)"), ("clubColors", "STRING", "'Red / White'"),
+           ("tla", "STRING", "if(team_id % 4 = 0, null, ' ' || lower(substr(area_name, 1, 3)) || ' ')"), ("venue", "STRING", "venue_name"),
+           ("website", "STRING", "'club' || team_id || '.example'"), ("area.id", "BIGINT", "team_id % 25"),
+           ("area.name", "STRING", "' ' || area_name || ' '"), ("area.code", "STRING", "lower(substr(area_name, 1, 3))")]
+
+
+@register("snapshot_field_profile", f"""
+with {fx.fixture_ctes('teams')}
+""" + "\nunion all\n".join(
+    [f"select '{p}' as path, '{t}' as types, count({x}) as records, 0 as nulls, min(cast({x} as varchar)) as sample from teams" for p, t, x in _FIELDS]
+    + [f"select '{p}', '{t}', count(*), 0, null from teams" for p, t in (("area", "OBJECT"), ("runningCompetitions", "ARRAY"))]))
+def q_snapshot_field_profile(spark, sf):
+    """One row per field of the raw team records, nested ones by path: types, counts, sample."""
+    root = scratch_table_path(spark)
+    recs = fx.bronze_team_records(fx.teams(spark, sf))
+    pages = recs.groupBy(F.floor(F.col("id") / PAGE).alias("p")).agg(F.collect_list(F.struct(*recs.columns)).alias("r"))
+    bronze.write_pages(pages, f"{root}/teams", F.lit("2024-09-01_teams_season_2024"), F.col("r"), "teams")
+    return bronze.field_profile(spark, f"{root}/teams", "teams").withColumn("nulls", F.col("nulls").cast("int"))

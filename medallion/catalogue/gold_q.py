@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import eq_flag, result_code
 from ..plans import gold
-from ..plans.silver import conform, players_derived
+from ..plans.silver import conform, players_derived, silver_matches
 from ..schemas import SILVER_PLAYERS
 from ..sources import fixtures as fx
 from . import register
@@ -79,7 +78,8 @@ recent as (
   from history where team_id is not null group by team_id)
 """
 
-FORM_LABEL = "case when points_last_5 < 5 then 'Poor' when points_last_5 < 10 then 'Average' else 'Good' end"
+# The labels and their limits.
+FORM_LABEL = "case when points_last_5 >= 10 then 'Good' when points_last_5 >= 5 then 'Average' else 'Poor' end"
 
 # Players with missing counts as zero, and their place among all players.
 PLAYERS_SQL = """
@@ -198,7 +198,7 @@ TOP_SCORERS_COLS = ["scorer_rank", "player_id", "player_name", "nationality", "p
 @register("top_scorers", f"""
 with {MTP}, {PLAYERS_SQL}
 select r.scorer_rank, r.player_id, r.player_name, r.nationality, r.position, r.team_id,
-       if(t.team_display_name is null, r.team_name, t.team_display_name) as team_name,
+       coalesce(t.team_display_name, r.team_name) as team_name,
        t.area_name as team_country, t.venue_name as team_stadium, r.goals, r.assists,
        r.penalties as penalties_scored, r.non_penalty_goals, r.goals + r.assists as goal_involvement,
        if(r.goals = 0, 0, cast((2000 * r.penalties + r.goals) // (2 * nullif(r.goals, 0)) as double) / 10)
@@ -240,10 +240,5 @@ select match_id,
             when winner = 'DRAW' then 'D' end as home_result
 from matches""")
 def q_match_derived(spark, sf):
-    m = matches(spark, sf)
-    fin = eq_flag("status", "FINISHED")
-    return m.select(
-        "match_id", fin.alias("is_finished"),
-        F.when(fin, F.col("home_score_ft") + F.col("away_score_ft")).cast("int").alias("total_goals"),
-        F.when(fin, F.col("home_score_ft") - F.col("away_score_ft")).cast("int").alias("goal_difference"),
-        result_code("winner").alias("home_result"))
+    return silver_matches(fx.bronze_match_records(matches(spark, sf))).select(
+        "match_id", "is_finished", "total_goals", "goal_difference", "home_result")

@@ -128,6 +128,10 @@ EXPORT_ORDERS = {"standings": ("position",), "team_form": ("-points_last_5", "-g
                  "top_scorers": ("scorer_rank",)}
 
 
+def in_export_order(df: DataFrame, mart: str) -> DataFrame:
+    return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in EXPORT_ORDERS[mart]])
+
+
 # Chronological order of a team's matches; DuckDB sorts NULLS LAST ascending.
 def chrono():
     return [F.col("match_date").asc_nulls_last(), F.col("match_id").asc_nulls_last()]

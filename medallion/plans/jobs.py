@@ -192,10 +192,8 @@ def gold_job(spark: SparkSession, silver_root: str, gold_root: str, snapshot_dat
         if mart_database:
             for name, df in marts.items():
                 layers.materialize_mart(df, f"{mart_database}.{name}")
-            marts = {name: layers.read_table(spark, f"{mart_database}.{name}") for name in marts}
-            log = ingest.publish_gold(marts, gold_root, snapshot_date)
-        else:
-            log = ingest.publish_gold(marts, gold_root, snapshot_date, orders=gold.EXPORT_ORDERS)
+            marts = {name: gold.in_export_order(layers.read_table(spark, f"{mart_database}.{name}"), name) for name in marts}
+        log = ingest.publish_gold(marts, gold_root, snapshot_date, orders=gold.EXPORT_ORDERS)
     if not tests:
         return log
     failed = spark.createDataFrame(

@@ -243,6 +243,33 @@ def profile(docs: DataFrame, array_field: str) -> DataFrame:
         F.to_json(F.get(F.col(array_field), 0)).alias("first_record"))
 
 
+def field_profile(spark: SparkSession, prefix: str, array_field: str, glob: str = "*.json", depth: int = 3) -> DataFrame:
+    """One row per field of the raw records, nested ones by their path (``area.id``),
+    whatever the declared schema says: ``path, types`` (JSON types observed, comma-joined),
+    ``records`` (where the field is present), ``nulls`` and ``sample`` (the least value's first 70
+    characters; none for objects and arrays).
+
+    Records are read as variants and unfolded level by level, ``depth`` levels deep; only
+    one row per path and type is shuffled."""
+    docs = (spark.read.schema(f"`{array_field}` array<variant>").option("multiLine", True)
+            .option("pathGlobFilter", glob).option("recursiveFileLookup", True).json(prefix))
+    level = docs.select(F.lit(None).cast("string").alias("path"), F.explode(array_field).alias("v"))
+    kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
+    found = None
+    for _ in range(depth):
+        fields = spark.sql("select concat_ws('.', t.path, e.key) as path, e.value as v from {t} as t, lateral variant_explode(t.v) as e "
+                           "where e.key is not null", t=level)
+        shown = F.when(kind.isin("OBJECT", "ARRAY", "VOID"), F.lit(None)).otherwise(F.expr("try_variant_get(v, '$', 'string')"))
+        rows = fields.select("path", kind.alias("type"), shown.alias("value"))
+        found = rows if found is None else found.unionAll(rows)
+        level = fields.where(kind == "OBJECT")
+    by_type = found.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("sample"))
+    return by_type.groupBy("path").agg(
+        F.array_join(F.array_sort(F.collect_list("type")), ",").alias("types"), F.sum("n").alias("records"),
+        F.coalesce(F.sum(F.when(F.col("type") == "VOID", F.col("n"))), F.lit(0)).alias("nulls"),
+        F.substring(F.min("sample"), 1, 70).alias("sample"))
+
+
 def read_competition_index(spark: SparkSession, path: str) -> DataFrame:
     """Competition index written wrapped (``{"all_competitions": [...]}``)
     or as a bare top-level list, in one file or several.  The text is parsed by
