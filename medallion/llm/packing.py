@@ -14,6 +14,9 @@ from __future__ import annotations
 import math
 import re
 import string
+import unicodedata
+import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from .common import materialise, prepare, text_of
-from .words import WordPool, as_strings, gather_ragged, split_words
+from .words import WordPool, as_strings, gather_ragged, joined, split_words
 
 SEQ_LEN = 2048
 END_ID = 1
@@ -30,6 +33,8 @@ VECTOR_DIM = 1024
 CURVE_DIMS = 3
 CURVE_BITS = 16
 TOKENS_PER_RANGE = 8_000_000
+CHUNK_IDS = 8192        # ids in one row that is range-sorted: long documents weigh as many rows
+JOIN_ROWS, JOIN_BYTES = 4000, 12 << 20
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 _POOLS: dict[str, WordPool] = {}
@@ -44,6 +49,13 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(spelt[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
+@lru_cache(maxsize=None)
+def _ends_in_letter(last: str) -> bool:
+    """Whether a word's last letter is still one after the vocabulary's normalising (NFC and
+    lower case): some letters end in a combining mark, which goes with the marks behind it."""
+    return last.isalpha() and unicodedata.normalize("NFC", last).lower()[-1].isalpha()
+
+
 def _word_pool(path: str) -> WordPool:
     """Ids per white-space-separated word; the vocabulary never joins two of them."""
     if path not in _POOLS:
@@ -58,14 +70,15 @@ def _word_pool(path: str) -> WordPool:
             split, new = [], {}
             for w in words:
                 stem = w.rstrip(string.punctuation)
-                pair = (stem, w[len(stem):]) if stem and stem[-1].isalpha() and "<|" not in w else (w, "")
+                pair = (stem, w[len(stem):]) if stem and len(stem) < len(w) and "<|" not in w and _ends_in_letter(stem[-1]) else (w, "")
                 split.append(pair)
                 new[pair[0]] = new[pair[1]] = ()
             new.pop("", None)
             rest = []
             for p in new:
                 if _PLAIN.fullmatch(p):  # one unit: no normalising and splitting needed
-                    new[p] = [t.id for t in model.tokenize(p.lower().translate(table))]
+                    low = p.lower()
+                    new[p] = [t.id for t in model.tokenize(low if low.isascii() else low.translate(table))]
                 else:
                     rest.append(p)
             for p, e in zip(rest, tok.encode_batch(rest, add_special_tokens=False)):
@@ -95,32 +108,44 @@ def _projection() -> np.ndarray:
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, n, ids, x0..``: ids with the end id, and the projected vector."""
+    """``doc_id, start, n, ids, tie, x0..``: a document's ids with the end id, cut into rows of at
+    most ``CHUNK_IDS`` (from ``start``, of ``n`` in all), a checksum of them all, and the projected vector."""
     prepare(docs.sparkSession)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):
         proj = _projection()
-        for b in batches:
+        for b in joined(batches, JOIN_ROWS, JOIN_BYTES):
             n = b.num_rows
-            if not n:
-                continue
             ids, ends = encode_batch(as_strings(b.column("text")), tokenizer_path)
             begins = np.concatenate([[0], ends[:-1]])
-            doc = np.repeat(np.arange(n), ends - begins)
             h = ((ids.astype(np.int64) * 0x9E3779B1) >> 7) % VECTOR_DIM
-            vec = np.log1p(np.bincount(doc * VECTOR_DIM + h, minlength=n * VECTOR_DIM).astype(np.float32).reshape(n, -1))
-            vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-9)
-            xs = vec @ proj
+            xs = np.empty((n, CURVE_DIMS))
+            for lo in range(0, n, 500):
+                hi = min(n, lo + 500)
+                doc = np.repeat(np.arange(hi - lo), ends[lo:hi] - begins[lo:hi])
+                count = np.bincount(doc * VECTOR_DIM + h[begins[lo]:ends[hi - 1]], minlength=(hi - lo) * VECTOR_DIM)
+                vec = np.log1p(count.astype(np.float32).reshape(hi - lo, -1))
+                vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-9)
+                xs[lo:hi] = vec @ proj
             wide = np.insert(ids, ends, END_ID).astype("<u4")
             cut = np.concatenate([[0], ends + np.arange(1, n + 1)])
-            raw = wide.tobytes()
+            raw = memoryview(wide).cast("B")
+            tie = [zlib.crc32(raw[4 * s:4 * e]) for s, e in zip(cut.tolist(), cut[1:].tolist())]
+            length = np.diff(cut)
+            rows = -(-length // CHUNK_IDS)
+            doc = np.repeat(np.arange(n), rows)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(rows) - rows, rows)) * CHUNK_IDS
+            at = cut[doc] + start
+            end = np.minimum(at + CHUNK_IDS, cut[doc + 1])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.diff(cut)), pa.array([raw[4 * s:4 * e] for s, e in zip(cut, cut[1:])], pa.binary()),
-                 *[pa.array(xs[:, k].astype(float)) for k in range(CURVE_DIMS)]],
-                names=["doc_id", "n", "ids", *[f"x{k}" for k in range(CURVE_DIMS)]])
+                [b.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length[doc]),
+                 pa.array([raw[4 * s:4 * e] for s, e in zip(at.tolist(), end.tolist())], pa.binary()),
+                 pa.array(np.array(tie, np.int64)[doc]), *[pa.array(xs[doc, k]) for k in range(CURVE_DIMS)]],
+                names=["doc_id", "start", "n", "ids", "tie", *[f"x{k}" for k in range(CURVE_DIMS)]])
 
-    return src.mapInArrow(run, "doc_id long, n long, ids binary, " + ", ".join(f"x{k} double" for k in range(CURVE_DIMS)))
+    return src.mapInArrow(run, "doc_id long, start long, n long, ids binary, tie long, "
+                          + ", ".join(f"x{k} double" for k in range(CURVE_DIMS)))
 
 
 def hilbert_key(coords: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
@@ -159,12 +184,12 @@ class RangePacker:
         self.seq_len, self.next_id = seq_len, first_id
         self.fill, self.held = 0, []
 
-    def add(self, doc_id, ids: bytes):
-        """Pieces of the sequences that this document completes."""
-        n, start, out = len(ids) // 4, 0, []
-        while start < n:
-            take = min(n - start, self.seq_len - self.fill)
-            self.held.append((doc_id, start, take, ids[4 * start:4 * (start + take)], n, self.next_id, self.fill))
+    def add(self, doc_id, first: int, ids: bytes, n: int):
+        """Pieces of the sequences that these ids of a document of ``n`` complete; ``first`` are before them."""
+        size, start, out = len(ids) // 4, 0, []
+        while start < size:
+            take = min(size - start, self.seq_len - self.fill)
+            self.held.append((doc_id, first + start, take, ids[4 * start:4 * (start + take)], n, self.next_id, self.fill))
             start += take
             self.fill += take
             if self.fill == self.seq_len:
@@ -208,7 +233,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, text_col:
     spark = docs.sparkSession
     rows = materialise(tokenise(docs, tokenizer_path, text_col, id_col), "tokens")
     xs = [f"x{k}" for k in range(CURVE_DIMS)]
-    stats = rows.agg(F.sum("n").alias("n"), *[F.avg(x).alias(f"m{x}") for x in xs],
+    stats = rows.where("start = 0").agg(F.sum("n").alias("n"), *[F.avg(x).alias(f"m{x}") for x in xs],
                      *[F.stddev_pop(x).alias(f"s{x}") for x in xs]).first()
     mean = np.array([stats[f"m{x}"] or 0.0 for x in xs])
     dev = np.array([stats[f"s{x}"] or 1.0 for x in xs])
@@ -226,11 +251,12 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, text_col:
         packer = RangePacker(seq_len, TaskContext.get().partitionId() << 33)
         for b in batches:
             out = []
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
-                out += packer.add(doc_id, ids)
+            for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "ids", "n"))):
+                out += packer.add(*row)
             yield _pieces(out)
         yield _pieces(packer.finish())
 
-    keyed = rows.select("doc_id", "ids", curve(*[F.col(x) for x in xs]).alias("key"), F.crc32("ids").alias("tie"))
-    return (keyed.repartitionByRange(ranges, "key", "doc_id", "tie").sortWithinPartitions("key", "doc_id", "tie")
-            .select("doc_id", "ids").mapInArrow(run, PIECES))
+    keyed = rows.select("doc_id", "start", "n", "ids", "tie", curve(*[F.col(x) for x in xs]).alias("key"))
+    order = ["key", "doc_id", "tie", "start"]
+    return (keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+            .select("doc_id", "start", "ids", "n").mapInArrow(run, PIECES))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (conversation_repair, conversation_trie, embedding_itq, exact_dedup, langid, license_rules, line_dedup, packing,
@@ -15,8 +14,8 @@ PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer_file(name: str) -> str:
-    """A public vocabulary file; the folder is ``LLM_TOKENIZER_DIR`` if set."""
-    return os.path.join(os.environ.get("LLM_TOKENIZER_DIR", "/opt/tokenizers"), name)
+    """Where a public vocabulary file lies."""
+    return public_tokenizers.path(name)
 
 
 def _unsigned_hex(col):

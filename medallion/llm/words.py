@@ -6,7 +6,7 @@ rebuild the per-document sequences."""
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,21 @@ def as_strings(col: pa.Array) -> pa.Array:
     return pc.fill_null(col.cast(pa.string()), "")
 
 
+def joined(batches, rows: int, size: int):
+    """Consecutive record batches joined up to about ``rows`` rows or ``size`` bytes: work per
+    distinct word is then done less often."""
+    held, n, weight = [], 0, 0
+    for b in batches:
+        if held and (n + b.num_rows > rows or weight + b.nbytes > size):
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n, weight = [], 0, 0
+        if b.num_rows:
+            held.append(b)
+            n, weight = n + b.num_rows, weight + b.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def split_words(texts: pa.Array):
     """``(codes, distinct, offsets)``: word codes of all texts in order, the
     distinct words, and per-text offsets into ``codes``.  Words are separated by
@@ -48,31 +63,33 @@ def gather_ragged(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, po
 
 
 class WordPool:
-    """Per-word id sequences kept across batches of one worker (bounded)."""
+    """Per-word id sequences kept across batches of one worker.
+
+    The pool takes words until it holds ``limit``; later ones, mostly rare, are encoded for
+    their batch only."""
 
     def __init__(self, encode_many, limit: int = 800_000):
         self.encode_many = encode_many
         self.limit = limit
-        self.clear()
-
-    def clear(self):
         self.index = {}
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.int32)
 
     def lookup(self, words: list[str]):
         """``(slots, starts, lengths, pool)``: slot of every word."""
-        if len(self.index) > self.limit:
-            self.clear()
-        index = self.index
-        missing = [w for w in words if w not in index]
-        if missing:
-            found = self.encode_many(missing)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-            index.update(zip(missing, range(len(index), len(index) + len(missing))))
-            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.pool = np.concatenate([self.pool, ids])
-        slots = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        return slots, self.starts, self.lengths, self.pool
+        slots = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(slots < 0)
+        if not len(missing):
+            return slots, self.starts, self.lengths, self.pool
+        new = [words[i] for i in missing.tolist()]
+        found = self.encode_many(new)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+        first = len(self.starts)
+        slots[missing] = np.arange(first, first + len(new))
+        starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
+        lengths, pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, ids])
+        if len(self.index) < self.limit:
+            self.index.update(zip(new, range(first, first + len(new))))
+            self.starts, self.lengths, self.pool = starts, lengths, pool
+        return slots, starts, lengths, pool

@@ -89,3 +89,25 @@ def test_neighbours_on_the_curve_are_alike(spark):
     for p in pieces:
         mixed.setdefault(p.sequence_id, set()).add(p.lang)
     assert np.mean([len(v) == 1 for v in mixed.values()]) > 0.6
+
+
+def test_every_letter_before_a_mark_has_the_librarys_ids():
+    """All letters of U+0080-U+2FFFF with punctuation behind them, alone and in a word."""
+    import pyarrow as pa
+    path = tokenizer_file(WORD_BPE)
+    tok = Tokenizer.from_file(path)
+    letters = [chr(c) for c in range(0x80, 0x30000) if chr(c).isalpha()]
+    words = [w for c in letters for w in (c + ".", "ab" + c + ",", c + "x!")] + ["BELEDİYESİ.", "İLİ,", "ΟΔΟΣ.", "don't.", "x'", "...", "Straße!?"]
+    for lo in range(0, len(words), 50_000):
+        part = words[lo:lo + 50_000]
+        ids, ends = packing.encode_batch(pa.array(part), path)
+        want = [e.ids for e in tok.encode_batch(part, add_special_tokens=False)]
+        got = [ids[s:e].tolist() for s, e in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        assert got == want
+
+
+def test_long_documents_are_cut_into_rows(spark):
+    docs = spark.createDataFrame([(i, "word %d " % i * 9000) for i in range(3)] + [(9, "short")], "doc_id long, text string")
+    rows = packing.tokenise(docs, tokenizer_file(WORD_BPE)).collect()
+    assert all(len(r.ids) <= 4 * packing.CHUNK_IDS for r in rows) and len(rows) > 8
+    check(packing.pack(docs, tokenizer_file(WORD_BPE), tokens_per_range=5000).collect(), [(r.doc_id, r.text) for r in docs.collect()])
