@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,11 +46,18 @@ def discard(*frames: DataFrame) -> None:
             delete_paths(df.sparkSession, [path])
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished steps now, not whenever the
-    driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        free, k = f"__{name}", 0
+        while free.lower() in taken:
+            k += 1
+            free = f"__{name}_{k}"
+        taken.add(free.lower())
+        out.append(free)
+    return out
 
 
 def text_of(name: str = "text") -> Column:

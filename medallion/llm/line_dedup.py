@@ -3,15 +3,16 @@
 A line is the set of its words (ASCII letters in lower case).  The words of every
 line are ordered by rarity over the whole corpus; two lines with Jaccard
 similarity of at least t share a word among the first n - ceil(t n) + 1 of each.
-Those prefixes are posted with size and position, so the length filter and the
-positional filter remove most pairs before any text is compared; the rest is
-verified on the words themselves.  A line goes if an earlier line is equal or
-similar to it.
-
-First every line meets only the earliest line of each of its posting lists, which
-settles nearly all members of large groups of near copies without listing their
-pairs; the lines left meet all earlier members of their lists, so no match is
-missed.
+Every distinct line is posted once under each of those words, with its size, the word's
+position and a 64-bit map of its words.  Lists are read as sorted streams: the length
+filter, the positional filter and the map (bits that differ are words that differ)
+remove nearly all pairs of a list before any text is moved; the rest is verified on
+the words themselves.  A line goes if an earlier line is equal or similar to it.
+
+Where a line meets one that its map hardly differs from, that pair alone is sent out,
+so a group of near copies costs one pair a line and list, not all pairs.  A line whose pair
+then fails the verification is asked again for all its pairs, so no match is missed.
+Lists longer than ``LIST_ROWS`` are cut into blocks, and pairs of blocks go to different tasks.
 """
 
 from __future__ import annotations
@@ -20,14 +21,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, prepare, release, text_of
-from .words import as_strings, split_words
+from .common import free_names, materialise, prepare, text_of
+from .words import as_strings, joined, split_words
 
 SIMILARITY = (4, 5)       # 0.8 as a fraction
 RARITY_SLOTS = 1 << 22    # words are counted in this many hash slots
+LIST_ROWS = 4096          # lines of a word's list that one task compares at once
+TEXT_BUCKETS = 1 << 22    # bound of the broadcast filter on the lines whose words are verified
+JOIN_ROWS, JOIN_BYTES = 40_000, 12 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -63,10 +67,11 @@ def _hashes(words: list[str]) -> np.ndarray:
 
 
 def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
-    """Occurrences per hash slot over all lines (a table of a fixed size)."""
+    """Occurrences per hash slot over all lines, as eighths of their binary logarithm: a table
+    of one byte a slot that tells counts apart up to 2 ** 31."""
     def run(batches):
         total = np.zeros(slots, np.int64)
-        for b in batches:
+        for b in joined(batches, JOIN_ROWS, JOIN_BYTES):
             codes, distinct, _ = split_words(pc.ascii_lower(as_strings(b.column("t"))))
             if distinct:
                 n = np.bincount(codes, minlength=len(distinct))
@@ -77,8 +82,8 @@ def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int32)), pa.array(total[u])], names=["slot", "n"])
 
     got = lines.mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    # a count beyond 255 is as common as any: one byte per slot reaches the driver
-    packed = got.select("slot", F.least("n", F.lit(255)).cast("int").alias("n")).groupBy(F.floor(F.col("slot") / 4096).cast("int").alias("part")).agg(
+    scaled = F.least(F.floor(F.log2("n") * 8), F.lit(255)).cast("int")
+    packed = got.select("slot", scaled.alias("n")).groupBy(F.floor(F.col("slot") / 4096).cast("int").alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("v"))
     out = np.zeros(slots, np.uint8)
     for r in packed.select(F.expr("transform(v, x -> x.slot)").alias("s"), F.expr("transform(v, x -> x.n)").alias("n")).toLocalIterator():
@@ -86,23 +91,26 @@ def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
     return out
 
 
-def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> DataFrame:
-    """``tok, doc, line, n, pos``: the rare words that each line is posted under.
+LINE_SCHEMA = "a long, b long, doc long, line int, n int, toks array<int>, bits long"
+
+
+def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> DataFrame:
+    """``LINE_SCHEMA``: key, place, size, rare words (hashes of 32 bits) and map of every line with a word.
 
     Words are ordered by (count, hash): any order shared by all lines keeps the
     join exact.  A word whose slot counts one is in no other line and is not
-    posted.  Of a line repeated inside a batch, the earliest is posted."""
+    posted.  Of a line repeated inside a batch, the earliest is kept."""
     num, den = similarity
-    spark = lines.sparkSession
-    shared = spark.sparkContext.broadcast(counts)
+    shared = lines.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         table = shared.value
-        for b in batches:
-            order = np.lexsort((b.column("line_no").to_numpy(), b.column("doc").to_numpy()))
-            keys = np.column_stack([b.column(c).to_numpy() for c in KEYS])[order]
-            _, once = np.unique(keys, axis=0, return_index=True)
-            b = b.take(pa.array(np.sort(order[once])))
+        for b in joined(batches, JOIN_ROWS, JOIN_BYTES):
+            ka, kb = b.column("a").to_numpy(), b.column("b").to_numpy()
+            order = np.lexsort((b.column("line_no").to_numpy(), b.column("doc").to_numpy(), kb, ka))
+            ka, kb = ka[order], kb[order]
+            once = np.concatenate([[True], (ka[1:] != ka[:-1]) | (kb[1:] != kb[:-1])])
+            b = b.take(pa.array(order[once]))
             codes, distinct, offsets = split_words(pc.ascii_lower(as_strings(b.column("line"))))
             if not len(codes):
                 continue
@@ -115,89 +123,154 @@ def prefixes(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> Dat
             key = np.sort(line * len(order) + place[codes])  # per line, its distinct words by rarity
             key = key[np.concatenate([[True], key[1:] != key[:-1]])]
             line, word = key // len(order), order[key % len(order)]
-            size = np.bincount(line, minlength=len(offsets) - 1)
-            first = np.cumsum(size) - size
-            pos = np.arange(len(line)) - first[line]
-            n = size[line]
-            take = (pos < n - -(-num * n // den) + 1) & (rank[word] > 1)
-            rows = pa.array(line[take])
+            first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+            size = np.diff(np.append(first, len(line)))
+            bits = np.bitwise_or.reduceat(np.uint64(1) << (hashes[word] >> np.uint64(58)), first)
+            n = np.repeat(size, size)
+            pos = np.arange(len(line)) - np.repeat(first, size)
+            take = (pos < n - -(-num * n // den) + 1) & (rank[word] > 0)
+            lists = np.concatenate([[0], np.cumsum(np.add.reduceat(take.astype(np.int64), first))])
+            rows = pa.array(line[first])
+            toks = (hashes[word[take]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[word[take]].view(np.int64)), b.column("doc").take(rows), b.column("line_no").take(rows),
-                 pa.array(n[take].astype(np.int32)), pa.array(pos[take].astype(np.int32))],
-                names=["tok", "doc", "line", "n", "pos"])
+                [*[b.column(c).take(rows) for c in ("a", "b", "doc", "line_no")], pa.array(size.astype(np.int32)),
+                 pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(toks)), pa.array(bits.view(np.int64))],
+                names=["a", "b", "doc", "line", "n", "toks", "bits"])
 
-    return lines.select("doc", "line_no", *KEYS, "line").mapInArrow(run, "tok long, doc long, line int, n int, pos int")
+    return lines.select("doc", "line_no", *KEYS, "line").mapInArrow(run, LINE_SCHEMA)
 
 
 AT = ["doc", "line"]
+PAIR_SCHEMA = "doc long, line int, odoc long, oline int, alone boolean"
 
 
-def _may_match(a: str, b: str, similarity) -> Column:
-    """Length filter and positional filter for two postings under one word."""
+def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
+    """Candidate pairs (later, earlier) of whole lists, sorted by list and place."""
     num, den = similarity
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    rest = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    return (na * num <= nb * den) & (nb * num <= na * den) & (rest * (num + den) >= (na + nb) * num)
-
+    n, pos, bits = (rows[c] for c in ("n", "pos", "bits"))
+    new = (rows["tok"][1:] != rows["tok"][:-1]) | (rows["g"][1:] != rows["g"][:-1])
+    ends = np.append(np.flatnonzero(new) + 1, len(n))
+    left = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(n))  # members from here on
+    lo, hi, far = [], [], []
+    at = np.arange(len(n))
+    across = rows["g"] // (1 << 20) != rows["g"] % (1 << 20)
+    for k in range(1, int(left.max())):
+        at = at[left[at] > k]
+        x, y = at, at + k
+        # every ``ask`` is one of the later line
+        ok = (n[x] * num <= n[y] * den) & (n[y] * num <= n[x] * den) & rows["ask"][y]
+        ok &= np.minimum(n[x] - pos[x], n[y] - pos[y]) * (num + den) >= (n[x] + n[y]) * num
+        ok &= ~across[x] | (rows["blk"][x] != rows["blk"][y])
+        x, y = x[ok], y[ok]
+        d = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64)
+        ok = d * (num + den) <= (n[x] + n[y]) * (den - num)
+        lo.append(x[ok])
+        hi.append(y[ok])
+        far.append(d[ok])
+    if not lo:
+        return None
+    lo, hi, far = np.concatenate(lo), np.concatenate(hi), np.concatenate(far)
+    alone = np.zeros(len(lo), bool)
+    if not every and len(lo):   # of a line's near candidates in a list, the earliest alone
+        near = 2 * far * (num + den) <= (n[lo] + n[hi]) * (den - num)
+        order = np.lexsort((lo, ~near, hi))
+        lo, hi, near = lo[order], hi[order], near[order]
+        top = np.concatenate([[True], hi[1:] != hi[:-1]])
+        settled = np.repeat(near[top], np.diff(np.append(np.flatnonzero(top), len(hi))))
+        keep = ~settled | top
+        lo, hi, alone = lo[keep], hi[keep], settled[keep]
+    if not len(lo):
+        return None
+    return pa.RecordBatch.from_arrays([pa.array(rows["doc"][hi]), pa.array(rows["line"][hi]), pa.array(rows["doc"][lo]),
+                                       pa.array(rows["line"][lo]), pa.array(alone)], names=["doc", "line", "odoc", "oline", "alone"])
+
+
+def list_pairs(posted: DataFrame, similarity=SIMILARITY, every: bool = False, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``PAIR_SCHEMA``: candidates of every line that ``ask``s, from the lists of ``posted``
+    (``tok, doc, line, n, pos, bits, ask``).  ``alone``: other candidates of its list were left out."""
+    hot = materialise(posted.groupBy("tok").count().where(F.col("count") > list_rows).select(
+        "tok", F.ceil(F.col("count") / list_rows).cast("int").alias("blocks")), "long_lists")
+    blk = F.pmod(F.xxhash64("doc", "line"), F.col("blocks")).cast("int")
+    one = F.least("blk", "x") * (1 << 20) + F.greatest("blk", "x")
+    rows = (posted.join(hot, "tok", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("blk", blk)
+            .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("g", one.cast("long")))
+    names = ["tok", "g", "blk", "doc", "line", "n", "pos", "bits", "ask"]
+    rows = rows.select(*names).repartition("tok", "g").sortWithinPartitions("tok", "g", "doc", "line")
 
-def _verify(pairs: DataFrame, texts: DataFrame, similarity, name: str) -> DataFrame:
-    """``doc, line`` of the left places (``m``) of pairs whose word sets reach the
-    similarity, written as a table; what it was made from goes."""
+    def run(batches):
+        held = None
+        for b in joined(batches, 200_000, JOIN_BYTES):
+            new = {c: b.column(c).to_numpy(zero_copy_only=False) for c in names}
+            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in names}
+            last = (held["tok"] == held["tok"][-1]) & (held["g"] == held["g"][-1])
+            cut = int(np.argmax(last))      # the last list may go on
+            if cut:
+                found = _pairs_of({c: v[:cut] for c, v in held.items()}, similarity, every)
+                held = {c: v[cut:] for c, v in held.items()}
+                if found is not None:
+                    yield found
+        if held is not None and len(held["n"]):
+            found = _pairs_of(held, similarity, every)
+            if found is not None:
+                yield found
+
+    return rows.mapInArrow(run, PAIR_SCHEMA)
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, similarity) -> DataFrame:
+    """``doc, line`` of the later lines of pairs whose word sets reach the similarity.
+
+    The texts of the lines named by pairs are filtered by a broadcast set of at most
+    ``TEXT_BUCKETS`` hashes before they are shuffled."""
     num, den = similarity
-    pairs = materialise(pairs, "line_pairs")
-    release(texts.sparkSession)
-    named = pairs.select("m").union(pairs.select(F.col("o").alias("m"))).distinct()
-    sets = materialise(texts.join(named, "m", "left_semi").dropDuplicates(["m"]).select("m", word_set(F.col("text")).alias("words")), "word_sets")
-    release(texts.sparkSession)
+    bucket = F.pmod(F.xxhash64("doc", "line"), F.lit(TEXT_BUCKETS)).cast("int")
+    named = pairs.select(*AT).union(pairs.select("odoc", "oline")).distinct()
+    wanted = F.broadcast(named.select(bucket.alias("bucket")).distinct())
+    texts = lines.select("doc", F.col("line_no").alias("line"), F.col("line").alias("text")).withColumn("bucket", bucket)
+    sets = (texts.join(wanted, "bucket", "left_semi").join(named, AT, "left_semi").dropDuplicates(AT)
+            .select(*AT, word_set(F.col("text")).alias("words")))
+    sets = materialise(sets, "word_sets")
     both = F.size(F.array_intersect("wa", "wb"))
-    out = materialise(pairs.join(sets.withColumnRenamed("words", "wa"), "m")
-                      .join(sets.select(F.col("m").alias("o"), F.col("words").alias("wb")), "o")
-                      .where(both * den >= (F.size("wa") + F.size("wb") - both) * num).select("m.*").distinct(), name)
-    discard(pairs, sets)
-    release(texts.sparkSession)
-    return out
+    return (pairs.select(*AT, "odoc", "oline").distinct().join(sets.withColumnRenamed("words", "wa"), AT)
+            .join(sets.select(F.col("doc").alias("odoc"), F.col("line").alias("oline"), F.col("words").alias("wb")), ["odoc", "oline"])
+            .where(both * den >= (F.size("wa") + F.size("wb") - both) * num).select(*AT).distinct())
 
 
-def similar_lines(docs: DataFrame, firsts: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
-                  rarity_slots: int = RARITY_SLOTS) -> DataFrame:
-    """``doc, line`` of the first occurrences that an earlier, different line is similar to.
-
-    ``firsts`` holds ``doc, line``: where every distinct line occurs first."""
+def distinct_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
+                   rarity_slots: int = RARITY_SLOTS) -> DataFrame:
+    """``LINE_SCHEMA`` of the first occurrence of every distinct line with a word."""
     prepare(docs.sparkSession)
     counts = word_counts(docs.select(text_of(text_col).alias("t")), rarity_slots)
+    lines = explode_lines(docs, text_col, id_col).select("*", *line_keys())
+    first = F.min(F.struct(*AT, "n", "toks", "bits")).alias("f")
+    return materialise(posted_lines(lines, counts, similarity).groupBy(*KEYS).agg(first).select(*KEYS, "f.*"), "distinct_lines")
+
+
+def similar_lines(firsts: DataFrame, docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
+                  list_rows: int = LIST_ROWS) -> DataFrame:
+    """``doc, line`` of the distinct lines that an earlier, different line is similar to."""
     lines = explode_lines(docs, text_col, id_col)
-    # one exchange by word gives every posting the earliest line of its list
-    by_word = Window.partitionBy("tok")
-    posted = (prefixes(lines.select("*", *line_keys()), counts, similarity).repartition("tok")
-              .withColumns({"members": F.count("*").over(by_word), "e": F.min(F.struct(*AT, "n", "pos")).over(by_word)})
-              .where("members > 1").drop("members"))
-    posted = materialise(posted, "postings")
-    texts = lines.select(F.struct("doc", F.col("line_no").alias("line")).alias("m"), F.col("line").alias("text"))
-    place = F.struct(*AT)
-    met = posted.withColumn("x", F.struct("n", "pos")).where((F.col("doc") != F.col("e.doc")) | (F.col("line") != F.col("e.line")))
-    met = met.where(_may_match("x", "e", similarity)).select(place.alias("m"), F.struct("e.doc", "e.line").alias("o")).distinct()
-    known = firsts.select(F.struct(*AT).alias("m"))
-    settled = _verify(met.join(known, "m", "left_semi"), texts, similarity, "settled_lines")
-    unsettled = firsts.join(settled, AT, "left_anti")
-    x = posted.join(unsettled, AT, "left_semi").withColumn("m", place).alias("x")
-    y = posted.drop("e").withColumn("o", place).alias("y")
-    rest = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("o") < F.col("m"))
-                   & (F.col("o") != F.struct("x.e.doc", "x.e.line")) & _may_match("x", "y", similarity))
-            .select("m", "o").distinct())
-    found = settled.union(_verify(rest, texts, similarity, "later_lines"))
-    discard(posted)
-    return found
-
-
-def _removed(docs: DataFrame, similarity, text_col: str, id_col: str, rarity_slots: int) -> DataFrame:
-    lines = explode_lines(docs, text_col, id_col)
-    keyed = materialise(lines.select("doc", "line_no", *line_keys(), F.col("line").rlike(r"[^\x20\x09-\x0D]").alias("has")), "line_keys")
-    firsts = materialise(keyed.where("has").groupBy(*KEYS).agg(F.min(F.struct("doc", F.col("line_no").alias("line"))).alias("first")), "first_lines")
-    later = similar_lines(docs, firsts.select("first.*"), similarity, text_col, id_col, rarity_slots)
-    later = later.select(F.struct(*AT).alias("first"), F.lit(True).alias("similar"))
-    known = firsts.join(later, "first", "left").select(*KEYS, "first", F.coalesce("similar", F.lit(False)).alias("similar"))
-    judged = keyed.join(known, KEYS, "left")
-    gone = F.col("has") & (F.col("similar") | (F.col("first") < F.struct("doc", F.col("line_no").alias("line"))))
+    posted = firsts.select(*AT, "n", "bits", F.posexplode("toks").alias("pos", "tok"))
+    pairs = materialise(list_pairs(posted.withColumn("ask", F.lit(True)), similarity, list_rows=list_rows), "line_pairs")
+    settled = materialise(_verified(pairs, lines, similarity), "settled_lines")
+    failed = materialise(pairs.where("alone").select(*AT).distinct().join(settled, AT, "left_anti"), "failed_lines")
+    if failed.isEmpty():
+        return settled
+    asked = failed.withColumn("ask", F.lit(True))
+    marked = posted.join(asked, AT, "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
+    again = marked.join(marked.where("ask").select("tok").distinct(), "tok", "left_semi")
+    more = materialise(list_pairs(again, similarity, every=True, list_rows=list_rows), "line_pairs")
+    return settled.union(_verified(more, lines, similarity)).distinct()
+
+
+def _removed(docs: DataFrame, similarity, text_col: str, id_col: str, rarity_slots: int, list_rows: int = LIST_ROWS) -> DataFrame:
+    firsts = distinct_lines(docs, similarity, text_col, id_col, rarity_slots)
+    later = similar_lines(firsts, docs, similarity, text_col, id_col, list_rows).withColumn("similar", F.lit(True))
+    known = firsts.select(*AT, *KEYS).join(later, AT, "left").select(
+        *KEYS, F.struct(*AT).alias("first"), F.coalesce("similar", F.lit(False)).alias("similar"))
+    keyed = explode_lines(docs, text_col, id_col).select("doc", "line_no", *line_keys())
+    judged = keyed.join(known, KEYS, "left")    # a line without words is not known and stays
+    gone = F.coalesce(F.col("similar") | (F.col("first") < F.struct("doc", F.col("line_no").alias("line"))), F.lit(False))
     return judged.groupBy("doc").agg(
         F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed"))
 
@@ -218,11 +291,16 @@ def removed_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text"
 
 def dedup_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
                 rarity_slots: int = RARITY_SLOTS) -> DataFrame:
-    """``docs`` with the removed lines taken out of ``text_col``; no row goes."""
+    """``docs`` with the removed lines taken out of ``text_col``; no row goes.
+
+    Null text stays null; rows without an id are told apart by their text; repeated rows lose
+    the same lines; whatever the names of the other columns, they come back unchanged; an
+    empty table gives no rows."""
     place = F.coalesce(F.col(f"`{id_col}`").cast("long"), _unnamed(text_col))
+    at, lines = free_names(docs, "doc", "removed")
     gone = _removed(docs, similarity, text_col, id_col, rarity_slots).where(F.size("removed") > 0).select(
-        F.col("doc").alias("__id"), F.col("removed").alias("__removed"))
-    joined = docs.join(gone, place == F.col("__id"), "left")
-    kept = F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (x, i) -> not array_contains(__removed, i)), '\\n')")
-    return joined.select(*[(F.when(F.col("__removed").isNotNull(), kept).otherwise(F.col(f"`{c}`")).alias(c) if c == text_col
-                            else F.col(f"`{c}`")) for c in docs.columns])
+        F.col("doc").alias(at), F.col("removed").alias(lines))
+    found = docs.join(gone, place == F.col(at), "left")
+    kept = F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (x, i) -> not array_contains(`{lines}`, i)), '\\n')")
+    return found.select(*[(F.when(F.col(lines).isNotNull(), kept).otherwise(F.col(f"`{c}`")).alias(c) if c == text_col
+                           else F.col(f"`{c}`")) for c in docs.columns])

@@ -56,6 +56,44 @@ def test_near_copies_against_brute_force(spark, slots):
     assert all(n == t.count("\n") + 1 for t, (_, n) in zip(texts, (got[i] for i in range(len(texts)))))
 
 
+@pytest.mark.parametrize("list_rows", [3, 1 << 12])
+def test_long_lists_are_cut_into_blocks(spark, list_rows):
+    """Lines of a few common words, near copies of long ones, and lines that only seem near."""
+    rng = random.Random(9)
+    pool = ["w%d" % i for i in range(9)]
+    base = ["k%d" % i for i in range(60)]
+    lines = [" ".join(rng.sample(pool, rng.randrange(3, 7))) for _ in range(60)]
+    lines += [" ".join(w if rng.random() > p else "z%d" % rng.randrange(400) for w in base) for p in (.02, .05, .1, .13) for _ in range(15)]
+    rng.shuffle(lines)
+    docs = simple(spark, ["\n".join(lines[i:i + 4]) for i in range(0, len(lines), 4)])
+    got = {r.doc: sorted(r.removed) for r in ld._removed(docs, ld.SIMILARITY, "text", "doc_id", 1 << 10, list_rows).collect()}
+    assert got == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_near_pairs_that_fail_are_asked_again(spark):
+    """Maps that hardly differ though the words do: the earliest near line is not similar, a later one is."""
+    def with_bit(bit, k):
+        import xxhash
+        i, out = 0, []
+        while len(out) < k:
+            w = "q%d" % i
+            if xxhash.xxh64_intdigest(w.encode()) >> 58 == bit:
+                out.append(w)
+            i += 1
+        return out
+    same = with_bit(5, 40)
+    first, second = same[:10], same[5:20]
+    third = second[:-1] + ["other"]
+    texts = [" ".join(first + same[20:22]), " ".join(second), " ".join(third), " ".join(same[20:40])]
+    got = {r.doc_id: r.removed for r in ld.removed_lines(simple(spark, texts), rarity_slots=64).collect()}
+    assert got == brute(list(enumerate(texts))) and got[2] == [0]
+
+
+def test_helper_names_do_not_clash(spark):
+    docs = spark.createDataFrame([(1, "a b\na b", "x", "y")], "doc_id long, text string, __removed string, __doc string")
+    assert [tuple(r) for r in ld.dedup_lines(docs, rarity_slots=1 << 10).collect()] == [(1, "a b", "x", "y")]
+
+
 def test_texts_lose_the_removed_lines_only(spark):
     docs = simple(spark, ["a b c d e\nsame line here\n", "x\na b c d e\nsame line here", None])
     out = {r.doc_id: r.text for r in ld.dedup_lines(docs, rarity_slots=1 << 10).collect()}
