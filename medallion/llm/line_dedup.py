@@ -4,7 +4,7 @@ A line is the set of its words (ASCII letters in lower case).  The words of ever
 line are ordered by rarity over the whole corpus; two lines with Jaccard
 similarity of at least t share a word among the first n - ceil(t n) + 1 of each.
 Every distinct line is posted once under each of those words, with its size, the word's
-position and a 64-bit map of its words.  Lists are read as sorted streams: the length
+position and a 128-bit map of its words.  Lists are read as sorted streams: the length
 filter, the positional filter and the map (bits that differ are words that differ)
 remove nearly all pairs of a list before any text is moved; the rest is verified on
 the words themselves.  A line goes if an earlier line is equal or similar to it.
@@ -91,7 +91,7 @@ def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
     return out
 
 
-LINE_SCHEMA = "a long, b long, doc long, line int, n int, toks array<int>, bits long"
+LINE_SCHEMA = "a long, b long, doc long, line int, n int, toks array<int>, bits0 long, bits1 long"
 
 
 def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> DataFrame:
@@ -125,7 +125,9 @@ def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) ->
             line, word = key // len(order), order[key % len(order)]
             first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
             size = np.diff(np.append(first, len(line)))
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (hashes[word] >> np.uint64(58)), first)
+            bit = hashes[word] >> np.uint64(57)
+            one = np.uint64(1) << (bit & np.uint64(63))
+            maps = [np.bitwise_or.reduceat(np.where((bit >> np.uint64(6)) == half, one, np.uint64(0)), first) for half in (0, 1)]
             n = np.repeat(size, size)
             pos = np.arange(len(line)) - np.repeat(first, size)
             take = (pos < n - -(-num * n // den) + 1) & (rank[word] > 0)
@@ -134,8 +136,8 @@ def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) ->
             toks = (hashes[word[take]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c).take(rows) for c in ("a", "b", "doc", "line_no")], pa.array(size.astype(np.int32)),
-                 pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(toks)), pa.array(bits.view(np.int64))],
-                names=["a", "b", "doc", "line", "n", "toks", "bits"])
+                 pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(toks)), *[pa.array(m.view(np.int64)) for m in maps]],
+                names=["a", "b", "doc", "line", "n", "toks", "bits0", "bits1"])
 
     return lines.select("doc", "line_no", *KEYS, "line").mapInArrow(run, LINE_SCHEMA)
 
@@ -147,7 +149,7 @@ PAIR_SCHEMA = "doc long, line int, odoc long, oline int, alone boolean"
 def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
     """Candidate pairs (later, earlier) of whole lists, sorted by list and place."""
     num, den = similarity
-    n, pos, bits = (rows[c] for c in ("n", "pos", "bits"))
+    n, pos, bits0, bits1 = (rows[c] for c in ("n", "pos", "bits0", "bits1"))
     new = (rows["tok"][1:] != rows["tok"][:-1]) | (rows["g"][1:] != rows["g"][:-1])
     ends = np.append(np.flatnonzero(new) + 1, len(n))
     left = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(n))  # members from here on
@@ -162,7 +164,7 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
         ok &= np.minimum(n[x] - pos[x], n[y] - pos[y]) * (num + den) >= (n[x] + n[y]) * num
         ok &= ~across[x] | (rows["blk"][x] != rows["blk"][y])
         x, y = x[ok], y[ok]
-        d = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64)
+        d = np.bitwise_count(bits0[x] ^ bits0[y]).astype(np.int64) + np.bitwise_count(bits1[x] ^ bits1[y])
         ok = d * (num + den) <= (n[x] + n[y]) * (den - num)
         lo.append(x[ok])
         hi.append(y[ok])
@@ -187,14 +189,14 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
 
 def list_pairs(posted: DataFrame, similarity=SIMILARITY, every: bool = False, list_rows: int = LIST_ROWS) -> DataFrame:
     """``PAIR_SCHEMA``: candidates of every line that ``ask``s, from the lists of ``posted``
-    (``tok, doc, line, n, pos, bits, ask``).  ``alone``: other candidates of its list were left out."""
+    (``tok, doc, line, n, pos, bits0, bits1, ask``).  ``alone``: other candidates of its list were left out."""
     hot = materialise(posted.groupBy("tok").count().where(F.col("count") > list_rows).select(
         "tok", F.ceil(F.col("count") / list_rows).cast("int").alias("blocks")), "long_lists")
     blk = F.pmod(F.xxhash64("doc", "line"), F.col("blocks")).cast("int")
     one = F.least("blk", "x") * (1 << 20) + F.greatest("blk", "x")
     rows = (posted.join(hot, "tok", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("blk", blk)
             .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("g", one.cast("long")))
-    names = ["tok", "g", "blk", "doc", "line", "n", "pos", "bits", "ask"]
+    names = ["tok", "g", "blk", "doc", "line", "n", "pos", "bits0", "bits1", "ask"]
     rows = rows.select(*names).repartition("tok", "g").sortWithinPartitions("tok", "g", "doc", "line")
 
     def run(batches):
@@ -218,7 +220,8 @@ def list_pairs(posted: DataFrame, similarity=SIMILARITY, every: bool = False, li
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, similarity) -> DataFrame:
-    """``doc, line`` of the later lines of pairs whose word sets reach the similarity.
+    """``doc, line`` of the later lines of pairs whose word sets (as 64-bit hashes of the words)
+    reach the similarity.
 
     The texts of the lines named by pairs are filtered by a broadcast set of at most
     ``TEXT_BUCKETS`` hashes before they are shuffled."""
@@ -228,7 +231,7 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity) -> DataFrame:
     wanted = F.broadcast(named.select(bucket.alias("bucket")).distinct())
     texts = lines.select("doc", F.col("line_no").alias("line"), F.col("line").alias("text")).withColumn("bucket", bucket)
     sets = (texts.join(wanted, "bucket", "left_semi").join(named, AT, "left_semi").dropDuplicates(AT)
-            .select(*AT, word_set(F.col("text")).alias("words")))
+            .select(*AT, F.transform(word_set(F.col("text")), lambda w: F.xxhash64(w)).alias("words")))
     sets = materialise(sets, "word_sets")
     both = F.size(F.array_intersect("wa", "wb"))
     return (pairs.select(*AT, "odoc", "oline").distinct().join(sets.withColumnRenamed("words", "wa"), AT)
@@ -242,7 +245,7 @@ def distinct_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text
     prepare(docs.sparkSession)
     counts = word_counts(docs.select(text_of(text_col).alias("t")), rarity_slots)
     lines = explode_lines(docs, text_col, id_col).select("*", *line_keys())
-    first = F.min(F.struct(*AT, "n", "toks", "bits")).alias("f")
+    first = F.min(F.struct(*AT, "n", "toks", "bits0", "bits1")).alias("f")
     return materialise(posted_lines(lines, counts, similarity).groupBy(*KEYS).agg(first).select(*KEYS, "f.*"), "distinct_lines")
 
 
@@ -250,7 +253,7 @@ def similar_lines(firsts: DataFrame, docs: DataFrame, similarity=SIMILARITY, tex
                   list_rows: int = LIST_ROWS) -> DataFrame:
     """``doc, line`` of the distinct lines that an earlier, different line is similar to."""
     lines = explode_lines(docs, text_col, id_col)
-    posted = firsts.select(*AT, "n", "bits", F.posexplode("toks").alias("pos", "tok"))
+    posted = firsts.select(*AT, "n", "bits0", "bits1", F.posexplode("toks").alias("pos", "tok"))
     pairs = materialise(list_pairs(posted.withColumn("ask", F.lit(True)), similarity, list_rows=list_rows), "line_pairs")
     settled = materialise(_verified(pairs, lines, similarity), "settled_lines")
     failed = materialise(pairs.where("alone").select(*AT).distinct().join(settled, AT, "left_anti"), "failed_lines")

@@ -34,7 +34,7 @@ CURVE_DIMS = 3
 CURVE_BITS = 16
 TOKENS_PER_RANGE = 8_000_000
 CHUNK_IDS = 8192        # ids in one row that is range-sorted: long documents weigh as many rows
-JOIN_ROWS, JOIN_BYTES = 4000, 12 << 20
+JOIN_ROWS, JOIN_BYTES = 2000, 5 << 20
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 _POOLS: dict[str, WordPool] = {}
@@ -119,12 +119,12 @@ def tokenise(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_co
             n = b.num_rows
             ids, ends = encode_batch(as_strings(b.column("text")), tokenizer_path)
             begins = np.concatenate([[0], ends[:-1]])
-            h = ((ids.astype(np.int64) * 0x9E3779B1) >> 7) % VECTOR_DIM
             xs = np.empty((n, CURVE_DIMS))
-            for lo in range(0, n, 500):
-                hi = min(n, lo + 500)
+            for lo in range(0, n, 250):
+                hi = min(n, lo + 250)
                 doc = np.repeat(np.arange(hi - lo), ends[lo:hi] - begins[lo:hi])
-                count = np.bincount(doc * VECTOR_DIM + h[begins[lo]:ends[hi - 1]], minlength=(hi - lo) * VECTOR_DIM)
+                h = ((ids[begins[lo]:ends[hi - 1]].astype(np.int64) * 0x9E3779B1) >> 7) % VECTOR_DIM
+                count = np.bincount(doc * VECTOR_DIM + h, minlength=(hi - lo) * VECTOR_DIM)
                 vec = np.log1p(count.astype(np.float32).reshape(hi - lo, -1))
                 vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-9)
                 xs[lo:hi] = vec @ proj

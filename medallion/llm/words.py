@@ -68,7 +68,7 @@ class WordPool:
     The pool takes words until it holds ``limit``; later ones, mostly rare, are encoded for
     their batch only."""
 
-    def __init__(self, encode_many, limit: int = 800_000):
+    def __init__(self, encode_many, limit: int = 500_000):
         self.encode_many = encode_many
         self.limit = limit
         self.index = {}

@@ -77,7 +77,7 @@ def test_near_pairs_that_fail_are_asked_again(spark):
         i, out = 0, []
         while len(out) < k:
             w = "q%d" % i
-            if xxhash.xxh64_intdigest(w.encode()) >> 58 == bit:
+            if xxhash.xxh64_intdigest(w.encode()) >> 57 == bit:
                 out.append(w)
             i += 1
         return out
