@@ -79,10 +79,11 @@ def keep_rows(docs: DataFrame, keyed: DataFrame, keys: list[str], keepers: DataF
 
     ``keyed`` is ``docs`` plus the ``keys`` columns; ``keepers`` has one row per
     key that stays.  Rows repeated with the same key leave one row."""
-    k = keepers.select(*[F.col(c).alias(f"__k_{c}") for c in keys])
+    other = free_names(keyed, *[f"k_{c}" for c in keys])
+    k = keepers.select(*[F.col(c).alias(o) for c, o in zip(keys, other)])
     cond = None
-    for c in keys:
-        e = F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    for c, o in zip(keys, other):
+        e = F.col(c).eqNullSafe(F.col(o))
         cond = e if cond is None else cond & e
     return (keyed.join(k, cond, "left_semi").dropDuplicates(keys)
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

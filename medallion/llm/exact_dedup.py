@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, materialise, text_of
+from .common import free_names, keep_rows, materialise, text_of
 
 WHITE = " \t\n\x0b\x0c\r"  # \x20 and \x09-\x0D
 SALTS = 8
@@ -209,14 +209,18 @@ def update_index(signed: DataFrame, state: DataFrame | None = None, kind: str =
     """Insert (or with ``kind="delete"`` remove) signed rows; returns the new state.
 
     The number of shards follows the rows and is fixed for the life of a state;
-    a digest of hot copies reaches its shard as at most ``SALTS`` rows."""
+    a digest of hot copies reaches its shard as at most ``SALTS`` rows.  The keeper of a
+    digest is renewed by ``ContentIndex`` only, which also holds a digest's members."""
     if n_shards is None:
         n_shards = (max(1, math.ceil(signed.count() / ROWS_PER_SHARD)) if state is None
                     else (state.agg(F.max("shard")).first()[0] or 0) + 1)
-    ops = _ops(signed, kind, n_shards)
+    return _advance(signed.sparkSession, state, _ops(signed, kind, n_shards), n_shards)
+
+
+def _advance(spark, state: DataFrame | None, ops: DataFrame, n_shards: int) -> DataFrame:
     if state is None:
         # every shard gets its filter, also one that no digest falls into
-        state = signed.sparkSession.range(n_shards).select(
+        state = spark.range(n_shards).select(
             F.col("id").cast("int").alias("shard"), F.lit("filter").alias("kind"), F.lit(None).cast("binary").alias("digest"),
             *[F.lit(None).cast(t).alias(c) for c, t in (("n_rows", "long"), ("neg_len", "long"), ("no_id", "boolean"),
                                                         ("doc_id", "long"), ("rid", "long"))],
@@ -229,6 +233,57 @@ def live_keys(state: DataFrame) -> DataFrame:
                                               F.col("rid").alias("keep_rid"), (-F.col("neg_len")).alias("keep_chars"))
 
 
+MEMBER = ["digest", "neg_len", "no_id", "doc_id"]
+
+
+def members_of(signed: DataFrame) -> DataFrame:
+    """Signed rows as counted members: ``MEMBER`` columns and ``n``."""
+    return (signed.select("digest", (-F.col("n_chars")).alias("neg_len"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
+            .groupBy(*MEMBER).agg(F.count("*").alias("n")))
+
+
+class ContentIndex:
+    """The cuckoo index with the members of every digest, so that any live row can be deleted.
+
+    The shards know which digests are live and how many rows each has; the members (one row
+    per digest, length and id, with a count) name the keeper anew when a kept row goes.  Members
+    are only grouped and joined, never gathered by digest.  Deleting a row that is not
+    live (another id, length or text) changes nothing."""
+
+    def __init__(self, state: DataFrame | None = None, members: DataFrame | None = None):
+        self.state, self.members = state, members
+
+    def insert(self, signed: DataFrame) -> "ContentIndex":
+        found = members_of(signed)
+        if self.members is not None:
+            found = self.members.unionByName(found).groupBy(*MEMBER).agg(F.sum("n").alias("n"))
+        return ContentIndex(update_index(signed, self.state), materialise(found, "members"))
+
+    def delete(self, signed: DataFrame) -> "ContentIndex":
+        if self.state is None:
+            return self
+        gone = members_of(signed).withColumnRenamed("n", "gone")
+        same = [F.col(f"m.{c}").eqNullSafe(F.col(f"g.{c}")) for c in MEMBER]
+        both = self.members.alias("m").join(gone.alias("g"), same, "left").select(
+            *[f"m.{c}" for c in MEMBER], "n", F.least("n", F.coalesce("gone", F.lit(0))).alias("gone"))
+        both = materialise(both, "deletions")
+        n_shards = (self.state.agg(F.max("shard")).first()[0] or 0) + 1
+        null = {c: F.lit(None).cast(t) for c, t in (("neg_len", "long"), ("no_id", "boolean"), ("doc_id", "long"), ("rid", "long"),
+                                                    ("log2_buckets", "int"), ("slots", "binary"))}
+        ops = both.where("gone > 0").groupBy("digest").agg(F.sum("gone").alias("n_rows")).select(
+            F.pmod(F.xxhash64("digest"), F.lit(n_shards)).cast("int").alias("shard"), F.lit("delete").alias("kind"), "digest", "n_rows",
+            *[c.alias(n) for n, c in null.items()])
+        left = both.select(*MEMBER, (F.col("n") - F.col("gone")).alias("n")).where("n > 0")
+        return ContentIndex(_advance(signed.sparkSession, self.state, ops, n_shards), materialise(left, "members"))
+
+    def live_keys(self) -> DataFrame:
+        """``digest, n_rows, keep_id, keep_chars`` of every live digest; the keeper is the longest
+        live row, then the smallest id (a null id last)."""
+        best = self.members.groupBy("digest").agg(F.min(F.struct(*MEMBER[1:])).alias("b"))
+        return self.state.where("kind = 'key'").select("digest", "n_rows").join(best, "digest").select(
+            "digest", "n_rows", F.col("b.doc_id").alias("keep_id"), (-F.col("b.neg_len")).alias("keep_chars"))
+
+
 def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -243,12 +298,16 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
 
 
 def drop_exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns unchanged."""
+    """The rows of ``docs`` that stay, with their columns unchanged: of equal normalised texts the
+    one that ``exact_dedup`` keeps.
+
+    Null and empty texts are one group; rows repeated with id and text leave one; whatever
+    the names of the other columns, they come back unchanged; an empty table stays empty."""
     text = text_of(text_col)
-    keyed = docs.withColumns({"__digest": F.unhex(F.sha2(normalised(text).cast("binary"), 256)),
-                              "__chars": F.length(text).cast("long"),
-                              "__id": F.col(f"`{id_col}`").cast("long")})
+    digest, chars, row = free_names(docs, "digest", "chars", "id")
+    keyed = docs.withColumns({digest: F.unhex(F.sha2(normalised(text).cast("binary"), 256)),
+                              chars: F.length(text).cast("long"),
+                              row: F.col(f"`{id_col}`").cast("long")})
     keys = live_keys(update_index(sign(docs, text_col, id_col)))
-    keep = keys.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__id"),
-                       F.col("keep_chars").alias("__chars"))
-    return keep_rows(docs, keyed, ["__digest", "__id", "__chars"], keep)
+    keep = keys.select(F.col("digest").alias(digest), F.col("keep_id").alias(row), F.col("keep_chars").alias(chars))
+    return keep_rows(docs, keyed, [digest, row, chars], keep)

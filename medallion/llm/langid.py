@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, text_of
+from .common import free_names, prepare, text_of
 
 DIM = 4096
 # Vectors used to fit the centroids, all languages together.  Document
@@ -177,17 +177,18 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
     every row is ``und``."""
     prepare(docs.sparkSession)
     new = ["lang_pred", "score", "lang_rejected"]
-    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).withColumn("__text", text_of(text_col))
-    rest = [c for c in base.columns if c != "__text"]
+    (whole,) = free_names(docs, "text")
+    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).withColumn(whole, text_of(text_col))
+    rest = [c for c in base.columns if c != whole]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
         for b in batches:
-            lang, score, rejected = m.predict(b.column("__text"))
+            lang, score, rejected = m.predict(b.column(whole))
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in rest], pa.array(lang.tolist(), pa.string()), pa.array(score, pa.float64()),
                  pa.array(rejected)], names=rest + new)
 
-    schema = base.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("lang_rejected", "boolean")
+    schema = base.drop(whole).schema.add("lang_pred", "string").add("score", "double").add("lang_rejected", "boolean")
     return base.mapInArrow(run, schema)

@@ -149,7 +149,9 @@ PAIR_SCHEMA = "doc long, line int, odoc long, oline int, alone boolean"
 def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
     """Candidate pairs (later, earlier) of whole lists, sorted by list and place."""
     num, den = similarity
-    n, pos, bits0, bits1 = (rows[c] for c in ("n", "pos", "bits0", "bits1"))
+    n, pos = rows["n"], rows["pos"]
+    bits0, bits1 = (rows[c].view(np.uint64) for c in ("bits0", "bits1"))
+    empty = 1 - (np.bitwise_count(bits0).astype(np.int64) + np.bitwise_count(bits1)) / 128  # share of unset bits
     new = (rows["tok"][1:] != rows["tok"][:-1]) | (rows["g"][1:] != rows["g"][:-1])
     ends = np.append(np.flatnonzero(new) + 1, len(n))
     left = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(n))  # members from here on
@@ -174,7 +176,9 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
     lo, hi, far = np.concatenate(lo), np.concatenate(hi), np.concatenate(far)
     alone = np.zeros(len(lo), bool)
     if not every and len(lo):   # of a line's near candidates in a list, the earliest alone
-        near = 2 * far * (num + den) <= (n[lo] + n[hi]) * (den - num)
+        # a word that differs shows about as often as a bit of the map is unset
+        guess = (far + 1) / np.maximum(np.minimum(empty[lo], empty[hi]), 0.01)
+        near = 2 * guess * (num + den) <= (n[lo] + n[hi]) * (den - num)
         order = np.lexsort((lo, ~near, hi))
         lo, hi, near = lo[order], hi[order], near[order]
         top = np.concatenate([[True], hi[1:] != hi[:-1]])
@@ -259,9 +263,10 @@ def similar_lines(firsts: DataFrame, docs: DataFrame, similarity=SIMILARITY, tex
     failed = materialise(pairs.where("alone").select(*AT).distinct().join(settled, AT, "left_anti"), "failed_lines")
     if failed.isEmpty():
         return settled
-    asked = failed.withColumn("ask", F.lit(True))
-    marked = posted.join(asked, AT, "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
-    again = marked.join(marked.where("ask").select("tok").distinct(), "tok", "left_semi")
+    # written first: the planner sees that these tables are small and moves no postings for them
+    toks = materialise(firsts.join(failed, AT, "left_semi").select(F.explode("toks").alias("tok")).distinct(), "failed_words")
+    marked = posted.join(failed.withColumn("ask", F.lit(True)), AT, "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
+    again = marked.join(toks, "tok", "left_semi")
     more = materialise(list_pairs(again, similarity, every=True, list_rows=list_rows), "line_pairs")
     return settled.union(_verified(more, lines, similarity)).distinct()
 

@@ -47,7 +47,7 @@ def _units(words):
             elif any(c.isdigit() for c in core):
                 units.append("shape:digit")
         if marks:
-            units.append("m:" + marks[:4])
+            units.append("m:" + marks)
         out.append([xxhash.xxh32_intdigest(u.encode("utf-8", "surrogatepass")) % SLOTS for u in units])
     return out
 

@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import free_names, materialise, text_of
 
 NAMES = r"(?i)(passw|token|secret|api.?key|access.?key|auth|credential|private)"
 KEY = r"[A-Za-z0-9_+/\-]"
@@ -175,21 +175,24 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 def mask_secrets(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", count_col: str = "n_chars") -> DataFrame:
     """``docs`` with confirmed secrets replaced by a mark; no row goes.
 
-    ``count_col``, if present, is set to the masked text's length in changed rows."""
+    ``count_col``, if present, is set to the masked text's length in changed rows.  Null and
+    empty texts stay; rows that repeat id and text are masked alike; whatever the names of the
+    other columns, they come back unchanged; an empty table stays empty."""
     text = text_of(text_col)
+    values, sid, shash, row, thash, done = free_names(docs, "values", "sid", "shash", "id", "thash", "masked")
     secrets = (scan_secrets(docs, text_col, id_col).where("is_secret").groupBy("doc_id", "thash")
-               .agg(F.collect_set("value").alias("__values")).withColumnsRenamed({"doc_id": "__sid", "thash": "__shash"}))
-    keyed = docs.withColumns({"__id": F.col(f"`{id_col}`").cast("long"), "__thash": F.xxhash64(text)})
-    cond = F.col("__id").eqNullSafe(F.col("__sid")) & (F.col("__thash") == F.col("__shash"))
-    masked = F.expr(f"aggregate(array_sort(__values, (a, b) -> length(b) - length(a)), `{text_col}`, "
+               .agg(F.collect_set("value").alias(values)).withColumnsRenamed({"doc_id": sid, "thash": shash}))
+    keyed = docs.withColumns({row: F.col(f"`{id_col}`").cast("long"), thash: F.xxhash64(text)})
+    cond = F.col(row).eqNullSafe(F.col(sid)) & (F.col(thash) == F.col(shash))
+    masked = F.expr(f"aggregate(array_sort(`{values}`, (a, b) -> length(b) - length(a)), `{text_col}`, "
                     f"(t, v) -> replace(t, v, '{MASK}'))")
-    joined = keyed.join(secrets, cond, "left").withColumn("__masked", F.when(F.col("__values").isNotNull(), masked))
+    joined = keyed.join(secrets, cond, "left").withColumn(done, F.when(F.col(values).isNotNull(), masked))
     out = []
     for f in docs.schema:
         c = F.col(f"`{f.name}`")
         if f.name == text_col:
-            c = F.coalesce(F.col("__masked"), c)
+            c = F.coalesce(F.col(done), c)
         elif f.name == count_col:
-            c = F.when(F.col("__masked").isNotNull(), F.length("__masked").cast(f.dataType)).otherwise(c)
+            c = F.when(F.col(done).isNotNull(), F.length(done).cast(f.dataType)).otherwise(c)
         out.append(c.alias(f.name))
     return joined.select(*out)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, materialise, prepare, text_of
+from .common import free_names, keep_rows, materialise, prepare, text_of
 from .components import components
 
 SEED = 42
@@ -157,12 +157,15 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, t
                          id_col: str = "doc_id") -> DataFrame:
     """The columns of ``docs`` for one row of each group: the smallest doc_id.
 
-    A group whose rows have no id keeps one of them by text hash."""
+    A group whose rows have no id keeps one of them by text hash; null, empty and wordless
+    texts are one group; rows repeated with id and text leave one; whatever the names of the
+    other columns, they come back unchanged; an empty table stays empty."""
     text = text_of(text_col)
+    row, thash = free_names(docs, "id", "thash")
     found = simhash_near_dedup(docs, shingle, max_bits, text_col, id_col, {"thash": F.xxhash64(text)})
     group = F.coalesce(F.col("component_id"), F.col("fp"))
     best = found.groupBy(F.col("component_id").isNull().alias("none"), group.alias("g")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "thash")).alias("b"))
-    keep = best.select(F.col("b.doc_id").alias("__id"), F.col("b.thash").alias("__thash"))
-    keyed = docs.withColumns({"__id": F.col(f"`{id_col}`").cast("long"), "__thash": F.xxhash64(text)})
-    return keep_rows(docs, keyed, ["__id", "__thash"], keep)
+    keep = best.select(F.col("b.doc_id").alias(row), F.col("b.thash").alias(thash))
+    keyed = docs.withColumns({row: F.col(f"`{id_col}`").cast("long"), thash: F.xxhash64(text)})
+    return keep_rows(docs, keyed, [row, thash], keep)

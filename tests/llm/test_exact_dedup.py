@@ -64,6 +64,30 @@ def test_index_inserts_and_deletes_live_digests(spark):
     assert ed.live_keys(again).count() == 502
 
 
+def test_deleting_the_keeper_renews_it(spark):
+    """Every row can go, the kept one too, over several batches; strangers change nothing."""
+    def rows(*r):
+        return ed.sign(spark.createDataFrame(list(r), "doc_id long, text string"))
+    index = ed.ContentIndex().insert(rows((1, "a  b"), (2, "a b"), (3, "ab"), (4, "other")))
+    index = index.insert(rows((5, "a  b"), (1, "a  b"), (None, "a   b")))
+
+    def live():
+        return {(r.n_rows, r.keep_id, r.keep_chars) for r in index.live_keys().collect()}
+
+    assert live() == {(6, None, 5), (1, 4, 5)}
+    index = index.delete(rows((None, "a   b"), (9, "a b"), (2, "a  b"), (7, "unknown")))
+    assert live() == {(5, 1, 4), (1, 4, 5)}
+    index = index.delete(rows((1, "a  b")))
+    assert live() == {(4, 1, 4), (1, 4, 5)}     # the row repeated in the second batch is still live
+    index = index.delete(rows((1, "a  b"), (1, "a  b"), (4, "other")))
+    assert live() == {(3, 5, 4)}
+    index = index.delete(rows((5, "a  b"), (2, "a b"), (3, "ab")))
+    assert live() == set()
+    index = index.insert(rows((8, "ab")))
+    assert live() == {(1, 8, 2)}
+    assert ed.ContentIndex().delete(rows((1, "a"))).state is None
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.tuples(st.booleans(), st.integers(0, 40)), max_size=300))
 def test_shard_index_equals_a_counter(ops):
