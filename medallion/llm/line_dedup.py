@@ -178,7 +178,7 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
     if not every and len(lo):   # of a line's near candidates in a list, the earliest alone
         # a word that differs shows about as often as a bit of the map is unset
         guess = (far + 1) / np.maximum(np.minimum(empty[lo], empty[hi]), 0.01)
-        near = 2 * guess * (num + den) <= (n[lo] + n[hi]) * (den - num)
+        near = guess * (num + den) <= (n[lo] + n[hi]) * (den - num)
         order = np.lexsort((lo, ~near, hi))
         lo, hi, near = lo[order], hi[order], near[order]
         top = np.concatenate([[True], hi[1:] != hi[:-1]])
