@@ -34,7 +34,7 @@ CURVE_DIMS = 3
 CURVE_BITS = 16
 TOKENS_PER_RANGE = 8_000_000
 CHUNK_IDS = 8192        # ids in one row that is range-sorted: long documents weigh as many rows
-JOIN_ROWS, JOIN_BYTES = 2000, 5 << 20
+JOIN_ROWS, JOIN_BYTES = 1500, 3 << 20
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 _POOLS: dict[str, WordPool] = {}
@@ -143,6 +143,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_co
                  pa.array([raw[4 * s:4 * e] for s, e in zip(at.tolist(), end.tolist())], pa.binary()),
                  pa.array(np.array(tie, np.int64)[doc]), *[pa.array(xs[doc, k]) for k in range(CURVE_DIMS)]],
                 names=["doc_id", "start", "n", "ids", "tie", *[f"x{k}" for k in range(CURVE_DIMS)]])
+            pa.default_memory_pool().release_unused()
 
     return src.mapInArrow(run, "doc_id long, start long, n long, ids binary, tie long, "
                           + ", ".join(f"x{k} double" for k in range(CURVE_DIMS)))

@@ -13,6 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+ENCODE_WORDS = 20_000
+
+
 def as_strings(col: pa.Array) -> pa.Array:
     """The column as strings, null counted as empty."""
     return pc.fill_null(col.cast(pa.string()), "")
@@ -68,7 +71,7 @@ class WordPool:
     The pool takes words until it holds ``limit``; later ones, mostly rare, are encoded for
     their batch only."""
 
-    def __init__(self, encode_many, limit: int = 500_000):
+    def __init__(self, encode_many, limit: int = 400_000):
         self.encode_many = encode_many
         self.limit = limit
         self.index = {}
@@ -82,9 +85,12 @@ class WordPool:
         if not len(missing):
             return slots, self.starts, self.lengths, self.pool
         new = [words[i] for i in missing.tolist()]
-        found = self.encode_many(new)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+        lengths, ids = [], []
+        for lo in range(0, len(new), ENCODE_WORDS):     # Python objects of few words at a time
+            found = self.encode_many(new[lo:lo + ENCODE_WORDS])
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.int32, int(lengths[-1].sum())))
+        lengths, ids = np.concatenate(lengths), np.concatenate(ids)
         first = len(self.starts)
         slots[missing] = np.arange(first, first + len(new))
         starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
