@@ -15,10 +15,10 @@ BATCH_ROWS = 500
 BATCH_BYTES = 24 << 20
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Bound the Arrow batches of the session (documents can be megabytes long)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

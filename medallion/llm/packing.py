@@ -35,6 +35,7 @@ CURVE_BITS = 16
 TOKENS_PER_RANGE = 8_000_000
 CHUNK_IDS = 8192        # ids in one row that is range-sorted: long documents weigh as many rows
 JOIN_ROWS, JOIN_BYTES = 1500, 3 << 20
+ARROW_BYTES = 4 << 20   # the JVM's and the worker's buffers of one Arrow batch
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 _POOLS: dict[str, WordPool] = {}
@@ -110,7 +111,7 @@ def _projection() -> np.ndarray:
 def tokenise(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, start, n, ids, tie, x0..``: a document's ids with the end id, cut into rows of at
     most ``CHUNK_IDS`` (from ``start``, of ``n`` in all), a checksum of them all, and the projected vector."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, ARROW_BYTES)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):
