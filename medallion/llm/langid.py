@@ -4,7 +4,7 @@ A text becomes a vector of hashed byte 2-grams and 3-grams of its lower-cased
 letters, weighted (1 + log tf) * idf and normalised.  Each language has several
 centroids (spherical k-means); the text takes the language of the centroid with
 the highest cosine, and is rejected when it is farther from that centroid than
-the centroid's own limit.
+the centroid's own limit, which is set on learning rows kept out of the clustering.
 """
 
 from __future__ import annotations
@@ -21,13 +21,18 @@ from pyspark.sql import functions as F
 from .common import free_names, prepare, text_of
 
 DIM = 4096
-# Vectors used to fit the centroids, all languages together.  Document
-# frequencies are counted over every learning row; only the clustering samples.
+# Vectors used to fit the centroids and their limits, all languages together.
+# Document frequencies are counted over every learning row; only this samples.
 FIT_ROWS = 2400
 CENTROIDS = 3
-# A text is rejected below this multiple of the 1st percentile of the cosines
-# of the fitting rows of its centroid, less for texts of few n-grams.
-REJECT_FACTOR = 0.25
+HELD_EVERY = 4      # every fourth sampled row sets limits and is not clustered
+# A text is rejected below a multiple of the 1st percentile of the reach (see
+# `reach`) of its centroid's rows held out of the clustering: the first for texts
+# of up to 100 distinct n-grams, which one key or number can fill, the second from
+# 300 on, rising evenly between.
+REJECT_FACTORS = (0.4, 0.65)
+FEW, MANY = 100, 300
+REPEATS = 8         # an n-gram is expected to come this often at most
 LETTER = regex.compile(r"\p{L}")
 
 _SPACE = np.arange(256, dtype=np.uint8)
@@ -63,10 +68,25 @@ def gram_counts(texts: pa.Array, dim: int = DIM) -> np.ndarray:
     return out.reshape(n, dim)
 
 
+def term_weights(counts: np.ndarray) -> np.ndarray:
+    return np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0).astype(np.float32)
+
+
+def unit(weights: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    v = weights * idf
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+
+
 def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    v = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0).astype(np.float32) * idf
-    norm = np.linalg.norm(v, axis=1, keepdims=True)
-    return v / np.maximum(norm, 1e-9)
+    return unit(term_weights(counts), idf)
+
+
+def reach(cosine: np.ndarray, distinct: np.ndarray, total: np.ndarray, typical: np.ndarray) -> np.ndarray:
+    """The cosine over the part of a centroid that so many n-grams can cover: a short
+    text holds few of its language's n-grams, however typical they are, and a long
+    one that repeats a few has no such excuse."""
+    covered = np.maximum(distinct, np.minimum(total, typical) / REPEATS)
+    return cosine / np.sqrt(np.clip(covered / typical, 1e-9, 1.0))
 
 
 @dataclass
@@ -77,8 +97,9 @@ class LanguageModel:
     idf: np.ndarray
     centroids: np.ndarray
     owner: np.ndarray
-    limit: np.ndarray
+    limit: np.ndarray    # 1st percentile of the held-out rows' reach
     typical: np.ndarray  # distinct n-grams of the fitting rows, median
+    factors: tuple = REJECT_FACTORS
 
     def predict(self, texts: pa.Array):
         n = len(texts)
@@ -92,9 +113,10 @@ class LanguageModel:
             names = np.array(self.languages, dtype=object)[self.owner[best]]
             lang = np.where(has, names, "und")
             score = np.where(has, np.clip(top, 0.0, 1.0), 0.0).astype(float)
-            # a short text can reach only its own few n-grams' part of a centroid
-            part = np.sqrt(np.minimum(1.0, (counts > 0).sum(axis=1) / self.typical[best]))
-            rejected = ~has | (top < self.limit[best] * part)
+            distinct = (counts > 0).sum(axis=1)
+            far = reach(top, distinct, counts.sum(axis=1), self.typical[best])
+            factor = np.interp(distinct, (FEW, MANY), self.factors)
+            rejected = ~has | (far < factor * self.limit[best])
         return lang, score, rejected
 
 
@@ -126,7 +148,7 @@ def _cluster(x: np.ndarray, k: int, rng: np.random.Generator):
 
 def fit_languages(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", text_col: str = "text",
                   id_col: str = "doc_id", fit_rows: int = FIT_ROWS, per_language: int = CENTROIDS,
-                  reject_factor: float = REJECT_FACTOR, dim: int = DIM) -> LanguageModel:
+                  reject_factors: tuple = REJECT_FACTORS, dim: int = DIM) -> LanguageModel:
     """Learn from the rows where ``learn`` holds and ``lang`` is not null."""
     prepare(docs.sparkSession)
     train = docs.where(F.col(f"`{lang_col}`").isNotNull() & text_of(text_col).rlike(r"\p{L}"))
@@ -138,7 +160,7 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, lang_col: str =
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return LanguageModel([], idf, np.zeros((0, dim), np.float32), np.zeros(0, int), np.zeros(0), np.zeros(0))
+        return LanguageModel([], idf, np.zeros((0, dim), np.float32), np.zeros(0, int), np.zeros(0), np.zeros(0), reject_factors)
     quota = max(8, fit_rows // len(sizes))
     pick = F.lit(False)
     for lang, size in sizes.items():
@@ -146,27 +168,38 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, lang_col: str =
 
     def run(batches):
         for b in batches:
-            c = np.minimum(gram_counts(b.column("text"), dim), 65535).astype("<u2")
-            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), pa.array([r.tobytes() for r in c], pa.binary())],
-                                             names=["lang", "h", "v"])
+            c = gram_counts(b.column("text"), dim)
+            w = term_weights(c).astype("<f4")
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), pa.array([r.tobytes() for r in w], pa.binary()),
+                                              pa.array(c.sum(axis=1))], names=["lang", "h", "v", "total"])
 
-    sample = (train.where(pick).select("lang", "h", "text").mapInArrow(run, "lang string, h long, v binary")
+    sample = (train.where(pick).select("lang", "h", "text").mapInArrow(run, "lang string, h long, v binary, total long")
               .orderBy("h", "lang", "v").limit(2 * fit_rows).collect())
     languages, rng = sorted(sizes), np.random.default_rng(7)
     cents, owner, limit, typical = [], [], [], []
     for i, lang in enumerate(languages):
-        mine = [r["v"] for r in sample if r["lang"] == lang]
+        mine = [r for r in sample if r["lang"] == lang]
         if not mine:
             continue
-        x = weigh(np.stack([np.frombuffer(v, "<u2") for v in mine]).astype(np.int64), idf)
-        c, own = _cluster(x, per_language, rng)
+        weights = np.stack([np.frombuffer(r["v"], "<f4") for r in mine])
+        total = np.array([r["total"] for r in mine])
+        held = np.arange(len(mine)) % HELD_EVERY == HELD_EVERY - 1
+        x, distinct = unit(weights, idf), (weights > 0).sum(axis=1)
+        c, own = _cluster(x[~held], per_language, rng)
+        size = np.array([max(1.0, float(np.median(distinct[~held][own == j]))) if (own == j).any() else 1.0 for j in range(len(c))])
+        check = held if held.any() else ~held
+        sims = x[check] @ c.T
+        near = sims.argmax(axis=1)
+        far = reach(sims.max(axis=1), distinct[check], total[check], size[near])
         for j in range(len(c)):
-            sims = (x[own == j] @ c[j]) if (own == j).any() else np.ones(1)
+            # a centroid that few held-out rows reach takes the language's limit
+            rows = far[near == j] if (near == j).sum() >= 20 else far
             cents.append(c[j])
             owner.append(i)
-            typical.append(max(1.0, float(np.median((x[own == j] > 0).sum(axis=1))) if (own == j).any() else 1.0))
-            limit.append(reject_factor * float(np.percentile(sims, 1)))
-    return LanguageModel(languages, idf, np.array(cents, np.float32), np.array(owner), np.array(limit), np.array(typical))
+            typical.append(size[j])
+            limit.append(float(np.percentile(rows, 1)))
+    return LanguageModel(languages, idf, np.array(cents, np.float32), np.array(owner), np.array(limit), np.array(typical),
+                         reject_factors)
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -59,3 +59,18 @@ def test_far_texts_are_rejected():
     m = langid.LanguageModel(["en"], idf, v, np.array([0]), np.array([0.2]), np.array([float((v > 0).sum())]))
     lang, score, rejected = m.predict(pa.array(["the cat on the mat", "qqqzzzxxx", "12"]))
     assert lang.tolist() == ["en", "en", "und"] and rejected.tolist() == [False, True, True] and score[0] > 0.5
+
+
+FOREIGN = [  # languages that the table does not hold, filler, tags, digits and one letter
+    "Suomi on tasavalta Pohjois-Euroopassa ja sen pääkaupunki on Helsinki. Maassa puhutaan suomea ja ruotsia, ja siellä on paljon "
+    "järviä sekä metsiä. Kesällä päivät ovat pitkiä ja talvella lyhyitä, ja monet viettävät lomansa mökillä veden äärellä.",
+    "Türkiye Cumhuriyeti topraklarının büyük bölümü Anadolu'da bulunan bir ülkedir. Başkenti Ankara ve en kalabalık şehri İstanbul'dur.",
+    "Polska jest państwem położonym w Europie Środkowej. Stolicą kraju jest Warszawa, a językiem urzędowym jest język polski.",
+    "<div><p><span></span></p></div>" * 60, "0123456789abcdef" * 175, "x" * 5000]
+
+
+def test_languages_that_were_not_learned_are_rejected_and_every_clean_text_stays(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit_languages(docs, learn=fold_of("doc_id", 5) != 0)
+    assert model.predict(pa.array(FOREIGN))[2].all()
+    assert langid.predict_languages(docs, model).where("lang_rejected").count() == 0
