@@ -177,7 +177,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 def judged_findings(docs: DataFrame, words: DataFrame, keep=lambda form: True) -> DataFrame:
     """The candidates of the judged forms that ``keep`` takes, with their features and ``label``."""
     judged = judged_documents(docs.sparkSession, keep).withColumn("thash", F.xxhash64("text"))
-    found = features(find_candidates(judged), words)
+    found = features(materialise(find_candidates(judged), "judged"), words)
     return found.join(judged.select("doc_id", "label"), "doc_id")
 
 
