@@ -135,8 +135,10 @@ FROM t JOIN g ON t.h = g.h JOIN k ON t.h = k.h
 
 def _license_sql() -> str:
     known = ", ".join(f"('{s}', '{i}')" for s, i in license_rules.known_sentences())
-    rules = ", ".join(f"CASE WHEN regexp_matches(' ' || ids || ' ', ' {' ([^ ]+ )*?'.join(seq)} ') THEN '{name}' END"
-                      for name, seq in license_rules.RULES)
+    named: dict = {}
+    for name, seq in license_rules.RULES:
+        named.setdefault(name, []).append(f"regexp_matches(' ' || ids || ' ', ' {' ([^ ]+ )*?'.join(seq)} ')")
+    rules = ", ".join(f"CASE WHEN {' OR '.join(tests)} THEN '{name}' END" for name, tests in named.items())
     return f"""
 WITH d AS (SELECT doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '[.!?]+([\\x20\\x09-\\x0D]|$)',
                                                       chr(10) || '\\1', 'g'), chr(10)) AS a FROM documents),

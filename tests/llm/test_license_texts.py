@@ -60,3 +60,34 @@ def test_references_may_be_wrapped_but_must_fill_their_sentence(spark):
              "All rights\n\nreserved", "a | b / c. all rights reserved! d", " ".join(MIT).replace("sublicense", "rent"), "\x01 / | . \n\n .", "." * 9000]
     got = {r.doc_id: r.licenses for r in lr.scan_licenses(simple(spark, texts)).collect()}
     assert got == {0: ["Apache-2.0"], 1: ["CC-BY-4.0"], 2: [], 3: [], 4: ["all-rights-reserved"], 5: [], 6: [], 7: []}
+
+
+ISC = ["ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+       "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+       "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+       "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."]
+MPL = ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+       "this file, You can obtain one at http://mozilla.org/MPL/2.0/."]
+LGPL = [GPL[0].replace("GNU General", "GNU Lesser General"), GPL[1]]
+AGPL = [GPL[0].replace("GNU General", "GNU Affero General"), GPL[1]]
+BSD3 = [*BSD[:3], "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.", BSD[3]]
+MORE = {"ISC": (ISC, ["ISC-text"]), "MPL": (MPL, ["MPL-2.0-notice"]), "LGPL": (LGPL, ["LGPL-3.0-notice"]), "AGPL": (AGPL, ["AGPL-3.0-notice"]),
+        "BSD3": (BSD3, ["BSD-2-Clause", "BSD-3-Clause-text"]), "0BSD": ([ISC[1].split(", provided")[0] + ".", ISC[2]], ["0BSD-text"])}
+
+
+def test_more_genuine_texts(spark):
+    """A BSD-3 text also meets the rule of BSD-2, whose conditions it holds."""
+    texts = [(name, t) for name, (parts, _) in MORE.items() for t in forms(parts) if name != "BSD3" or "3. " in t]
+    got = {r.doc_id: r.licenses for r in lr.scan_licenses(simple(spark, [t for _, t in texts])).collect()}
+    assert got == {i: MORE[name][1] for i, (name, _) in enumerate(texts)}
+
+
+def test_every_licence_by_tag_and_by_name(spark):
+    assert len(lr.LICENCES) >= 40
+    cases = [(spdx, form.format(spdx)) for spdx in lr.LICENCES
+             for form in ("SPDX-License-Identifier: {}", "#!/bin/sh\n# SPDX-License-Identifier: {}\nset -e", "/* spdx-license-identifier: {} */\nint x;")]
+    cases += [(spdx, f"About.\nThis project is licensed under the {name}.\nMore.") for spdx, names in lr.LICENCES.items() for name in names]
+    cases += [(None, t) for t in ("SPDX-License-Identifier: MIT-like", "We like the MIT License", "licensed under a license", "SPDX-License-Identifier:")]
+    got = {r.doc_id: r.licenses for r in lr.scan_licenses(simple(spark, [t for _, t in cases])).collect()}
+    assert got == {i: [spdx] if spdx else [] for i, (spdx, _) in enumerate(cases)}
