@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import PySparkException
 
+from ..operators.ranking import scratch_table_path
 from ..schemas import INGESTION_METADATA
 from ..sources import bronze
 from ..sources.commits import SnapshotStore
@@ -163,7 +164,9 @@ def season_index_ingest(spark: SparkSession, index_path: str, matches_root: str,
         raise ValueError(f"no seasons for competition {competition_id}")
     seasons = index.select(*SEASON_KEYS, "season_name").distinct()
     files = bronze.list_season_files(spark, matches_root).join(seasons, list(SEASON_KEYS), "left_semi")
-    todo = new_snapshots(files, season_marks(spark, target), SEASON_KEYS)
+    work = scratch_table_path(spark)    # the work list is used several times, the files are listed once
+    new_snapshots(files, season_marks(spark, target), SEASON_KEYS).write.parquet(work)
+    todo = spark.read.schema(files.schema).parquet(work)
     log = None
     if not todo.isEmpty():
         found = bronze.read_season_matches(spark, matches_root, competition_id, bronze.QUARANTINE).join(
