@@ -79,24 +79,18 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], doc_schema:
                                    F.col("_metadata.file_name").alias("file_name")), doc_schema, on_damage)
 
 
-def empty_files(spark: SparkSession, prefix: str, glob: str = "*.json") -> list[str]:
-    """Paths of the files without a byte under ``prefix``.
+def empty_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``source_blob`` of the files without a byte among those that ``files`` (a load of a file
+    source) lists.
 
-    Spark's file sources leave such files out of their listing, so the folder is listed
-    here; only the empty ones are kept."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(prefix)
-    matches = jvm.org.apache.hadoop.fs.GlobFilter(glob)
-    found = folder.getFileSystem(conf).listFiles(folder, True)
-    out = []
-    while found.hasNext():
-        f = found.next()
-        if f.getLen() == 0 and matches.accept(f.getPath()) and not f.getPath().getName().startswith(("_", ".")):
-            out.append(f.getPath().toUri().toString())
-    return sorted(out)
-
-
-LISTED = "source_blob string, file_name string, bytes long, modified timestamp"
+    Spark's file sources keep such files in their listing but give no row for them, so the
+    listing is held against the rows; the paths stay in the JVM and are compared by a join."""
+    session, jvm = spark._jsparkSession, spark.sparkContext._jvm
+    paths = session.createDataset(jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles()),
+                                  jvm.org.apache.spark.sql.Encoders.STRING()).toDF()
+    found = files.select(F.col("_metadata.file_path").alias("found"))
+    bare = lambda c: F.regexp_replace(c, "^([^:/]+):/+", "$1:/")  # noqa: E731  (file:/x and file:///x are one path)
+    return DataFrame(paths, spark).toDF("source_blob").join(found, bare("source_blob") == bare("found"), "left_anti")
 
 
 def list_snapshots(spark: SparkSession, prefix: str, glob: str = "*.json") -> DataFrame:
@@ -104,13 +98,13 @@ def list_snapshots(spark: SparkSession, prefix: str, glob: str = "*.json") -> Da
     season, size, modification time) without reading their contents: only the
     ``binaryFile`` source's metadata columns are selected, so the content
     column is pruned.  Files without content are listed too."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", True).load(prefix)
-             .select(F.col("_metadata.file_path").alias("source_blob"), F.col("_metadata.file_name").alias("file_name"),
-                     F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")))
-    empty = [(p, p.rsplit("/", 1)[-1], 0, None) for p in empty_files(spark, prefix, glob)]
-    if empty:
-        files = files.unionByName(spark.createDataFrame(empty, LISTED))
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", True).load(prefix))
+    files = listed.select(F.col("_metadata.file_path").alias("source_blob"), F.col("_metadata.file_name").alias("file_name"),
+                          F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    empty = empty_files(spark, listed)
+    files = files.unionByName(empty.select("source_blob", F.substring_index("source_blob", "/", -1).alias("file_name"),
+                                           F.lit(0).cast("long").alias("bytes"), F.lit(None).cast("timestamp").alias("modified")))
     return with_snapshot_keys(files)
 
 
