@@ -36,6 +36,21 @@ def cut_documents(records: DataFrame, key, array_field: str, path: str, extra: d
     pages.select(F.to_json(doc).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
 
+def stored_input(records: DataFrame, *by: str) -> DataFrame:
+    """``records`` written once (in a folder per value of ``by``) and read back, for queries
+    that use them several times."""
+    path = scratch_table_path(records.sparkSession)
+    records.write.partitionBy(*by).parquet(path)
+    return records.sparkSession.read.schema(records.schema).parquet(path).select(*records.columns)
+
+
+def season_records(spark, sf) -> tuple[DataFrame, list[int]]:
+    """Match records with their year (``_year``, a folder each), and the years."""
+    recs = fx.bronze_match_records(fx.matches(spark, sf))
+    stored = stored_input(recs.withColumn("_year", F.year(F.to_date(F.substring("utcDate", 1, 10)))), "_year")
+    return stored, [r[0] for r in stored.select("_year").where("_year is not null").distinct().orderBy("_year").collect()]
+
+
 @register("silver_from_documents", MATCHES_SILVER_SQL)
 def q_silver_from_documents(spark, sf):
     """Documents (read by a glob, among files that do not match
@@ -146,14 +161,11 @@ def q_bronze_ingest_rerun(spark, sf):
     """Every season ingested twice (the second run appends
     nothing), and an empty season that is logged as failed."""
     target = f"{scratch_table_path(spark)}/matches"
-    m = fx.matches(spark, sf)
-    recs = fx.bronze_match_records(m)
-    year = F.year(F.to_date(F.substring("utcDate", 1, 10)))
-    years = [r[0] for r in recs.select(year.alias("y")).where("y is not null").distinct().orderBy("y").collect()]
+    recs, years = season_records(spark, sf)
     logs = None
     for y in [1900, *years, *years]:
         day = "1900-01-01" if y == 1900 else f"{y}-12-31"
-        log = ingest.bronze_ingest(spark, recs.where(year == y), target, day, y, "matches", entity="match", ingested_by="catalogue")
+        log = ingest.bronze_ingest(spark, recs.where(F.col("_year") == y).drop("_year"), target, day, y, "matches", entity="match", ingested_by="catalogue")
         logs = log if logs is None else logs.union(log)
     stored = spark.read.parquet(target).groupBy("snapshot_season").agg(F.max("_ingestion_metadata.match_count").alias("match_count"))
     return (logs.distinct().withColumn("s", F.substring_index("item", "/", -1).cast("int"))

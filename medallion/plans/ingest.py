@@ -117,9 +117,10 @@ def bronze_ingest(spark: SparkSession, records: DataFrame, target: str, snapshot
         store.adopt(key, n)
         mark = store.mark(key)
     if mark is None or mark["rows"] != n:
-        if require_rows(records, f"{source} {snapshot_date}", allow_empty):
+        known = records.count() if entity else 0    # tells an empty snapshot too
+        if known or require_rows(records, f"{source} {snapshot_date}", allow_empty):
             if entity:
-                extra[f"{entity}_count"] = records.count()
+                extra[f"{entity}_count"] = known
             attempt, folder = store.staging()
             seen = Observation(f"ingest-{attempt}")
             (annotate(records, snapshot_date, season, source, extra=extra).drop(*SNAPSHOT_KEYS)
