@@ -127,13 +127,11 @@ def q_ingest_repair(spark, sf):
     """Seasons left unfinished by a broken run (a fragment without a mark; a mark whose
     files were never moved into place; files lost after the commit) are repaired by the rerun."""
     target = f"{scratch_table_path(spark)}/matches"
-    m = fx.matches(spark, sf)
-    recs = fx.bronze_match_records(m)
-    year = F.year(F.to_date(F.substring("utcDate", 1, 10)))
+    recs, years = season_records(spark, sf)
     store = SnapshotStore(spark, target)
     logs = None
-    for y in [r[0] for r in recs.select(year.alias("y")).where("y is not null").distinct().orderBy("y").collect()]:
-        mine, day, key = recs.where(year == y), f"{y}-12-31", store.key(f"{y}-12-31", y)
+    for y in years:
+        mine, day, key = recs.where(F.col("_year") == y).drop("_year"), f"{y}-12-31", store.key(f"{y}-12-31", y)
         rows = ingest.annotate(mine, day, y, "matches").drop(*ingest.SNAPSHOT_KEYS)
         if y % 3 == 0:
             rows.where("id % 3 = 0").write.parquet(f"{target}/{key}")
