@@ -353,7 +353,7 @@ def q_gate_blocks_write(spark, sf):
     """A failing FAIL check leaves no output; a failing WARN check does not stop
     the write."""
     root = scratch_table_path(spark)
-    flat = silver_matches(fx.bronze_match_records(fx.matches(spark, sf)), count_rejects=True)
+    flat = silver_matches(stored_input(fx.bronze_match_records(fx.matches(spark, sf))), count_rejects=True)
     some = F.col("match_id") % 50 == 0
     frames = {"clean": flat, "repeated": flat.unionAll(flat),
               "undated": flat.withColumn("match_date", F.when(~some, F.col("match_date"))),
