@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from .common import materialise, prepare, text_of
-from .words import WordPool, as_strings, gather_ragged, joined, split_words
+from .words import HashPool, as_strings, gather_ragged, hashed_words, joined
 
 SEQ_LEN = 2048
 END_ID = 1
@@ -36,9 +36,10 @@ TOKENS_PER_RANGE = 8_000_000
 CHUNK_IDS = 8192        # ids in one row that is range-sorted: long documents weigh as many rows
 JOIN_ROWS, JOIN_BYTES = 1500, 3 << 20
 ARROW_BYTES = 4 << 20   # the JVM's and the worker's buffers of one Arrow batch
+READ_ROWS = 512         # whole texts, or rows of ids, in one Parquet batch of the JVM
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
-_POOLS: dict[str, WordPool] = {}
+_POOLS: dict[str, HashPool] = {}
 _PLAIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
 
 
@@ -57,7 +58,7 @@ def _ends_in_letter(last: str) -> bool:
     return last.isalpha() and unicodedata.normalize("NFC", last).lower()[-1].isalpha()
 
 
-def _word_pool(path: str) -> WordPool:
+def _word_pool(path: str) -> HashPool:
     """Ids per white-space-separated word; the vocabulary never joins two of them."""
     if path not in _POOLS:
         import os
@@ -87,19 +88,18 @@ def _word_pool(path: str) -> WordPool:
             new[""] = []
             return [new[a] + new[b] if b else new[a] for a, b in split]
 
-        _POOLS[path] = WordPool(encode_many)
+        _POOLS[path] = HashPool(encode_many)
     return _POOLS[path]
 
 
 def encode_batch(texts: pa.Array, path: str):
     """``(ids, ends)``: all ids of the texts, flat, and each text's end."""
     import pyarrow.compute as pc
-    low = texts
-    if not pc.any(pc.match_substring(texts, "<|")).as_py():
-        low = pc.ascii_lower(texts)  # the vocabulary is lower case; fewer distinct words
-    codes, distinct, offsets = split_words(low)
-    slots, starts, lengths, pool = _word_pool(path).lookup(distinct)
-    ids, ends = gather_ragged(slots[codes] if len(codes) else np.zeros(0, np.int64), starts, lengths, pool)
+    # the vocabulary is lower case; fewer distinct words
+    lower = not pc.any(pc.match_substring(texts, "<|")).as_py()
+    hashes, begins, stops, offsets, data = hashed_words(texts, lower)
+    slots, starts, lengths, pool = _word_pool(path).lookup(hashes, begins, stops, data, lower)
+    ids, ends = gather_ragged(slots, starts, lengths, pool)
     ends = np.concatenate([[0], ends])
     return ids, ends[offsets[1:]] if len(offsets) > 1 else np.zeros(0, np.int64)
 
@@ -111,7 +111,7 @@ def _projection() -> np.ndarray:
 def tokenise(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, start, n, ids, tie, x0..``: a document's ids with the end id, cut into rows of at
     most ``CHUNK_IDS`` (from ``start``, of ``n`` in all), a checksum of them all, and the projected vector."""
-    prepare(docs.sparkSession, ARROW_BYTES)
+    prepare(docs.sparkSession, ARROW_BYTES, READ_ROWS)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):

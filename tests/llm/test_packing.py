@@ -111,3 +111,34 @@ def test_long_documents_are_cut_into_rows(spark):
     rows = packing.tokenise(docs, tokenizer_file(WORD_BPE)).collect()
     assert all(len(r.ids) <= 4 * packing.CHUNK_IDS for r in rows) and len(rows) > 8
     check(packing.pack(docs, tokenizer_file(WORD_BPE), tokens_per_range=5000).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_word_pool_holds_no_words():
+    """A full pool of words as objects took so much of two workers that an executor went over its memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from medallion.llm.words import HashPool, hashed_words
+    text = " ".join(f"Word{i}{'x' * (i % 90)}" for i in range(200_000)) + " word7xxxxxxx <|é"
+    texts = pa.array(["", text, " \n", "Ab ab"])
+    hashes, starts, ends, offsets, data = hashed_words(texts, True)
+    words = [data[s:e].tobytes().decode().lower() for s, e in zip(starts, ends)]
+    assert words == (text + " Ab ab").lower().split() and offsets.tolist() == [0, 0, 200_002, 200_002, 200_004]
+    assert len(set(hashes.tolist())) == len(set(words))
+    tracemalloc.start()
+    pool = HashPool(lambda new: [[len(w), int(w[4:].rstrip("x") or 0) if w.startswith("word") else 0] for w in new])
+    for _ in range(2):
+        slots, begin, n, ids = pool.lookup(hashes, starts, ends, data, True)
+        at = begin[slots]
+        assert (n[slots] == 2).all() and ids[at].tolist() == [len(w) for w in words]
+        assert ids[at[:200_000] + 1].tolist() == list(range(200_000))
+    del slots, begin, n, ids, at
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 15 << 20
+
+
+def test_whole_texts_are_read_few_at_a_time(spark):
+    packing.tokenise(documents(spark), tokenizer_file(WORD_BPE))
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
