@@ -17,18 +17,19 @@ Lists longer than ``LIST_ROWS`` are cut into blocks, and pairs of blocks go to d
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_names, materialise, prepare, text_of
-from .words import as_strings, joined, split_words
+from .words import as_strings, hashed_words, joined
 
 SIMILARITY = (4, 5)       # 0.8 as a fraction
 RARITY_SLOTS = 1 << 22    # words are counted in this many hash slots
+SLOTS_A_ROW = 4096        # slots whose counts are shuffled as one row
 LIST_ROWS = 4096          # lines of a word's list that one task compares at once
 TEXT_BUCKETS = 1 << 22    # bound of the broadcast filter on the lines whose words are verified
 JOIN_ROWS, JOIN_BYTES = 40_000, 12 << 20
@@ -62,46 +63,53 @@ def word_set(line: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: w != ""))
 
 
-def _hashes(words: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
-
-
 def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
     """Occurrences per hash slot over all lines, as eighths of their binary logarithm: a table
     of one byte a slot that tells counts apart up to 2 ** 31."""
     def run(batches):
         total = np.zeros(slots, np.int64)
         for b in joined(batches, JOIN_ROWS, JOIN_BYTES):
-            codes, distinct, _ = split_words(pc.ascii_lower(as_strings(b.column("t"))))
-            if distinct:
-                n = np.bincount(codes, minlength=len(distinct))
-                np.add.at(total, (_hashes(distinct) % np.uint64(slots)).astype(np.int64), n)
-        used = np.nonzero(total)[0]
-        for lo in range(0, len(used), 1 << 16):
-            u = used[lo:lo + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int32)), pa.array(total[u])], names=["slot", "n"])
-
-    got = lines.mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    scaled = F.least(F.floor(F.log2("n") * 8), F.lit(255)).cast("int")
-    packed = got.select("slot", scaled.alias("n")).groupBy(F.floor(F.col("slot") / 4096).cast("int").alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("v"))
+            np.add.at(total, (hashed_words(as_strings(b.column("t")), True)[0] % np.uint64(slots)).astype(np.int64), 1)
+        for part in range(0, slots, SLOTS_A_ROW):
+            used = np.flatnonzero(total[part:part + SLOTS_A_ROW])
+            if len(used):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part // SLOTS_A_ROW], pa.int32()), pa.array([used.astype("<u2").tobytes()], pa.binary()),
+                     pa.array([total[part + used].astype("<i8").tobytes()], pa.binary())], names=["part", "s", "n"])
+
+    def added(batches):
+        total = {}
+        for b in batches:
+            for part, at, n in zip(*(b.column(c).to_pylist() for c in ("part", "s", "n"))):
+                total.setdefault(part, np.zeros(SLOTS_A_ROW, np.int64))[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+        for part, n in total.items():
+            used = np.flatnonzero(n)
+            scaled = np.minimum(np.floor(np.log2(n[used]) * 8), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([used.astype("<u2").tobytes()], pa.binary()), pa.array([scaled.tobytes()], pa.binary())],
+                names=["part", "s", "n"])
+
+    schema = "part int, s binary, n binary"
+    packed = lines.mapInArrow(run, schema).repartition("part").mapInArrow(added, schema)
     out = np.zeros(slots, np.uint8)
-    for r in packed.select(F.expr("transform(v, x -> x.slot)").alias("s"), F.expr("transform(v, x -> x.n)").alias("n")).toLocalIterator():
-        out[r["s"]] = r["n"]
+    for r in packed.toLocalIterator():
+        out[r["part"] * SLOTS_A_ROW + np.frombuffer(r["s"], "<u2").astype(np.int64)] = np.frombuffer(r["n"], np.uint8)
     return out
 
 
-LINE_SCHEMA = "a long, b long, doc long, line int, n int, toks array<int>, bits0 long, bits1 long"
+LINE_SCHEMA = "a long, b long, doc long, line int, n int, toks array<int>, often int, bits0 long, bits1 long"
 
 
-def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) -> DataFrame:
-    """``LINE_SCHEMA``: key, place, size, rare words (hashes of 32 bits) and map of every line with a word.
+def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``LINE_SCHEMA``: key, place, size, rare words (hashes of 32 bits) and map of every line with a
+    word; from the word ``often`` on, the slots count so much that lists may be longer than ``list_rows``.
 
     Words are ordered by (count, hash): any order shared by all lines keeps the
     join exact.  A word whose slot counts one is in no other line and is not
     posted.  Of a line repeated inside a batch, the earliest is kept."""
     num, den = similarity
     shared = lines.sparkSession.sparkContext.broadcast(counts)
+    many = min(math.floor(math.log2(max(list_rows, 1)) * 8), 255)
 
     def run(batches):
         table = shared.value
@@ -111,33 +119,37 @@ def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY) ->
             ka, kb = ka[order], kb[order]
             once = np.concatenate([[True], (ka[1:] != ka[:-1]) | (kb[1:] != kb[:-1])])
             b = b.take(pa.array(order[once]))
-            codes, distinct, offsets = split_words(pc.ascii_lower(as_strings(b.column("line"))))
-            if not len(codes):
+            hashes, _, _, offsets, _ = hashed_words(as_strings(b.column("line")), True)
+            if not len(hashes):
                 continue
-            hashes = _hashes(distinct)
             rank = table[(hashes % np.uint64(len(table))).astype(np.int64)]
-            order = np.lexsort((hashes, rank))
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
             line = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            key = np.sort(line * len(order) + place[codes])  # per line, its distinct words by rarity
-            key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-            line, word = key // len(order), order[key % len(order)]
+            key = (line.astype(np.uint64) << np.uint64(40)) | (rank.astype(np.uint64) << np.uint64(32)) | (hashes >> np.uint64(32))
+            order = np.argsort(key)         # per line, its words by rarity
+            key, sorted_ = key[order], hashes[order]
+            if np.any((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])):   # different words alike in 32 bits
+                order = np.lexsort((hashes, rank, line))
+                sorted_ = hashes[order]
+            line = line[order]
+            once = np.concatenate([[True], (sorted_[1:] != sorted_[:-1]) | (line[1:] != line[:-1])])
+            hashes, rank, line = sorted_[once], rank[order][once], line[once]
             first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
             size = np.diff(np.append(first, len(line)))
-            bit = hashes[word] >> np.uint64(57)
+            bit = hashes >> np.uint64(57)
             one = np.uint64(1) << (bit & np.uint64(63))
             maps = [np.bitwise_or.reduceat(np.where((bit >> np.uint64(6)) == half, one, np.uint64(0)), first) for half in (0, 1)]
             n = np.repeat(size, size)
             pos = np.arange(len(line)) - np.repeat(first, size)
-            take = (pos < n - -(-num * n // den) + 1) & (rank[word] > 0)
+            take = (pos < n - -(-num * n // den) + 1) & (rank > 0)
             lists = np.concatenate([[0], np.cumsum(np.add.reduceat(take.astype(np.int64), first))])
+            often = np.add.reduceat((take & (rank < many)).astype(np.int32), first)
             rows = pa.array(line[first])
-            toks = (hashes[word[take]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+            toks = (hashes[take] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c).take(rows) for c in ("a", "b", "doc", "line_no")], pa.array(size.astype(np.int32)),
-                 pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(toks)), *[pa.array(m.view(np.int64)) for m in maps]],
-                names=["a", "b", "doc", "line", "n", "toks", "bits0", "bits1"])
+                 pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(toks)),
+                 pa.array(often.astype(np.int32)), *[pa.array(m.view(np.int64)) for m in maps]],
+                names=["a", "b", "doc", "line", "n", "toks", "often", "bits0", "bits1"])
 
     return lines.select("doc", "line_no", *KEYS, "line").mapInArrow(run, LINE_SCHEMA)
 
@@ -193,13 +205,16 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
 
 def list_pairs(posted: DataFrame, similarity=SIMILARITY, every: bool = False, list_rows: int = LIST_ROWS) -> DataFrame:
     """``PAIR_SCHEMA``: candidates of every line that ``ask``s, from the lists of ``posted``
-    (``tok, doc, line, n, pos, bits0, bits1, ask``).  ``alone``: other candidates of its list were left out."""
-    hot = materialise(posted.groupBy("tok").count().where(F.col("count") > list_rows).select(
+    (``tok, doc, line, n, pos, often, bits0, bits1, ask``).  ``alone``: other candidates of its list were left out."""
+    hot = materialise(posted.where("pos >= often").groupBy("tok").count().where(F.col("count") > list_rows).select(
         "tok", F.ceil(F.col("count") / list_rows).cast("int").alias("blocks")), "long_lists")
     blk = F.pmod(F.xxhash64("doc", "line"), F.col("blocks")).cast("int")
     one = F.least("blk", "x") * (1 << 20) + F.greatest("blk", "x")
-    rows = (posted.join(hot, "tok", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("blk", blk)
-            .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("g", one.cast("long")))
+    if hot.isEmpty():
+        rows = posted.withColumn("blk", F.lit(0)).withColumn("g", F.lit(0).cast("long"))
+    else:
+        rows = (posted.join(hot, "tok", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("blk", blk)
+                .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("g", one.cast("long")))
     names = ["tok", "g", "blk", "doc", "line", "n", "pos", "bits0", "bits1", "ask"]
     rows = rows.select(*names).repartition("tok", "g").sortWithinPartitions("tok", "g", "doc", "line")
 
@@ -244,35 +259,54 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
-                   rarity_slots: int = RARITY_SLOTS) -> DataFrame:
+                   rarity_slots: int = RARITY_SLOTS, list_rows: int = LIST_ROWS) -> DataFrame:
     """``LINE_SCHEMA`` of the first occurrence of every distinct line with a word."""
     prepare(docs.sparkSession)
     counts = word_counts(docs.select(text_of(text_col).alias("t")), rarity_slots)
     lines = explode_lines(docs, text_col, id_col).select("*", *line_keys())
-    first = F.min(F.struct(*AT, "n", "toks", "bits0", "bits1")).alias("f")
-    return materialise(posted_lines(lines, counts, similarity).groupBy(*KEYS).agg(first).select(*KEYS, "f.*"), "distinct_lines")
+    first = F.min(F.struct(*AT, "n", "toks", "often", "bits0", "bits1")).alias("f")
+    return materialise(posted_lines(lines, counts, similarity, list_rows).groupBy(*KEYS).agg(first).select(*KEYS, "f.*"), "distinct_lines")
+
+
+def _asked_again(posted: DataFrame, asked: DataFrame, similarity) -> DataFrame:
+    """The rows of ``posted`` that pass the filters with a later line of ``asked`` in a list, and ``asked`` itself.
+
+    A broadcast set of at most ``TEXT_BUCKETS`` hashes, of words with the sizes that lines similar
+    to those of ``asked`` can have, comes before any row is shuffled."""
+    num, den = similarity
+    size = F.floor(F.log(F.col("n")) / math.log(1.05 * den / num))     # of similar lines, differs by one at most
+    bucket = F.pmod(F.xxhash64("tok", "size"), F.lit(TEXT_BUCKETS)).cast("int").alias("bucket")
+    sizes = F.explode(F.array(size - 1, size, size + 1)).alias("size")
+    wanted = F.broadcast(asked.select("tok", sizes).select(bucket).distinct())
+    near = posted.withColumn("size", size).withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").drop("size", "bucket")
+    x, y = (lambda c: F.col(f"x.{c}").cast("long")), (lambda c: F.col(f"y.{c}").cast("long"))
+    differ = F.bit_count(x("bits0").bitwiseXOR(y("bits0"))) + F.bit_count(x("bits1").bitwiseXOR(y("bits1")))
+    same = (x("doc") == y("doc")) & (x("line") == y("line"))
+    earlier = (x("doc") < y("doc")) | ((x("doc") == y("doc")) & (x("line") < y("line")))
+    alike = ((x("n") * num <= y("n") * den) & (y("n") * num <= x("n") * den)
+             & (F.least(x("n") - x("pos"), y("n") - y("pos")) * (num + den) >= (x("n") + y("n")) * num)
+             & (differ * (num + den) <= (x("n") + y("n")) * (den - num)))
+    return near.alias("x").join(asked.alias("y"), (F.col("x.tok") == F.col("y.tok")) & (same | (earlier & alike)), "left_semi")
 
 
 def similar_lines(firsts: DataFrame, docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
                   list_rows: int = LIST_ROWS) -> DataFrame:
     """``doc, line`` of the distinct lines that an earlier, different line is similar to."""
     lines = explode_lines(docs, text_col, id_col)
-    posted = firsts.select(*AT, "n", "bits0", "bits1", F.posexplode("toks").alias("pos", "tok"))
+    posted = firsts.select(*AT, "n", "often", "bits0", "bits1", F.posexplode("toks").alias("pos", "tok"))
     pairs = materialise(list_pairs(posted.withColumn("ask", F.lit(True)), similarity, list_rows=list_rows), "line_pairs")
     settled = materialise(_verified(pairs, lines, similarity), "settled_lines")
     failed = materialise(pairs.where("alone").select(*AT).distinct().join(settled, AT, "left_anti"), "failed_lines")
     if failed.isEmpty():
         return settled
-    # written first: the planner sees that these tables are small and moves no postings for them
-    toks = materialise(firsts.join(failed, AT, "left_semi").select(F.explode("toks").alias("tok")).distinct(), "failed_words")
-    marked = posted.join(failed.withColumn("ask", F.lit(True)), AT, "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
-    again = marked.join(toks, "tok", "left_semi")
+    again = _asked_again(posted, materialise(posted.join(failed, AT, "left_semi"), "failed_words"), similarity)
+    again = again.join(failed.withColumn("ask", F.lit(True)), AT, "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
     more = materialise(list_pairs(again, similarity, every=True, list_rows=list_rows), "line_pairs")
     return settled.union(_verified(more, lines, similarity)).distinct()
 
 
 def _removed(docs: DataFrame, similarity, text_col: str, id_col: str, rarity_slots: int, list_rows: int = LIST_ROWS) -> DataFrame:
-    firsts = distinct_lines(docs, similarity, text_col, id_col, rarity_slots)
+    firsts = distinct_lines(docs, similarity, text_col, id_col, rarity_slots, list_rows)
     later = similar_lines(firsts, docs, similarity, text_col, id_col, list_rows).withColumn("similar", F.lit(True))
     known = firsts.select(*AT, *KEYS).join(later, AT, "left").select(
         *KEYS, F.struct(*AT).alias("first"), F.coalesce("similar", F.lit(False)).alias("similar"))

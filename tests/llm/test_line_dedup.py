@@ -109,3 +109,36 @@ def test_rows_without_an_id_have_one_result_each(spark):
 
 def test_empty_table(spark):
     assert ld.removed_lines(empty(spark), rarity_slots=1 << 10).count() == 0
+
+
+def test_words_are_counted_over_all_slots(spark):
+    texts = ["one two Two", "two three\none", None, "x" * 70 + " " + "X" * 70, "é É\x0bthree \x1c"]
+    lines = simple(spark, texts).selectExpr("text as t")
+    counts = ld.word_counts(lines, ld.RARITY_SLOTS)
+    assert sorted(counts[counts > 0].tolist()) == [8, 8, 8, 12]    # one, three, x...: 2 each; two: 3
+    assert len(counts) == ld.RARITY_SLOTS
+
+
+def test_lines_are_asked_again_of_similar_sizes_only(spark):
+    """All lines of a failed line's words came back before, so their number grew with the square of a list's length."""
+    rng = random.Random(3)
+    rows = [(rng.randrange(4), d, 0, rng.randrange(1, 60), 0, 99, rng.getrandbits(5), rng.getrandbits(3)) for d in range(400)]
+    posted = spark.createDataFrame(rows, "tok int, doc long, line int, n int, pos int, often int, bits0 long, bits1 long")
+    asked = [r for r in rows if r[1] % 40 == 39]
+    got = {r.doc for r in ld._asked_again(posted, posted.where("doc % 40 = 39"), (4, 5)).collect()}
+
+    def alike(x, y):
+        d = (x[6] ^ y[6]).bit_count() + (x[7] ^ y[7]).bit_count()
+        return x[0] == y[0] and (x == y or x[1] < y[1] and 4 * x[3] <= 5 * y[3] and 4 * y[3] <= 5 * x[3]
+                                 and 9 * min(x[3], y[3]) >= 4 * (x[3] + y[3]) and 9 * d <= x[3] + y[3])
+    assert got == {x[1] for x in rows if any(alike(x, y) for y in asked)}
+    assert 2 * len(got) < len(rows)
+
+
+@pytest.mark.parametrize("n", [1, 40])
+def test_only_words_that_may_have_long_lists_are_counted(spark, n):
+    texts = [f"common word{i} other{i % 50} word{i} more{i % 50}" for i in range(200)]
+    firsts = ld.distinct_lines(simple(spark, texts), rarity_slots=1 << 16, list_rows=n)
+    lists = firsts.selectExpr("posexplode(toks) as (pos, tok)", "often")
+    true = {r.tok for r in lists.groupBy("tok").count().where(f"count > {n}").collect()}
+    assert true <= {r.tok for r in lists.where("pos >= often").collect()}
