@@ -4,7 +4,7 @@ A line is the set of its words (ASCII letters in lower case).  The words of ever
 line are ordered by rarity over the whole corpus; two lines with Jaccard
 similarity of at least t share a word among the first n - ceil(t n) + 1 of each.
 Every distinct line is posted once under each of those words, with its size, the word's
-position and a 128-bit map of its words.  Lists are read as sorted streams: the length
+position and a 128-bit map of its words.  A task reads whole lists, some at a time: the length
 filter, the positional filter and the map (bits that differ are words that differ)
 remove nearly all pairs of a list before any text is moved; the rest is verified on
 the words themselves.  A line goes if an earlier line is equal or similar to it.
@@ -31,9 +31,10 @@ SIMILARITY = (4, 5)       # 0.8 as a fraction
 RARITY_SLOTS = 1 << 22    # words are counted in this many hash slots
 SLOTS_A_ROW = 4096        # slots whose counts are shuffled as one row
 LIST_ROWS = 4096          # lines of a word's list that one task compares at once
+PART_ROWS = 250_000       # rows of lists, about, that a task holds at once
+PACK_ROWS = 1024          # rows of lists shuffled as one row at most
 TEXT_BUCKETS = 1 << 22    # bound of the broadcast filter on the lines whose words are verified
 JOIN_ROWS, JOIN_BYTES = 40_000, 12 << 20
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 # rows without an id are numbered from here by their text's hash, after all ids
@@ -58,9 +59,21 @@ def line_keys(line: str = "line") -> list[Column]:
     return [F.xxhash64(F.col(line)).alias("a"), F.xxhash64(F.lit(7), F.col(line)).alias("b")]
 
 
-def word_set(line: Column) -> Column:
-    words = F.split(F.translate(line, UPPER, LOWER), r"[\x20\x09-\x0D]+")
-    return F.array_distinct(F.filter(words, lambda w: w != ""))
+def word_sets(lines: DataFrame) -> DataFrame:
+    """``doc, line, words``: the 64-bit hashes of the distinct words of every ``text``."""
+    def run(batches):
+        for b in joined(batches, JOIN_ROWS, JOIN_BYTES):
+            hashes, _, _, offsets, _ = hashed_words(as_strings(b.column("text")), True)
+            row = np.repeat(np.arange(b.num_rows), np.diff(offsets))
+            order = np.lexsort((hashes, row))
+            hashes = hashes[order]
+            once = np.ones(len(hashes), bool)
+            once[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+            ends = np.cumsum(np.bincount(row[once], minlength=b.num_rows))
+            words = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(hashes[once].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("line"), words], names=["doc", "line", "words"])
+
+    return lines.select("doc", "line", "text").mapInArrow(run, "doc long, line int, words array<long>")
 
 
 def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
@@ -159,24 +172,24 @@ PAIR_SCHEMA = "doc long, line int, odoc long, oline int, alone boolean"
 
 
 def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
-    """Candidate pairs (later, earlier) of whole lists, sorted by list and place."""
+    """Candidate pairs (later, earlier) of whole lists; the rows of a list are together, in any order."""
     num, den = similarity
-    n, pos = rows["n"], rows["pos"]
+    n, pos, doc, line, ask, side = (rows.get(c) for c in ("n", "pos", "doc", "line", "ask", "side"))
     bits0, bits1 = (rows[c].view(np.uint64) for c in ("bits0", "bits1"))
     empty = 1 - (np.bitwise_count(bits0).astype(np.int64) + np.bitwise_count(bits1)) / 128  # share of unset bits
-    new = (rows["tok"][1:] != rows["tok"][:-1]) | (rows["g"][1:] != rows["g"][:-1])
-    ends = np.append(np.flatnonzero(new) + 1, len(n))
+    ends = np.append(np.flatnonzero(rows["list"][1:] != rows["list"][:-1]) + 1, len(n))
     left = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(n))  # members from here on
     lo, hi, far = [], [], []
     at = np.arange(len(n))
-    across = rows["g"] // (1 << 20) != rows["g"] % (1 << 20)
     for k in range(1, int(left.max())):
         at = at[left[at] > k]
         x, y = at, at + k
-        # every ``ask`` is one of the later line
-        ok = (n[x] * num <= n[y] * den) & (n[y] * num <= n[x] * den) & rows["ask"][y]
+        ok = (n[x] * num <= n[y] * den) & (n[y] * num <= n[x] * den)
         ok &= np.minimum(n[x] - pos[x], n[y] - pos[y]) * (num + den) >= (n[x] + n[y]) * num
-        ok &= ~across[x] | (rows["blk"][x] != rows["blk"][y])
+        if ask is not None:
+            ok &= ask[x] | ask[y]
+        if side is not None:
+            ok &= (side[x] < 0) | (side[x] != side[y])
         x, y = x[ok], y[ok]
         d = np.bitwise_count(bits0[x] ^ bits0[y]).astype(np.int64) + np.bitwise_count(bits1[x] ^ bits1[y])
         ok = d * (num + den) <= (n[x] + n[y]) * (den - num)
@@ -186,12 +199,18 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
     if not lo:
         return None
     lo, hi, far = np.concatenate(lo), np.concatenate(hi), np.concatenate(far)
+    turn = (doc[lo] > doc[hi]) | ((doc[lo] == doc[hi]) & (line[lo] > line[hi]))
+    lo, hi = np.where(turn, hi, lo), np.where(turn, lo, hi)
+    ok = (doc[lo] != doc[hi]) | (line[lo] != line[hi])     # a line is there twice if two of its words are alike in 32 bits
+    if ask is not None:
+        ok &= ask[hi]
+    lo, hi, far = lo[ok], hi[ok], far[ok]
     alone = np.zeros(len(lo), bool)
     if not every and len(lo):   # of a line's near candidates in a list, the earliest alone
         # a word that differs shows about as often as a bit of the map is unset
         guess = (far + 1) / np.maximum(np.minimum(empty[lo], empty[hi]), 0.01)
         near = guess * (num + den) <= (n[lo] + n[hi]) * (den - num)
-        order = np.lexsort((lo, ~near, hi))
+        order = np.lexsort((line[lo], doc[lo], ~near, hi))
         lo, hi, near = lo[order], hi[order], near[order]
         top = np.concatenate([[True], hi[1:] != hi[:-1]])
         settled = np.repeat(near[top], np.diff(np.append(np.flatnonzero(top), len(hi))))
@@ -199,43 +218,105 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
         lo, hi, alone = lo[keep], hi[keep], settled[keep]
     if not len(lo):
         return None
-    return pa.RecordBatch.from_arrays([pa.array(rows["doc"][hi]), pa.array(rows["line"][hi]), pa.array(rows["doc"][lo]),
-                                       pa.array(rows["line"][lo]), pa.array(alone)], names=["doc", "line", "odoc", "oline", "alone"])
-
-
-def list_pairs(posted: DataFrame, similarity=SIMILARITY, every: bool = False, list_rows: int = LIST_ROWS) -> DataFrame:
-    """``PAIR_SCHEMA``: candidates of every line that ``ask``s, from the lists of ``posted``
-    (``tok, doc, line, n, pos, often, bits0, bits1, ask``).  ``alone``: other candidates of its list were left out."""
-    hot = materialise(posted.where("pos >= often").groupBy("tok").count().where(F.col("count") > list_rows).select(
-        "tok", F.ceil(F.col("count") / list_rows).cast("int").alias("blocks")), "long_lists")
-    blk = F.pmod(F.xxhash64("doc", "line"), F.col("blocks")).cast("int")
-    one = F.least("blk", "x") * (1 << 20) + F.greatest("blk", "x")
-    if hot.isEmpty():
-        rows = posted.withColumn("blk", F.lit(0)).withColumn("g", F.lit(0).cast("long"))
-    else:
-        rows = (posted.join(hot, "tok", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("blk", blk)
-                .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("g", one.cast("long")))
-    names = ["tok", "g", "blk", "doc", "line", "n", "pos", "bits0", "bits1", "ask"]
-    rows = rows.select(*names).repartition("tok", "g").sortWithinPartitions("tok", "g", "doc", "line")
+    return pa.RecordBatch.from_arrays([pa.array(doc[hi]), pa.array(line[hi]), pa.array(doc[lo]), pa.array(line[lo]), pa.array(alone)],
+                                      names=["doc", "line", "odoc", "oline", "alone"])
+
+
+def _list_type(cut: bool, ask: bool) -> np.dtype:
+    """A row of a list; ``side``: its block, or -1 where all pairs of the list are wanted."""
+    return np.dtype([("list", "<u8" if cut else "<u4"), ("doc", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4"),
+                     ("bits0", "<u8"), ("bits1", "<u8"), *([("side", "<i4")] if cut else []), *([("ask", "?")] if ask else [])])
+
+
+def _mixed(*numbers: np.ndarray) -> np.ndarray:
+    out = np.uint64(0)
+    for x in numbers:
+        out = (out ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _in_blocks(rows: np.ndarray, toks: np.ndarray, blocks: np.ndarray):
+    """``rows`` in steps, those of the long lists ``toks`` once for every pair of ``blocks`` they are in.
+
+    Lists that share a hash are compared as one, which loses no pair."""
+    at = np.minimum(np.searchsorted(toks, rows["list"]), len(toks) - 1)
+    times = np.where(toks[at] == rows["list"], blocks[at], 1)
+    total = np.cumsum(times)
+    steps = np.searchsorted(total, np.arange(0, total[-1], PART_ROWS))
+    edges = np.unique(np.append(steps, len(rows))).tolist()
+    for lo, hi in zip(edges, edges[1:]):
+        n = times[lo:hi]
+        part = rows[lo:hi].repeat(n)
+        x = np.arange(len(part)) - np.repeat(np.cumsum(n) - n, n)
+        n = np.repeat(n, n)
+        blk = (_mixed(part["doc"], part["line"]) % n.astype(np.uint64)).astype(np.int64)
+        part["side"] = np.where(blk == x, -1, blk)
+        mixed = _mixed(part["list"], np.minimum(blk, x), np.maximum(blk, x)) | np.uint64(1 << 63)
+        part["list"] = np.where(n > 1, mixed, part["list"])
+        yield part
+
+
+def list_pairs(lines: DataFrame, similarity=SIMILARITY, every: bool = False, list_rows: int = LIST_ROWS,
+               part_rows: int = PART_ROWS) -> DataFrame:
+    """``PAIR_SCHEMA``: candidates of every line (of those that ``ask``, where that column is) from the lists of
+    ``lines`` (``doc, line, n, toks, often, bits0, bits1``, and ``pos``: the position of the first of ``toks``).
+    ``alone``: other candidates of its list were left out.
+
+    The rows of a list are dealt to parts of about ``part_rows`` by the list's hash and move packed; a task takes one
+    part after the other.  Of lists longer than ``list_rows``, pairs of blocks are dealt as lists of their own."""
+    words = lines.select("often", "pos", F.posexplode("toks").alias("k", "tok")).where("pos + k >= often")
+    hot = words.groupBy("tok").count().where(F.col("count") > list_rows).toLocalIterator()
+    hot = np.array(sorted((r["tok"] % (1 << 32), -(-r["count"] // list_rows), r["count"]) for r in hot), np.int64).reshape(-1, 3)
+    total = (lines.agg(F.sum(F.size("toks"))).first()[0] or 0) + int((hot[:, 2] * (hot[:, 1] - 1)).sum())
+    parts = max(1, -(-total // part_rows))
+    names = [*AT, "n", "pos", "bits0", "bits1", *[c for c in ("ask",) if c in lines.columns]]
+    kind = _list_type(len(hot) > 0, "ask" in names)
+    shared = lines.sparkSession.sparkContext.broadcast((hot[:, 0].astype(np.uint64), hot[:, 1]))
+
+    def deal(batches):
+        toks, blocks = shared.value
+        for b in joined(batches, JOIN_ROWS, JOIN_BYTES // 4):
+            ends = b.column("toks").offsets.to_numpy().astype(np.int64)
+            size = np.diff(ends)
+            row = np.repeat(np.arange(b.num_rows), size)
+            rows = np.empty(len(row), kind)
+            rows["list"] = b.column("toks").values.to_numpy()[ends[0]:ends[-1]].view(np.uint32)
+            for c in names:
+                rows[c] = b.column(c).to_numpy(zero_copy_only=False)[row]
+            rows["pos"] += (np.arange(len(row)) - np.repeat(ends[:-1] - ends[0], size)).astype(np.int32)
+            for rows in (_in_blocks(rows, toks, blocks) if len(toks) and len(rows) else [rows]):
+                part = (_mixed(rows["list"]) % np.uint64(parts)).astype(np.min_scalar_type(parts))
+                order = np.argsort(part, kind="stable")
+                rows, part = rows[order], part[order]
+                cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(rows)]
+                cuts = [k for lo, hi in zip(cuts, cuts[1:]) for k in range(lo, hi, PACK_ROWS)]
+                packed = [rows[lo:hi].tobytes() for lo, hi in zip(cuts, [*cuts[1:], len(rows)])]
+                yield pa.RecordBatch.from_arrays([pa.array(part[cuts].astype(np.int32)), pa.array(packed, pa.binary())], names=["part", "rows"])
+
+    def pairs(packed):
+        rows = np.concatenate(packed)
+        order = np.argsort(rows["list"])
+        return _pairs_of({c: rows[c][order] for c in kind.names}, similarity, every)
 
     def run(batches):
-        held = None
-        for b in joined(batches, 200_000, JOIN_BYTES):
-            new = {c: b.column(c).to_numpy(zero_copy_only=False) for c in names}
-            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in names}
-            last = (held["tok"] == held["tok"][-1]) & (held["g"] == held["g"][-1])
-            cut = int(np.argmax(last))      # the last list may go on
-            if cut:
-                found = _pairs_of({c: v[:cut] for c, v in held.items()}, similarity, every)
-                held = {c: v[cut:] for c, v in held.items()}
-                if found is not None:
-                    yield found
-        if held is not None and len(held["n"]):
-            found = _pairs_of(held, similarity, every)
+        held, at = [], None
+        for b in batches:
+            for part, rows in zip(b.column("part").to_pylist(), b.column("rows")):
+                if part != at and held:
+                    found, held = pairs(held), []
+                    if found is not None:
+                        yield found
+                at = part
+                held.append(np.frombuffer(rows.as_buffer(), kind))
+        if held:
+            found = pairs(held)
             if found is not None:
                 yield found
 
-    return rows.mapInArrow(run, PAIR_SCHEMA)
+    dealt = lines.select(*names, "toks").mapInArrow(deal, "part int, rows binary")
+    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(run, PAIR_SCHEMA)
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, similarity) -> DataFrame:
@@ -249,8 +330,7 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity) -> DataFrame:
     named = pairs.select(*AT).union(pairs.select("odoc", "oline")).distinct()
     wanted = F.broadcast(named.select(bucket.alias("bucket")).distinct())
     texts = lines.select("doc", F.col("line_no").alias("line"), F.col("line").alias("text")).withColumn("bucket", bucket)
-    sets = (texts.join(wanted, "bucket", "left_semi").join(named, AT, "left_semi").dropDuplicates(AT)
-            .select(*AT, F.transform(word_set(F.col("text")), lambda w: F.xxhash64(w)).alias("words")))
+    sets = word_sets(texts.join(wanted, "bucket", "left_semi").join(named, AT, "left_semi").dropDuplicates(AT))
     sets = materialise(sets, "word_sets")
     both = F.size(F.array_intersect("wa", "wb"))
     return (pairs.select(*AT, "odoc", "oline").distinct().join(sets.withColumnRenamed("words", "wa"), AT)
@@ -265,7 +345,7 @@ def distinct_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text
     counts = word_counts(docs.select(text_of(text_col).alias("t")), rarity_slots)
     lines = explode_lines(docs, text_col, id_col).select("*", *line_keys())
     first = F.min(F.struct(*AT, "n", "toks", "often", "bits0", "bits1")).alias("f")
-    return materialise(posted_lines(lines, counts, similarity, list_rows).groupBy(*KEYS).agg(first).select(*KEYS, "f.*"), "distinct_lines")
+    return materialise(posted_lines(lines, counts, similarity, list_rows).repartition(*KEYS).groupBy(*KEYS).agg(first).select(*KEYS, "f.*"), "distinct_lines")
 
 
 def _asked_again(posted: DataFrame, asked: DataFrame, similarity) -> DataFrame:
@@ -294,13 +374,15 @@ def similar_lines(firsts: DataFrame, docs: DataFrame, similarity=SIMILARITY, tex
     """``doc, line`` of the distinct lines that an earlier, different line is similar to."""
     lines = explode_lines(docs, text_col, id_col)
     posted = firsts.select(*AT, "n", "often", "bits0", "bits1", F.posexplode("toks").alias("pos", "tok"))
-    pairs = materialise(list_pairs(posted.withColumn("ask", F.lit(True)), similarity, list_rows=list_rows), "line_pairs")
+    whole = firsts.withColumn("pos", F.lit(0))
+    pairs = materialise(list_pairs(whole, similarity, list_rows=list_rows), "line_pairs")
     settled = materialise(_verified(pairs, lines, similarity), "settled_lines")
     failed = materialise(pairs.where("alone").select(*AT).distinct().join(settled, AT, "left_anti"), "failed_lines")
     if failed.isEmpty():
         return settled
     again = _asked_again(posted, materialise(posted.join(failed, AT, "left_semi"), "failed_words"), similarity)
     again = again.join(failed.withColumn("ask", F.lit(True)), AT, "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
+    again = materialise(again.withColumn("toks", F.array("tok")).drop("tok"), "lines_again")
     more = materialise(list_pairs(again, similarity, every=True, list_rows=list_rows), "line_pairs")
     return settled.union(_verified(more, lines, similarity)).distinct()
 

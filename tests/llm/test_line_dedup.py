@@ -142,3 +142,37 @@ def test_only_words_that_may_have_long_lists_are_counted(spark, n):
     lists = firsts.selectExpr("posexplode(toks) as (pos, tok)", "often")
     true = {r.tok for r in lists.groupBy("tok").count().where(f"count > {n}").collect()}
     assert true <= {r.tok for r in lists.where("pos >= often").collect()}
+
+
+@pytest.mark.parametrize("list_rows, part_rows", [(4, 30), (1 << 12, 30), (1 << 12, 1 << 20)])
+def test_rows_of_lists_move_packed(spark, list_rows, part_rows):
+    """Every word of every line was a row of its own in the shuffle and the sort."""
+    rng = random.Random(4)
+    rows = [(d // 3, d % 3, 10 + rng.randrange(4), rng.sample(range(-6, 6), 3), 0, 1 << rng.randrange(3), rng.getrandbits(2), 0, rng.random() < .5)
+            for d in range(120)]
+    lines = spark.createDataFrame(rows, "doc long, line int, n int, toks array<int>, often int, bits0 long, bits1 long, pos int, ask boolean")
+    found = ld.list_pairs(lines, every=True, list_rows=list_rows, part_rows=part_rows)
+    assert "posexplode" not in found._jdf.queryExecution().executedPlan().toString()
+
+    def meet(x, y):
+        d, n = (x[5] ^ y[5]).bit_count() + (x[6] ^ y[6]).bit_count(), x[2] + y[2]
+        return any(9 * min(x[2] - x[3].index(t), y[2] - y[3].index(t)) >= 4 * n and 9 * d <= n
+                   and 4 * x[2] <= 5 * y[2] and 4 * y[2] <= 5 * x[2] for t in set(x[3]) & set(y[3]))
+    want = {(y[0], y[1], x[0], x[1]) for i, x in enumerate(rows) for y in rows[i + 1:] if y[8] and meet(x, y)}
+    assert {tuple(r)[:4] for r in found.collect()} == want and len(want) > 100
+
+
+def test_a_line_does_not_meet_itself(spark):
+    """Two words of a line alike in 32 bits put it into one list twice; it was then similar to itself."""
+    import numpy as np
+    import pyarrow as pa
+    from medallion.llm.words import hashed_words
+    many = ["u%d" % i for i in range(400_000)]
+    low = hashed_words(pa.array(many), True)[0] & np.uint64(0xFFFFFFFF)
+    order = np.argsort(low, kind="stable")
+    k = int(np.flatnonzero(low[order][1:] == low[order][:-1])[0])
+    pair = [many[order[k]], many[order[k + 1]]]
+    common = ["c%d" % i for i in range(7)]
+    texts = [" ".join(pair + common), " ".join(pair + ["d%d" % i for i in range(12)])] + [f"{c} alone{i} here{j}" for i, c in enumerate(common) for j in range(5)]
+    got = {r.doc_id: r.removed for r in ld.removed_lines(simple(spark, texts), rarity_slots=1 << 20).collect()}
+    assert got == brute(list(enumerate(texts))) and got[0] == []
