@@ -34,6 +34,7 @@ LIST_ROWS = 4096          # lines of a word's list that one task compares at onc
 PART_ROWS = 250_000       # rows of lists, about, that a task holds at once
 PACK_ROWS = 1024          # rows of lists shuffled as one row at most
 TEXT_BUCKETS = 1 << 22    # bound of the broadcast filter on the lines whose words are verified
+LINE_BATCH = 2000         # lines in one Arrow batch, if they fit its bytes
 JOIN_ROWS, JOIN_BYTES = 40_000, 12 << 20
 
 
@@ -65,8 +66,12 @@ def word_sets(lines: DataFrame) -> DataFrame:
         for b in joined(batches, JOIN_ROWS, JOIN_BYTES):
             hashes, _, _, offsets, _ = hashed_words(as_strings(b.column("text")), True)
             row = np.repeat(np.arange(b.num_rows), np.diff(offsets))
-            order = np.lexsort((hashes, row))
-            hashes = hashes[order]
+            key = (row.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24))
+            order = np.argsort(key)
+            key, sorted_ = key[order], hashes[order]
+            if np.any((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])):   # different words alike in 40 bits
+                sorted_ = hashes[np.lexsort((hashes, row))]
+            hashes = sorted_
             once = np.ones(len(hashes), bool)
             once[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
             ends = np.cumsum(np.bincount(row[once], minlength=b.num_rows))
@@ -110,12 +115,12 @@ def word_counts(lines: DataFrame, slots: int) -> np.ndarray:
     return out
 
 
-LINE_SCHEMA = "a long, b long, doc long, line int, n int, toks array<int>, often int, bits0 long, bits1 long"
+LINE_SCHEMA = "a long, b long, doc long, line int, n int, toks array<int>, often int, bits0 long, bits1 long, more boolean"
 
 
 def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY, list_rows: int = LIST_ROWS) -> DataFrame:
     """``LINE_SCHEMA``: key, place, size, rare words (hashes of 32 bits) and map of every line with a
-    word; from the word ``often`` on, the slots count so much that lists may be longer than ``list_rows``.
+    word; ``more``: it is repeated; from the word ``often`` on, the slots count so much that lists may be longer than ``list_rows``.
 
     Words are ordered by (count, hash): any order shared by all lines keeps the
     join exact.  A word whose slot counts one is in no other line and is not
@@ -131,6 +136,7 @@ def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY, li
             order = np.lexsort((b.column("line_no").to_numpy(), b.column("doc").to_numpy(), kb, ka))
             ka, kb = ka[order], kb[order]
             once = np.concatenate([[True], (ka[1:] != ka[:-1]) | (kb[1:] != kb[:-1])])
+            more = pa.array(np.diff(np.append(np.flatnonzero(once), len(order))) > 1)
             b = b.take(pa.array(order[once]))
             hashes, _, _, offsets, _ = hashed_words(as_strings(b.column("line")), True)
             if not len(hashes):
@@ -161,8 +167,8 @@ def posted_lines(lines: DataFrame, counts: np.ndarray, similarity=SIMILARITY, li
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c).take(rows) for c in ("a", "b", "doc", "line_no")], pa.array(size.astype(np.int32)),
                  pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(toks)),
-                 pa.array(often.astype(np.int32)), *[pa.array(m.view(np.int64)) for m in maps]],
-                names=["a", "b", "doc", "line", "n", "toks", "often", "bits0", "bits1"])
+                 pa.array(often.astype(np.int32)), *[pa.array(m.view(np.int64)) for m in maps], more.take(rows)],
+                names=["a", "b", "doc", "line", "n", "toks", "often", "bits0", "bits1", "more"])
 
     return lines.select("doc", "line_no", *KEYS, "line").mapInArrow(run, LINE_SCHEMA)
 
@@ -172,9 +178,10 @@ PAIR_SCHEMA = "doc long, line int, odoc long, oline int, alone boolean"
 
 
 def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
-    """Candidate pairs (later, earlier) of whole lists; the rows of a list are together, in any order."""
+    """Candidate pairs (later, earlier) of whole lists, sorted by list and ``n``."""
     num, den = similarity
-    n, pos, doc, line, ask, side = (rows.get(c) for c in ("n", "pos", "doc", "line", "ask", "side"))
+    n, doc, line, ask, side = (rows.get(c) for c in ("n", "doc", "line", "ask", "side"))
+    rest = n - rows["pos"]
     bits0, bits1 = (rows[c].view(np.uint64) for c in ("bits0", "bits1"))
     empty = 1 - (np.bitwise_count(bits0).astype(np.int64) + np.bitwise_count(bits1)) / 128  # share of unset bits
     ends = np.append(np.flatnonzero(rows["list"][1:] != rows["list"][:-1]) + 1, len(n))
@@ -183,9 +190,11 @@ def _pairs_of(rows: dict, similarity, every: bool) -> pa.RecordBatch | None:
     at = np.arange(len(n))
     for k in range(1, int(left.max())):
         at = at[left[at] > k]
+        at = at[n[at + k] * num <= n[at] * den]     # those after them are longer still
+        if not len(at):
+            break
         x, y = at, at + k
-        ok = (n[x] * num <= n[y] * den) & (n[y] * num <= n[x] * den)
-        ok &= np.minimum(n[x] - pos[x], n[y] - pos[y]) * (num + den) >= (n[x] + n[y]) * num
+        ok = np.minimum(rest[x], rest[y]) * (num + den) >= (n[x] + n[y]) * num
         if ask is not None:
             ok &= ask[x] | ask[y]
         if side is not None:
@@ -297,7 +306,10 @@ def list_pairs(lines: DataFrame, similarity=SIMILARITY, every: bool = False, lis
 
     def pairs(packed):
         rows = np.concatenate(packed)
-        order = np.argsort(rows["list"])
+        if "side" in kind.names:
+            order = np.lexsort((rows["n"], rows["list"]))
+        else:
+            order = np.argsort((rows["list"].astype(np.uint64) << np.uint64(32)) | rows["n"].astype(np.uint64))
         return _pairs_of({c: rows[c][order] for c in kind.names}, similarity, every)
 
     def run(batches):
@@ -341,11 +353,12 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity) -> DataFrame:
 def distinct_lines(docs: DataFrame, similarity=SIMILARITY, text_col: str = "text", id_col: str = "doc_id",
                    rarity_slots: int = RARITY_SLOTS, list_rows: int = LIST_ROWS) -> DataFrame:
     """``LINE_SCHEMA`` of the first occurrence of every distinct line with a word."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, rows=LINE_BATCH)
     counts = word_counts(docs.select(text_of(text_col).alias("t")), rarity_slots)
     lines = explode_lines(docs, text_col, id_col).select("*", *line_keys())
     first = F.min(F.struct(*AT, "n", "toks", "often", "bits0", "bits1")).alias("f")
-    return materialise(posted_lines(lines, counts, similarity, list_rows).repartition(*KEYS).groupBy(*KEYS).agg(first).select(*KEYS, "f.*"), "distinct_lines")
+    return materialise(posted_lines(lines, counts, similarity, list_rows).repartition(*KEYS).groupBy(*KEYS)
+                       .agg(first, (F.max("more") | (F.count("*") > 1)).alias("more")).select(*KEYS, "f.*", "more"), "distinct_lines")
 
 
 def _asked_again(posted: DataFrame, asked: DataFrame, similarity) -> DataFrame:
@@ -390,10 +403,10 @@ def similar_lines(firsts: DataFrame, docs: DataFrame, similarity=SIMILARITY, tex
 def _removed(docs: DataFrame, similarity, text_col: str, id_col: str, rarity_slots: int, list_rows: int = LIST_ROWS) -> DataFrame:
     firsts = distinct_lines(docs, similarity, text_col, id_col, rarity_slots, list_rows)
     later = similar_lines(firsts, docs, similarity, text_col, id_col, list_rows).withColumn("similar", F.lit(True))
-    known = firsts.select(*AT, *KEYS).join(later, AT, "left").select(
+    known = firsts.select(*AT, *KEYS, "more").join(later, AT, "left").where("more or similar").select(
         *KEYS, F.struct(*AT).alias("first"), F.coalesce("similar", F.lit(False)).alias("similar"))
     keyed = explode_lines(docs, text_col, id_col).select("doc", "line_no", *line_keys())
-    judged = keyed.join(known, KEYS, "left")    # a line without words is not known and stays
+    judged = keyed.join(known, KEYS, "left")    # a line without words, or that is neither repeated nor similar, is not known and stays
     gone = F.coalesce(F.col("similar") | (F.col("first") < F.struct("doc", F.col("line_no").alias("line"))), F.lit(False))
     return judged.groupBy("doc").agg(
         F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed"))
