@@ -31,7 +31,7 @@ SIMILARITY = (4, 5)       # 0.8 as a fraction
 RARITY_SLOTS = 1 << 22    # words are counted in this many hash slots
 SLOTS_A_ROW = 4096        # slots whose counts are shuffled as one row
 LIST_ROWS = 4096          # lines of a word's list that one task compares at once
-PART_ROWS = 250_000       # rows of lists, about, that a task holds at once
+PART_ROWS = 50_000        # rows of lists, about, that a task holds at once
 PACK_ROWS = 1024          # rows of lists shuffled as one row at most
 TEXT_BUCKETS = 1 << 22    # bound of the broadcast filter on the lines whose words are verified
 LINE_BATCH = 2000         # lines in one Arrow batch, if they fit its bytes
